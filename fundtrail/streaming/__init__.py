@@ -1,0 +1,8 @@
+"""Streaming: intentionally empty.
+
+The feature jobs this library rebuilds are one-shot batch runs over a queue of
+entities (a customer's history before an as-of date, or a location's transfers
+in a date range). They hold no state between runs and read no stream, so there
+is no Structured Streaming operator to build; a scheduler that reruns the batch
+plans on new dates is outside this library.
+"""
