@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fundtrail.functions.columns import in_span
+from fundtrail.operators.distinct import DistinctAttr, distinct_counts
 from fundtrail.functions.params import HIGH_RISK_RATING
 from fundtrail.operators.broadcast import sized_broadcast
 
@@ -74,3 +75,22 @@ def primary_countries(
             )
             picks.append(best.getField("c").alias(col))
     return per_country.groupBy(*keys).agg(*picks)
+
+
+def hrj_exposure(flagged_legs: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Per key and role: summed amount and distinct countries of legs whose other
+    side is risky (needs ``is_hrj`` from ``flag_high_risk``)."""
+    keys = list(keys)
+    risky = flagged_legs.filter(F.col("is_hrj"))
+    sums = risky.groupBy(*keys).agg(
+        *[
+            F.sum(F.when(F.col("role") == F.lit(r), F.col("amount"))).alias(f"hrj_{r}_amount")
+            for r in ("send", "pay")
+        ]
+    )
+    counts = distinct_counts(
+        risky,
+        keys,
+        [DistinctAttr(f"hrj_{r}_country_count", F.col("other_country"), F.col("role") == F.lit(r)) for r in ("send", "pay")],
+    )
+    return sums.join(counts, keys, "left")

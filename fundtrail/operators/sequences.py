@@ -187,12 +187,21 @@ def location_repeats(legs: DataFrame, bucket_seconds: int = DEFAULT_BUCKET_SECON
     )
 
 
-def rapid_fire(
+def rapid_fire_groups(
     legs: DataFrame, seconds: float = RAPID_FIRE_SECONDS, bucket_seconds: int = DEFAULT_BUCKET_SECONDS
 ) -> DataFrame:
-    """Per location: distinct terminal event times (sends and pays together)
-    that lie within ``seconds`` of the previous or next one at that terminal."""
+    """Per (location, terminal) with a burst: distinct event times (sends and
+    pays together) within ``seconds`` of the previous or next one there."""
     keys = ["entity_id", "own_terminal"]
     times = legs.filter(F.col("own_terminal").isNotNull() & F.col("leg_us").isNotNull()).select(*keys, "leg_us").distinct()
     nb = with_neighbors(times, keys, "leg_us", None, ["leg_us"], ["leg_us"], bucket_seconds)
-    return nb.groupBy("entity_id").agg(F.count_if(burst_member(F.lit(True), seconds)).alias("rapid_fire_count"))
+    counts = nb.groupBy(*keys).agg(F.count_if(burst_member(F.lit(True), seconds)).alias("rapid_fire_count"))
+    return counts.filter(F.col("rapid_fire_count") > 0)
+
+
+def rapid_fire(
+    legs: DataFrame, seconds: float = RAPID_FIRE_SECONDS, bucket_seconds: int = DEFAULT_BUCKET_SECONDS
+) -> DataFrame:
+    """Per location: the rapid-fire counts of its terminals, summed."""
+    groups = rapid_fire_groups(legs, seconds, bucket_seconds)
+    return groups.groupBy("entity_id").agg(F.sum("rapid_fire_count").cast("long").alias("rapid_fire_count"))

@@ -129,13 +129,16 @@ def location_aggregates(
     legs: DataFrame,
     bands: Sequence[tuple[float, float]] = AMOUNT_BANDS,
     rapid_seconds: float = RAPID_PAYOUT_SECONDS,
+    with_hrj: bool = True,
 ) -> DataFrame:
-    """One ``groupBy``: per-role basics, risky-country sums and leading digits."""
+    """One ``groupBy``: per-role basics, risky-country sums (legs flagged by
+    ``flag_high_risk``) and leading digits."""
     exprs = []
     for role in ("send", "pay"):
         exprs += role_exprs(role, "", _role(role), bands, rapid_seconds)
         exprs += B.digit_count_exprs(role)
-    exprs += hrj_amount_exprs("", F.lit(True))
+    if with_hrj:
+        exprs += hrj_amount_exprs("", F.lit(True))
     agg = legs.groupBy(*KEYS).agg(*exprs)
     digits = [f"_d{d}_{r}" for r in ("send", "pay") for d in B.DIGITS]
     return agg.select(
