@@ -5,15 +5,37 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fundtrail.functions.params import BROADCAST_MAX_ROWS
+from fundtrail.functions.params import BROADCAST_MAX_BYTES, BROADCAST_MAX_ROWS
 
 
-def sized_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS, name: str = "side") -> DataFrame:
-    """Mark ``df`` for broadcast only if it has at most ``max_rows`` rows.
+def estimated_bytes(df: DataFrame) -> int | None:
+    """Catalyst's size estimate of the optimized plan (no job runs), if known.
 
-    The count stops after ``max_rows + 1`` rows. A larger side is returned
+    Without column statistics Spark estimates from file sizes and never
+    shrinks a size through a filter, so the estimate is an upper bound for
+    file-backed plans.
+    """
+    try:
+        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    except Exception:  # e.g. a connect session without the JVM handle
+        return None
+
+
+def sized_broadcast(
+    df: DataFrame,
+    max_rows: int = BROADCAST_MAX_ROWS,
+    name: str = "side",
+    max_bytes: int = BROADCAST_MAX_BYTES,
+) -> DataFrame:
+    """Mark ``df`` for broadcast only when its size is known to be small.
+
+    First the plan's size estimate (free); when that is not small enough, a
+    count that stops after ``max_rows + 1`` rows. A larger side is returned
     unmarked, so the join shuffles both sides (and AQE may still switch to a
-    broadcast if the shuffled side turns out small).
+    broadcast if the shuffled side turns out small at run time).
     """
+    est = estimated_bytes(df)
+    if est is not None and est <= max_bytes:
+        return F.broadcast(df)
     n = df.limit(max_rows + 1).count()
     return F.broadcast(df) if n <= max_rows else df

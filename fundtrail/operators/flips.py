@@ -10,8 +10,9 @@ where P(x) counts the key's pay legs at or before x. Each send leg becomes two
 probes (s - T and s + T); probes and pay legs are cut into time buckets, a
 running count of pay legs inside each (key, bucket) gives the in-bucket part
 of P, and a running total over the key's per-bucket pay counts gives the part
-from earlier buckets. A busy key spreads over its buckets; nothing grows with
-the number of pairs.
+from earlier buckets. Only hot keys (``operators.neighbors.hot_key_buckets``)
+are cut into buckets; a busy key spreads over them. Nothing grows with the
+number of pairs.
 """
 
 from __future__ import annotations
@@ -21,7 +22,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from fundtrail.functions.params import BURST_GAP_SECONDS, DEFAULT_BUCKET_SECONDS
+from fundtrail.functions.params import BURST_GAP_SECONDS, DEFAULT_BUCKET_SECONDS, DEFAULT_HOT_KEY_ROWS
+from fundtrail.operators.neighbors import BUCKET, hot_key_buckets
 
 _US = 1_000_000
 # Order of kinds at equal times: a low probe counts pays strictly before it,
@@ -35,6 +37,7 @@ def pair_counts(
     keys: Sequence[str],
     seconds: float,
     bucket_seconds: int = DEFAULT_BUCKET_SECONDS,
+    hot_rows: int = DEFAULT_HOT_KEY_ROWS,
 ) -> DataFrame:
     """Per key: number of (send, pay) row pairs with ``|t_send - t_pay| <= seconds``.
 
@@ -58,8 +61,8 @@ def pair_counts(
         .unionByName(
             s.select(*keys, (F.col("leg_us") + F.lit(span)).alias("_t"), F.lit(_HIGH).alias("_k"), F.lit(0).alias("_w"), F.lit(1).alias("_sign"))
         )
-        .withColumn("_b", F.floor(F.col("_t") / F.lit(bucket_seconds * _US)).cast("long"))
     )
+    events = hot_key_buckets(events, keys, "_t", bucket_seconds, hot_rows).withColumnRenamed(BUCKET, "_b")
     running = Window.partitionBy(*keys, "_b").orderBy("_t", "_k").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     per_bucket = (
         events.withColumn("_run", F.sum("_w").over(running))
@@ -78,14 +81,17 @@ def pair_counts(
 
 
 def location_flips(
-    legs: DataFrame, seconds: float = BURST_GAP_SECONDS, bucket_seconds: int = DEFAULT_BUCKET_SECONDS
+    legs: DataFrame,
+    seconds: float = BURST_GAP_SECONDS,
+    bucket_seconds: int = DEFAULT_BUCKET_SECONDS,
+    hot_rows: int = DEFAULT_HOT_KEY_ROWS,
 ) -> DataFrame:
     """Per location: flipped_txns_count (send/pay pairs of one customer within
     ``seconds``) and flipped_customer_count (customers with such a pair)."""
     keys = ["entity_id", "own_customer"]
     sends = legs.filter(F.col("role") == F.lit("send"))
     pays = legs.filter(F.col("role") == F.lit("pay"))
-    pairs = pair_counts(sends, pays, keys, seconds, bucket_seconds)
+    pairs = pair_counts(sends, pays, keys, seconds, bucket_seconds, hot_rows)
     return pairs.groupBy("entity_id").agg(
         F.sum("pairs").cast("long").alias("flipped_txns_count"),
         F.count_if(F.col("pairs") > 0).alias("flipped_customer_count"),

@@ -1,17 +1,22 @@
-"""Previous and next row of the same key, without one task per key.
+"""Previous and next row of the same key, without one task per hot key.
 
 ``lag``/``lead`` over ``Window.partitionBy(key)`` sends every row of a key to
 one task; a key holding a third of the data would then be one task's work.
-Here the key's history is cut into time buckets and the window runs per
-(key, bucket), so a busy key spreads over as many tasks as it has buckets:
+Keys with more than ``hot_rows`` rows are therefore cut into time buckets:
 
-1. per (key, bucket): the first and the last row (a partial aggregate);
-2. per key, over those few summary rows: the last row of the previous
-   non-empty bucket and the first row of the next one;
-3. those two boundary rows are added to their bucket as pseudo-rows, and
-   ``lag``/``lead`` over (key, bucket) then see across the bucket edges.
+1. ``lag``/``lead`` run over (key, bucket); a hot key spreads over as many
+   tasks as it has buckets, every other key stays one window partition
+   (bucket 0). Inside a bucket the neighbours are already right.
+2. Only the first and the last row of a hot key's bucket can have a
+   neighbour in another bucket. Those edge rows (at most two per bucket) are
+   shuffled by key alone and ordered by time: the previous edge row of a
+   bucket's first row is the last row of the previous non-empty bucket, and
+   the next edge row of a bucket's last row is the first row of the next one.
+3. Interior rows and the corrected edge rows are put back together.
 
-The result is exact for any bucket width; the width only sets how finely a
+Finding the hot keys is one partial aggregate (a count per key); their list
+is at most ``rows / hot_rows`` long and is broadcast behind a size check. The
+result is exact for any bucket width and threshold; they only set how a hot
 key is split. Rows need a non-null order column; ties must be broken by
 ``tie`` (or not occur).
 """
@@ -23,9 +28,33 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from fundtrail.functions.params import DEFAULT_BUCKET_SECONDS
+from fundtrail.functions.params import DEFAULT_BUCKET_SECONDS, DEFAULT_HOT_KEY_ROWS
+from fundtrail.operators.broadcast import sized_broadcast
 
-_B, _REAL, _FIRST, _LAST = "_nb_bucket", "_nb_real", "_nb_first", "_nb_last"
+BUCKET, HOT = "_nb_bucket", "_nb_hot"
+_FIRST, _LAST = "_nb_first", "_nb_last"
+
+
+def hot_key_buckets(
+    rows: DataFrame,
+    keys: Sequence[str],
+    time_us: str,
+    bucket_seconds: int = DEFAULT_BUCKET_SECONDS,
+    hot_rows: int = DEFAULT_HOT_KEY_ROWS,
+) -> DataFrame:
+    """Add ``_nb_hot`` (key has more than ``hot_rows`` rows) and ``_nb_bucket``
+    (time bucket for hot keys, 0 otherwise)."""
+    keys = list(keys)
+    hot = (
+        rows.groupBy(*keys)
+        .agg(F.count(F.lit(1)).alias("_nb_n"))
+        .filter(F.col("_nb_n") > F.lit(hot_rows))
+        .select(*keys, F.lit(True).alias(HOT))
+    )
+    hot = sized_broadcast(hot, name="hot keys")
+    out = rows.join(hot, keys, "left").withColumn(HOT, F.coalesce(F.col(HOT), F.lit(False)))
+    bucket = F.floor(F.col(time_us) / F.lit(bucket_seconds * 1_000_000)).cast("long")
+    return out.withColumn(BUCKET, F.when(F.col(HOT), bucket).otherwise(F.lit(0).cast("long")))
 
 
 def with_neighbors(
@@ -35,44 +64,52 @@ def with_neighbors(
     tie: str | None = None,
     prev_cols: Sequence[str] = (),
     next_cols: Sequence[str] = (),
-    bucket_seconds: int = DEFAULT_BUCKET_SECONDS,
+    bucket_seconds: int | None = DEFAULT_BUCKET_SECONDS,
+    hot_rows: int = DEFAULT_HOT_KEY_ROWS,
 ) -> DataFrame:
     """Add ``prev_<c>`` / ``next_<c>``: column ``c`` on the previous / next row of the
     same ``keys`` in ``(order_us, tie)`` order; null at the ends.
 
     ``order_us`` is a long (microseconds); rows where it is null are dropped.
+    ``bucket_seconds=None`` never splits a key (one plain window per key).
     """
     keys = list(keys)
     order = [order_us] + ([tie] if tie else [])
-    carried = list(dict.fromkeys(order + list(prev_cols) + list(next_cols)))
-    rows = df.filter(F.col(order_us).isNotNull()).withColumn(
-        _B, F.floor(F.col(order_us) / F.lit(bucket_seconds * 1_000_000)).cast("long")
-    )
-
-    # 1-2: bucket edges per key. The struct starts with the order columns, so
-    # its min / max are the first / last row of the bucket.
-    edge = F.struct(*[F.col(c) for c in carried])
-    summary = rows.groupBy(*keys, _B).agg(F.min(edge).alias(_FIRST), F.max(edge).alias(_LAST))
-    by_bucket = Window.partitionBy(*keys).orderBy(_B)
-    bounds = summary.select(
-        *keys,
-        _B,
-        F.lag(_LAST).over(by_bucket).alias("_nb_prev"),
-        F.lead(_FIRST).over(by_bucket).alias("_nb_next"),
-    )
-    pseudo = [
-        bounds.filter(F.col(side).isNotNull()).select(
-            *keys, _B, *[F.col(f"{side}.{c}").alias(c) for c in carried], F.lit(False).alias(_REAL)
+    rows = df.filter(F.col(order_us).isNotNull())
+    if bucket_seconds is None:
+        w = Window.partitionBy(*keys).orderBy(*order)
+        return rows.select(
+            "*",
+            *[F.lag(c).over(w).alias(f"prev_{c}") for c in prev_cols],
+            *[F.lead(c).over(w).alias(f"next_{c}") for c in next_cols],
         )
-        for side in ("_nb_prev", "_nb_next")
-    ]
 
-    # 3: pseudo-rows sort before (previous bucket) or after (next bucket) every
-    # real row of their bucket, so lag / lead over (key, bucket) are exact.
-    stacked = rows.withColumn(_REAL, F.lit(True))
-    for p in pseudo:
-        stacked = stacked.unionByName(p, allowMissingColumns=True)
-    w = Window.partitionBy(*keys, _B).orderBy(*order)
-    added = [F.lag(c).over(w).alias(f"prev_{c}") for c in prev_cols]
-    added += [F.lead(c).over(w).alias(f"next_{c}") for c in next_cols]
-    return stacked.select("*", *added).filter(F.col(_REAL)).drop(_B, _REAL)
+    rows = hot_key_buckets(rows, keys, order_us, bucket_seconds, hot_rows)
+    w = Window.partitionBy(*keys, BUCKET).orderBy(*order)
+    # Row number is unique inside (key, bucket); lag/lead of it mark the edges
+    # even when a carried column is null.
+    rn = F.row_number().over(w)
+    inner = rows.select(
+        "*",
+        *[F.lag(c).over(w).alias(f"prev_{c}") for c in prev_cols],
+        *[F.lead(c).over(w).alias(f"next_{c}") for c in next_cols],
+        (F.lag(rn).over(w).isNull()).alias(_FIRST),
+        (F.lead(rn).over(w).isNull()).alias(_LAST),
+    )
+    is_edge = F.col(HOT) & (F.col(_FIRST) | F.col(_LAST))
+    interior = inner.filter(~is_edge)
+    edges = inner.filter(is_edge)
+    added = {f"prev_{c}" for c in prev_cols} | {f"next_{c}" for c in next_cols}
+    we = Window.partitionBy(*keys).orderBy(*order)
+    fixed = edges.select(
+        *[c for c in inner.columns if c not in added],
+        *[
+            F.when(F.col(_FIRST), F.lag(c).over(we)).otherwise(F.col(f"prev_{c}")).alias(f"prev_{c}")
+            for c in prev_cols
+        ],
+        *[
+            F.when(F.col(_LAST), F.lead(c).over(we)).otherwise(F.col(f"next_{c}")).alias(f"next_{c}")
+            for c in next_cols
+        ],
+    )
+    return interior.unionByName(fixed).drop(BUCKET, HOT, _FIRST, _LAST)

@@ -28,6 +28,7 @@ from fundtrail.functions.params import (
     BURST_GAP_SECONDS,
     CUSTOMER_FLIP_SECONDS,
     DEFAULT_BUCKET_SECONDS,
+    DEFAULT_HOT_KEY_ROWS,
     RAPID_FIRE_SECONDS,
 )
 from fundtrail.operators.neighbors import with_neighbors
@@ -69,6 +70,7 @@ def customer_sequences(
     spans: Sequence[tuple[str, int | None]] = SPANS_FULL,
     burst_seconds: float = BURST_GAP_SECONDS,
     bucket_seconds: int = DEFAULT_BUCKET_SECONDS,
+    hot_rows: int = DEFAULT_HOT_KEY_ROWS,
 ) -> DataFrame:
     """Per key and span: repeat amounts, interval stats and first time per role;
     many-to-one over all pay legs; one-to-many over the run ends of send legs."""
@@ -78,7 +80,7 @@ def customer_sequences(
     base = legs.select(*cols, *(["age_days"] if with_age else []))
     prev_cols = ["leg_us", "amount"] + (["age_days"] if with_age else [])
     first = with_neighbors(
-        base, keys + ["role"], "leg_us", "mtcn", prev_cols, ["leg_us", "other_customer"], bucket_seconds
+        base, keys + ["role"], "leg_us", "mtcn", prev_cols, ["leg_us", "other_customer"], bucket_seconds, hot_rows
     )
     age, prev_age = _age(spans), _prev_age(spans)
     exprs = []
@@ -106,7 +108,7 @@ def customer_sequences(
     )
     second = with_neighbors(
         kept, keys + ["role"], "leg_us", "mtcn", ["leg_us"] + (["age_days"] if with_age else []), ["leg_us"],
-        bucket_seconds,
+        bucket_seconds, hot_rows,
     )
     otm = []
     for prefix, cut in spans:
@@ -126,6 +128,7 @@ def customer_flips(
     spans: Sequence[tuple[str, int | None]] = SPANS_FULL,
     seconds: float = CUSTOMER_FLIP_SECONDS,
     bucket_seconds: int = DEFAULT_BUCKET_SECONDS,
+    hot_rows: int = DEFAULT_HOT_KEY_ROWS,
 ) -> DataFrame:
     """Per key and span: neighbouring distinct event times (sends and pays
     together) at most ``seconds`` apart.
@@ -138,7 +141,9 @@ def customer_flips(
     keys = list(keys)
     with_age = any(c is not None for _, c in spans)
     base = legs.select(*keys, "mtcn", "leg_us", *(["age_days"] if with_age else []))
-    nb = with_neighbors(base, keys, "leg_us", "mtcn", ["leg_us"] + (["age_days"] if with_age else []), [], bucket_seconds)
+    nb = with_neighbors(
+        base, keys, "leg_us", "mtcn", ["leg_us"] + (["age_days"] if with_age else []), [], bucket_seconds, hot_rows
+    )
     gap = F.col("leg_us") - F.col("prev_leg_us")
     limit = F.lit(int(seconds * _US))
     age, prev_age = _age(spans), _prev_age(spans)
@@ -155,6 +160,7 @@ def location_bursts(
     legs: DataFrame,
     burst_seconds: float = BURST_GAP_SECONDS,
     bucket_seconds: int = DEFAULT_BUCKET_SECONDS,
+    hot_rows: int = DEFAULT_HOT_KEY_ROWS,
 ) -> DataFrame:
     """Per location: one-to-many (send legs by sender) and many-to-one (pay legs
     by payee) burst counts over the run ends of the counterparty.
@@ -164,9 +170,9 @@ def location_bursts(
     """
     keys = ["entity_id", "role", "own_customer"]
     base = legs.filter(F.col("own_customer").isNotNull()).select(*keys, "mtcn", "leg_us", "other_customer")
-    first = with_neighbors(base, keys, "leg_us", "mtcn", [], ["leg_us", "other_customer"], bucket_seconds)
+    first = with_neighbors(base, keys, "leg_us", "mtcn", [], ["leg_us", "other_customer"], bucket_seconds, hot_rows)
     kept = first.filter(run_end("other_customer")).select(*keys, "mtcn", "leg_us")
-    second = with_neighbors(kept, keys, "leg_us", "mtcn", ["leg_us"], ["leg_us"], bucket_seconds)
+    second = with_neighbors(kept, keys, "leg_us", "mtcn", ["leg_us"], ["leg_us"], bucket_seconds, hot_rows)
     member = burst_member(F.lit(True), burst_seconds)
     return second.groupBy("entity_id").agg(
         F.count_if(member & (F.col("role") == F.lit("send"))).alias("one_to_many_send_count"),
@@ -174,12 +180,14 @@ def location_bursts(
     )
 
 
-def location_repeats(legs: DataFrame, bucket_seconds: int = DEFAULT_BUCKET_SECONDS) -> DataFrame:
+def location_repeats(
+    legs: DataFrame, bucket_seconds: int = DEFAULT_BUCKET_SECONDS, hot_rows: int = DEFAULT_HOT_KEY_ROWS
+) -> DataFrame:
     """Per location and role: legs whose amount equals the next leg's at the same
     terminal, in time order."""
     keys = ["entity_id", "role", "own_terminal"]
     base = legs.filter(F.col("own_terminal").isNotNull()).select(*keys, "mtcn", "leg_us", "amount")
-    nb = with_neighbors(base, keys, "leg_us", "mtcn", ["amount"], [], bucket_seconds)
+    nb = with_neighbors(base, keys, "leg_us", "mtcn", ["amount"], [], bucket_seconds, hot_rows)
     same = F.col("prev_amount") == F.col("amount")
     return nb.groupBy("entity_id").agg(
         F.count_if(same & (F.col("role") == F.lit("send"))).alias("send_repeat_amount_txns"),
@@ -188,20 +196,26 @@ def location_repeats(legs: DataFrame, bucket_seconds: int = DEFAULT_BUCKET_SECON
 
 
 def rapid_fire_groups(
-    legs: DataFrame, seconds: float = RAPID_FIRE_SECONDS, bucket_seconds: int = DEFAULT_BUCKET_SECONDS
+    legs: DataFrame,
+    seconds: float = RAPID_FIRE_SECONDS,
+    bucket_seconds: int = DEFAULT_BUCKET_SECONDS,
+    hot_rows: int = DEFAULT_HOT_KEY_ROWS,
 ) -> DataFrame:
     """Per (location, terminal) with a burst: distinct event times (sends and
     pays together) within ``seconds`` of the previous or next one there."""
     keys = ["entity_id", "own_terminal"]
     times = legs.filter(F.col("own_terminal").isNotNull() & F.col("leg_us").isNotNull()).select(*keys, "leg_us").distinct()
-    nb = with_neighbors(times, keys, "leg_us", None, ["leg_us"], ["leg_us"], bucket_seconds)
+    nb = with_neighbors(times, keys, "leg_us", None, ["leg_us"], ["leg_us"], bucket_seconds, hot_rows)
     counts = nb.groupBy(*keys).agg(F.count_if(burst_member(F.lit(True), seconds)).alias("rapid_fire_count"))
     return counts.filter(F.col("rapid_fire_count") > 0)
 
 
 def rapid_fire(
-    legs: DataFrame, seconds: float = RAPID_FIRE_SECONDS, bucket_seconds: int = DEFAULT_BUCKET_SECONDS
+    legs: DataFrame,
+    seconds: float = RAPID_FIRE_SECONDS,
+    bucket_seconds: int = DEFAULT_BUCKET_SECONDS,
+    hot_rows: int = DEFAULT_HOT_KEY_ROWS,
 ) -> DataFrame:
     """Per location: the rapid-fire counts of its terminals, summed."""
-    groups = rapid_fire_groups(legs, seconds, bucket_seconds)
+    groups = rapid_fire_groups(legs, seconds, bucket_seconds, hot_rows)
     return groups.groupBy("entity_id").agg(F.sum("rapid_fire_count").cast("long").alias("rapid_fire_count"))

@@ -29,6 +29,7 @@ from fundtrail.functions.params import (
     BURST_GAP_SECONDS,
     CUSTOMER_FLIP_SECONDS,
     DEFAULT_BUCKET_SECONDS,
+    DEFAULT_HOT_KEY_ROWS,
     FIXTURE_SUBJECT_TYPES,
     LOOKBACK_SPANS,
     OUTCOME_FLAGS,
@@ -148,6 +149,7 @@ def customer_features(
     burst_seconds: float = BURST_GAP_SECONDS,
     flip_seconds: float = CUSTOMER_FLIP_SECONDS,
     bucket_seconds: int = DEFAULT_BUCKET_SECONDS,
+    hot_rows: int = DEFAULT_HOT_KEY_ROWS,
 ) -> DataFrame:
     """(entity_id, as_of_date, then FEATURES under each span prefix)."""
     keys = list(KEYS)
@@ -156,8 +158,8 @@ def customer_features(
     parts = [
         distinct_counts(legs, keys, customer_distinct_attrs(), spans),
         primary_countries(legs, keys, spans),
-        customer_sequences(legs, keys, spans, burst_seconds, bucket_seconds),
-        customer_flips(legs, keys, spans, flip_seconds, bucket_seconds),
+        customer_sequences(legs, keys, spans, burst_seconds, bucket_seconds, hot_rows),
+        customer_flips(legs, keys, spans, flip_seconds, bucket_seconds, hot_rows),
         outcomes_as_of(outcomes, blocks, subject_type, outcome_days, keys),
     ]
     for part in parts:

@@ -21,6 +21,7 @@ from fundtrail.functions.params import (
     AMOUNT_BANDS,
     BURST_GAP_SECONDS,
     DEFAULT_BUCKET_SECONDS,
+    DEFAULT_HOT_KEY_ROWS,
     FIXTURE_SUBJECT_TYPES,
     LOCATION_ID_TYPE,
     OUTCOME_FLAGS,
@@ -168,6 +169,7 @@ def location_features(
     flip_seconds: float = BURST_GAP_SECONDS,
     fire_seconds: float = RAPID_FIRE_SECONDS,
     bucket_seconds: int = DEFAULT_BUCKET_SECONDS,
+    hot_rows: int = DEFAULT_HOT_KEY_ROWS,
 ) -> DataFrame:
     """(entity_id, FEATURES): one row per location with a leg in the range."""
     keys = list(KEYS)
@@ -175,10 +177,10 @@ def location_features(
     blocks = location_aggregates(legs, bands, rapid_seconds)
     parts = [
         distinct_counts(legs, keys, location_distinct_attrs()),
-        location_bursts(legs, burst_seconds, bucket_seconds),
-        location_flips(legs, flip_seconds, bucket_seconds),
-        rapid_fire(legs, fire_seconds, bucket_seconds),
-        location_repeats(legs, bucket_seconds),
+        location_bursts(legs, burst_seconds, bucket_seconds, hot_rows),
+        location_flips(legs, flip_seconds, bucket_seconds, hot_rows),
+        rapid_fire(legs, fire_seconds, bucket_seconds, hot_rows),
+        location_repeats(legs, bucket_seconds, hot_rows),
         outcome_sums(outcomes, subject_type, date_from, date_to),
     ]
     for part in parts:

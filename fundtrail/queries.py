@@ -2,7 +2,8 @@
 
 They read the driver's tables (``sources.fixture``), run one operator or a
 whole plan over the full data, and return the columns that the matching SQL
-in ``fundtrail.oracle`` returns. Doubles are rounded to ``ROUND_DIGITS``.
+in ``fundtrail.oracle`` returns. When the session names a checkpoint folder
+the legs are written there once and every feature family reads them. Doubles are rounded to ``ROUND_DIGITS``.
 Block queries return one row per entity with at least one leg, filled the
 way the feature tables are.
 """
@@ -37,6 +38,7 @@ from fundtrail.operators.sequences import (
 from fundtrail.oracle import AS_OF, PREV_DAY, RANGE_FROM, RANGE_TO, ROUND_DIGITS
 from fundtrail.plans import customer as C
 from fundtrail.plans import location as L
+from fundtrail.session import materialize
 from fundtrail.sources.fixture import fixture_tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -59,13 +61,15 @@ def _tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 
 def _customer_legs(spark: SparkSession, sf_dir: str) -> tuple[dict[str, DataFrame], DataFrame]:
     t = _tables(spark, sf_dir)
-    return t, customer_history_legs(t["transfers"], active_customers(t["transfers"], AS_OF))
+    legs = customer_history_legs(t["transfers"], active_customers(t["transfers"], AS_OF))
+    return t, materialize(legs, "customer-legs")
 
 
 def _location_legs(spark: SparkSession, sf_dir: str) -> tuple[dict[str, DataFrame], DataFrame]:
     t = _tables(spark, sf_dir)
     queue = active_locations(t["transfers"], RANGE_FROM, RANGE_TO)
-    return t, location_range_legs(t["transfers"], RANGE_FROM, RANGE_TO, queue)
+    legs = location_range_legs(t["transfers"], RANGE_FROM, RANGE_TO, queue)
+    return t, materialize(legs, "location-legs")
 
 
 def _fill(df: DataFrame, kinds: dict[str, str]) -> DataFrame:
