@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fundtrail.functions.columns import in_span
-from fundtrail.operators.distinct import DistinctAttr, distinct_counts
+from fundtrail.operators.distinct import DistinctOut, ValueFamily, distinct_counts
 from fundtrail.functions.params import HIGH_RISK_RATING
 from fundtrail.operators.broadcast import sized_broadcast
 
@@ -88,9 +88,8 @@ def hrj_exposure(flagged_legs: DataFrame, keys: Sequence[str]) -> DataFrame:
             for r in ("send", "pay")
         ]
     )
-    counts = distinct_counts(
-        risky,
-        keys,
-        [DistinctAttr(f"hrj_{r}_country_count", F.col("other_country"), F.col("role") == F.lit(r)) for r in ("send", "pay")],
+    family = ValueFamily(
+        "other_country", tuple(DistinctOut(f"hrj_{r}_country_count", (r,), hrj=True) for r in ("send", "pay"))
     )
+    counts = distinct_counts(risky, keys, [family])
     return sums.join(counts, keys, "left")

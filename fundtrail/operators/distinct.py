@@ -1,14 +1,20 @@
-"""Distinct counts for many attributes and look-back spans in two aggregates.
+"""Distinct counts for many attributes, roles and look-back spans in two aggregates.
 
-Each leg emits one (attribute, value) row per attribute it carries. The first
-aggregate keeps, per (key, attribute, value), the smallest age in days: the
-value is in a span exactly when its most recent leg is. The second aggregate
-counts, per key, the values of each attribute whose age is inside each span.
+Attributes are grouped in value *families*: one leg column whose distinct
+values several outputs count, each over send legs, pay legs, or both (and
+optionally only risky-country legs). Each leg emits one row per family.
 
-This replaces ``count(DISTINCT ...)`` per attribute and span, which Spark would
-plan as an Expand with one copy of every row per distinct aggregate. Both
-aggregates combine on the map side first, so a busy key sends at most one row
-per distinct value and map task through the shuffle.
+1. Per (key, family, value): the smallest age in days among the send legs
+   and among the pay legs carrying it (and whether the value is risky). A
+   value is in a span exactly when its most recent leg of the role is.
+2. Per key: for each output and span, the count of values whose age for the
+   output's roles lies in the span.
+
+This replaces one ``count(DISTINCT ...)`` per output and span, which Spark
+plans as an Expand with a copy of every row per distinct aggregate. Both
+aggregates combine on the map side first, so a busy key sends at most one
+row per distinct value and map task through the shuffle. Values keep their
+type (longs stay longs; strings stay strings).
 """
 
 from __future__ import annotations
@@ -18,43 +24,89 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from fundtrail.functions.columns import in_span
 
+ROLES_ANY = ("send", "pay")
+
 
 @dataclass(frozen=True)
-class DistinctAttr:
-    """Output ``name``: distinct non-null ``value`` over legs where ``when`` holds."""
+class DistinctOut:
+    """Output ``name``: distinct values seen on legs of ``roles`` (risky only if ``hrj``)."""
 
     name: str
-    value: Column
-    when: Column | None = None
+    roles: tuple[str, ...]
+    hrj: bool = False
+
+
+@dataclass(frozen=True)
+class ValueFamily:
+    column: str
+    outputs: tuple[DistinctOut, ...]
+
+
+def select_outputs(families: Sequence[ValueFamily], names: Sequence[str]) -> list[ValueFamily]:
+    """The families restricted to the outputs in ``names``."""
+    wanted = set(names)
+    out = []
+    for fam in families:
+        keep = tuple(o for o in fam.outputs if o.name in wanted)
+        if keep:
+            out.append(ValueFamily(fam.column, keep))
+    return out
+
+
+def _age_for(roles: tuple[str, ...]) -> Column:
+    if set(roles) == set(ROLES_ANY):
+        return F.least(F.col("_age_send"), F.col("_age_pay"))
+    return F.col(f"_age_{roles[0]}")
 
 
 def distinct_counts(
     legs: DataFrame,
     keys: Sequence[str],
-    attrs: Sequence[DistinctAttr],
+    families: Sequence[ValueFamily],
     spans: Sequence[tuple[str, int | None]] = (("", None),),
     age_col: str = "age_days",
 ) -> DataFrame:
-    """One row per key that has at least one attribute value; columns ``{prefix}{name}``."""
+    """One row per key with at least one value; columns ``{prefix}{output name}``."""
     keys = list(keys)
+    dtypes = {f.name: f.dataType for f in legs.schema.fields}
     with_age = any(cut is not None for _, cut in spans)
-    age = F.col(age_col) if with_age else F.lit(0)
+    need_hrj = any(o.hrj for fam in families for o in fam.outputs)
     entries = []
-    for i, attr in enumerate(attrs):
-        cond = attr.value.isNotNull()
-        if attr.when is not None:
-            cond = cond & attr.when
-        entries.append(F.when(cond, F.struct(F.lit(i).alias("a"), attr.value.cast("string").alias("v"))))
+    for i, fam in enumerate(families):
+        is_text = isinstance(dtypes[fam.column], T.StringType)
+        v = F.col(fam.column)
+        entries.append(
+            F.struct(
+                F.lit(i).alias("f"),
+                (F.lit(None).cast("long") if is_text else v.cast("long")).alias("vl"),
+                (v if is_text else F.lit(None).cast("string")).alias("vs"),
+            )
+        )
+    age = F.col(age_col) if with_age else F.lit(0)
     exploded = legs.select(
-        *keys, age.alias("_age"), F.explode(F.filter(F.array(*entries), lambda e: e.isNotNull())).alias("_e")
-    ).select(*keys, "_age", F.col("_e.a").alias("_a"), F.col("_e.v").alias("_v"))
-    latest = exploded.groupBy(*keys, "_a", "_v").agg(F.min("_age").alias("_age"))
-    counts = [
-        F.count_if((F.col("_a") == F.lit(i)) & in_span(F.col("_age"), cut)).alias(f"{prefix}{attr.name}")
-        for prefix, cut in spans
-        for i, attr in enumerate(attrs)
-    ]
-    return latest.groupBy(*keys).agg(*counts)
+        *keys,
+        "role",
+        age.alias("_age"),
+        (F.col("is_hrj") if need_hrj else F.lit(False)).alias("_hrj"),
+        F.explode(F.array(*entries)).alias("_e"),
+    ).select(*keys, "role", "_age", "_hrj", "_e.f", "_e.vl", "_e.vs")
+    exploded = exploded.filter(F.col("vl").isNotNull() | F.col("vs").isNotNull())
+    per_value = exploded.groupBy(*keys, "f", "vl", "vs").agg(
+        F.min(F.when(F.col("role") == F.lit("send"), F.col("_age"))).alias("_age_send"),
+        F.min(F.when(F.col("role") == F.lit("pay"), F.col("_age"))).alias("_age_pay"),
+        F.max("_hrj").alias("_hrj"),
+    )
+    counts = []
+    for prefix, cut in spans:
+        for i, fam in enumerate(families):
+            for out in fam.outputs:
+                a = _age_for(out.roles)
+                cond = (F.col("f") == F.lit(i)) & a.isNotNull() & in_span(a, cut)
+                if out.hrj:
+                    cond = cond & F.col("_hrj")
+                counts.append(F.count_if(cond).alias(f"{prefix}{out.name}"))
+    return per_value.groupBy(*keys).agg(*counts)

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from fundtrail.functions.params import BURST_GAP_SECONDS, DEFAULT_BUCKET_SECONDS, DEFAULT_HOT_KEY_ROWS
-from fundtrail.operators.neighbors import BUCKET, hot_key_buckets
+from fundtrail.operators.neighbors import BUCKET, has_hot_keys, hot_key_buckets
 
 _US = 1_000_000
 # Order of kinds at equal times: a low probe counts pays strictly before it,
@@ -62,7 +62,10 @@ def pair_counts(
             s.select(*keys, (F.col("leg_us") + F.lit(span)).alias("_t"), F.lit(_HIGH).alias("_k"), F.lit(0).alias("_w"), F.lit(1).alias("_sign"))
         )
     )
-    events = hot_key_buckets(events, keys, "_t", bucket_seconds, hot_rows).withColumnRenamed(BUCKET, "_b")
+    if has_hot_keys(events, keys, hot_rows):
+        events = hot_key_buckets(events, keys, "_t", bucket_seconds, hot_rows).withColumnRenamed(BUCKET, "_b")
+    else:
+        events = events.withColumn("_b", F.lit(0).cast("long"))
     running = Window.partitionBy(*keys, "_b").orderBy("_t", "_k").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     per_bucket = (
         events.withColumn("_run", F.sum("_w").over(running))

@@ -14,8 +14,9 @@ Keys with more than ``hot_rows`` rows are therefore cut into time buckets:
    the next edge row of a bucket's last row is the first row of the next one.
 3. Interior rows and the corrected edge rows are put back together.
 
-Finding the hot keys is one partial aggregate (a count per key); their list
-is at most ``rows / hot_rows`` long and is broadcast behind a size check. The
+Finding the hot keys is one partial aggregate (a count per key). When there
+is none, the plan is a plain window per key with a single exchange; otherwise
+their list (at most ``rows / hot_rows`` long) is broadcast behind a size check. The
 result is exact for any bucket width and threshold; they only set how a hot
 key is split. Rows need a non-null order column; ties must be broken by
 ``tie`` (or not occur).
@@ -57,6 +58,13 @@ def hot_key_buckets(
     return out.withColumn(BUCKET, F.when(F.col(HOT), bucket).otherwise(F.lit(0).cast("long")))
 
 
+def has_hot_keys(rows: DataFrame, keys: Sequence[str], hot_rows: int = DEFAULT_HOT_KEY_ROWS) -> bool:
+    """Does any key have more than ``hot_rows`` rows? One aggregate job, its
+    result a single flag on the driver."""
+    counts = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_nb_n"))
+    return counts.filter(F.col("_nb_n") > F.lit(hot_rows)).limit(1).count() > 0
+
+
 def with_neighbors(
     df: DataFrame,
     keys: Sequence[str],
@@ -66,17 +74,23 @@ def with_neighbors(
     next_cols: Sequence[str] = (),
     bucket_seconds: int | None = DEFAULT_BUCKET_SECONDS,
     hot_rows: int = DEFAULT_HOT_KEY_ROWS,
+    split: bool | None = None,
 ) -> DataFrame:
     """Add ``prev_<c>`` / ``next_<c>``: column ``c`` on the previous / next row of the
     same ``keys`` in ``(order_us, tie)`` order; null at the ends.
 
     ``order_us`` is a long (microseconds); rows where it is null are dropped.
-    ``bucket_seconds=None`` never splits a key (one plain window per key).
+    When no key has more than ``hot_rows`` rows, or with ``bucket_seconds=None``,
+    every key is one plain window partition. ``split`` gives that decision
+    when the caller already knows it (e.g. from a superset of the rows);
+    ``None`` checks the rows.
     """
     keys = list(keys)
     order = [order_us] + ([tie] if tie else [])
     rows = df.filter(F.col(order_us).isNotNull())
-    if bucket_seconds is None:
+    if split is None:
+        split = bucket_seconds is not None and has_hot_keys(rows, keys, hot_rows)
+    if bucket_seconds is None or not split:
         w = Window.partitionBy(*keys).orderBy(*order)
         return rows.select(
             "*",

@@ -31,7 +31,7 @@ from fundtrail.functions.params import (
     DEFAULT_HOT_KEY_ROWS,
     RAPID_FIRE_SECONDS,
 )
-from fundtrail.operators.neighbors import with_neighbors
+from fundtrail.operators.neighbors import has_hot_keys, with_neighbors
 
 SPANS_FULL = (("", None),)
 _US = 1_000_000
@@ -79,8 +79,11 @@ def customer_sequences(
     cols = [*keys, "role", "mtcn", "leg_us", "leg_time", "amount", "other_customer"]
     base = legs.select(*cols, *(["age_days"] if with_age else []))
     prev_cols = ["leg_us", "amount"] + (["age_days"] if with_age else [])
+    # Pass 2 works on a subset of pass 1's rows, so one check covers both.
+    split = bucket_seconds is not None and has_hot_keys(base, keys + ["role"], hot_rows)
     first = with_neighbors(
-        base, keys + ["role"], "leg_us", "mtcn", prev_cols, ["leg_us", "other_customer"], bucket_seconds, hot_rows
+        base, keys + ["role"], "leg_us", "mtcn", prev_cols, ["leg_us", "other_customer"], bucket_seconds, hot_rows,
+        split,
     )
     age, prev_age = _age(spans), _prev_age(spans)
     exprs = []
@@ -108,7 +111,7 @@ def customer_sequences(
     )
     second = with_neighbors(
         kept, keys + ["role"], "leg_us", "mtcn", ["leg_us"] + (["age_days"] if with_age else []), ["leg_us"],
-        bucket_seconds, hot_rows,
+        bucket_seconds, hot_rows, split,
     )
     otm = []
     for prefix, cut in spans:
@@ -170,9 +173,12 @@ def location_bursts(
     """
     keys = ["entity_id", "role", "own_customer"]
     base = legs.filter(F.col("own_customer").isNotNull()).select(*keys, "mtcn", "leg_us", "other_customer")
-    first = with_neighbors(base, keys, "leg_us", "mtcn", [], ["leg_us", "other_customer"], bucket_seconds, hot_rows)
+    split = bucket_seconds is not None and has_hot_keys(base, keys, hot_rows)
+    first = with_neighbors(
+        base, keys, "leg_us", "mtcn", [], ["leg_us", "other_customer"], bucket_seconds, hot_rows, split
+    )
     kept = first.filter(run_end("other_customer")).select(*keys, "mtcn", "leg_us")
-    second = with_neighbors(kept, keys, "leg_us", "mtcn", ["leg_us"], ["leg_us"], bucket_seconds, hot_rows)
+    second = with_neighbors(kept, keys, "leg_us", "mtcn", ["leg_us"], ["leg_us"], bucket_seconds, hot_rows, split)
     member = burst_member(F.lit(True), burst_seconds)
     return second.groupBy("entity_id").agg(
         F.count_if(member & (F.col("role") == F.lit("send"))).alias("one_to_many_send_count"),

@@ -37,7 +37,8 @@ from fundtrail.functions.params import (
 )
 from fundtrail.operators.basics import basics
 from fundtrail.operators.countries import flag_high_risk, primary_countries
-from fundtrail.operators.distinct import DistinctAttr, distinct_counts
+from fundtrail.operators.distinct import DistinctOut as O
+from fundtrail.operators.distinct import ValueFamily, distinct_counts
 from fundtrail.operators.outcomes import outcomes_as_of
 from fundtrail.operators.sequences import customer_flips, customer_sequences
 
@@ -49,31 +50,28 @@ def _role(r: str) -> Column:
     return F.col("role") == F.lit(r)
 
 
-def customer_distinct_attrs() -> list[DistinctAttr]:
-    out = []
-    for role, other in (("send", "pay"), ("pay", "send")):
-        is_role = _role(role)
-        out += [
-            DistinctAttr(f"{role}_agent_count", F.col("own_agent"), is_role),
-            DistinctAttr(f"{other}_customer_count", F.col("other_customer"), is_role),
-            DistinctAttr(f"{other}_country_count", F.col("other_country"), is_role),
-            DistinctAttr(f"{role}_phone_count", F.col("own_phone"), is_role),
-            DistinctAttr(f"{other}_channel_count", F.col("other_channel"), is_role),
-            DistinctAttr(f"{role}_id_count", F.col("own_id_number"), is_role),
-            DistinctAttr(f"{role}_product_count", F.col("product"), is_role),
-        ]
-    out += [
-        DistinctAttr("total_customer_count", F.col("other_customer")),
-        DistinctAttr("total_agent_count", F.col("own_agent")),
-        DistinctAttr("total_phone_count", F.col("own_phone")),
-        DistinctAttr("total_channel_count", F.col("own_channel")),
-        DistinctAttr("total_id_count", F.col("own_id_number")),
-    ]
-    out += [
-        DistinctAttr(f"hrj_{r}_country_count", F.col("other_country"), _role(r) & F.col("is_hrj"))
-        for r in ("send", "pay")
+def customer_distinct_families() -> list[ValueFamily]:
+    S, P, A = ("send",), ("pay",), ("send", "pay")
+    return [
+        ValueFamily("own_agent", (O("send_agent_count", S), O("pay_agent_count", P), O("total_agent_count", A))),
+        ValueFamily(
+            "other_customer", (O("pay_customer_count", S), O("send_customer_count", P), O("total_customer_count", A))
+        ),
+        ValueFamily(
+            "other_country",
+            (
+                O("pay_country_count", S),
+                O("send_country_count", P),
+                O("hrj_send_country_count", S, hrj=True),
+                O("hrj_pay_country_count", P, hrj=True),
+            ),
+        ),
+        ValueFamily("own_phone", (O("send_phone_count", S), O("pay_phone_count", P), O("total_phone_count", A))),
+        ValueFamily("other_channel", (O("pay_channel_count", S), O("send_channel_count", P))),
+        ValueFamily("own_channel", (O("total_channel_count", A),)),
+        ValueFamily("own_id_number", (O("send_id_count", S), O("pay_id_count", P), O("total_id_count", A))),
+        ValueFamily("product", (O("send_product_count", S), O("pay_product_count", P))),
     ]
-    return out
 
 
 def _role_block(role: str) -> list[str]:
@@ -156,7 +154,7 @@ def customer_features(
     legs = flag_high_risk(legs, geo_risk)
     blocks = basics(legs, keys, spans, bands, rapid_seconds, with_hrj=True)
     parts = [
-        distinct_counts(legs, keys, customer_distinct_attrs(), spans),
+        distinct_counts(legs, keys, customer_distinct_families(), spans),
         primary_countries(legs, keys, spans),
         customer_sequences(legs, keys, spans, burst_seconds, bucket_seconds, hot_rows),
         customer_flips(legs, keys, spans, flip_seconds, bucket_seconds, hot_rows),

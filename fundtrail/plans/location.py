@@ -31,7 +31,8 @@ from fundtrail.functions.params import (
 from fundtrail.operators import benford as B
 from fundtrail.operators.basics import hrj_amount_exprs, role_exprs
 from fundtrail.operators.countries import flag_high_risk
-from fundtrail.operators.distinct import DistinctAttr, distinct_counts
+from fundtrail.operators.distinct import DistinctOut as O
+from fundtrail.operators.distinct import ValueFamily, distinct_counts
 from fundtrail.operators.flips import location_flips
 from fundtrail.operators.outcomes import outcome_sums
 from fundtrail.operators.sequences import location_bursts, location_repeats, rapid_fire
@@ -43,32 +44,30 @@ def _role(r: str) -> Column:
     return F.col("role") == F.lit(r)
 
 
-def location_distinct_attrs() -> list[DistinctAttr]:
-    out = []
-    for role, other in (("send", "pay"), ("pay", "send")):
-        is_role = _role(role)
-        out += [
-            DistinctAttr(f"{other}_agent_count", F.col("other_agent"), is_role),
-            DistinctAttr(f"{other}_country_count", F.col("other_country"), is_role),
-            DistinctAttr(f"{role}_customer_count", F.col("own_customer"), is_role),
-            DistinctAttr(f"{role}_phone_count", F.col("own_phone"), is_role),
-            DistinctAttr(f"{other}_channel_count", F.col("other_channel"), is_role),
-            DistinctAttr(f"{role}_id_count", F.col("own_id_number"), is_role),
-            DistinctAttr(f"{role}_product_count", F.col("product"), is_role),
-        ]
-    out += [
+def location_distinct_families() -> list[ValueFamily]:
+    S, P, A = ("send",), ("pay",), ("send", "pay")
+    return [
+        ValueFamily("other_agent", (O("pay_agent_count", S), O("send_agent_count", P))),
+        ValueFamily(
+            "other_country",
+            (
+                O("pay_country_count", S),
+                O("send_country_count", P),
+                O("hrj_send_country_count", S, hrj=True),
+                O("hrj_pay_country_count", P, hrj=True),
+            ),
+        ),
+        ValueFamily(
+            "own_customer", (O("send_customer_count", S), O("pay_customer_count", P), O("total_customer_count", A))
+        ),
+        ValueFamily("own_phone", (O("send_phone_count", S), O("pay_phone_count", P), O("total_phone_count", A))),
+        ValueFamily("other_channel", (O("pay_channel_count", S), O("send_channel_count", P))),
+        ValueFamily("own_channel", (O("total_channel_count", A),)),
+        ValueFamily("own_id_number", (O("send_id_count", S), O("pay_id_count", P), O("total_id_count", A))),
+        ValueFamily("product", (O("send_product_count", S), O("pay_product_count", P))),
         # Distinct counterparty locations over both directions.
-        DistinctAttr("total_agent_count", F.col("other_location")),
-        DistinctAttr("total_customer_count", F.col("own_customer")),
-        DistinctAttr("total_phone_count", F.col("own_phone")),
-        DistinctAttr("total_channel_count", F.col("own_channel")),
-        DistinctAttr("total_id_count", F.col("own_id_number")),
-    ]
-    out += [
-        DistinctAttr(f"hrj_{r}_country_count", F.col("other_country"), _role(r) & F.col("is_hrj"))
-        for r in ("send", "pay")
+        ValueFamily("other_location", (O("total_agent_count", A),)),
     ]
-    return out
 
 
 def _role_block(role: str) -> list[str]:
@@ -176,7 +175,7 @@ def location_features(
     legs = flag_high_risk(legs, geo_risk)
     blocks = location_aggregates(legs, bands, rapid_seconds)
     parts = [
-        distinct_counts(legs, keys, location_distinct_attrs()),
+        distinct_counts(legs, keys, location_distinct_families()),
         location_bursts(legs, burst_seconds, bucket_seconds, hot_rows),
         location_flips(legs, flip_seconds, bucket_seconds, hot_rows),
         rapid_fire(legs, fire_seconds, bucket_seconds, hot_rows),

@@ -20,7 +20,7 @@ from fundtrail.functions.params import LOOKBACK_SPANS
 from fundtrail.operators import benford as B
 from fundtrail.operators.basics import basics
 from fundtrail.operators.countries import PRIMARY_FORMS, flag_high_risk, hrj_exposure, primary_countries
-from fundtrail.operators.distinct import distinct_counts
+from fundtrail.operators.distinct import distinct_counts, select_outputs
 from fundtrail.operators.flips import location_flips
 from fundtrail.operators.legs import customer_history_legs, location_range_legs, transfer_legs
 from fundtrail.operators.neighbors import with_neighbors
@@ -104,13 +104,11 @@ def _lkind(name: str) -> str:
 
 
 def _customer_attrs(names: Sequence[str]):
-    wanted = set(names)
-    return [a for a in C.customer_distinct_attrs() if a.name in wanted]
+    return select_outputs(C.customer_distinct_families(), names)
 
 
 def _location_attrs(names: Sequence[str]):
-    wanted = set(names)
-    return [a for a in L.location_distinct_attrs() if a.name in wanted]
+    return select_outputs(L.location_distinct_families(), names)
 
 
 CUSTOMER_SEND_DISTINCT = [

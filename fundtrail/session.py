@@ -56,9 +56,15 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     from the written files instead of recomputing the inputs. Without a
     checkpoint folder the frame is returned unchanged.
     """
-    base = checkpoint_dir(df.sparkSession)
+    spark = df.sparkSession
+    base = checkpoint_dir(spark)
     if not base:
         return df
+    # Small inputs come as one or two partitions; spread them so the readers
+    # of the written files run in parallel. Large inputs are left as they are.
+    parallelism = spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < parallelism:
+        df = df.repartition(parallelism)
     path = f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
+    return spark.read.parquet(path)
