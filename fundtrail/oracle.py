@@ -365,10 +365,10 @@ def _customer_kind(name: str) -> str:
     return "double" if name in DOUBLES else "long"
 
 
-def customer_features_sql(all_spans: bool = True) -> str:
+def customer_features_sql(all_spans: bool = True, cutoffs=SPAN_CUTOFFS) -> str:
     from fundtrail.plans.customer import FEATURES
 
-    spans = [("", None)] + (list(SPAN_CUTOFFS) if all_spans else [])
+    spans = [("", None)] + (list(cutoffs) if all_spans else [])
     subs, cols, joins = [], ["f0.entity_id", "f0.as_of_date"], []
     for i, (prefix, cut) in enumerate(spans):
         subs.append(f"f{i}")
