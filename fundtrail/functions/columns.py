@@ -45,3 +45,13 @@ def in_span(age_days: Column, cutoff: int | None) -> Column:
     if cutoff is None:
         return F.lit(True)
     return age_days < F.lit(cutoff)
+
+
+def span_sql(age: str, cutoff: int | None) -> str:
+    """SQL form of ``in_span`` for expression strings."""
+    return "TRUE" if cutoff is None else f"({age} < {int(cutoff)})"
+
+
+def dbl(value: float) -> str:
+    """A double literal for expression strings."""
+    return f"CAST({float(value)!r} AS DOUBLE)"

@@ -1,7 +1,9 @@
 """Per-role counts, amounts, bands, payout speed, rapid payouts and risky-country sums.
 
 All of these are conditional aggregates over legs, so every role and every
-look-back span comes out of one ``groupBy`` with map-side combining.
+look-back span comes out of one ``groupBy`` with map-side combining. The
+aggregates are written as SQL expression strings: one parse per aggregate
+instead of one driver round trip per operator.
 """
 
 from __future__ import annotations
@@ -11,50 +13,46 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fundtrail.functions.columns import band_flag, in_span
+from fundtrail.functions.columns import dbl, span_sql
 from fundtrail.functions.params import AMOUNT_BANDS, RAPID_PAYOUT_SECONDS
 from fundtrail.operators.legs import ROLES
 
 SPANS_FULL = (("", None),)
 
 
-def _age(spans) -> Column:
-    return F.col("age_days") if any(c is not None for _, c in spans) else F.lit(0)
-
-
-def role_exprs(
+def role_sql(
     role: str,
     prefix: str,
-    cond: Column,
+    cond: str,
     bands: Sequence[tuple[float, float]] = AMOUNT_BANDS,
     rapid_seconds: float = RAPID_PAYOUT_SECONDS,
-) -> list[Column]:
-    """Aggregates of one role under ``cond`` (role and span test included)."""
-    amount, speed = F.col("amount"), F.col("payout_seconds")
+) -> list[str]:
+    """Aggregates of one role under the SQL condition ``cond`` (role and span test included)."""
     out = [
-        F.count_if(cond).alias(f"{prefix}{role}_txn_count"),
-        F.avg(F.when(cond, amount)).alias(f"{prefix}avg_{role}_amount"),
+        f"count_if({cond}) AS `{prefix}{role}_txn_count`",
+        f"avg(CASE WHEN {cond} THEN amount END) AS `{prefix}avg_{role}_amount`",
     ]
     out += [
-        F.count_if(cond & band_flag(amount, lo, hi)).alias(f"{prefix}{role}_banded_count_class{i}")
+        f"count_if({cond} AND amount >= {dbl(lo)} AND amount < {dbl(hi)}) AS `{prefix}{role}_banded_count_class{i}`"
         for i, (lo, hi) in enumerate(bands, start=1)
     ]
     out += [
-        F.min(F.when(cond, speed)).alias(f"{prefix}min_{role}_payout_speed"),
-        F.max(F.when(cond, speed)).alias(f"{prefix}max_{role}_payout_speed"),
-        F.avg(F.when(cond, speed)).alias(f"{prefix}avg_{role}_payout_speed"),
-        # A missing payout has a null duration and is never rapid.
-        F.count_if(cond & (speed <= F.lit(rapid_seconds))).alias(f"{prefix}{role}_rapid_pay_out_txns"),
+        f"{fn}(CASE WHEN {cond} THEN payout_seconds END) AS `{prefix}{fn}_{role}_payout_speed`"
+        for fn in ("min", "max", "avg")
     ]
+    # A missing payout has a null duration and is never rapid.
+    out.append(f"count_if({cond} AND payout_seconds <= {dbl(rapid_seconds)}) AS `{prefix}{role}_rapid_pay_out_txns`")
     return out
 
 
-def hrj_amount_exprs(prefix: str, span: Column) -> list[Column]:
+def role_exprs(role: str, prefix: str, cond: str, bands=AMOUNT_BANDS, rapid_seconds=RAPID_PAYOUT_SECONDS) -> list[Column]:
+    return [F.expr(e) for e in role_sql(role, prefix, cond, bands, rapid_seconds)]
+
+
+def hrj_amount_exprs(prefix: str, span: str) -> list[Column]:
     """Summed amount of legs whose other side is a risky country (needs ``is_hrj``)."""
     return [
-        F.sum(F.when((F.col("role") == F.lit(r)) & span & F.col("is_hrj"), F.col("amount"))).alias(
-            f"{prefix}hrj_{r}_amount"
-        )
+        F.expr(f"sum(CASE WHEN role = '{r}' AND {span} AND is_hrj THEN amount END) AS `{prefix}hrj_{r}_amount`")
         for r in ROLES
     ]
 
@@ -68,13 +66,12 @@ def basics(
     with_hrj: bool = False,
 ) -> DataFrame:
     """Per key: for each span and role the basic aggregates; ``{prefix}_legs`` counts legs in the span."""
-    age = _age(spans)
     exprs = []
     for prefix, cut in spans:
-        span = in_span(age, cut)
-        exprs.append(F.count_if(span).alias(f"{prefix}_legs"))
+        span = span_sql("age_days", cut)
+        exprs.append(F.expr(f"count_if({span}) AS `{prefix}_legs`"))
         for role in ROLES:
-            exprs += role_exprs(role, prefix, (F.col("role") == F.lit(role)) & span, bands, rapid_seconds)
+            exprs += role_exprs(role, prefix, f"role = '{role}' AND {span}", bands, rapid_seconds)
         if with_hrj:
             exprs += hrj_amount_exprs(prefix, span)
     return legs.groupBy(*keys).agg(*exprs)

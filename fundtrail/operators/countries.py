@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fundtrail.functions.columns import in_span
+from fundtrail.functions.columns import span_sql
 from fundtrail.operators.distinct import DistinctOut, ValueFamily, distinct_counts
 from fundtrail.functions.params import HIGH_RISK_RATING
 from fundtrail.operators.broadcast import sized_broadcast
@@ -50,30 +50,26 @@ def primary_countries(
     of (-sum, country), which is the arg-max with that tie rule.
     """
     keys = list(keys)
-    age = F.col("age_days") if any(c is not None for _, c in spans) else F.lit(0)
     sums = []
     for prefix, cut in spans:
-        span = in_span(age, cut)
+        span = span_sql("age_days", cut)
         for name, role in forms:
-            cond = span if role is None else span & (F.col("role") == F.lit(role))
-            sums.append(F.count_if(cond).alias(f"n|{prefix}{name}"))
-            sums.append(F.coalesce(F.sum(F.when(cond, F.col("amount"))), F.lit(0.0)).alias(f"s|{prefix}{name}"))
+            cond = span if role is None else f"{span} AND role = '{role}'"
+            sums.append(F.expr(f"count_if({cond}) AS `n|{prefix}{name}`"))
+            sums.append(F.expr(f"coalesce(sum(CASE WHEN {cond} THEN amount END), CAST(0 AS DOUBLE)) AS `s|{prefix}{name}`"))
     per_country = (
         legs.filter(F.col("other_country").isNotNull())
         .groupBy(*keys, F.col("other_country").alias("_country"))
         .agg(*sums)
     )
-    picks = []
-    for prefix, _ in spans:
-        for name, _ in forms:
-            col = f"{prefix}{name}"
-            best = F.min(
-                F.when(
-                    F.col(f"`n|{col}`") > 0,
-                    F.struct(F.negative(F.col(f"`s|{col}`")).alias("neg"), F.col("_country").alias("c")),
-                )
-            )
-            picks.append(best.getField("c").alias(col))
+    picks = [
+        F.expr(
+            f"min(CASE WHEN `n|{prefix}{name}` > 0 THEN struct(-`s|{prefix}{name}` AS neg, _country AS c) END).c"
+            f" AS `{prefix}{name}`"
+        )
+        for prefix, _ in spans
+        for name, _ in forms
+    ]
     return per_country.groupBy(*keys).agg(*picks)
 
 

@@ -22,11 +22,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fundtrail.functions.columns import in_span
+from fundtrail.functions.columns import span_sql
 
 ROLES_ANY = ("send", "pay")
 
@@ -57,10 +57,10 @@ def select_outputs(families: Sequence[ValueFamily], names: Sequence[str]) -> lis
     return out
 
 
-def _age_for(roles: tuple[str, ...]) -> Column:
+def _age_for(roles: tuple[str, ...]) -> str:
     if set(roles) == set(ROLES_ANY):
-        return F.least(F.col("_age_send"), F.col("_age_pay"))
-    return F.col(f"_age_{roles[0]}")
+        return "least(_age_send, _age_pay)"
+    return f"_age_{roles[0]}"
 
 
 def distinct_counts(
@@ -105,8 +105,6 @@ def distinct_counts(
         for i, fam in enumerate(families):
             for out in fam.outputs:
                 a = _age_for(out.roles)
-                cond = (F.col("f") == F.lit(i)) & a.isNotNull() & in_span(a, cut)
-                if out.hrj:
-                    cond = cond & F.col("_hrj")
-                counts.append(F.count_if(cond).alias(f"{prefix}{out.name}"))
+                cond = f"f = {i} AND {a} IS NOT NULL AND {span_sql(a, cut)}" + (" AND _hrj" if out.hrj else "")
+                counts.append(F.expr(f"count_if({cond}) AS `{prefix}{out.name}`"))
     return per_value.groupBy(*keys).agg(*counts)

@@ -23,7 +23,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fundtrail.functions.columns import in_span
+from fundtrail.functions.columns import span_sql
 from fundtrail.functions.params import (
     BURST_GAP_SECONDS,
     CUSTOMER_FLIP_SECONDS,
@@ -37,14 +37,6 @@ SPANS_FULL = (("", None),)
 _US = 1_000_000
 
 
-def _age(spans) -> Column:
-    return F.col("age_days") if any(c is not None for _, c in spans) else F.lit(0)
-
-
-def _prev_age(spans) -> Column:
-    return F.col("prev_age_days") if any(c is not None for _, c in spans) else F.lit(0)
-
-
 def burst_member(prev_ok: Column, gap_seconds: float) -> Column:
     """Row is within ``gap_seconds`` of its previous (if ``prev_ok``) or next row."""
     limit = F.lit(int(gap_seconds * _US))
@@ -53,6 +45,15 @@ def burst_member(prev_ok: Column, gap_seconds: float) -> Column:
     return near_prev | near_next
 
 
+def burst_sql(prev_ok: str, gap_seconds: float) -> str:
+    """SQL form of ``burst_member``."""
+    limit = int(gap_seconds * _US)
+    return (
+        f"(({prev_ok}) AND prev_leg_us IS NOT NULL AND leg_us - prev_leg_us <= {limit})"
+        f" OR (next_leg_us IS NOT NULL AND next_leg_us - leg_us <= {limit})"
+    )
+
+
 def run_end(counterparty: str) -> Column:
     """Last row of a run of equal counterparties; a null counterparty ends a run."""
     nxt = F.col(f"next_{counterparty}")
@@ -85,25 +86,27 @@ def customer_sequences(
         base, keys + ["role"], "leg_us", "mtcn", prev_cols, ["leg_us", "other_customer"], bucket_seconds, hot_rows,
         split,
     )
-    age, prev_age = _age(spans), _prev_age(spans)
+    age, prev_age = ("age_days", "prev_age_days") if with_age else ("0", "0")
     exprs = []
     for prefix, cut in spans:
-        cur_in, prev_in = in_span(age, cut), F.col("prev_leg_us").isNotNull() & in_span(prev_age, cut)
-        gap = F.when(prev_in, F.col("leg_us") - F.col("prev_leg_us"))
+        cur_in = span_sql(age, cut)
+        prev_in = f"prev_leg_us IS NOT NULL AND {span_sql(prev_age, cut)}"
+        gap = f"CASE WHEN {prev_in} THEN leg_us - prev_leg_us END"
         for role in ("send", "pay"):
-            cond = cur_in & (F.col("role") == F.lit(role))
-            g = F.when(cond, gap)
+            cond = f"{cur_in} AND role = '{role}'"
+            g = f"CASE WHEN {cond} THEN {gap} END"
             exprs += [
-                F.count_if(cond & prev_in & (F.col("prev_amount") == F.col("amount"))).alias(
-                    f"{prefix}{role}_repeat_amount_txns"
-                ),
-                F.min(F.when(cond, F.col("leg_time"))).alias(f"{prefix}min_{role}_time"),
-                (F.min(g) / F.lit(float(_US))).alias(f"{prefix}min_interval_{role}_txns"),
-                (F.max(g) / F.lit(float(_US))).alias(f"{prefix}max_interval_{role}_txns"),
-                (F.sum(g) / F.count(g) / F.lit(float(_US))).alias(f"{prefix}avg_interval_{role}_txns"),
+                f"count_if({cond} AND {prev_in} AND prev_amount = amount) AS `{prefix}{role}_repeat_amount_txns`",
+                f"min(CASE WHEN {cond} THEN leg_time END) AS `{prefix}min_{role}_time`",
+                f"min({g}) / {float(_US)!r} AS `{prefix}min_interval_{role}_txns`",
+                f"max({g}) / {float(_US)!r} AS `{prefix}max_interval_{role}_txns`",
+                f"sum({g}) / count({g}) / {float(_US)!r} AS `{prefix}avg_interval_{role}_txns`",
             ]
-        pay = cur_in & (F.col("role") == F.lit("pay"))
-        exprs.append(F.count_if(pay & burst_member(prev_in, burst_seconds)).alias(f"{prefix}many_to_one_pay_count"))
+        exprs.append(
+            f"count_if({cur_in} AND role = 'pay' AND ({burst_sql(prev_in, burst_seconds)}))"
+            f" AS `{prefix}many_to_one_pay_count`"
+        )
+    exprs = [F.expr(e) for e in exprs]
     per_role = first.groupBy(*keys).agg(*exprs)
 
     kept = first.filter((F.col("role") == F.lit("send")) & run_end("other_customer")).select(
@@ -113,14 +116,13 @@ def customer_sequences(
         kept, keys + ["role"], "leg_us", "mtcn", ["leg_us"] + (["age_days"] if with_age else []), ["leg_us"],
         bucket_seconds, hot_rows, split,
     )
-    otm = []
-    for prefix, cut in spans:
-        prev_in = in_span(prev_age, cut)
-        otm.append(
-            F.count_if(in_span(age, cut) & burst_member(prev_in, burst_seconds)).alias(
-                f"{prefix}one_to_many_send_count"
-            )
+    otm = [
+        F.expr(
+            f"count_if({span_sql(age, cut)} AND ({burst_sql(span_sql(prev_age, cut), burst_seconds)}))"
+            f" AS `{prefix}one_to_many_send_count`"
         )
+        for prefix, cut in spans
+    ]
     one_to_many = second.groupBy(*keys).agg(*otm)
     return per_role.join(one_to_many, keys, "left")
 
@@ -147,13 +149,13 @@ def customer_flips(
     nb = with_neighbors(
         base, keys, "leg_us", "mtcn", ["leg_us"] + (["age_days"] if with_age else []), [], bucket_seconds, hot_rows
     )
-    gap = F.col("leg_us") - F.col("prev_leg_us")
-    limit = F.lit(int(seconds * _US))
-    age, prev_age = _age(spans), _prev_age(spans)
+    age, prev_age = ("age_days", "prev_age_days") if with_age else ("0", "0")
     exprs = [
-        F.count_if(
-            in_span(age, cut) & in_span(prev_age, cut) & (gap > F.lit(0)) & (gap <= limit)
-        ).alias(f"{prefix}flipped_txns_count")
+        F.expr(
+            f"count_if({span_sql(age, cut)} AND {span_sql(prev_age, cut)}"
+            f" AND leg_us - prev_leg_us > 0 AND leg_us - prev_leg_us <= {int(seconds * _US)})"
+            f" AS `{prefix}flipped_txns_count`"
+        )
         for prefix, cut in spans
     ]
     return nb.groupBy(*keys).agg(*exprs)

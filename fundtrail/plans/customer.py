@@ -162,18 +162,17 @@ def customer_features(
     ]
     for part in parts:
         blocks = blocks.join(part, keys, "left")
-    out = [F.col(k) for k in keys]
+    out = list(keys)
     for prefix, _ in spans:
-        present = F.col(f"`{prefix}_legs`") > 0
         for name in FEATURES:
-            src = F.col(f"`{prefix}{name}`") if name not in OUTCOME_FLAGS else F.col(f"`{name}`")
+            src = f"`{prefix}{name}`" if name not in OUTCOME_FLAGS else f"`{name}`"
             if name in NOT_FILLED:
                 col = src
             elif name in OUTCOME_FLAGS:
-                col = F.when(present, F.coalesce(src, F.lit(0))).otherwise(F.lit(0)).cast("long")
+                col = f"CAST(CASE WHEN `{prefix}_legs` > 0 THEN coalesce({src}, 0) ELSE 0 END AS BIGINT)"
             elif name in DOUBLES:
-                col = F.coalesce(src.cast("double"), F.lit(0.0))
+                col = f"coalesce(CAST({src} AS DOUBLE), CAST(0 AS DOUBLE))"
             else:
-                col = F.coalesce(src.cast("long"), F.lit(0))
-            out.append(col.alias(f"{prefix}{name}"))
-    return blocks.select(*out)
+                col = f"coalesce(CAST({src} AS BIGINT), CAST(0 AS BIGINT))"
+            out.append(f"{col} AS `{prefix}{name}`")
+    return blocks.selectExpr(*out)

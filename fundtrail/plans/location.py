@@ -135,10 +135,10 @@ def location_aggregates(
     ``flag_high_risk``) and leading digits."""
     exprs = []
     for role in ("send", "pay"):
-        exprs += role_exprs(role, "", _role(role), bands, rapid_seconds)
+        exprs += role_exprs(role, "", f"role = '{role}'", bands, rapid_seconds)
         exprs += B.digit_count_exprs(role)
     if with_hrj:
-        exprs += hrj_amount_exprs("", F.lit(True))
+        exprs += hrj_amount_exprs("", "TRUE")
     agg = legs.groupBy(*KEYS).agg(*exprs)
     digits = [f"_d{d}_{r}" for r in ("send", "pay") for d in B.DIGITS]
     return agg.select(
@@ -187,12 +187,12 @@ def location_features(
     # A global aggregate has exactly one row, so this broadcast is bounded.
     blocks = blocks.crossJoin(F.broadcast(time_index_value(time_index, date_from, date_to)))
     blocks = blocks.withColumn("id_type", F.lit(LOCATION_ID_TYPE))
-    out = [F.col("entity_id")]
+    out = ["entity_id"]
     for name in FEATURES:
         if name == "id_type":
-            out.append(F.col(name))
+            out.append(name)
         elif name in DOUBLES:
-            out.append(F.coalesce(F.col(name).cast("double"), F.lit(0.0)).alias(name))
+            out.append(f"coalesce(CAST({name} AS DOUBLE), CAST(0 AS DOUBLE)) AS {name}")
         else:
-            out.append(F.coalesce(F.col(name).cast("long"), F.lit(0)).alias(name))
-    return blocks.select(*out)
+            out.append(f"coalesce(CAST({name} AS BIGINT), CAST(0 AS BIGINT)) AS {name}")
+    return blocks.selectExpr(*out)
