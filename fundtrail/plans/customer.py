@@ -151,7 +151,8 @@ def customer_features(
 ) -> DataFrame:
     """(entity_id, as_of_date, then FEATURES under each span prefix)."""
     keys = list(KEYS)
-    legs = flag_high_risk(legs, geo_risk)
+    if "is_hrj" not in legs.columns:
+        legs = flag_high_risk(legs, geo_risk)
     blocks = basics(legs, keys, spans, bands, rapid_seconds, with_hrj=True)
     parts = [
         distinct_counts(legs, keys, customer_distinct_families(), spans),

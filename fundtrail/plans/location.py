@@ -172,7 +172,8 @@ def location_features(
 ) -> DataFrame:
     """(entity_id, FEATURES): one row per location with a leg in the range."""
     keys = list(KEYS)
-    legs = flag_high_risk(legs, geo_risk)
+    if "is_hrj" not in legs.columns:
+        legs = flag_high_risk(legs, geo_risk)
     blocks = location_aggregates(legs, bands, rapid_seconds)
     parts = [
         distinct_counts(legs, keys, location_distinct_families()),

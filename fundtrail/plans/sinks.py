@@ -7,6 +7,7 @@ import datetime as dt
 from pyspark.sql import DataFrame
 
 from fundtrail.functions.params import FIXTURE_SUBJECT_TYPES, LOOKBACK_SPANS
+from fundtrail.operators.countries import flag_high_risk
 from fundtrail.operators.legs import customer_history_legs, location_range_legs
 from fundtrail.operators.queue import active_customers, active_locations, queue_remaining
 from fundtrail.plans.customer import customer_features
@@ -41,7 +42,8 @@ def run_customer_batch(
     queue = active_customers(transfers, as_of)
     if done is not None:
         queue = queue_remaining(queue, done)
-    legs = materialize(customer_history_legs(transfers, queue), "customer-legs")
+    legs = customer_history_legs(transfers, queue)
+    legs = materialize(flag_high_risk(legs, tables["geo_risk"]), "customer-legs")
     features = customer_features(legs, tables["geo_risk"], tables["outcomes"], LOOKBACK_SPANS, subject_type)
     write_customer_features(features, out_path)
     return features
@@ -56,7 +58,8 @@ def run_location_batch(
 ) -> DataFrame:
     transfers = tables["transfers"]
     queue = active_locations(transfers, date_from, date_to)
-    legs = materialize(location_range_legs(transfers, date_from, date_to, queue), "location-legs")
+    legs = location_range_legs(transfers, date_from, date_to, queue)
+    legs = materialize(flag_high_risk(legs, tables["geo_risk"]), "location-legs")
     features = location_features(
         legs, tables["geo_risk"], tables["outcomes"], tables["time_index"], date_from, date_to, subject_type
     )

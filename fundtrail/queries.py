@@ -62,14 +62,14 @@ def _tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 def _customer_legs(spark: SparkSession, sf_dir: str) -> tuple[dict[str, DataFrame], DataFrame]:
     t = _tables(spark, sf_dir)
     legs = customer_history_legs(t["transfers"], active_customers(t["transfers"], AS_OF))
-    return t, materialize(legs, "customer-legs")
+    return t, materialize(flag_high_risk(legs, t["geo_risk"]), "customer-legs")
 
 
 def _location_legs(spark: SparkSession, sf_dir: str) -> tuple[dict[str, DataFrame], DataFrame]:
     t = _tables(spark, sf_dir)
     queue = active_locations(t["transfers"], RANGE_FROM, RANGE_TO)
     legs = location_range_legs(t["transfers"], RANGE_FROM, RANGE_TO, queue)
-    return t, materialize(legs, "location-legs")
+    return t, materialize(flag_high_risk(legs, t["geo_risk"]), "location-legs")
 
 
 def _fill(df: DataFrame, kinds: dict[str, str]) -> DataFrame:
@@ -176,7 +176,7 @@ def _customer_sequence(columns: Sequence[str]) -> Query:
 
 def hrj_customer(spark, sf_dir):
     t, legs = _customer_legs(spark, sf_dir)
-    return _on_keys(legs, CKEYS, hrj_exposure(flag_high_risk(legs, t["geo_risk"]), CKEYS), HRJ, _ckind)
+    return _on_keys(legs, CKEYS, hrj_exposure(legs, CKEYS), HRJ, _ckind)
 
 
 def flipped_customer(spark, sf_dir):
@@ -219,7 +219,7 @@ def customer_features_all_spans(spark, sf_dir):
 def _location_aggregates(columns: Sequence[str]) -> Query:
     def q(spark, sf_dir):
         _, legs = _location_legs(spark, sf_dir)
-        return _on_keys(legs, LKEYS, L.location_aggregates(legs, with_hrj=False), columns, _lkind)
+        return _on_keys(legs, LKEYS, L.location_aggregates(legs), columns, _lkind)
 
     return q
 
@@ -242,7 +242,7 @@ def _location_block(fn, columns: Sequence[str]) -> Query:
 
 def hrj_location(spark, sf_dir):
     t, legs = _location_legs(spark, sf_dir)
-    return _on_keys(legs, LKEYS, hrj_exposure(flag_high_risk(legs, t["geo_risk"]), LKEYS), HRJ, _lkind)
+    return _on_keys(legs, LKEYS, hrj_exposure(legs, LKEYS), HRJ, _lkind)
 
 
 def outcomes_location(spark, sf_dir):
