@@ -38,6 +38,7 @@ def pair_counts(
     seconds: float,
     bucket_seconds: int = DEFAULT_BUCKET_SECONDS,
     hot_rows: int = DEFAULT_HOT_KEY_ROWS,
+    split: bool | None = None,
 ) -> DataFrame:
     """Per key: number of (send, pay) row pairs with ``|t_send - t_pay| <= seconds``.
 
@@ -62,7 +63,9 @@ def pair_counts(
             s.select(*keys, (F.col("leg_us") + F.lit(span)).alias("_t"), F.lit(_HIGH).alias("_k"), F.lit(0).alias("_w"), F.lit(1).alias("_sign"))
         )
     )
-    if has_hot_keys(events, keys, hot_rows):
+    if split is None:
+        split = has_hot_keys(events, keys, hot_rows)
+    if split:
         events = hot_key_buckets(events, keys, "_t", bucket_seconds, hot_rows).withColumnRenamed(BUCKET, "_b")
     else:
         events = events.withColumn("_b", F.lit(0).cast("long"))
@@ -88,13 +91,14 @@ def location_flips(
     seconds: float = BURST_GAP_SECONDS,
     bucket_seconds: int = DEFAULT_BUCKET_SECONDS,
     hot_rows: int = DEFAULT_HOT_KEY_ROWS,
+    split: bool | None = None,
 ) -> DataFrame:
     """Per location: flipped_txns_count (send/pay pairs of one customer within
     ``seconds``) and flipped_customer_count (customers with such a pair)."""
     keys = ["entity_id", "own_customer"]
     sends = legs.filter(F.col("role") == F.lit("send"))
     pays = legs.filter(F.col("role") == F.lit("pay"))
-    pairs = pair_counts(sends, pays, keys, seconds, bucket_seconds, hot_rows)
+    pairs = pair_counts(sends, pays, keys, seconds, bucket_seconds, hot_rows, split)
     return pairs.groupBy("entity_id").agg(
         F.sum("pairs").cast("long").alias("flipped_txns_count"),
         F.count_if(F.col("pairs") > 0).alias("flipped_customer_count"),

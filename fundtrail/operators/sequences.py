@@ -72,6 +72,7 @@ def customer_sequences(
     burst_seconds: float = BURST_GAP_SECONDS,
     bucket_seconds: int = DEFAULT_BUCKET_SECONDS,
     hot_rows: int = DEFAULT_HOT_KEY_ROWS,
+    split: bool | None = None,
 ) -> DataFrame:
     """Per key and span: repeat amounts, interval stats and first time per role;
     many-to-one over all pay legs; one-to-many over the run ends of send legs."""
@@ -81,7 +82,8 @@ def customer_sequences(
     base = legs.select(*cols, *(["age_days"] if with_age else []))
     prev_cols = ["leg_us", "amount"] + (["age_days"] if with_age else [])
     # Pass 2 works on a subset of pass 1's rows, so one check covers both.
-    split = bucket_seconds is not None and has_hot_keys(base, keys + ["role"], hot_rows)
+    if split is None:
+        split = bucket_seconds is not None and has_hot_keys(base, keys + ["role"], hot_rows)
     first = with_neighbors(
         base, keys + ["role"], "leg_us", "mtcn", prev_cols, ["leg_us", "other_customer"], bucket_seconds, hot_rows,
         split,
@@ -134,6 +136,7 @@ def customer_flips(
     seconds: float = CUSTOMER_FLIP_SECONDS,
     bucket_seconds: int = DEFAULT_BUCKET_SECONDS,
     hot_rows: int = DEFAULT_HOT_KEY_ROWS,
+    split: bool | None = None,
 ) -> DataFrame:
     """Per key and span: neighbouring distinct event times (sends and pays
     together) at most ``seconds`` apart.
@@ -147,7 +150,8 @@ def customer_flips(
     with_age = any(c is not None for _, c in spans)
     base = legs.select(*keys, "mtcn", "leg_us", *(["age_days"] if with_age else []))
     nb = with_neighbors(
-        base, keys, "leg_us", "mtcn", ["leg_us"] + (["age_days"] if with_age else []), [], bucket_seconds, hot_rows
+        base, keys, "leg_us", "mtcn", ["leg_us"] + (["age_days"] if with_age else []), [], bucket_seconds, hot_rows,
+        split,
     )
     age, prev_age = ("age_days", "prev_age_days") if with_age else ("0", "0")
     exprs = [
@@ -166,6 +170,7 @@ def location_bursts(
     burst_seconds: float = BURST_GAP_SECONDS,
     bucket_seconds: int = DEFAULT_BUCKET_SECONDS,
     hot_rows: int = DEFAULT_HOT_KEY_ROWS,
+    split: bool | None = None,
 ) -> DataFrame:
     """Per location: one-to-many (send legs by sender) and many-to-one (pay legs
     by payee) burst counts over the run ends of the counterparty.
@@ -175,7 +180,8 @@ def location_bursts(
     """
     keys = ["entity_id", "role", "own_customer"]
     base = legs.filter(F.col("own_customer").isNotNull()).select(*keys, "mtcn", "leg_us", "other_customer")
-    split = bucket_seconds is not None and has_hot_keys(base, keys, hot_rows)
+    if split is None:
+        split = bucket_seconds is not None and has_hot_keys(base, keys, hot_rows)
     first = with_neighbors(
         base, keys, "leg_us", "mtcn", [], ["leg_us", "other_customer"], bucket_seconds, hot_rows, split
     )
@@ -189,13 +195,16 @@ def location_bursts(
 
 
 def location_repeats(
-    legs: DataFrame, bucket_seconds: int = DEFAULT_BUCKET_SECONDS, hot_rows: int = DEFAULT_HOT_KEY_ROWS
+    legs: DataFrame,
+    bucket_seconds: int = DEFAULT_BUCKET_SECONDS,
+    hot_rows: int = DEFAULT_HOT_KEY_ROWS,
+    split: bool | None = None,
 ) -> DataFrame:
     """Per location and role: legs whose amount equals the next leg's at the same
     terminal, in time order."""
     keys = ["entity_id", "role", "own_terminal"]
     base = legs.filter(F.col("own_terminal").isNotNull()).select(*keys, "mtcn", "leg_us", "amount")
-    nb = with_neighbors(base, keys, "leg_us", "mtcn", ["amount"], [], bucket_seconds, hot_rows)
+    nb = with_neighbors(base, keys, "leg_us", "mtcn", ["amount"], [], bucket_seconds, hot_rows, split)
     same = F.col("prev_amount") == F.col("amount")
     return nb.groupBy("entity_id").agg(
         F.count_if(same & (F.col("role") == F.lit("send"))).alias("send_repeat_amount_txns"),
@@ -208,12 +217,13 @@ def rapid_fire_groups(
     seconds: float = RAPID_FIRE_SECONDS,
     bucket_seconds: int = DEFAULT_BUCKET_SECONDS,
     hot_rows: int = DEFAULT_HOT_KEY_ROWS,
+    split: bool | None = None,
 ) -> DataFrame:
     """Per (location, terminal) with a burst: distinct event times (sends and
     pays together) within ``seconds`` of the previous or next one there."""
     keys = ["entity_id", "own_terminal"]
     times = legs.filter(F.col("own_terminal").isNotNull() & F.col("leg_us").isNotNull()).select(*keys, "leg_us").distinct()
-    nb = with_neighbors(times, keys, "leg_us", None, ["leg_us"], ["leg_us"], bucket_seconds, hot_rows)
+    nb = with_neighbors(times, keys, "leg_us", None, ["leg_us"], ["leg_us"], bucket_seconds, hot_rows, split)
     counts = nb.groupBy(*keys).agg(F.count_if(burst_member(F.lit(True), seconds)).alias("rapid_fire_count"))
     return counts.filter(F.col("rapid_fire_count") > 0)
 
@@ -223,7 +233,8 @@ def rapid_fire(
     seconds: float = RAPID_FIRE_SECONDS,
     bucket_seconds: int = DEFAULT_BUCKET_SECONDS,
     hot_rows: int = DEFAULT_HOT_KEY_ROWS,
+    split: bool | None = None,
 ) -> DataFrame:
     """Per location: the rapid-fire counts of its terminals, summed."""
-    groups = rapid_fire_groups(legs, seconds, bucket_seconds, hot_rows)
+    groups = rapid_fire_groups(legs, seconds, bucket_seconds, hot_rows, split)
     return groups.groupBy("entity_id").agg(F.sum("rapid_fire_count").cast("long").alias("rapid_fire_count"))

@@ -39,6 +39,7 @@ from fundtrail.operators.basics import basics
 from fundtrail.operators.countries import flag_high_risk, primary_countries
 from fundtrail.operators.distinct import DistinctOut as O
 from fundtrail.operators.distinct import ValueFamily, distinct_counts
+from fundtrail.operators.neighbors import has_hot_keys
 from fundtrail.operators.outcomes import outcomes_as_of
 from fundtrail.operators.sequences import customer_flips, customer_sequences
 
@@ -154,11 +155,14 @@ def customer_features(
     if "is_hrj" not in legs.columns:
         legs = flag_high_risk(legs, geo_risk)
     blocks = basics(legs, keys, spans, bands, rapid_seconds, with_hrj=True)
+    # Every ordered key is finer than (entity, as-of date): if no entity is hot,
+    # no operator needs to look for hot keys of its own.
+    split = None if has_hot_keys(legs, keys, hot_rows) else False
     parts = [
         distinct_counts(legs, keys, customer_distinct_families(), spans),
         primary_countries(legs, keys, spans),
-        customer_sequences(legs, keys, spans, burst_seconds, bucket_seconds, hot_rows),
-        customer_flips(legs, keys, spans, flip_seconds, bucket_seconds, hot_rows),
+        customer_sequences(legs, keys, spans, burst_seconds, bucket_seconds, hot_rows, split),
+        customer_flips(legs, keys, spans, flip_seconds, bucket_seconds, hot_rows, split),
         outcomes_as_of(outcomes, blocks, subject_type, outcome_days, keys),
     ]
     for part in parts:

@@ -34,6 +34,7 @@ from fundtrail.operators.countries import flag_high_risk
 from fundtrail.operators.distinct import DistinctOut as O
 from fundtrail.operators.distinct import ValueFamily, distinct_counts
 from fundtrail.operators.flips import location_flips
+from fundtrail.operators.neighbors import has_hot_keys
 from fundtrail.operators.outcomes import outcome_sums
 from fundtrail.operators.sequences import location_bursts, location_repeats, rapid_fire
 
@@ -175,12 +176,15 @@ def location_features(
     if "is_hrj" not in legs.columns:
         legs = flag_high_risk(legs, geo_risk)
     blocks = location_aggregates(legs, bands, rapid_seconds)
+    # Ordered keys are finer than the location: if no location is hot, no
+    # operator needs to look for hot keys of its own.
+    split = None if has_hot_keys(legs, keys, hot_rows) else False
     parts = [
         distinct_counts(legs, keys, location_distinct_families()),
-        location_bursts(legs, burst_seconds, bucket_seconds, hot_rows),
-        location_flips(legs, flip_seconds, bucket_seconds, hot_rows),
-        rapid_fire(legs, fire_seconds, bucket_seconds, hot_rows),
-        location_repeats(legs, bucket_seconds, hot_rows),
+        location_bursts(legs, burst_seconds, bucket_seconds, hot_rows, split),
+        location_flips(legs, flip_seconds, bucket_seconds, hot_rows, split),
+        rapid_fire(legs, fire_seconds, bucket_seconds, hot_rows, split),
+        location_repeats(legs, bucket_seconds, hot_rows, split),
         outcome_sums(outcomes, subject_type, date_from, date_to),
     ]
     for part in parts:

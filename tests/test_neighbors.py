@@ -58,3 +58,28 @@ def test_pair_counts_equal_self_join(spark, hot_rows):
     for c, n in want.items():
         assert got[c] == n
     assert all(v == 0 for c, v in got.items() if c not in want)
+
+
+def _rows_of(df):
+    return sorted((tuple(r) for r in df.collect()), key=repr)
+
+
+def test_plans_equal_with_every_key_split(spark):
+    """Force the hot-key path in both plans (every key counts as hot) and
+    require the same features as the plain path."""
+    from fundtrail.plans.customer import customer_features
+    from fundtrail.plans.location import location_features
+    from fundtrail.queries import _customer_legs, _location_legs, round_doubles
+    from tests.conftest import SF_SMALL
+
+    t, legs = _customer_legs(spark, SF_SMALL)
+    spans = (("", None), ("8_", 8), ("3_", 3))
+    plain = customer_features(legs, t["geo_risk"], t["outcomes"], spans=spans)
+    split = customer_features(legs, t["geo_risk"], t["outcomes"], spans=spans, hot_rows=0, bucket_seconds=7200)
+    assert _rows_of(round_doubles(plain)) == _rows_of(round_doubles(split))
+
+    t, legs = _location_legs(spark, SF_SMALL)
+    args = (legs, t["geo_risk"], t["outcomes"], t["time_index"], "2024-01-01", "2024-01-30")
+    plain = location_features(*args)
+    split = location_features(*args, hot_rows=0, bucket_seconds=7200)
+    assert _rows_of(round_doubles(plain)) == _rows_of(round_doubles(split))
