@@ -189,8 +189,8 @@ def location_features(
     ]
     for part in parts:
         blocks = blocks.join(part, keys, "left")
-    # A global aggregate has exactly one row, so this broadcast is bounded.
-    blocks = blocks.crossJoin(F.broadcast(time_index_value(time_index, date_from, date_to)))
+    # A global aggregate has exactly one row: a scalar subquery, run once.
+    blocks = blocks.withColumn("time_index", time_index_value(time_index, date_from, date_to).scalar())
     blocks = blocks.withColumn("id_type", F.lit(LOCATION_ID_TYPE))
     out = ["entity_id"]
     for name in FEATURES:

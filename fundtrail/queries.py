@@ -263,8 +263,11 @@ def burst_count(spark, sf_dir):
 def time_index_tag(spark, sf_dir):
     t, legs = _location_legs(spark, sf_dir)
     keys = legs.select("entity_id").distinct()
-    tagged = keys.crossJoin(F.broadcast(L.time_index_value(t["time_index"], RANGE_FROM, RANGE_TO)))
-    tagged = tagged.select("entity_id", F.lit(L.LOCATION_ID_TYPE).alias("id_type"), "time_index")
+    tagged = keys.select(
+        "entity_id",
+        F.lit(L.LOCATION_ID_TYPE).alias("id_type"),
+        L.time_index_value(t["time_index"], RANGE_FROM, RANGE_TO).scalar().alias("time_index"),
+    )
     return _fill(tagged, {"time_index": "long"})
 
 

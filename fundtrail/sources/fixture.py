@@ -28,9 +28,8 @@ def _events_with_k(events: DataFrame) -> DataFrame:
 def transfers_from_events(events: DataFrame, nation: DataFrame) -> DataFrame:
     """Derive the transfers table (schema ``sources.schema.TRANSFERS``)."""
     ev = _events_with_k(events)
-    # One row: the customer id range. A global aggregate always has one row.
-    n_users = events.agg((F.max("user_id") + 1).alias("n_users"))
-    ev = ev.crossJoin(F.broadcast(n_users))
+    # The customer id range: a global aggregate (one row) as a scalar subquery.
+    ev = ev.withColumn("n_users", events.agg(F.max("user_id") + 1).scalar())
     names = sized_broadcast(nation.select("n_nationkey", "n_name"), name="nation")
     send_names = names.select(F.col("n_nationkey").alias("send_nk"), F.col("n_name").alias("send_country"))
     pay_names = names.select(F.col("n_nationkey").alias("pay_nk"), F.col("n_name").alias("pay_country"))
