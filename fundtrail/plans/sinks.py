@@ -12,7 +12,7 @@ from fundtrail.operators.legs import customer_history_legs, location_range_legs
 from fundtrail.operators.queue import active_customers, active_locations, queue_remaining
 from fundtrail.plans.customer import customer_features
 from fundtrail.plans.location import location_features
-from fundtrail.session import materialize
+from fundtrail.session import materialize, release
 
 
 def write_customer_features(features: DataFrame, path: str, fmt: str = "parquet") -> None:
@@ -30,13 +30,14 @@ def run_customer_batch(
     out_path: str,
     done: DataFrame | None = None,
     subject_type: str = FIXTURE_SUBJECT_TYPES["customer"],
-) -> DataFrame:
+) -> None:
     """Queue the customers active on ``as_of``, skip those already written, and
     append their features for all look-back spans.
 
     The legs are written once to the checkpoint folder (when the session names
     one) so each feature family reads them instead of re-running the history
-    join, and a lost executor restarts from those files.
+    join, and a lost executor restarts from those files. They are deleted once
+    the features are written.
     """
     transfers = tables["transfers"]
     queue = active_customers(transfers, as_of)
@@ -46,7 +47,7 @@ def run_customer_batch(
     legs = materialize(flag_high_risk(legs, tables["geo_risk"]), "customer-legs")
     features = customer_features(legs, tables["geo_risk"], tables["outcomes"], LOOKBACK_SPANS, subject_type)
     write_customer_features(features, out_path)
-    return features
+    release(legs)
 
 
 def run_location_batch(
@@ -55,7 +56,7 @@ def run_location_batch(
     date_to: dt.date,
     out_path: str,
     subject_type: str = FIXTURE_SUBJECT_TYPES["location"],
-) -> DataFrame:
+) -> None:
     transfers = tables["transfers"]
     queue = active_locations(transfers, date_from, date_to)
     legs = location_range_legs(transfers, date_from, date_to, queue)
@@ -64,4 +65,4 @@ def run_location_batch(
         legs, tables["geo_risk"], tables["outcomes"], tables["time_index"], date_from, date_to, subject_type
     )
     write_location_features(features, out_path)
-    return features
+    release(legs)

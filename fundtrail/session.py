@@ -67,4 +67,21 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
         df = df.repartition(parallelism)
     path = f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    out = spark.read.parquet(path)
+    out._fundtrail_path = path  # for release()
+    return out
+
+
+def release(df: DataFrame) -> None:
+    """Delete the files behind a frame returned by ``materialize`` (no-op otherwise).
+
+    Call it only after every job that reads the frame has finished. Uses the
+    Hadoop file system of the path, so it works on shared storage too.
+    """
+    path = getattr(df, "_fundtrail_path", None)
+    if not path:
+        return
+    spark = df.sparkSession
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hpath, True)

@@ -31,3 +31,16 @@ def test_location_batch_writes_one_row_per_location(spark, tmp_path):
     df = spark.read.parquet(out)
     assert df.count() == df.select("entity_id").distinct().count() > 0
     assert len(df.columns) == 1 + len(L.FEATURES)
+
+
+def test_materialize_and_release(spark):
+    from fundtrail.session import checkpoint_dir, materialize, release
+
+    df = materialize(spark.range(100).withColumnRenamed("id", "x"), "probe")
+    path = df._fundtrail_path
+    assert path.startswith(checkpoint_dir(spark).rstrip("/"))
+    assert df.count() == 100
+    release(df)
+    jvm = spark.sparkContext._jvm
+    hp = jvm.org.apache.hadoop.fs.Path(path)
+    assert not hp.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hp)
