@@ -75,3 +75,19 @@ def basics(
         if with_hrj:
             exprs += hrj_amount_exprs(prefix, span)
     return legs.groupBy(*keys).agg(*exprs)
+
+
+def banded_counts(
+    legs: DataFrame,
+    keys: Sequence[str],
+    bands: Sequence[tuple[float, float]] = AMOUNT_BANDS,
+) -> DataFrame:
+    """Per key and role: legs whose amount falls in each band (low end in, high end out)."""
+    exprs = [
+        F.expr(
+            f"count_if(role = '{r}' AND amount >= {dbl(lo)} AND amount < {dbl(hi)}) AS `{r}_banded_count_class{i}`"
+        )
+        for r in ROLES
+        for i, (lo, hi) in enumerate(bands, start=1)
+    ]
+    return legs.groupBy(*keys).agg(*exprs)

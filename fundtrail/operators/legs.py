@@ -127,3 +127,9 @@ def location_range_legs(
             legs = legs.join(q, "entity_id", "left_semi")
         parts.append(legs)
     return parts[0].unionByName(parts[1])
+
+
+def trailing(legs: DataFrame, cutoff_days: int) -> DataFrame:
+    """Customer legs dated after ``as_of_date - cutoff_days`` (cut-off 61, 31, 8
+    gives the 60-, 30- and 7-day look-backs)."""
+    return legs.filter(F.col("age_days") < F.lit(cutoff_days))

@@ -23,7 +23,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fundtrail.functions.columns import span_sql
+from fundtrail.functions.columns import dbl, span_sql
 from fundtrail.functions.params import (
     BURST_GAP_SECONDS,
     CUSTOMER_FLIP_SECONDS,
@@ -100,9 +100,9 @@ def customer_sequences(
             exprs += [
                 f"count_if({cond} AND {prev_in} AND prev_amount = amount) AS `{prefix}{role}_repeat_amount_txns`",
                 f"min(CASE WHEN {cond} THEN leg_time END) AS `{prefix}min_{role}_time`",
-                f"min({g}) / {float(_US)!r} AS `{prefix}min_interval_{role}_txns`",
-                f"max({g}) / {float(_US)!r} AS `{prefix}max_interval_{role}_txns`",
-                f"sum({g}) / count({g}) / {float(_US)!r} AS `{prefix}avg_interval_{role}_txns`",
+                f"min({g}) / {dbl(_US)} AS `{prefix}min_interval_{role}_txns`",
+                f"max({g}) / {dbl(_US)} AS `{prefix}max_interval_{role}_txns`",
+                f"sum({g}) / count({g}) / {dbl(_US)} AS `{prefix}avg_interval_{role}_txns`",
             ]
         exprs.append(
             f"count_if({cur_in} AND role = 'pay' AND ({burst_sql(prev_in, burst_seconds)}))"
@@ -238,3 +238,76 @@ def rapid_fire(
     """Per location: the rapid-fire counts of its terminals, summed."""
     groups = rapid_fire_groups(legs, seconds, bucket_seconds, hot_rows, split)
     return groups.groupBy("entity_id").agg(F.sum("rapid_fire_count").cast("long").alias("rapid_fire_count"))
+
+
+# ---------------------------------------------------------------- generic forms
+
+
+def repeat_count(
+    rows: DataFrame,
+    keys: Sequence[str],
+    value: str = "amount",
+    order_us: str = "leg_us",
+    tie: str | None = "mtcn",
+    out: str = "repeat_count",
+    bucket_seconds: int = DEFAULT_BUCKET_SECONDS,
+    hot_rows: int = DEFAULT_HOT_KEY_ROWS,
+) -> DataFrame:
+    """Per key: rows whose ``value`` equals the previous row's in time order
+    (nulls never equal)."""
+    nb = with_neighbors(rows, keys, order_us, tie, [value], [], bucket_seconds, hot_rows)
+    return nb.groupBy(*keys).agg(F.count_if(F.col(f"prev_{value}") == F.col(value)).alias(out))
+
+
+def burst_count(
+    rows: DataFrame,
+    keys: Sequence[str],
+    seconds: float,
+    counterparty: str | None = None,
+    order_us: str = "leg_us",
+    tie: str | None = "mtcn",
+    out: str = "burst_count",
+    bucket_seconds: int = DEFAULT_BUCKET_SECONDS,
+    hot_rows: int = DEFAULT_HOT_KEY_ROWS,
+) -> DataFrame:
+    """Per key: rows within ``seconds`` of their previous or next row.
+
+    With ``counterparty``, each run of equal counterparties is first collapsed
+    to its last row (a null counterparty ends a run). Keys whose count is 0
+    are kept.
+    """
+    keys = list(keys)
+    cols = [*keys, order_us, *([tie] if tie else [])]
+    split = bucket_seconds is not None and has_hot_keys(rows.filter(F.col(order_us).isNotNull()), keys, hot_rows)
+    if counterparty is not None:
+        first = with_neighbors(
+            rows.select(*cols, counterparty).withColumnRenamed(order_us, "leg_us"),
+            keys, "leg_us", tie, [], ["leg_us", counterparty], bucket_seconds, hot_rows, split,
+        )
+        base = first.filter(run_end(counterparty)).select(*[c if c != order_us else "leg_us" for c in cols])
+    else:
+        base = rows.select(*cols).withColumnRenamed(order_us, "leg_us")
+    nb = with_neighbors(base, keys, "leg_us", tie, ["leg_us"], ["leg_us"], bucket_seconds, hot_rows, split)
+    return nb.groupBy(*keys).agg(F.expr(f"count_if({burst_sql('TRUE', seconds)}) AS `{out}`"))
+
+
+def interval_stats(
+    rows: DataFrame,
+    keys: Sequence[str],
+    time_col: str = "leg_time",
+    order_us: str = "leg_us",
+    tie: str | None = "mtcn",
+    prefix: str = "",
+    bucket_seconds: int = DEFAULT_BUCKET_SECONDS,
+    hot_rows: int = DEFAULT_HOT_KEY_ROWS,
+) -> DataFrame:
+    """Per key: first time, and min / max / mean gap in seconds between
+    neighbouring rows in time order (null for a single row)."""
+    nb = with_neighbors(rows, keys, order_us, tie, [order_us], [], bucket_seconds, hot_rows)
+    gap = F.col(order_us) - F.col(f"prev_{order_us}")
+    return nb.groupBy(*keys).agg(
+        F.min(time_col).alias(f"{prefix}min_time"),
+        (F.min(gap) / F.lit(float(_US))).alias(f"{prefix}min_interval"),
+        (F.max(gap) / F.lit(float(_US))).alias(f"{prefix}max_interval"),
+        (F.sum(gap) / F.count(gap) / F.lit(float(_US))).alias(f"{prefix}avg_interval"),
+    )

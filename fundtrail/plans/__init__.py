@@ -1,6 +1,24 @@
-"""The two batch jobs and their sinks."""
+"""The two batch jobs, their sinks, and the feature-table fold."""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+from functools import reduce
+
+from pyspark.sql import DataFrame
 
 from fundtrail.plans.customer import customer_features
 from fundtrail.plans.location import location_features
 
-__all__ = ["customer_features", "location_features"]
+
+def join_features(frames: Sequence[DataFrame], keys: Sequence[str], how: str = "full_outer") -> DataFrame:
+    """Fold feature frames (one row per key each) into one wide frame.
+
+    Columns other than the keys must be distinct across frames (prefix them,
+    e.g. per look-back span). Each frame should end in an aggregate on
+    ``keys``, so the joins reuse that partitioning.
+    """
+    return reduce(lambda a, b: a.join(b, list(keys), how), frames)
+
+
+__all__ = ["customer_features", "location_features", "join_features"]
