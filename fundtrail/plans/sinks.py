@@ -56,11 +56,20 @@ def run_location_batch(
     date_to: dt.date,
     out_path: str,
     subject_type: str = FIXTURE_SUBJECT_TYPES["location"],
+    materialize_legs: bool = False,
 ) -> None:
+    """Features of every location active in the range, appended to ``out_path``.
+
+    Location legs are all transfers of the range; each feature family re-derives
+    them from a date-pruned, column-pruned scan, which costs less than writing
+    them once. ``materialize_legs=True`` writes them to the checkpoint folder
+    instead (worth it when the transfers come from an expensive source).
+    """
     transfers = tables["transfers"]
     queue = active_locations(transfers, date_from, date_to)
-    legs = location_range_legs(transfers, date_from, date_to, queue)
-    legs = materialize(flag_high_risk(legs, tables["geo_risk"]), "location-legs")
+    legs = flag_high_risk(location_range_legs(transfers, date_from, date_to, queue), tables["geo_risk"])
+    if materialize_legs:
+        legs = materialize(legs, "location-legs")
     features = location_features(
         legs, tables["geo_risk"], tables["outcomes"], tables["time_index"], date_from, date_to, subject_type
     )

@@ -3,7 +3,7 @@
 They read the driver's tables (``sources.fixture``), run one operator or a
 whole plan over the full data, and return the columns that the matching SQL
 in ``fundtrail.oracle`` returns. When the session names a checkpoint folder
-the legs are written there once and every feature family reads them. Doubles are rounded to ``ROUND_DIGITS``.
+the customer legs are written there once and every feature family reads them. Doubles are rounded to ``ROUND_DIGITS``.
 Block queries return one row per entity with at least one leg, filled the
 way the feature tables are.
 """
@@ -69,7 +69,9 @@ def _location_legs(spark: SparkSession, sf_dir: str) -> tuple[dict[str, DataFram
     t = _tables(spark, sf_dir)
     queue = active_locations(t["transfers"], RANGE_FROM, RANGE_TO)
     legs = location_range_legs(t["transfers"], RANGE_FROM, RANGE_TO, queue)
-    return t, materialize(flag_high_risk(legs, t["geo_risk"]), "location-legs")
+    # Not written: location legs are every transfer of the range, and deriving
+    # them again is a pruned scan with two broadcast joins (cheaper than a write).
+    return t, flag_high_risk(legs, t["geo_risk"])
 
 
 def _fill(df: DataFrame, kinds: dict[str, str]) -> DataFrame:
