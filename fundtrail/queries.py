@@ -59,10 +59,22 @@ def _tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return fixture_tables(spark, sf_dir)
 
 
+# Written customer legs of the default batch, per (application, sf_dir): the
+# registered customer queries are slices of one batch, which computes its legs
+# once for all feature families.
+_CUSTOMER_LEGS: dict[tuple[str, str], DataFrame] = {}
+
+
 def _customer_legs(spark: SparkSession, sf_dir: str) -> tuple[dict[str, DataFrame], DataFrame]:
     t = _tables(spark, sf_dir)
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key in _CUSTOMER_LEGS:
+        return t, _CUSTOMER_LEGS[key]
     legs = customer_history_legs(t["transfers"], active_customers(t["transfers"], AS_OF))
-    return t, materialize(flag_high_risk(legs, t["geo_risk"]), "customer-legs")
+    legs = materialize(flag_high_risk(legs, t["geo_risk"]), "customer-legs")
+    if hasattr(legs, "_fundtrail_path"):
+        _CUSTOMER_LEGS[key] = legs
+    return t, legs
 
 
 def _location_legs(spark: SparkSession, sf_dir: str) -> tuple[dict[str, DataFrame], DataFrame]:
