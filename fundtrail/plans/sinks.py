@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from fundtrail.functions.params import FIXTURE_SUBJECT_TYPES, LOOKBACK_SPANS
 from fundtrail.operators.countries import flag_high_risk
 from fundtrail.operators.legs import customer_history_legs, location_range_legs
-from fundtrail.operators.queue import active_customers, active_locations, queue_remaining
+from fundtrail.operators.queue import active_customers, queue_remaining
 from fundtrail.plans.customer import customer_features
 from fundtrail.plans.location import location_features
 from fundtrail.session import materialize, release
@@ -57,6 +57,7 @@ def run_location_batch(
     out_path: str,
     subject_type: str = FIXTURE_SUBJECT_TYPES["location"],
     materialize_legs: bool = False,
+    queue: DataFrame | None = None,
 ) -> None:
     """Features of every location active in the range, appended to ``out_path``.
 
@@ -64,9 +65,10 @@ def run_location_batch(
     them from a date-pruned, column-pruned scan, which costs less than writing
     them once. ``materialize_legs=True`` writes them to the checkpoint folder
     instead (worth it when the transfers come from an expensive source).
+    Without a ``queue`` every location active in the range is computed (the
+    range legs cover exactly those, so no semi-join is planned).
     """
     transfers = tables["transfers"]
-    queue = active_locations(transfers, date_from, date_to)
     legs = flag_high_risk(location_range_legs(transfers, date_from, date_to, queue), tables["geo_risk"])
     if materialize_legs:
         legs = materialize(legs, "location-legs")

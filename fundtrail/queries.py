@@ -79,8 +79,10 @@ def _customer_legs(spark: SparkSession, sf_dir: str) -> tuple[dict[str, DataFram
 
 def _location_legs(spark: SparkSession, sf_dir: str) -> tuple[dict[str, DataFrame], DataFrame]:
     t = _tables(spark, sf_dir)
-    queue = active_locations(t["transfers"], RANGE_FROM, RANGE_TO)
-    legs = location_range_legs(t["transfers"], RANGE_FROM, RANGE_TO, queue)
+    # The batch is every location active in the range, which is exactly the set
+    # the range legs cover, so no queue semi-join is needed (location_scan
+    # applies an explicit queue).
+    legs = location_range_legs(t["transfers"], RANGE_FROM, RANGE_TO)
     # Not written: location legs are every transfer of the range, and deriving
     # them again is a pruned scan with two broadcast joins (cheaper than a write).
     return t, flag_high_risk(legs, t["geo_risk"])
@@ -321,7 +323,9 @@ def _history(role: str) -> Query:
 
 
 def location_scan(spark, sf_dir):
-    _, legs = _location_legs(spark, sf_dir)
+    tr = _tables(spark, sf_dir)["transfers"]
+    queue = active_locations(tr, RANGE_FROM, RANGE_TO)
+    legs = location_range_legs(tr, RANGE_FROM, RANGE_TO, queue)
     return legs.select("entity_id", "role", "mtcn", "leg_time", "amount", "own_customer")
 
 
