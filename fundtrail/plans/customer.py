@@ -163,7 +163,7 @@ def customer_features(
         primary_countries(legs, keys, spans),
         customer_sequences(legs, keys, spans, burst_seconds, bucket_seconds, hot_rows, split),
         customer_flips(legs, keys, spans, flip_seconds, bucket_seconds, hot_rows, split),
-        outcomes_as_of(outcomes, blocks, subject_type, outcome_days, keys),
+        outcomes_as_of(outcomes, legs.select(*keys).distinct(), subject_type, outcome_days, keys),
     ]
     for part in parts:
         blocks = blocks.join(part, keys, "left")
