@@ -25,10 +25,6 @@ def payout_seconds(send_us: Column, pay_us: Column) -> Column:
     return (pay_us - send_us) / F.lit(1_000_000.0)
 
 
-def band_flag(amount: Column, low: float, high: float) -> Column:
-    return (amount >= F.lit(low)) & (amount < F.lit(high))
-
-
 def leading_digit(amount: Column) -> Column:
     """First character of the amount's text when it is a digit 1-9, else null.
 
@@ -40,15 +36,9 @@ def leading_digit(amount: Column) -> Column:
     return F.when(first.isin(*[str(d) for d in range(1, 10)]), first.cast("int"))
 
 
-def in_span(age_days: Column, cutoff: int | None) -> Column:
-    """True when a leg of the given age (as_of_date - leg_date) is in the span."""
-    if cutoff is None:
-        return F.lit(True)
-    return age_days < F.lit(cutoff)
-
-
 def span_sql(age: str, cutoff: int | None) -> str:
-    """SQL form of ``in_span`` for expression strings."""
+    """SQL test that a leg of age ``age`` (as_of_date - leg_date, in days) is
+    in the span with this cut-off; ``None`` is the full history."""
     return "TRUE" if cutoff is None else f"({age} < {int(cutoff)})"
 
 
