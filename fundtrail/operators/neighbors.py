@@ -2,7 +2,8 @@
 
 ``lag``/``lead`` over ``Window.partitionBy(key)`` sends every row of a key to
 one task; a key holding a third of the data would then be one task's work.
-Keys with more than ``hot_rows`` rows are therefore cut into time buckets:
+Keys with more than ``hot_rows`` rows are therefore cut into time buckets
+(sized per key from its row count and time span):
 
 1. ``lag``/``lead`` run over (key, bucket); a hot key spreads over as many
    tasks as it has buckets, every other key stays one window partition
@@ -44,18 +45,40 @@ def hot_key_buckets(
     hot_rows: int = DEFAULT_HOT_KEY_ROWS,
 ) -> DataFrame:
     """Add ``_nb_hot`` (key has more than ``hot_rows`` rows) and ``_nb_bucket``
-    (time bucket for hot keys, 0 otherwise)."""
+    (time bucket for hot keys, 0 otherwise).
+
+    A hot key's bucket width is its time span times ``hot_rows / 4`` over its
+    row count (so evenly spread rows fill a bucket to about a quarter of the
+    threshold), capped at ``bucket_seconds`` and at least one microsecond.
+    """
     keys = list(keys)
+    target = max(1, hot_rows // 4)
     hot = (
         rows.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("_nb_n"))
+        .agg(
+            F.count(F.lit(1)).alias("_nb_n"),
+            F.min(time_us).alias("_nb_t0"),
+            F.max(time_us).alias("_nb_t1"),
+        )
         .filter(F.col("_nb_n") > F.lit(hot_rows))
-        .select(*keys, F.lit(True).alias(HOT))
+        .select(
+            *keys,
+            F.lit(True).alias(HOT),
+            F.col("_nb_t0"),
+            F.greatest(
+                F.lit(1),
+                F.least(
+                    F.lit(bucket_seconds * 1_000_000),
+                    ((F.col("_nb_t1") - F.col("_nb_t0") + 1) * F.lit(target) / F.col("_nb_n")).cast("long"),
+                ),
+            ).alias("_nb_width"),
+        )
     )
     hot = sized_broadcast(hot, name="hot keys")
     out = rows.join(hot, keys, "left").withColumn(HOT, F.coalesce(F.col(HOT), F.lit(False)))
-    bucket = F.floor(F.col(time_us) / F.lit(bucket_seconds * 1_000_000)).cast("long")
-    return out.withColumn(BUCKET, F.when(F.col(HOT), bucket).otherwise(F.lit(0).cast("long")))
+    bucket = F.floor((F.col(time_us) - F.col("_nb_t0")) / F.col("_nb_width")).cast("long")
+    out = out.withColumn(BUCKET, F.when(F.col(HOT), bucket).otherwise(F.lit(0).cast("long")))
+    return out.drop("_nb_t0", "_nb_width")
 
 
 def has_hot_keys(rows: DataFrame, keys: Sequence[str], hot_rows: int = DEFAULT_HOT_KEY_ROWS) -> bool:
