@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+import warnings
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -66,7 +67,11 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     if df.rdd.getNumPartitions() < parallelism:
         df = df.repartition(parallelism)
     path = f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    df.write.mode("overwrite").parquet(path)
+    try:
+        df.write.mode("overwrite").parquet(path)
+    except Exception as exc:  # the folder is an optimization, not a requirement
+        warnings.warn(f"could not write {path} ({type(exc).__name__}); keeping the lineage", stacklevel=2)
+        return df
     out = spark.read.parquet(path)
     out._fundtrail_path = path  # for release()
     return out
