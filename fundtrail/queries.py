@@ -38,7 +38,7 @@ from fundtrail.operators.sequences import (
 from fundtrail.oracle import AS_OF, PREV_DAY, RANGE_FROM, RANGE_TO, ROUND_DIGITS
 from fundtrail.plans import customer as C
 from fundtrail.plans import location as L
-from fundtrail.session import materialize
+from fundtrail.session import app_key, materialize
 from fundtrail.sources.fixture import fixture_tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -67,7 +67,7 @@ _CUSTOMER_LEGS: dict[tuple[str, str], DataFrame] = {}
 
 def _customer_legs(spark: SparkSession, sf_dir: str) -> tuple[dict[str, DataFrame], DataFrame]:
     t = _tables(spark, sf_dir)
-    key = (spark.sparkContext.applicationId, sf_dir)
+    key = (app_key(spark), sf_dir)
     if key in _CUSTOMER_LEGS:
         return t, _CUSTOMER_LEGS[key]
     legs = customer_history_legs(t["transfers"], active_customers(t["transfers"], AS_OF))

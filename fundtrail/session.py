@@ -37,7 +37,18 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
     value = spark.conf.get("spark.checkpoint.dir", None)
     if value:
         return value
-    return spark.sparkContext.getCheckpointDir() if hasattr(spark.sparkContext, "getCheckpointDir") else None
+    try:
+        return spark.sparkContext.getCheckpointDir()
+    except Exception:  # no SparkContext (e.g. a Spark Connect session)
+        return None
+
+
+def app_key(spark: SparkSession) -> str:
+    """An id of the running application, for per-application caches."""
+    try:
+        return spark.sparkContext.applicationId
+    except Exception:
+        return f"session-{id(spark)}"
 
 
 def ensure_checkpoint_dir(spark: SparkSession, fallback: str) -> str:
@@ -63,9 +74,12 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
         return df
     # Small inputs come as one or two partitions; spread them so the readers
     # of the written files run in parallel. Large inputs are left as they are.
-    parallelism = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < parallelism:
-        df = df.repartition(parallelism)
+    try:
+        parallelism = spark.sparkContext.defaultParallelism
+        if df.rdd.getNumPartitions() < parallelism:
+            df = df.repartition(parallelism)
+    except Exception:  # no RDD view (e.g. a Spark Connect session)
+        pass
     path = f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
     try:
         df.write.mode("overwrite").parquet(path)

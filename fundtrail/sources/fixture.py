@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from fundtrail.functions.params import HIGH_RISK_RATING, OUTCOME_FLAGS
 from fundtrail.operators.broadcast import sized_broadcast
-from fundtrail.session import checkpoint_dir, materialize
+from fundtrail.session import app_key, checkpoint_dir, materialize
 
 TABLES = ("events", "nation")
 
@@ -112,7 +112,7 @@ def fixture_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     once per application and read back by every later call, the way a real
     deployment reads ready-made tables; without one they are derived lazily.
     """
-    key = (spark.sparkContext.applicationId, sf_dir)
+    key = (app_key(spark), sf_dir)
     if key in _PREPARED:
         return dict(_PREPARED[key])
     events = read_driver_table(spark, sf_dir, "events")
