@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from fundtrail.functions.params import BURST_GAP_SECONDS, DEFAULT_BUCKET_SECONDS, DEFAULT_HOT_KEY_ROWS
-from fundtrail.operators.neighbors import BUCKET, has_hot_keys, hot_key_buckets
+from fundtrail.operators.neighbors import BUCKET, SUB, has_hot_keys, hot_key_buckets
 
 _US = 1_000_000
 # Order of kinds at equal times: a low probe counts pays strictly before it,
@@ -66,20 +66,23 @@ def pair_counts(
     if split is None:
         split = has_hot_keys(events, keys, hot_rows)
     if split:
-        events = hot_key_buckets(events, keys, "_t", bucket_seconds, hot_rows).withColumnRenamed(BUCKET, "_b")
+        events = hot_key_buckets(events, keys, "_t", bucket_seconds, hot_rows)
+        events = events.withColumnRenamed(BUCKET, "_b").withColumnRenamed(SUB, "_s")
     else:
-        events = events.withColumn("_b", F.lit(0).cast("long"))
-    running = Window.partitionBy(*keys, "_b").orderBy("_t", "_k").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        events = events.withColumn("_b", F.lit(0).cast("long")).withColumn("_s", F.lit(0).cast("long"))
+    running = Window.partitionBy(*keys, "_b", "_s").orderBy("_t", "_k").rowsBetween(
+        Window.unboundedPreceding, Window.currentRow
+    )
     per_bucket = (
         events.withColumn("_run", F.sum("_w").over(running))
-        .groupBy(*keys, "_b")
+        .groupBy(*keys, "_b", "_s")
         .agg(
             F.sum("_w").alias("_pays"),
             F.sum(F.col("_sign") * F.col("_run")).alias("_inside"),
             F.sum("_sign").alias("_net"),
         )
     )
-    earlier = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    earlier = Window.partitionBy(*keys).orderBy("_b", "_s").rowsBetween(Window.unboundedPreceding, -1)
     per_bucket = per_bucket.withColumn("_before", F.coalesce(F.sum("_pays").over(earlier), F.lit(0)))
     return per_bucket.groupBy(*keys).agg(
         F.sum(F.col("_inside") + F.col("_net") * F.col("_before")).cast("long").alias("pairs")

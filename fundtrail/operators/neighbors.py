@@ -3,7 +3,8 @@
 ``lag``/``lead`` over ``Window.partitionBy(key)`` sends every row of a key to
 one task; a key holding a third of the data would then be one task's work.
 Keys with more than ``hot_rows`` rows are therefore cut into time buckets
-(sized per key from its row count and time span):
+(sized per key from its row count and time span; an over-full bucket is cut
+again):
 
 1. ``lag``/``lead`` run over (key, bucket); a hot key spreads over as many
    tasks as it has buckets, every other key stays one window partition
@@ -33,10 +34,15 @@ from pyspark.sql import functions as F
 from fundtrail.functions.params import DEFAULT_BUCKET_SECONDS, DEFAULT_HOT_KEY_ROWS
 from fundtrail.operators.broadcast import sized_broadcast
 
-BUCKET, HOT = "_nb_bucket", "_nb_hot"
+BUCKET, SUB, HOT = "_nb_bucket", "_nb_sub", "_nb_hot"
 _FIRST, _LAST = "_nb_first", "_nb_last"
 
 
+def _width(n: str, t0: str, t1: str, target: int, cap_us: int):
+    span = F.col(t1) - F.col(t0) + F.lit(1)
+    return F.greatest(F.lit(1), F.least(F.lit(cap_us), (span * F.lit(target) / F.col(n)).cast("long")))
+
+
 def hot_key_buckets(
     rows: DataFrame,
     keys: Sequence[str],
@@ -44,41 +50,44 @@ def hot_key_buckets(
     bucket_seconds: int = DEFAULT_BUCKET_SECONDS,
     hot_rows: int = DEFAULT_HOT_KEY_ROWS,
 ) -> DataFrame:
-    """Add ``_nb_hot`` (key has more than ``hot_rows`` rows) and ``_nb_bucket``
-    (time bucket for hot keys, 0 otherwise).
+    """Add ``_nb_hot`` (key has more than ``hot_rows`` rows) and the bucket
+    columns ``_nb_bucket`` / ``_nb_sub`` (0 / 0 for other keys).
 
     A hot key's bucket width is its time span times ``hot_rows / 4`` over its
-    row count (so evenly spread rows fill a bucket to about a quarter of the
-    threshold), capped at ``bucket_seconds`` and at least one microsecond.
+    row count (evenly spread rows fill a bucket to about a quarter of the
+    threshold), at most ``bucket_seconds`` and at least one microsecond. A
+    bucket that still holds more than ``hot_rows`` rows (a dense burst) is cut
+    again the same way into sub-buckets. (bucket, sub-bucket) follows time
+    order.
     """
     keys = list(keys)
     target = max(1, hot_rows // 4)
+    cap = bucket_seconds * 1_000_000
+    stats = [F.count(F.lit(1)).alias("_nb_n"), F.min(time_us).alias("_nb_t0"), F.max(time_us).alias("_nb_t1")]
     hot = (
         rows.groupBy(*keys)
-        .agg(
-            F.count(F.lit(1)).alias("_nb_n"),
-            F.min(time_us).alias("_nb_t0"),
-            F.max(time_us).alias("_nb_t1"),
-        )
+        .agg(*stats)
         .filter(F.col("_nb_n") > F.lit(hot_rows))
-        .select(
-            *keys,
-            F.lit(True).alias(HOT),
-            F.col("_nb_t0"),
-            F.greatest(
-                F.lit(1),
-                F.least(
-                    F.lit(bucket_seconds * 1_000_000),
-                    ((F.col("_nb_t1") - F.col("_nb_t0") + 1) * F.lit(target) / F.col("_nb_n")).cast("long"),
-                ),
-            ).alias("_nb_width"),
-        )
+        .select(*keys, F.lit(True).alias(HOT), "_nb_t0", _width("_nb_n", "_nb_t0", "_nb_t1", target, cap).alias("_nb_w"))
+    )
+    out = rows.join(sized_broadcast(hot, name="hot keys"), keys, "left")
+    out = out.withColumn(HOT, F.coalesce(F.col(HOT), F.lit(False)))
+    level1 = F.floor((F.col(time_us) - F.col("_nb_t0")) / F.col("_nb_w")).cast("long")
+    out = out.withColumn(BUCKET, F.when(F.col(HOT), level1).otherwise(F.lit(0).cast("long"))).drop("_nb_t0", "_nb_w")
+
+    full = (
+        out.filter(F.col(HOT))
+        .groupBy(*keys, BUCKET)
+        .agg(*stats)
+        .filter(F.col("_nb_n") > F.lit(hot_rows))
+        .select(*keys, BUCKET, "_nb_t0", _width("_nb_n", "_nb_t0", "_nb_t1", target, cap).alias("_nb_w"))
     )
-    hot = sized_broadcast(hot, name="hot keys")
-    out = rows.join(hot, keys, "left").withColumn(HOT, F.coalesce(F.col(HOT), F.lit(False)))
-    bucket = F.floor((F.col(time_us) - F.col("_nb_t0")) / F.col("_nb_width")).cast("long")
-    out = out.withColumn(BUCKET, F.when(F.col(HOT), bucket).otherwise(F.lit(0).cast("long")))
-    return out.drop("_nb_t0", "_nb_width")
+    if full.limit(1).count() == 0:
+        return out.withColumn(SUB, F.lit(0).cast("long"))
+    out = out.join(sized_broadcast(full, name="full buckets"), [*keys, BUCKET], "left")
+    level2 = F.floor((F.col(time_us) - F.col("_nb_t0")) / F.col("_nb_w")).cast("long")
+    out = out.withColumn(SUB, F.when(F.col("_nb_w").isNotNull(), level2).otherwise(F.lit(0).cast("long")))
+    return out.drop("_nb_t0", "_nb_w")
 
 
 def has_hot_keys(rows: DataFrame, keys: Sequence[str], hot_rows: int = DEFAULT_HOT_KEY_ROWS) -> bool:
@@ -122,7 +131,7 @@ def with_neighbors(
         )
 
     rows = hot_key_buckets(rows, keys, order_us, bucket_seconds, hot_rows)
-    w = Window.partitionBy(*keys, BUCKET).orderBy(*order)
+    w = Window.partitionBy(*keys, BUCKET, SUB).orderBy(*order)
     # Row number is unique inside (key, bucket); lag/lead of it mark the edges
     # even when a carried column is null.
     rn = F.row_number().over(w)
@@ -149,4 +158,4 @@ def with_neighbors(
             for c in next_cols
         ],
     )
-    return interior.unionByName(fixed).drop(BUCKET, HOT, _FIRST, _LAST)
+    return interior.unionByName(fixed).drop(BUCKET, SUB, HOT, _FIRST, _LAST)

@@ -83,3 +83,26 @@ def test_plans_equal_with_every_key_split(spark):
     plain = location_features(*args)
     split = location_features(*args, hot_rows=0, bucket_seconds=7200)
     assert _rows_of(round_doubles(plain)) == _rows_of(round_doubles(split))
+
+
+def test_dense_burst_is_split_again(spark):
+    """A hot key with a one-second burst inside days of sparse rows: the burst
+    bucket is cut again, and the answers still equal the plain window."""
+    from fundtrail.operators.neighbors import BUCKET, SUB, hot_key_buckets
+
+    rows = [(1, 86_400 * 1_000_000 * d + 7, 10_000 + d, d % 3) for d in range(40)]
+    rows += [(1, 20 * 86_400 * 1_000_000 + i * 300, i, i % 2) for i in range(3000)]  # 3000 rows in 0.9 s
+    rows += [(2, i * 1_000_000, 20_000 + i, 1) for i in range(50)]
+    df = spark.createDataFrame(rows, "k long, t long, id long, v long")
+    b = hot_key_buckets(df, ["k"], "t", 3600, hot_rows=400)
+    sizes = [r["n"] for r in b.groupBy("k", BUCKET, SUB).count().withColumnRenamed("count", "n").collect()]
+    assert max(sizes) <= 400
+    plain = with_neighbors(df, ["k"], "t", "id", ["t", "v"], ["t", "v"], bucket_seconds=None)
+    split = with_neighbors(df, ["k"], "t", "id", ["t", "v"], ["t", "v"], bucket_seconds=3600, hot_rows=400)
+    assert _rows_of(plain) == _rows_of(split)
+    s = df.filter(F.col("v") == 0).select(F.col("k").alias("c"), F.col("t").alias("leg_us"))
+    p = df.filter(F.col("v") == 1).select(F.col("k").alias("c"), F.col("t").alias("leg_us"))
+    got = {r["c"]: r["pairs"] for r in pair_counts(s, p, ["c"], 1, 3600, hot_rows=400).collect()}
+    j = s.alias("s").join(p.alias("p"), "c").filter(F.abs(F.col("s.leg_us") - F.col("p.leg_us")) <= 1_000_000)
+    want = {r["c"]: r["n"] for r in j.groupBy("c").agg(F.count(F.lit(1)).alias("n")).collect()}
+    assert got[1] == want[1]
