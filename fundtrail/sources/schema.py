@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 _L, _S, _D, _DT = T.LongType(), T.StringType(), T.DoubleType(), T.DateType()
@@ -89,3 +90,19 @@ def check_columns(df: DataFrame, schema: T.StructType, name: str) -> DataFrame:
         if not ok:
             raise TypeError(f"{name}.{field.name}: expected {want.simpleString()}, got {got.simpleString()}")
     return df
+
+
+def date_time_mismatches(transfers: DataFrame) -> DataFrame:
+    """One row: transfers whose send or pay date is not the date of its time.
+
+    The one-pass look-backs assume each leg's date is the calendar date of its
+    time (UTC wall clock for ``timestamp_ntz``), so that a look-back span is a
+    suffix of the time order. Run this check on new sources; it should be 0.
+    """
+    def bad(side: str):
+        return F.col(f"{side}_time").isNotNull() & (F.col(f"{side}_date") != F.to_date(F.col(f"{side}_time")))
+
+    return transfers.agg(
+        F.count_if(bad("send")).alias("send_mismatches"),
+        F.count_if(bad("pay")).alias("pay_mismatches"),
+    )

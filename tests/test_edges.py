@@ -159,3 +159,23 @@ def test_location_flips_pairs_and_customers(spark):
     ]
     r = _locations(spark, rows)[41]
     assert r["flipped_txns_count"] == 1 and r["flipped_customer_count"] == 1
+
+
+def test_fixture_dates_agree_with_times(spark):
+    from fundtrail.sources.fixture import fixture_tables
+    from fundtrail.sources.schema import TRANSFERS, check_columns, date_time_mismatches
+    from tests.conftest import SF_SMALL
+
+    tr = fixture_tables(spark, SF_SMALL)["transfers"]
+    check_columns(tr, TRANSFERS, "transfers")
+    r = date_time_mismatches(tr).collect()[0]
+    assert r["send_mismatches"] == 0 and r["pay_mismatches"] == 0
+
+
+def test_check_columns_rejects_missing_and_mistyped(spark):
+    from fundtrail.sources.schema import GEO_RISK, check_columns
+
+    with pytest.raises(ValueError):
+        check_columns(spark.createDataFrame([("A",)], "country_code string"), GEO_RISK, "geo_risk")
+    with pytest.raises(TypeError):
+        check_columns(spark.createDataFrame([("A", 1)], "country_code string, rating int"), GEO_RISK, "geo_risk")
