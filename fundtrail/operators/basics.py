@@ -66,6 +66,16 @@ def basics(
     with_hrj: bool = False,
 ) -> DataFrame:
     """Per key: for each span and role the basic aggregates; ``{prefix}_legs`` counts legs in the span."""
+    return legs.groupBy(*keys).agg(*basics_exprs(spans, bands, rapid_seconds, with_hrj))
+
+
+def basics_exprs(
+    spans: Sequence[tuple[str, int | None]] = SPANS_FULL,
+    bands: Sequence[tuple[float, float]] = AMOUNT_BANDS,
+    rapid_seconds: float = RAPID_PAYOUT_SECONDS,
+    with_hrj: bool = False,
+) -> list[Column]:
+    """The aggregates of ``basics``, for use in a larger ``groupBy``."""
     exprs = []
     for prefix, cut in spans:
         span = span_sql("age_days", cut)
@@ -74,7 +84,7 @@ def basics(
             exprs += role_exprs(role, prefix, f"role = '{role}' AND {span}", bands, rapid_seconds)
         if with_hrj:
             exprs += hrj_amount_exprs(prefix, span)
-    return legs.groupBy(*keys).agg(*exprs)
+    return exprs
 
 
 def banded_counts(

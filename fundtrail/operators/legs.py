@@ -14,6 +14,7 @@ Columns of a leg frame::
     own_channel, other_channel, own_id_number, other_country, product
 
 ``age_days`` (customer legs) is ``as_of_date - leg_date`` in days, at least 1.
+A side without a time is not a leg: it cannot be placed in time order.
 A send leg keeps its payout time even when the payout falls after the as-of
 date: the history cut is on the leg's own date only.
 """
@@ -97,7 +98,8 @@ def customer_history_legs(transfers: DataFrame, queue: DataFrame) -> DataFrame:
     q = sized_broadcast(queue.select("entity_id", "as_of_date").distinct(), name="customer queue")
     parts = []
     for role in ROLES:
-        legs = transfer_legs(transfers.filter(F.col(f"{role}_customer").isNotNull()), role)
+        rows = transfers.filter(F.col(f"{role}_customer").isNotNull() & F.col(f"{role}_time").isNotNull())
+        legs = transfer_legs(rows, role)
         joined = legs.join(
             q, (legs["own_customer"] == q["entity_id"]) & (legs["leg_date"] < q["as_of_date"]), "inner"
         )
@@ -120,7 +122,11 @@ def location_range_legs(
     lo, hi = F.lit(date_from).cast("date"), F.lit(date_to).cast("date")
     parts = []
     for role in ROLES:
-        rows = transfers.filter(F.col(f"{role}_location_id").isNotNull() & F.col(f"{role}_date").between(lo, hi))
+        rows = transfers.filter(
+            F.col(f"{role}_location_id").isNotNull()
+            & F.col(f"{role}_time").isNotNull()
+            & F.col(f"{role}_date").between(lo, hi)
+        )
         legs = transfer_legs(rows, role).withColumn("entity_id", F.col("own_location"))
         if queue is not None:
             q = sized_broadcast(queue.select("entity_id").distinct(), name="location queue")

@@ -107,9 +107,11 @@ def with_neighbors(
     bucket_seconds: int | None = DEFAULT_BUCKET_SECONDS,
     hot_rows: int = DEFAULT_HOT_KEY_ROWS,
     split: bool | None = None,
+    out_prefix: str = "",
 ) -> DataFrame:
-    """Add ``prev_<c>`` / ``next_<c>``: column ``c`` on the previous / next row of the
-    same ``keys`` in ``(order_us, tie)`` order; null at the ends.
+    """Add ``prev_<c>`` / ``next_<c>`` (each name led by ``out_prefix``): column
+    ``c`` on the previous / next row of the same ``keys`` in ``(order_us, tie)``
+    order; null at the ends.
 
     ``order_us`` is a long (microseconds); rows where it is null are dropped.
     When no key has more than ``hot_rows`` rows, or with ``bucket_seconds=None``,
@@ -122,12 +124,13 @@ def with_neighbors(
     rows = df.filter(F.col(order_us).isNotNull())
     if split is None:
         split = bucket_seconds is not None and has_hot_keys(rows, keys, hot_rows)
+    p, n = f"{out_prefix}prev_", f"{out_prefix}next_"
     if bucket_seconds is None or not split:
         w = Window.partitionBy(*keys).orderBy(*order)
         return rows.select(
             "*",
-            *[F.lag(c).over(w).alias(f"prev_{c}") for c in prev_cols],
-            *[F.lead(c).over(w).alias(f"next_{c}") for c in next_cols],
+            *[F.lag(c).over(w).alias(f"{p}{c}") for c in prev_cols],
+            *[F.lead(c).over(w).alias(f"{n}{c}") for c in next_cols],
         )
 
     rows = hot_key_buckets(rows, keys, order_us, bucket_seconds, hot_rows)
@@ -137,25 +140,19 @@ def with_neighbors(
     rn = F.row_number().over(w)
     inner = rows.select(
         "*",
-        *[F.lag(c).over(w).alias(f"prev_{c}") for c in prev_cols],
-        *[F.lead(c).over(w).alias(f"next_{c}") for c in next_cols],
+        *[F.lag(c).over(w).alias(f"{p}{c}") for c in prev_cols],
+        *[F.lead(c).over(w).alias(f"{n}{c}") for c in next_cols],
         (F.lag(rn).over(w).isNull()).alias(_FIRST),
         (F.lead(rn).over(w).isNull()).alias(_LAST),
     )
     is_edge = F.col(HOT) & (F.col(_FIRST) | F.col(_LAST))
     interior = inner.filter(~is_edge)
     edges = inner.filter(is_edge)
-    added = {f"prev_{c}" for c in prev_cols} | {f"next_{c}" for c in next_cols}
+    added = {f"{p}{c}" for c in prev_cols} | {f"{n}{c}" for c in next_cols}
     we = Window.partitionBy(*keys).orderBy(*order)
     fixed = edges.select(
         *[c for c in inner.columns if c not in added],
-        *[
-            F.when(F.col(_FIRST), F.lag(c).over(we)).otherwise(F.col(f"prev_{c}")).alias(f"prev_{c}")
-            for c in prev_cols
-        ],
-        *[
-            F.when(F.col(_LAST), F.lead(c).over(we)).otherwise(F.col(f"next_{c}")).alias(f"next_{c}")
-            for c in next_cols
-        ],
+        *[F.when(F.col(_FIRST), F.lag(c).over(we)).otherwise(F.col(f"{p}{c}")).alias(f"{p}{c}") for c in prev_cols],
+        *[F.when(F.col(_LAST), F.lead(c).over(we)).otherwise(F.col(f"{n}{c}")).alias(f"{n}{c}") for c in next_cols],
     )
     return interior.unionByName(fixed).drop(BUCKET, SUB, HOT, _FIRST, _LAST)

@@ -65,6 +65,58 @@ def run_end(counterparty: str) -> Column:
     )
 
 
+def _ages(spans, prev: str = "prev_") -> tuple[str, str]:
+    with_age = any(c is not None for _, c in spans)
+    return ("age_days", f"{prev}age_days") if with_age else ("0", "0")
+
+
+def customer_pass1_sql(spans, burst_seconds: float = BURST_GAP_SECONDS) -> list[str]:
+    """Aggregates over all legs with ``prev_*``/``next_*`` per (key, role): repeat
+    amounts, first time and interval stats per role, many-to-one bursts."""
+    age, prev_age = _ages(spans)
+    out = []
+    for prefix, cut in spans:
+        cur_in = span_sql(age, cut)
+        prev_in = f"prev_leg_us IS NOT NULL AND {span_sql(prev_age, cut)}"
+        gap = f"CASE WHEN {prev_in} THEN leg_us - prev_leg_us END"
+        for role in ("send", "pay"):
+            cond = f"{cur_in} AND role = '{role}'"
+            g = f"CASE WHEN {cond} THEN {gap} END"
+            out += [
+                f"count_if({cond} AND {prev_in} AND prev_amount = amount) AS `{prefix}{role}_repeat_amount_txns`",
+                f"min(CASE WHEN {cond} THEN leg_time END) AS `{prefix}min_{role}_time`",
+                f"min({g}) / {dbl(_US)} AS `{prefix}min_interval_{role}_txns`",
+                f"max({g}) / {dbl(_US)} AS `{prefix}max_interval_{role}_txns`",
+                f"sum({g}) / count({g}) / {dbl(_US)} AS `{prefix}avg_interval_{role}_txns`",
+            ]
+        out.append(
+            f"count_if({cur_in} AND role = 'pay' AND ({burst_sql(prev_in, burst_seconds)}))"
+            f" AS `{prefix}many_to_one_pay_count`"
+        )
+    return out
+
+
+def customer_pass2_sql(spans, burst_seconds: float = BURST_GAP_SECONDS) -> list[str]:
+    """Aggregates over the send run ends with their own ``prev_*``/``next_*``."""
+    age, prev_age = _ages(spans)
+    return [
+        f"count_if({span_sql(age, cut)} AND ({burst_sql(span_sql(prev_age, cut), burst_seconds)}))"
+        f" AS `{prefix}one_to_many_send_count`"
+        for prefix, cut in spans
+    ]
+
+
+def customer_flip_sql(spans, seconds: float = CUSTOMER_FLIP_SECONDS, prev: str = "prev_") -> list[str]:
+    """Aggregates over all legs with the previous leg of either role (``{prev}*``)."""
+    age, prev_age = _ages(spans, prev)
+    gap = f"leg_us - {prev}leg_us"
+    return [
+        f"count_if({span_sql(age, cut)} AND {span_sql(prev_age, cut)}"
+        f" AND {gap} > 0 AND {gap} <= {int(seconds * _US)}) AS `{prefix}flipped_txns_count`"
+        for prefix, cut in spans
+    ]
+
+
 def customer_sequences(
     legs: DataFrame,
     keys: Sequence[str] = ("entity_id", "as_of_date"),
@@ -88,27 +140,7 @@ def customer_sequences(
         base, keys + ["role"], "leg_us", "mtcn", prev_cols, ["leg_us", "other_customer"], bucket_seconds, hot_rows,
         split,
     )
-    age, prev_age = ("age_days", "prev_age_days") if with_age else ("0", "0")
-    exprs = []
-    for prefix, cut in spans:
-        cur_in = span_sql(age, cut)
-        prev_in = f"prev_leg_us IS NOT NULL AND {span_sql(prev_age, cut)}"
-        gap = f"CASE WHEN {prev_in} THEN leg_us - prev_leg_us END"
-        for role in ("send", "pay"):
-            cond = f"{cur_in} AND role = '{role}'"
-            g = f"CASE WHEN {cond} THEN {gap} END"
-            exprs += [
-                f"count_if({cond} AND {prev_in} AND prev_amount = amount) AS `{prefix}{role}_repeat_amount_txns`",
-                f"min(CASE WHEN {cond} THEN leg_time END) AS `{prefix}min_{role}_time`",
-                f"min({g}) / {dbl(_US)} AS `{prefix}min_interval_{role}_txns`",
-                f"max({g}) / {dbl(_US)} AS `{prefix}max_interval_{role}_txns`",
-                f"sum({g}) / count({g}) / {dbl(_US)} AS `{prefix}avg_interval_{role}_txns`",
-            ]
-        exprs.append(
-            f"count_if({cur_in} AND role = 'pay' AND ({burst_sql(prev_in, burst_seconds)}))"
-            f" AS `{prefix}many_to_one_pay_count`"
-        )
-    exprs = [F.expr(e) for e in exprs]
+    exprs = [F.expr(e) for e in customer_pass1_sql(spans, burst_seconds)]
     per_role = first.groupBy(*keys).agg(*exprs)
 
     kept = first.filter((F.col("role") == F.lit("send")) & run_end("other_customer")).select(
@@ -118,13 +150,7 @@ def customer_sequences(
         kept, keys + ["role"], "leg_us", "mtcn", ["leg_us"] + (["age_days"] if with_age else []), ["leg_us"],
         bucket_seconds, hot_rows, split,
     )
-    otm = [
-        F.expr(
-            f"count_if({span_sql(age, cut)} AND ({burst_sql(span_sql(prev_age, cut), burst_seconds)}))"
-            f" AS `{prefix}one_to_many_send_count`"
-        )
-        for prefix, cut in spans
-    ]
+    otm = [F.expr(e) for e in customer_pass2_sql(spans, burst_seconds)]
     one_to_many = second.groupBy(*keys).agg(*otm)
     return per_role.join(one_to_many, keys, "left")
 
@@ -153,15 +179,7 @@ def customer_flips(
         base, keys, "leg_us", "mtcn", ["leg_us"] + (["age_days"] if with_age else []), [], bucket_seconds, hot_rows,
         split,
     )
-    age, prev_age = ("age_days", "prev_age_days") if with_age else ("0", "0")
-    exprs = [
-        F.expr(
-            f"count_if({span_sql(age, cut)} AND {span_sql(prev_age, cut)}"
-            f" AND leg_us - prev_leg_us > 0 AND leg_us - prev_leg_us <= {int(seconds * _US)})"
-            f" AS `{prefix}flipped_txns_count`"
-        )
-        for prefix, cut in spans
-    ]
+    exprs = [F.expr(e) for e in customer_flip_sql(spans, seconds)]
     return nb.groupBy(*keys).agg(*exprs)
 
 

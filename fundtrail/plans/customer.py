@@ -35,13 +35,20 @@ from fundtrail.functions.params import (
     OUTCOME_FLAGS,
     RAPID_PAYOUT_SECONDS,
 )
-from fundtrail.operators.basics import basics
+from fundtrail.operators.basics import basics, basics_exprs
 from fundtrail.operators.countries import flag_high_risk, primary_countries
 from fundtrail.operators.distinct import DistinctOut as O
 from fundtrail.operators.distinct import ValueFamily, distinct_counts
-from fundtrail.operators.neighbors import has_hot_keys
+from fundtrail.operators.neighbors import has_hot_keys, with_neighbors
 from fundtrail.operators.outcomes import outcomes_as_of
-from fundtrail.operators.sequences import customer_flips, customer_sequences
+from fundtrail.operators.sequences import (
+    customer_flip_sql,
+    customer_flips,
+    customer_pass1_sql,
+    customer_pass2_sql,
+    customer_sequences,
+    run_end,
+)
 
 KEYS = ("entity_id", "as_of_date")
 FULL = (("", None),)
@@ -136,6 +143,31 @@ DOUBLES = {
 }
 
 
+def _ordered_and_basics(legs, keys, spans, bands, rapid_seconds, burst_seconds, flip_seconds) -> DataFrame:
+    """No hot entity: one exchange on (entity, as-of date) serves the flip window
+    (both roles), the per-role windows, the second pass over send run ends and
+    the aggregates, since a hash partitioning on the entity keys satisfies every
+    finer window key and the final ``groupBy``."""
+    ages = ["age_days"] if any(c is not None for _, c in spans) else []
+    # Explicit, so both branches below (all legs; send run ends) share one
+    # exchange even where column pruning drops a window from one of them.
+    legs = legs.repartition(*keys)
+    x = with_neighbors(legs, keys, "leg_us", "mtcn", ["leg_us", *ages], [], split=False, out_prefix="all_")
+    x = with_neighbors(
+        x, keys + ["role"], "leg_us", "mtcn", ["leg_us", "amount", *ages], ["leg_us", "other_customer"], split=False
+    )
+    exprs = basics_exprs(spans, bands, rapid_seconds, with_hrj=True)
+    exprs += [F.expr(e) for e in customer_pass1_sql(spans, burst_seconds)]
+    exprs += [F.expr(e) for e in customer_flip_sql(spans, flip_seconds, prev="all_prev_")]
+    first = x.groupBy(*keys).agg(*exprs)
+    kept = x.filter((F.col("role") == F.lit("send")) & run_end("other_customer")).select(
+        *keys, "role", "mtcn", "leg_us", *ages
+    )
+    y = with_neighbors(kept, keys + ["role"], "leg_us", "mtcn", ["leg_us", *ages], ["leg_us"], split=False)
+    second = y.groupBy(*keys).agg(*[F.expr(e) for e in customer_pass2_sql(spans, burst_seconds)])
+    return first.join(second, keys, "left")
+
+
 def customer_features(
     legs: DataFrame,
     geo_risk: DataFrame,
@@ -154,15 +186,20 @@ def customer_features(
     keys = list(KEYS)
     if "is_hrj" not in legs.columns:
         legs = flag_high_risk(legs, geo_risk)
-    blocks = basics(legs, keys, spans, bands, rapid_seconds, with_hrj=True)
     # Every ordered key is finer than (entity, as-of date): if no entity is hot,
     # no operator needs to look for hot keys of its own.
-    split = None if has_hot_keys(legs, keys, hot_rows) else False
-    parts = [
+    if has_hot_keys(legs, keys, hot_rows):
+        blocks = basics(legs, keys, spans, bands, rapid_seconds, with_hrj=True)
+        parts = [
+            customer_sequences(legs, keys, spans, burst_seconds, bucket_seconds, hot_rows),
+            customer_flips(legs, keys, spans, flip_seconds, bucket_seconds, hot_rows),
+        ]
+    else:
+        blocks = _ordered_and_basics(legs, keys, spans, bands, rapid_seconds, burst_seconds, flip_seconds)
+        parts = []
+    parts += [
         distinct_counts(legs, keys, customer_distinct_families(), spans),
         primary_countries(legs, keys, spans),
-        customer_sequences(legs, keys, spans, burst_seconds, bucket_seconds, hot_rows, split),
-        customer_flips(legs, keys, spans, flip_seconds, bucket_seconds, hot_rows, split),
         outcomes_as_of(outcomes, legs.select(*keys).distinct(), subject_type, outcome_days, keys),
     ]
     for part in parts:
