@@ -22,6 +22,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from fundtrail.functions.columns import dbl, span_sql
 from fundtrail.functions.params import (
@@ -45,12 +46,12 @@ def burst_member(prev_ok: Column, gap_seconds: float) -> Column:
     return near_prev | near_next
 
 
-def burst_sql(prev_ok: str, gap_seconds: float) -> str:
-    """SQL form of ``burst_member``."""
+def burst_sql(prev_ok: str, gap_seconds: float, prev: str = "prev_", nxt: str = "next_") -> str:
+    """SQL form of ``burst_member``; neighbour columns are ``{prev}leg_us`` / ``{nxt}leg_us``."""
     limit = int(gap_seconds * _US)
     return (
-        f"(({prev_ok}) AND prev_leg_us IS NOT NULL AND leg_us - prev_leg_us <= {limit})"
-        f" OR (next_leg_us IS NOT NULL AND next_leg_us - leg_us <= {limit})"
+        f"(({prev_ok}) AND {prev}leg_us IS NOT NULL AND leg_us - {prev}leg_us <= {limit})"
+        f" OR ({nxt}leg_us IS NOT NULL AND {nxt}leg_us - leg_us <= {limit})"
     )
 
 
@@ -96,16 +97,37 @@ def customer_pass1_sql(spans, burst_seconds: float = BURST_GAP_SECONDS) -> list[
     return out
 
 
-def customer_pass2_sql(spans, burst_seconds: float = BURST_GAP_SECONDS) -> list[str]:
-    """Aggregates over the send run ends with their own ``prev_*``/``next_*``."""
-    age, prev_age = _ages(spans)
+def customer_pass2_sql(
+    spans, burst_seconds: float = BURST_GAP_SECONDS, prev: str = "prev_", nxt: str = "next_", rows: str = "TRUE"
+) -> list[str]:
+    """Aggregates over the send run ends (the rows where ``rows`` holds) with
+    their own neighbours ``{prev}*`` / ``{nxt}*``."""
+    age, prev_age = _ages(spans, prev)
     return [
-        f"count_if({span_sql(age, cut)} AND ({burst_sql(span_sql(prev_age, cut), burst_seconds)}))"
+        f"count_if({rows} AND {span_sql(age, cut)} AND ({burst_sql(span_sql(prev_age, cut), burst_seconds, prev, nxt)}))"
         f" AS `{prefix}one_to_many_send_count`"
         for prefix, cut in spans
     ]
 
 
+def with_marked_neighbors(
+    df: DataFrame, keys: Sequence[str], order_us: str, tie: str, mark: str, prev_cols: Sequence[str], prefix: str
+) -> DataFrame:
+    """Add ``{prefix}prev_<c>`` (for ``prev_cols``) and ``{prefix}next_<order_us>``:
+    the previous / next row of the same ``keys`` among the rows where the
+    boolean column ``mark`` holds. All rows stay; the frames grow row by row
+    (O(n) per key) and keep the input's partitioning on ``keys``."""
+    w = Window.partitionBy(*keys)
+    before = w.orderBy(order_us, tie).rowsBetween(Window.unboundedPreceding, -1)
+    after = w.orderBy(F.col(order_us).desc(), F.col(tie).desc()).rowsBetween(Window.unboundedPreceding, -1)
+    last_prev = F.last(F.when(F.col(mark), F.struct(*prev_cols)), ignorenulls=True).over(before)
+    first_next = F.last(F.when(F.col(mark), F.col(order_us)), ignorenulls=True).over(after)
+    out = df.select("*", last_prev.alias("_mk_prev"), first_next.alias(f"{prefix}next_{order_us}"))
+    return out.select(
+        *[c for c in out.columns if c != "_mk_prev"], *[F.col(f"_mk_prev.{c}").alias(f"{prefix}prev_{c}") for c in prev_cols]
+    )
+
+
 def customer_flip_sql(spans, seconds: float = CUSTOMER_FLIP_SECONDS, prev: str = "prev_") -> list[str]:
     """Aggregates over all legs with the previous leg of either role (``{prev}*``)."""
     age, prev_age = _ages(spans, prev)

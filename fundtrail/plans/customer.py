@@ -48,6 +48,7 @@ from fundtrail.operators.sequences import (
     customer_pass2_sql,
     customer_sequences,
     run_end,
+    with_marked_neighbors,
 )
 
 KEYS = ("entity_id", "as_of_date")
@@ -145,13 +146,10 @@ DOUBLES = {
 
 def _ordered_and_basics(legs, keys, spans, bands, rapid_seconds, burst_seconds, flip_seconds) -> DataFrame:
     """No hot entity: one exchange on (entity, as-of date) serves the flip window
-    (both roles), the per-role windows, the second pass over send run ends and
-    the aggregates, since a hash partitioning on the entity keys satisfies every
-    finer window key and the final ``groupBy``."""
+    (both roles), the per-role windows, the neighbours among send run ends and
+    the one aggregate, since a hash partitioning on the entity keys satisfies
+    every finer window key and the final ``groupBy``."""
     ages = ["age_days"] if any(c is not None for _, c in spans) else []
-    # Explicit, so both branches below (all legs; send run ends) share one
-    # exchange even where column pruning drops a window from one of them.
-    legs = legs.repartition(*keys)
     x = with_neighbors(legs, keys, "leg_us", "mtcn", ["leg_us", *ages], [], split=False, out_prefix="all_")
     x = with_neighbors(
         x, keys + ["role"], "leg_us", "mtcn", ["leg_us", "amount", *ages], ["leg_us", "other_customer"], split=False
@@ -159,13 +157,12 @@ def _ordered_and_basics(legs, keys, spans, bands, rapid_seconds, burst_seconds,
     exprs = basics_exprs(spans, bands, rapid_seconds, with_hrj=True)
     exprs += [F.expr(e) for e in customer_pass1_sql(spans, burst_seconds)]
     exprs += [F.expr(e) for e in customer_flip_sql(spans, flip_seconds, prev="all_prev_")]
-    first = x.groupBy(*keys).agg(*exprs)
-    kept = x.filter((F.col("role") == F.lit("send")) & run_end("other_customer")).select(
-        *keys, "role", "mtcn", "leg_us", *ages
-    )
-    y = with_neighbors(kept, keys + ["role"], "leg_us", "mtcn", ["leg_us", *ages], ["leg_us"], split=False)
-    second = y.groupBy(*keys).agg(*[F.expr(e) for e in customer_pass2_sql(spans, burst_seconds)])
-    return first.join(second, keys, "left")
+    # One-to-many runs over the send run ends only: their own neighbours come
+    # from growing frames over the marked rows, on the same partitioning.
+    x = x.withColumn("run_end", (F.col("role") == F.lit("send")) & run_end("other_customer"))
+    x = with_marked_neighbors(x, keys + ["role"], "leg_us", "mtcn", "run_end", ["leg_us", *ages], "end_")
+    exprs += [F.expr(e) for e in customer_pass2_sql(spans, burst_seconds, "end_prev_", "end_next_", "run_end")]
+    return x.groupBy(*keys).agg(*exprs)
 
 
 def customer_features(

@@ -106,3 +106,19 @@ def test_dense_burst_is_split_again(spark):
     j = s.alias("s").join(p.alias("p"), "c").filter(F.abs(F.col("s.leg_us") - F.col("p.leg_us")) <= 1_000_000)
     want = {r["c"]: r["n"] for r in j.groupBy("c").agg(F.count(F.lit(1)).alias("n")).collect()}
     assert got[1] == want[1]
+
+
+def test_marked_neighbors_equal_filter_then_window(spark):
+    """Neighbours among marked rows, taken without filtering, equal lag/lead
+    over the marked rows alone (values with nulls, ties in time)."""
+    from fundtrail.operators.sequences import with_marked_neighbors
+
+    df = spark.createDataFrame(_rows(), "k long, r string, t long, id long, v long")
+    df = df.withColumn("m", F.coalesce(F.col("v"), F.lit(0)) != 2)
+    keys = ["k", "r"]
+    got = with_marked_neighbors(df, keys, "t", "id", "m", ["t", "v"], "m_").filter("m")
+    want = with_neighbors(df.filter("m"), keys, "t", "id", ["t", "v"], ["t"], bucket_seconds=None)
+    a = sorted(tuple(r) for r in got.select("id", "m_prev_t", "m_prev_v", "m_next_t").collect())
+    b = sorted(tuple(r) for r in want.select("id", "prev_t", "prev_v", "next_t").collect())
+    assert a == b
+    assert len(a) == df.filter("m").count()
