@@ -34,9 +34,16 @@ from fundtrail.operators.countries import flag_high_risk
 from fundtrail.operators.distinct import DistinctOut as O
 from fundtrail.operators.distinct import ValueFamily, distinct_counts
 from fundtrail.operators.flips import location_flips
-from fundtrail.operators.neighbors import has_hot_keys
+from fundtrail.operators.neighbors import has_hot_keys, with_neighbors
 from fundtrail.operators.outcomes import outcome_sums
-from fundtrail.operators.sequences import location_bursts, location_repeats, rapid_fire
+from fundtrail.operators.sequences import (
+    burst_sql,
+    location_bursts,
+    location_repeats,
+    rapid_fire,
+    run_end,
+    with_marked_neighbors,
+)
 
 KEYS = ("entity_id",)
 
@@ -131,10 +138,11 @@ def location_aggregates(
     bands: Sequence[tuple[float, float]] = AMOUNT_BANDS,
     rapid_seconds: float = RAPID_PAYOUT_SECONDS,
     with_hrj: bool = True,
+    extra: Sequence[Column] = (),
 ) -> DataFrame:
     """One ``groupBy``: per-role basics, risky-country sums (legs flagged by
-    ``flag_high_risk``) and leading digits."""
-    exprs = []
+    ``flag_high_risk``), leading digits and any ``extra`` aggregates."""
+    exprs = list(extra)
     for role in ("send", "pay"):
         exprs += role_exprs(role, "", f"role = '{role}'", bands, rapid_seconds)
         exprs += B.digit_count_exprs(role)
@@ -147,6 +155,35 @@ def location_aggregates(
     ).drop(*digits)
 
 
+def _ordered_and_aggregates(
+    legs: DataFrame, bands: Sequence[tuple[float, float]], rapid_seconds: float, burst_seconds: float
+) -> DataFrame:
+    """No hot location: the legs are shuffled once, on the location. That hash
+    partitioning serves the repeat window (location, role, terminal), the burst
+    window (location, role, customer), the neighbours among run ends, and one
+    aggregate with the basics, leading digits, bursts and repeats. Legs without
+    a terminal or customer form their own window groups and are not counted,
+    as in ``location_repeats`` / ``location_bursts``."""
+    by_customer = ["entity_id", "role", "own_customer"]
+    by_terminal = ["entity_id", "role", "own_terminal"]
+    # The first window is keyed finer than the location; shuffling on the
+    # location itself lets every later window and the aggregate reuse it.
+    x = legs.repartition(*KEYS)
+    x = with_neighbors(x, by_terminal, "leg_us", "mtcn", ["amount"], [], split=False, out_prefix="term_")
+    x = with_neighbors(x, by_customer, "leg_us", "mtcn", [], ["leg_us", "other_customer"], split=False)
+    x = x.withColumn("run_end", F.col("own_customer").isNotNull() & run_end("other_customer"))
+    x = with_marked_neighbors(x, by_customer, "leg_us", "mtcn", "run_end", ["leg_us"], "end_")
+    member = f"run_end AND ({burst_sql('TRUE', burst_seconds, 'end_prev_', 'end_next_')})"
+    same = "own_terminal IS NOT NULL AND term_prev_amount = amount"
+    extra = [
+        F.expr(f"count_if({member} AND role = 'send') AS one_to_many_send_count"),
+        F.expr(f"count_if({member} AND role = 'pay') AS many_to_one_pay_count"),
+        F.expr(f"count_if({same} AND role = 'send') AS send_repeat_amount_txns"),
+        F.expr(f"count_if({same} AND role = 'pay') AS pay_repeat_amount_txns"),
+    ]
+    return location_aggregates(x, bands, rapid_seconds, extra=extra)
+
+
 def time_index_value(time_index: DataFrame, date_from: dt.date | str, date_to: dt.date | str) -> DataFrame:
     """One row: the index whose (t1, t2) equals the range, or null."""
     lo, hi = F.lit(date_from).cast("date"), F.lit(date_to).cast("date")
@@ -175,16 +212,23 @@ def location_features(
     keys = list(KEYS)
     if "is_hrj" not in legs.columns:
         legs = flag_high_risk(legs, geo_risk)
-    blocks = location_aggregates(legs, bands, rapid_seconds)
     # Ordered keys are finer than the location: if no location is hot, no
     # operator needs to look for hot keys of its own.
-    split = None if has_hot_keys(legs, keys, hot_rows) else False
-    parts = [
+    if has_hot_keys(legs, keys, hot_rows):
+        split = None
+        blocks = location_aggregates(legs, bands, rapid_seconds)
+        parts = [
+            location_bursts(legs, burst_seconds, bucket_seconds, hot_rows, split),
+            location_repeats(legs, bucket_seconds, hot_rows, split),
+        ]
+    else:
+        split = False
+        blocks = _ordered_and_aggregates(legs, bands, rapid_seconds, burst_seconds)
+        parts = []
+    parts += [
         distinct_counts(legs, keys, location_distinct_families()),
-        location_bursts(legs, burst_seconds, bucket_seconds, hot_rows, split),
         location_flips(legs, flip_seconds, bucket_seconds, hot_rows, split),
         rapid_fire(legs, fire_seconds, bucket_seconds, hot_rows, split),
-        location_repeats(legs, bucket_seconds, hot_rows, split),
         outcome_sums(outcomes, subject_type, date_from, date_to),
     ]
     for part in parts:

@@ -122,3 +122,23 @@ def test_marked_neighbors_equal_filter_then_window(spark):
     b = sorted(tuple(r) for r in want.select("id", "prev_t", "prev_v", "next_t").collect())
     assert a == b
     assert len(a) == df.filter("m").count()
+
+
+def test_location_single_shuffle_path_with_blank_customers_and_terminals(spark):
+    """Legs without a customer or terminal: the single-shuffle location path
+    (windows over all legs, counts gated) equals the separate operators, which
+    drop those legs before their windows."""
+    from fundtrail.plans.location import location_features
+    from fundtrail.queries import _location_legs, round_doubles
+    from tests.conftest import SF_SMALL
+
+    t, legs = _location_legs(spark, SF_SMALL)
+    legs = legs.withColumn(
+        "own_terminal", F.when(F.col("mtcn") % 5 == 0, F.lit(None)).otherwise(F.col("own_terminal"))
+    ).withColumn("own_customer", F.when(F.col("mtcn") % 7 == 0, F.lit(None)).otherwise(F.col("own_customer")))
+    args = (legs, t["geo_risk"], t["outcomes"], t["time_index"], "2024-01-01", "2024-01-30")
+    fused = round_doubles(location_features(*args))
+    separate = round_doubles(location_features(*args, hot_rows=0, bucket_seconds=7200))
+    assert _rows_of(fused) == _rows_of(separate)
+    cols = ["one_to_many_send_count", "many_to_one_pay_count", "send_repeat_amount_txns", "pay_repeat_amount_txns"]
+    assert fused.agg(*[F.sum(c) for c in cols]).first()[0] is not None
