@@ -191,12 +191,18 @@ def customer_features(
             customer_sequences(legs, keys, spans, burst_seconds, bucket_seconds, hot_rows),
             customer_flips(legs, keys, spans, flip_seconds, bucket_seconds, hot_rows),
         ]
+        by_key = legs
     else:
         blocks = _ordered_and_basics(legs, keys, spans, bands, rapid_seconds, burst_seconds, flip_seconds)
         parts = []
+        # Distinct counts and primary countries group by the keys plus a value,
+        # then by the keys. With no hot entity, narrow legs shuffled once on the
+        # keys serve both steps: no second exchange, and no wide partial states
+        # (which merge little, as one entity's legs are spread over many files).
+        by_key = legs.repartition(*keys)
     parts += [
-        distinct_counts(legs, keys, customer_distinct_families(), spans),
-        primary_countries(legs, keys, spans),
+        distinct_counts(by_key, keys, customer_distinct_families(), spans),
+        primary_countries(by_key, keys, spans),
         outcomes_as_of(outcomes, legs.select(*keys).distinct(), subject_type, outcome_days, keys),
     ]
     for part in parts:

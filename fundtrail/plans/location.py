@@ -225,12 +225,12 @@ def location_features(
         split = False
         blocks = _ordered_and_aggregates(legs, bands, rapid_seconds, burst_seconds)
         parts = []
-    # Flips and rapid fire group by keys that hold the location, then by the
-    # location: with no hot location, legs shuffled on the location serve every
-    # step (one exchange each instead of three).
+    # Distinct counts, flips and rapid fire group by keys that hold the
+    # location, then by the location: with no hot location, legs shuffled on
+    # the location serve every step (one exchange each instead of two or three).
     by_location = legs if split is None else legs.repartition(*keys)
     parts += [
-        distinct_counts(legs, keys, location_distinct_families()),
+        distinct_counts(by_location, keys, location_distinct_families()),
         location_flips(by_location, flip_seconds, bucket_seconds, hot_rows, split),
         rapid_fire(by_location, fire_seconds, bucket_seconds, hot_rows, split),
         outcome_sums(outcomes, subject_type, date_from, date_to),
