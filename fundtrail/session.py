@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import atexit
+import tempfile
 import uuid
-import warnings
 
+from pyspark import SparkContext
 from pyspark.sql import DataFrame, SparkSession
 
 DEFAULT_CONF = {
@@ -16,6 +18,9 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
 }
 
+# Folders written by materialize() and not yet released.
+_written: set[str] = set()
+
 
 def build_session(master: str | None = None, app: str = "fundtrail", conf: dict[str, str] | None = None) -> SparkSession:
     """Session with AQE on and UTC as the session time zone.
@@ -61,36 +66,44 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str) -> str:
     return fallback
 
 
+def shared_dir(spark: SparkSession) -> str:
+    """The folder for intermediate tables.
+
+    ``spark.checkpoint.dir`` on every cluster. Only a plain local master (one
+    process, so every folder is shared) gets a temporary folder when the
+    setting is missing; a cluster without it is refused.
+    """
+    current = checkpoint_dir(spark)
+    if current:
+        return current
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    return ensure_checkpoint_dir(spark, tempfile.mkdtemp(prefix="fundtrail-checkpoint-"))
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as parquet under the checkpoint folder and read it back.
+    """Write ``df`` as parquet under the shared folder and read it back.
 
     Cuts the lineage so later stages (and retries after a lost executor) start
-    from the written files instead of recomputing the inputs. Without a
-    checkpoint folder the frame is returned unchanged.
+    from the written files instead of recomputing the inputs. The plan runs
+    once; a failed write fails. The folder is deleted by ``release`` or at the
+    end of the application.
     """
     spark = df.sparkSession
-    base = checkpoint_dir(spark)
-    if not base:
-        return df
-    # Small inputs come as one or two partitions; spread them so the readers
-    # of the written files run in parallel. Large inputs are left as they are.
-    try:
-        parallelism = spark.sparkContext.defaultParallelism
-        if df.rdd.getNumPartitions() < parallelism:
-            df = df.repartition(parallelism)
-    except Exception:  # no RDD view (e.g. a Spark Connect session)
-        pass
-    path = f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    try:
-        df.write.mode("overwrite").parquet(path)
-    except Exception as exc:  # the folder is an optimization, not a requirement
-        warnings.warn(f"could not write {path} ({type(exc).__name__}); keeping the lineage", stacklevel=2)
-        return df
-    out = spark.read.parquet(path)
+    path = f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    _written.add(path)
+    df.write.mode("overwrite").parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
     out._fundtrail_path = path  # for release()
     return out
 
 
+def _delete(context: SparkContext, path: str) -> None:
+    hpath = context._jvm.org.apache.hadoop.fs.Path(path)
+    hpath.getFileSystem(context._jsc.hadoopConfiguration()).delete(hpath, True)
+
+
 def release(df: DataFrame) -> None:
     """Delete the files behind a frame returned by ``materialize`` (no-op otherwise).
 
@@ -98,9 +111,18 @@ def release(df: DataFrame) -> None:
     Hadoop file system of the path, so it works on shared storage too.
     """
     path = getattr(df, "_fundtrail_path", None)
-    if not path:
+    if path:
+        _delete(df.sparkSession.sparkContext, path)
+        _written.discard(path)
+
+
+@atexit.register
+def _release_all() -> None:
+    context = SparkContext._active_spark_context
+    if context is None:
         return
-    spark = df.sparkSession
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hpath, True)
+    for path in sorted(_written):
+        try:
+            _delete(context, path)
+        except Exception:  # the JVM is already gone; nothing left to ask
+            return
