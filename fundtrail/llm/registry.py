@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fundtrail.llm import language, toxicity
+from fundtrail.llm import bpe, decontam, language, licenses, neardup, toxicity
 from fundtrail.llm.labelled import fold
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -17,6 +17,52 @@ def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def _tokenizer_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.scan_licenses(_read(spark, sf_dir, "documents"))
+    words = F.transform("base", lambda b: b["word"])
+    base = F.transform("base", lambda b: b["label"])
+    every = F.concat(base, F.transform("detections", lambda d: d["label"]))
+    sure = F.transform("detections", lambda d: d["confidence"])
+    return found.select(
+        "doc_id",
+        "n_words",
+        F.size("base").cast("long").alias("n_base"),
+        F.array_min(words).alias("first_word"),
+        F.array_max(words).alias("last_word"),
+        F.array_join(F.array_sort(F.array_distinct(base)), ",").alias("base_labels"),
+        F.array_join(F.array_sort(F.array_distinct(every)), ",").alias("labels"),
+        F.coalesce(
+            F.greatest(F.array_max(sure), F.when(F.size("base") > 0, licenses.PLAIN_CONFIDENCE)), F.lit(0.0)
+        ).alias("score"),
+        F.size("detections").cast("long").alias("n_detections"),
+    )
+
+
+def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = bpe.encode_decode(_read(spark, sf_dir, "documents"), _tokenizer_path())
+    return out.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+def op4_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(_read(spark, sf_dir, "documents"), size=3, percent=85)
+
+
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    leaks = decontam.find_leaks(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
+    return leaks.withColumn("similarity", 1 - F.col("edits") / F.col("item_words"))
+
+
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _read(spark, sf_dir, "documents")
     profiles = language.fit_profiles(docs, learn_from=fold("doc_id", 5) != 0)
@@ -38,6 +84,10 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {
+        "op1_license_scan": op1_license_scan,
+        "op2_bpe": op2_bpe,
+        "op4_minhash_dedup": op4_minhash_dedup,
+        "op7_decontamination": op7_decontamination,
         "op8_language_id": op8_language_id,
         "op10_toxicity": op10_toxicity,
     }
