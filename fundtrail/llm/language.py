@@ -185,6 +185,33 @@ def _distances(
     return out, np.bincount(text, minlength=n)
 
 
+def _predictor(profiles: dict[str, dict[int, int]], profile_size: int):
+    """A function from texts to (language names, scores)."""
+    names = sorted(profiles)
+    grams = np.array(sorted({g for p in profiles.values() for g in p}), dtype=np.int64)
+    ranks = np.full((len(grams), len(names)), -1, np.int64)
+    for k, name in enumerate(names):
+        mine = profiles[name]
+        ranks[np.searchsorted(grams, np.fromiter(mine, np.int64, len(mine))), k] = list(mine.values())
+    label = np.array(names + [UNKNOWN], dtype=object)
+
+    def predict(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+        pred, score = np.full(len(texts), len(names)), np.zeros(len(texts))
+        if names:
+            for a, b, part in _text_blocks(texts):
+                away, n = _distances(part, grams, ranks, profile_size)
+                near = np.sort(away, axis=1)
+                if len(names) > 1:
+                    sure = np.where(near[:, 1] > 0, near[:, 1] / np.maximum(near[:, 0] + near[:, 1], 1e-12), 0.5)
+                else:
+                    sure = np.ones(len(part))
+                pred[a:b] = np.where(n > 0, np.argmin(away, axis=1), len(names))
+                score[a:b] = np.where(n > 0, sure, 0.0)
+        return label[pred], score
+
+    return predict
+
+
 def predict_language(
     docs: DataFrame,
     profiles: dict[str, dict[int, int]],
@@ -193,36 +220,41 @@ def predict_language(
     profile_size: int = PROFILE_SIZE,
 ) -> DataFrame:
     """(id, lang_pred, score): nearest profile; score is second / (first + second) distance, from 0.5 to 1."""
-    names = sorted(profiles)
-    grams = np.array(sorted({g for p in profiles.values() for g in p}), dtype=np.int64)
-    ranks = np.full((len(grams), len(names)), -1, np.int64)
-    for k, name in enumerate(names):
-        mine = profiles[name]
-        ranks[np.searchsorted(grams, np.fromiter(mine, np.int64, len(mine))), k] = list(mine.values())
+    predict = _predictor(profiles, profile_size)
 
-    def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        label = np.array(names + [UNKNOWN], dtype=object)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            pred = np.full(batch.num_rows, len(names))
-            score = np.zeros(batch.num_rows)
-            if names:
-                for a, b, part in _text_blocks(batch.column("_text").to_pylist()):
-                    away, n = _distances(part, grams, ranks, profile_size)
-                    best = np.argmin(away, axis=1)
-                    near = np.sort(away, axis=1)
-                    other = near[:, 1] if len(names) > 1 else np.full(len(part), np.inf)
-                    with np.errstate(invalid="ignore"):
-                        sure = np.where(np.isinf(other), 1.0, other / np.maximum(near[:, 0] + other, 1e-12))
-                    sure = np.where(near[:, 0] + np.where(np.isinf(other), 1, other) == 0, 0.5, sure)
-                    pred[a:b] = np.where(n > 0, best, len(names))
-                    score[a:b] = np.where(n > 0, sure, 0.0)
+            pred, score = predict(batch.column("_text").to_pylist())
             yield pa.RecordBatch.from_arrays(
-                [batch.column("_id"), pa.array(label[pred].tolist(), pa.string()), pa.array(score)],
+                [batch.column("_id"), pa.array(pred.tolist(), pa.string()), pa.array(score)],
                 ["_id", "lang_pred", "score"],
             )
 
     kind = docs.schema[id_col].dataType.simpleString()
     found = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")).mapInArrow(
-        predict, f"_id {kind}, lang_pred string, score double"
+        run, f"_id {kind}, lang_pred string, score double"
     )
     return found.withColumnRenamed("_id", id_col)
+
+
+def filter_language(
+    docs: DataFrame,
+    profiles: dict[str, dict[int, int]],
+    text_col: str = "text",
+    languages: list[str] | None = None,
+    profile_size: int = PROFILE_SIZE,
+) -> DataFrame:
+    """The rows of ``docs``, all columns, whose text is in one of ``languages`` (default: any learned one).
+
+    A text that is ``und`` or lies exactly between two languages is rejected.
+    """
+    predict = _predictor(profiles, profile_size)
+    wanted = set(profiles if languages is None else languages)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            pred, score = predict(batch.column(text_col).to_pylist())
+            keep = np.fromiter((p in wanted for p in pred), bool, len(pred)) & (score > 0.5)
+            yield batch.filter(pa.array(keep))
+
+    return docs.mapInArrow(run, docs.schema)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fundtrail.llm import bpe, decontam, language, licenses, neardup, toxicity
+from fundtrail.llm import bpe, decontam, language, licenses, neardup, pages, quality, toxicity, urls, vectors
 from fundtrail.llm.labelled import fold
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -17,7 +17,18 @@ def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
-def _tokenizer_path() -> str:
+# Fixed rules of the url query.
+URL_RULES = [
+    urls.UrlRule("com", "/", "allow"),
+    urls.UrlRule("example.com", "/en/", "block"),
+    urls.UrlRule("www.example.com", "/en/", "allow"),
+    urls.UrlRule("net", "/es/", "block"),
+    urls.UrlRule("net", "/fr/", "block"),
+]
+
+
+def tokenizer_path() -> str:
+    """The public tokenizer file of the registered queries; operators take any path."""
     import public_tokenizers
 
     return public_tokenizers.path("word_bpe_49k.json")
@@ -45,7 +56,7 @@ def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = bpe.encode_decode(_read(spark, sf_dir, "documents"), _tokenizer_path())
+    out = bpe.encode_decode(_read(spark, sf_dir, "documents"), tokenizer_path())
     return out.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
@@ -54,10 +65,29 @@ def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.filter_urls(_read(spark, sf_dir, "pages"), URL_RULES)
+
+
 def op4_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(_read(spark, sf_dir, "documents"), size=3, percent=85)
 
 
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = _read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels")
+    model = quality.fit_quality(docs, labels, learn_from=fold("doc_id", 3) != 1)
+    return quality.score_quality(docs, model).select(
+        "doc_id",
+        (fold("doc_id", 3) == 1).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
+def op6_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.near_vectors(_read(spark, sf_dir, "embeddings"), threshold=0.9)
+
+
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     leaks = decontam.find_leaks(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
     return leaks.withColumn("similarity", 1 - F.col("edits") / F.col("item_words"))
@@ -71,6 +101,10 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pages.extract_text(_read(spark, sf_dir, "pages")).withColumn("n_chars", F.char_length("text").cast("long"))
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = _read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels")
     model = toxicity.fit_toxicity(docs, labels, learn_from=fold("doc_id", 3) != 1)
@@ -86,9 +120,13 @@ def queries() -> dict[str, Query]:
     return {
         "op1_license_scan": op1_license_scan,
         "op2_bpe": op2_bpe,
+        "op3_url_filter": op3_url_filter,
         "op4_minhash_dedup": op4_minhash_dedup,
+        "op5_quality": op5_quality,
+        "op6_embedding_dedup": op6_embedding_dedup,
         "op7_decontamination": op7_decontamination,
         "op8_language_id": op8_language_id,
+        "op9_html_text": op9_html_text,
         "op10_toxicity": op10_toxicity,
     }
 

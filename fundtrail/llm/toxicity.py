@@ -188,28 +188,56 @@ def fit_toxicity(
     return ToxicityModel(weights, bias)
 
 
-def score_toxicity(docs: DataFrame, model: ToxicityModel, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, score from 0 to 1) of every row's whole text."""
+def _scorer(model: ToxicityModel):
+    """A function from a string column to scores."""
     used = np.flatnonzero(model.weights)
     used_weights = model.weights[used].astype(np.float64)
     bias, constant = model.bias, model.constant
 
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def prepare():
         weights = np.zeros(1 << PLACE_BITS)
         weights[used] = used_weights
         wanted = weights != 0
-        for batch in batches:
-            out = np.zeros(batch.num_rows)
-            for a, b, data, offs in blocks(batch.column("_text")):
+
+        def score(column: pa.Array) -> np.ndarray:
+            if constant is not None:
+                return np.full(len(column), constant)
+            out = np.zeros(len(column))
+            for a, b, data, offs in blocks(column):
                 text, place = _places(data, offs, wanted)
                 out[a:b] = np.bincount(text, weights=weights[place], minlength=b - a)
-            p = 1 / (1 + np.exp(-np.clip(out + bias, -700, 700)))
-            if constant is not None:
-                p = np.full(batch.num_rows, constant)
-            yield pa.RecordBatch.from_arrays([batch.column("_id"), pa.array(p)], ["_id", "score"])
+            return 1 / (1 + np.exp(-np.clip(out + bias, -700, 700)))
+
+        return score
+
+    return prepare
+
+
+def score_toxicity(docs: DataFrame, model: ToxicityModel, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(id, score from 0 to 1) of every row's whole text."""
+    prepare = _scorer(model)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        score = prepare()
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("_id"), pa.array(score(batch.column("_text")))], ["_id", "score"]
+            )
 
     kind = docs.schema[id_col].dataType.simpleString()
     scored = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")).mapInArrow(
-        score, f"_id {kind}, score double"
+        run, f"_id {kind}, score double"
     )
     return scored.withColumnRenamed("_id", id_col)
+
+
+def filter_toxicity(docs: DataFrame, model: ToxicityModel, limit: float = 0.7, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs``, all columns, that score under ``limit``."""
+    prepare = _scorer(model)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        score = prepare()
+        for batch in batches:
+            yield batch.filter(pa.array(score(batch.column(text_col)) < limit))
+
+    return docs.mapInArrow(run, docs.schema)
