@@ -14,8 +14,8 @@
    the two texts. Verified links give components.
 5. Hub pairs can miss links among members of one bucket that are still in
    different components. Those members, and only those, are compared with the
-   rest of their bucket by sketch, in blocks; passing pairs are verified the
-   same way. Every pair that shares a bucket is thus either already connected,
+   rest of their bucket by sketch, in blocks that hold the full sets; possible
+   pairs are verified there, and a block returns at most one link per member. Every pair that shares a bucket is thus either already connected,
    ruled out by its estimate, or verified. No bucket is capped.
 
 Edge cases: a null or empty text, or one without words, has no shingles and is
@@ -49,6 +49,7 @@ BANDS = BUCKETS // BAND_ROWS
 DEVIATIONS = 4.0
 #: Members of one side of a block of comparisons in step 5.
 BLOCK_MEMBERS = 512
+BLOCK_SHINGLES = 2_000_000
 
 _rotations = np.array([(np.arange(BUCKETS) * 2 * k + 37 * k + np.arange(BUCKETS)) % BUCKETS for k in range(1, 17)])
 
@@ -236,58 +237,104 @@ def _verify(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> Data
     return joined.mapInArrow(check, "a long, b long")
 
 
-def _rest_pairs(members: DataFrame, percent: int) -> DataFrame:
-    """Possible pairs across components inside buckets that still hold several.
+def _common(one: np.ndarray, others: list[np.ndarray]) -> np.ndarray:
+    """Sizes of the intersections of a sorted set with each of several non-empty sets."""
+    values = np.concatenate(others)
+    at = np.searchsorted(one, values)
+    at[at == len(one)] = 0
+    starts = np.cumsum([0] + [len(o) for o in others[:-1]])
+    return np.add.reduceat((one[at] == values).astype(np.int64), starts)
+
+
+def _full_sets(texts: DataFrame, size: int) -> DataFrame:
+    """(rep, values): the full shingle set of each text, as bytes."""
+
+    def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for a, b, data, offs in blocks(batch.column("text")):
+                values, cuts = _sets(data, offs, size)
+                rows = [values[x:y].tobytes() for x, y in zip(cuts[:-1], cuts[1:], strict=True)]
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("rep").slice(a, b - a), pa.array(rows, pa.binary())], ["rep", "values"]
+                )
+
+    return texts.mapInArrow(build, "rep long, values binary")
+
+
+def _rest_links(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links that join components inside buckets that still hold several.
 
     ``members``: (key, rep, comp, n, registers). The component with most
     members of a bucket is its main one; every other member is compared with
     all members of another component. Members of one component are connected
-    already. Both sides are dealt into blocks by hash, so no group is larger
-    than two blocks, whatever the bucket's size.
+    already, so a pair is only verified while it is not, and a block returns at
+    most one link per member. Both sides are dealt into blocks by hash, bounded
+    in members and in shingles, whatever the bucket's size.
     """
-    sizes = members.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("m"))
+    sizes = members.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("m"), F.sum("n").alias("s"))
     main = sizes.groupBy("key").agg(
-        F.max(F.struct("m", "comp")).alias("top"), F.sum("m").alias("total"), F.count(F.lit(1)).alias("comps")
+        F.max(F.struct("m", "comp", "s")).alias("top"),
+        F.sum("m").alias("total"),
+        F.sum("s").alias("held"),
+        F.count(F.lit(1)).alias("comps"),
     )
+
+    def dealt(count, shingles):
+        return F.ceil(F.greatest(count / BLOCK_MEMBERS, shingles / BLOCK_SHINGLES, F.lit(1.0))).cast("long")
+
     main = main.where("comps > 1").select(
         "key",
         F.col("top.comp").alias("main"),
-        F.ceil(F.col("total") / BLOCK_MEMBERS).cast("long").alias("all_blocks"),
-        F.ceil((F.col("total") - F.col("top.m")) / BLOCK_MEMBERS).cast("long").alias("few_blocks"),
+        dealt(F.col("total"), F.col("held")).alias("all_blocks"),
+        dealt(F.col("total") - F.col("top.m"), F.col("held") - F.col("top.s")).alias("few_blocks"),
     )
-    tagged = members.join(main, "key")
+    tagged = members.join(main, "key").join(sets, "rep")
     place = F.xxhash64("rep", F.lit(5))
     few = tagged.where(F.col("comp") != F.col("main")).select(
-        "key", "rep", "comp", "n", "registers", F.lit(True).alias("few"),
+        "key", "rep", "comp", "n", "registers", "values", F.lit(True).alias("few"),
         F.pmod(place, F.col("few_blocks")).alias("i"),
         F.explode(F.sequence(F.lit(0).cast("long"), F.col("all_blocks") - 1)).alias("j"),
     )
     every = tagged.select(
-        "key", "rep", "comp", "n", "registers", F.lit(False).alias("few"),
+        "key", "rep", "comp", "n", "registers", "values", F.lit(False).alias("few"),
         F.explode(F.sequence(F.lit(0).cast("long"), F.col("few_blocks") - 1)).alias("i"),
         F.pmod(place, F.col("all_blocks")).alias("j"),
     )
 
     def compare(group: pa.Table) -> pa.Table:
-        side = np.asarray(group.column("few").combine_chunks().to_numpy(zero_copy_only=False))
+        side = group.column("few").to_numpy()
         rep, comp, n = (group.column(c).to_numpy() for c in ("rep", "comp", "n"))
         registers = _matrix(group.column("registers").combine_chunks())
-        left, right = np.flatnonzero(side), np.flatnonzero(~side)
+        values = [np.frombuffer(v.as_buffer(), U64) for v in group.column("values")]
+        name = {c: k for k, c in enumerate(sorted(set(comp.tolist())))}
+        label = np.array([name[c] for c in comp.tolist()])  # component of each row, as joined so far
+        right = np.flatnonzero(~side)
         found_a, found_b = [], []
-        for x in left:
-            others = right[comp[right] != comp[x]]
-            if len(others):
-                same = np.broadcast_to(registers[x], (len(others), BUCKETS))
-                ok = _possible(same, registers[others], np.full(len(others), n[x]), n[others], percent)
-                hit = rep[others[ok]]
-                found_a.append(np.minimum(hit, rep[x]))
-                found_b.append(np.maximum(hit, rep[x]))
-        a = np.concatenate(found_a) if found_a else np.zeros(0, np.int64)
-        b = np.concatenate(found_b) if found_b else np.zeros(0, np.int64)
-        return pa.table({"a": a, "b": b})
-
-    both = few.union(every)
-    return both.groupBy("key", "i", "j").applyInArrow(compare, "a long, b long").distinct()
+        for x in np.flatnonzero(side):
+            others = right[label[right] != label[x]]
+            if not len(others):
+                continue
+            same = np.broadcast_to(registers[x], (len(others), BUCKETS))
+            many = np.full(len(others), n[x])
+            others = others[_possible(same, registers[others], many, n[others], percent)]
+            step = 8
+            while len(others):
+                # the likeliest first: most pairs are settled by the first link
+                likeness = (registers[others] == registers[x]).sum(axis=1) if step == 8 else None
+                if likeness is not None:
+                    others = others[np.argsort(-likeness, kind="stable")]
+                part, others = others[:step], others[step:]
+                common = _common(values[x], [values[y] for y in part])
+                for y in part[100 * common >= percent * (n[x] + n[part] - common)]:
+                    if label[y] != label[x]:
+                        found_a.append(rep[x])
+                        found_b.append(rep[y])
+                        label[label == label[y]] = label[x]
+                others = others[label[others] != label[x]]
+                step = 128
+        return pa.table({"a": pa.array(found_a, pa.int64()), "b": pa.array(found_b, pa.int64())})
+
+    return few.union(every).groupBy("key", "i", "j").applyInArrow(compare, "a long, b long")
 
 
 def near_duplicates(
@@ -332,7 +379,8 @@ def near_duplicates(
     )
     marks = classes.select("rep", "mark")
     screened = materialize(_screen(hub_pairs, classes, percent), "pairs")
-    links = materialize(_verify(screened, _needed(texts, marks, screened), size, percent), "links")
+    paired = screened.select(F.col("a").alias("rep")).union(screened.select("b"))
+    links = materialize(_verify(screened, _needed(texts, marks, paired), size, percent), "links")
     parts = materialize(connected_components(links), "parts")
 
     shared = bands.join(hubs.select("key"), "key", "left_semi")
@@ -349,9 +397,8 @@ def near_duplicates(
     )
     members = named.join(mixed.select("key"), "key", "left_semi").join(classes.select("rep", "n", "registers"), "rep")
     members = materialize(members, "members")
-    # pairs that the hubs already settled need no second verification
-    rest = materialize(_rest_pairs(members, percent).join(screened, ["a", "b"], "left_anti"), "pairs")
-    more = materialize(_verify(rest, _needed(texts, marks, rest), size, percent), "links")
+    sets = _full_sets(_needed(texts, marks, members.select("rep")), size)
+    more = materialize(_rest_links(members, sets, percent), "links")
     final = connected_components(links.union(more))
 
     found = classes.join(final.withColumnRenamed("node", "rep"), "rep", "left").select(
@@ -368,9 +415,9 @@ def near_duplicates(
     )
 
 
-def _needed(texts: DataFrame, marks: DataFrame, pairs: DataFrame) -> DataFrame:
-    """(rep, text) of the classes that occur in any pair."""
-    wanted = pairs.select(F.col("a").alias("rep")).union(pairs.select("b")).distinct()
+def _needed(texts: DataFrame, marks: DataFrame, ids: DataFrame) -> DataFrame:
+    """(rep, text) of the classes named in ``ids``."""
+    wanted = ids.distinct()
     return (
         texts.join(marks.join(wanted, "rep", "left_semi"), ["rep", "mark"], "left_semi")
         .dropDuplicates(["rep"])
