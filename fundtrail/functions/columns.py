@@ -26,14 +26,13 @@ def payout_seconds(send_us: Column, pay_us: Column) -> Column:
 
 
 def leading_digit(amount: Column) -> Column:
-    """First character of the amount's text when it is a digit 1-9, else null.
+    """First digit of an amount of at least 1, else null.
 
-    Amounts under 1, zero, negative and null amounts have no leading digit.
-    Spark writes large doubles in E notation (``1.2E7``); the first character
-    is still the leading digit.
+    Amounts under 1, zero, negative and null amounts have no leading digit. The
+    digits are those of a decimal, as the text of a double may be in E notation.
     """
-    first = F.substring(amount.cast("string"), 1, 1)
-    return F.when(first.isin(*[str(d) for d in range(1, 10)]), first.cast("int"))
+    digits = amount.try_cast("decimal(38,2)").cast("string")
+    return F.when(amount >= F.lit(1), F.substring(digits, 1, 1).cast("int"))
 
 
 def span_sql(age: str, cutoff: int | None) -> str:

@@ -56,13 +56,9 @@ LOCATION_ID_TYPE = "Location_ID"
 # Subject types used by the derived test tables.
 FIXTURE_SUBJECT_TYPES = {"customer": "customer", "location": "location"}
 
-# Width of the time buckets that split a hot key's ordered history across
-# tasks (see operators/neighbors.py). One hour keeps a hot key spread over
-# many tasks while its edge rows (two per bucket) stay few.
-DEFAULT_BUCKET_SECONDS = 3600
-# A key with more rows than this counts as hot and is split into time
-# buckets; other keys keep one window partition each.
-DEFAULT_HOT_KEY_ROWS = 100_000
+# Most rows of one key that a window sees at once; a key with more is cut into
+# chunks (see operators/neighbors.py). It sets the work of a task, not the result.
+DEFAULT_CHUNK_ROWS = 100_000
 
 # Largest lookup or queue (in rows) that is broadcast; beyond it the join
 # shuffles both sides.

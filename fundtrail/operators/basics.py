@@ -30,7 +30,9 @@ def role_sql(
     """Aggregates of one role under the SQL condition ``cond`` (role and span test included)."""
     out = [
         f"count_if({cond}) AS `{prefix}{role}_txn_count`",
-        f"avg(CASE WHEN {cond} THEN amount END) AS `{prefix}avg_{role}_amount`",
+        # sum and count apart: the mean of decimals would be rounded to a decimal
+        f"CAST(sum(CASE WHEN {cond} THEN amount END) AS DOUBLE)"
+        f" / nullif(count(CASE WHEN {cond} THEN amount END), 0) AS `{prefix}avg_{role}_amount`",
     ]
     out += [
         f"count_if({cond} AND amount >= {dbl(lo)} AND amount < {dbl(hi)}) AS `{prefix}{role}_banded_count_class{i}`"
@@ -85,19 +87,3 @@ def basics_exprs(
         if with_hrj:
             exprs += hrj_amount_exprs(prefix, span)
     return exprs
-
-
-def banded_counts(
-    legs: DataFrame,
-    keys: Sequence[str],
-    bands: Sequence[tuple[float, float]] = AMOUNT_BANDS,
-) -> DataFrame:
-    """Per key and role: legs whose amount falls in each band (low end in, high end out)."""
-    exprs = [
-        F.expr(
-            f"count_if(role = '{r}' AND amount >= {dbl(lo)} AND amount < {dbl(hi)}) AS `{r}_banded_count_class{i}`"
-        )
-        for r in ROLES
-        for i, (lo, hi) in enumerate(bands, start=1)
-    ]
-    return legs.groupBy(*keys).agg(*exprs)

@@ -45,7 +45,8 @@ def primary_countries(
     """Per key: the other-side country with the largest summed amount.
 
     Sends are grouped by the payee's country, pays by the sender's, and the
-    stacked form uses both. Ties go to the lowest country code. Two aggregates:
+    stacked form uses both. Ties go to the lowest country code; decimal amounts
+    are summed exactly, so equal sums are ties. Two aggregates:
     per (key, country) sums for every form and span, then per key the minimum
     of (-sum, country), which is the arg-max with that tie rule.
     """
@@ -56,7 +57,7 @@ def primary_countries(
         for name, role in forms:
             cond = span if role is None else f"{span} AND role = '{role}'"
             sums.append(F.expr(f"count_if({cond}) AS `n|{prefix}{name}`"))
-            sums.append(F.expr(f"coalesce(sum(CASE WHEN {cond} THEN amount END), CAST(0 AS DOUBLE)) AS `s|{prefix}{name}`"))
+            sums.append(F.expr(f"CAST(coalesce(sum(CASE WHEN {cond} THEN amount END), 0) AS DOUBLE) AS `s|{prefix}{name}`"))
     per_country = (
         legs.filter(F.col("other_country").isNotNull())
         .groupBy(*keys, F.col("other_country").alias("_country"))

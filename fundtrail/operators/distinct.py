@@ -13,8 +13,8 @@ optionally only risky-country legs). Each leg emits one row per family.
 This replaces one ``count(DISTINCT ...)`` per output and span, which Spark
 plans as an Expand with a copy of every row per distinct aggregate. Both
 aggregates combine on the map side first, so a busy key sends at most one
-row per distinct value and map task through the shuffle. Values keep their
-type (longs stay longs; strings stay strings).
+row per distinct value and map task through the shuffle. Integers
+are compared as longs, other types by their text.
 """
 
 from __future__ import annotations
@@ -77,8 +77,9 @@ def distinct_counts(
     need_hrj = any(o.hrj for fam in families for o in fam.outputs)
     entries = []
     for i, fam in enumerate(families):
-        is_text = isinstance(dtypes[fam.column], T.StringType)
-        v = F.col(fam.column)
+        # integers compare as longs, everything else by its exact text
+        is_text = not isinstance(dtypes[fam.column], T.IntegralType)
+        v = F.col(fam.column).cast("string") if is_text else F.col(fam.column)
         entries.append(
             F.struct(
                 F.lit(i).alias("f"),

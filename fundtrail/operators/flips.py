@@ -7,12 +7,11 @@ makes that join quadratic, so the count is taken from running totals instead:
     pairs(key) = sum over send legs s of  P(s + T) - P(s - T, strictly)
 
 where P(x) counts the key's pay legs at or before x. Each send leg becomes two
-probes (s - T and s + T); probes and pay legs are cut into time buckets, a
-running count of pay legs inside each (key, bucket) gives the in-bucket part
-of P, and a running total over the key's per-bucket pay counts gives the part
-from earlier buckets. Only hot keys (``operators.neighbors.hot_key_buckets``)
-are cut into buckets; a busy key spreads over them. Nothing grows with the
-number of pairs.
+probes (s - T and s + T); probes and pay legs are cut into chunks
+(``operators.neighbors.chunks``), a running count of pay legs inside each chunk
+gives the inner part of P, and a running total over the key's per-chunk pay
+counts gives the part from earlier chunks. Nothing grows with the number of
+pairs.
 """
 
 from __future__ import annotations
@@ -22,86 +21,58 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from fundtrail.functions.params import BURST_GAP_SECONDS, DEFAULT_BUCKET_SECONDS, DEFAULT_HOT_KEY_ROWS
-from fundtrail.operators.neighbors import BUCKET, SUB, has_hot_keys, hot_key_buckets
+from fundtrail.functions.params import BURST_GAP_SECONDS, DEFAULT_CHUNK_ROWS
+from fundtrail.operators.neighbors import CHUNK, chunks
 
 _US = 1_000_000
-# Order of kinds at equal times: a low probe counts pays strictly before it,
-# a high probe counts pays at or before it.
-_LOW, _PAY, _HIGH = 0, 1, 2
 
 
 def pair_counts(
-    sends: DataFrame,
-    pays: DataFrame,
-    keys: Sequence[str],
-    seconds: float,
-    bucket_seconds: int = DEFAULT_BUCKET_SECONDS,
-    hot_rows: int = DEFAULT_HOT_KEY_ROWS,
-    split: bool | None = None,
+    legs: DataFrame, keys: Sequence[str], seconds: float, chunk_rows: int = DEFAULT_CHUNK_ROWS
 ) -> DataFrame:
     """Per key: number of (send, pay) row pairs with ``|t_send - t_pay| <= seconds``.
 
-    Both inputs carry ``keys`` and ``leg_us``; rows with a null key part or time
-    are ignored (nulls never match). Every key seen on either side is returned,
-    with 0 when it has no pair.
+    ``legs`` carries ``keys``, ``role`` and ``leg_us``; rows with a null key part
+    or time are ignored (nulls never match). Every key seen on either side is
+    returned, with 0 when it has no pair.
     """
     keys = list(keys)
     span = int(seconds * _US)
-    not_null = [F.col(k).isNotNull() for k in keys] + [F.col("leg_us").isNotNull()]
-    cond = not_null[0]
-    for c in not_null[1:]:
-        cond = cond & c
-    s = sends.filter(cond).select(*keys, "leg_us")
-    p = pays.filter(cond).select(*keys, "leg_us")
-    events = (
-        p.select(*keys, F.col("leg_us").alias("_t"), F.lit(_PAY).alias("_k"), F.lit(1).alias("_w"), F.lit(0).alias("_sign"))
-        .unionByName(
-            s.select(*keys, (F.col("leg_us") - F.lit(span)).alias("_t"), F.lit(_LOW).alias("_k"), F.lit(0).alias("_w"), F.lit(-1).alias("_sign"))
-        )
-        .unionByName(
-            s.select(*keys, (F.col("leg_us") + F.lit(span)).alias("_t"), F.lit(_HIGH).alias("_k"), F.lit(0).alias("_w"), F.lit(1).alias("_sign"))
-        )
-    )
-    if split is None:
-        split = has_hot_keys(events, keys, hot_rows)
-    if split:
-        events = hot_key_buckets(events, keys, "_t", bucket_seconds, hot_rows)
-        events = events.withColumnRenamed(BUCKET, "_b").withColumnRenamed(SUB, "_s")
-    else:
-        events = events.withColumn("_b", F.lit(0).cast("long")).withColumn("_s", F.lit(0).cast("long"))
-    running = Window.partitionBy(*keys, "_b", "_s").orderBy("_t", "_k").rowsBetween(
-        Window.unboundedPreceding, Window.currentRow
+    timed = " AND ".join(f"`{k}` IS NOT NULL" for k in [*keys, "leg_us"])
+    # Order of kinds at equal times: a low probe (0) counts pays strictly before
+    # it, then come the pays (1), then high probes (2) that count them.
+    entries = F.expr(
+        "CASE WHEN role = 'send' THEN array("
+        f"named_struct('t', leg_us - {span}L, 'k', 0, 'w', 0, 'sign', -1),"
+        f"named_struct('t', leg_us + {span}L, 'k', 2, 'w', 0, 'sign', 1))"
+        " ELSE array(named_struct('t', leg_us, 'k', 1, 'w', 1, 'sign', 0)) END"
     )
-    per_bucket = (
-        events.withColumn("_run", F.sum("_w").over(running))
-        .groupBy(*keys, "_b", "_s")
+    events = legs.where(timed).select(*keys, F.explode(entries).alias("e"))
+    events = events.select(*keys, F.col("e.t").alias("_t"), F.col("e.k").alias("_k"), F.col("e.w").alias("_w"), F.col("e.sign").alias("_sign"))
+    x = chunks(events, keys, "_t", "_k", chunk_rows)
+    running = Window.partitionBy(*keys, CHUNK).orderBy("_t", "_k").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    per_chunk = (
+        x.withColumn("_run", F.sum("_w").over(running))
+        .groupBy(*keys, CHUNK)
         .agg(
             F.sum("_w").alias("_pays"),
             F.sum(F.col("_sign") * F.col("_run")).alias("_inside"),
             F.sum("_sign").alias("_net"),
         )
     )
-    earlier = Window.partitionBy(*keys).orderBy("_b", "_s").rowsBetween(Window.unboundedPreceding, -1)
-    per_bucket = per_bucket.withColumn("_before", F.coalesce(F.sum("_pays").over(earlier), F.lit(0)))
-    return per_bucket.groupBy(*keys).agg(
+    earlier = Window.partitionBy(*keys).orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
+    per_chunk = per_chunk.withColumn("_before", F.coalesce(F.sum("_pays").over(earlier), F.lit(0)))
+    return per_chunk.groupBy(*keys).agg(
         F.sum(F.col("_inside") + F.col("_net") * F.col("_before")).cast("long").alias("pairs")
     )
 
 
 def location_flips(
-    legs: DataFrame,
-    seconds: float = BURST_GAP_SECONDS,
-    bucket_seconds: int = DEFAULT_BUCKET_SECONDS,
-    hot_rows: int = DEFAULT_HOT_KEY_ROWS,
-    split: bool | None = None,
+    legs: DataFrame, seconds: float = BURST_GAP_SECONDS, chunk_rows: int = DEFAULT_CHUNK_ROWS
 ) -> DataFrame:
     """Per location: flipped_txns_count (send/pay pairs of one customer within
     ``seconds``) and flipped_customer_count (customers with such a pair)."""
-    keys = ["entity_id", "own_customer"]
-    sends = legs.filter(F.col("role") == F.lit("send"))
-    pays = legs.filter(F.col("role") == F.lit("pay"))
-    pairs = pair_counts(sends, pays, keys, seconds, bucket_seconds, hot_rows, split)
+    pairs = pair_counts(legs, ["entity_id", "own_customer"], seconds, chunk_rows)
     return pairs.groupBy("entity_id").agg(
         F.sum("pairs").cast("long").alias("flipped_txns_count"),
         F.count_if(F.col("pairs") > 0).alias("flipped_customer_count"),

@@ -14,7 +14,9 @@ Columns of a leg frame::
     own_channel, other_channel, own_id_number, other_country, product
 
 ``age_days`` (customer legs) is ``as_of_date - leg_date`` in days, at least 1.
-A side without a time is not a leg: it cannot be placed in time order.
+A side without a time stays a leg: it counts in every aggregate over legs and
+only the ordered features skip it. Amounts keep their own type when it is a
+decimal, so that sums are exact.
 A send leg keeps its payout time even when the payout falls after the as-of
 date: the history cut is on the leg's own date only.
 """
@@ -25,6 +27,7 @@ import datetime as dt
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from fundtrail.functions.columns import epoch_micros, payout_seconds
 from fundtrail.operators.broadcast import sized_broadcast
@@ -56,6 +59,10 @@ LEG_COLUMNS = (
 )
 
 
+def _money(col: str, dtype: T.DataType):
+    return F.col(col) if isinstance(dtype, T.DecimalType) else F.col(col).cast("double")
+
+
 def transfer_legs(transfers: DataFrame, role: str) -> DataFrame:
     """One leg per transfer for ``role`` (``send`` or ``pay``), all columns of LEG_COLUMNS."""
     own, other = role, _OTHER[role]
@@ -69,7 +76,7 @@ def transfer_legs(transfers: DataFrame, role: str) -> DataFrame:
         F.col(f"{own}_time").alias("leg_time"),
         own_us.alias("leg_us"),
         F.col(f"{own}_date").alias("leg_date"),
-        F.col(f"{own}_amount").cast("double").alias("amount"),
+        _money(f"{own}_amount", dtypes[f"{own}_amount"]).alias("amount"),
         payout_seconds(send_us, pay_us).alias("payout_seconds"),
         F.col(f"{own}_customer").alias("own_customer"),
         F.col(f"{other}_customer").alias("other_customer"),
@@ -87,9 +94,14 @@ def transfer_legs(transfers: DataFrame, role: str) -> DataFrame:
     )
 
 
-def customer_history_legs(transfers: DataFrame, queue: DataFrame) -> DataFrame:
+def customer_history_legs(
+    transfers: DataFrame, queue: DataFrame, latest: dt.date | str | None = None
+) -> DataFrame:
     """Legs of queued customers dated strictly before their as-of date.
 
+    ``latest`` is the queue's last as-of date, where the caller knows it: legs of
+    that day or later are then never read.
+
     ``queue`` holds (entity_id, as_of_date). It is de-duplicated first, so a
     queue row written twice cannot double the history. The join is an equi-join
     on the customer with the date test as a residual; the queue is broadcast
@@ -98,7 +110,9 @@ def customer_history_legs(transfers: DataFrame, queue: DataFrame) -> DataFrame:
     q = sized_broadcast(queue.select("entity_id", "as_of_date").distinct(), name="customer queue")
     parts = []
     for role in ROLES:
-        rows = transfers.filter(F.col(f"{role}_customer").isNotNull() & F.col(f"{role}_time").isNotNull())
+        rows = transfers.filter(F.col(f"{role}_customer").isNotNull())
+        if latest is not None:
+            rows = rows.filter(F.col(f"{role}_date") < F.lit(latest).cast("date"))
         legs = transfer_legs(rows, role)
         joined = legs.join(
             q, (legs["own_customer"] == q["entity_id"]) & (legs["leg_date"] < q["as_of_date"]), "inner"
@@ -123,9 +137,7 @@ def location_range_legs(
     parts = []
     for role in ROLES:
         rows = transfers.filter(
-            F.col(f"{role}_location_id").isNotNull()
-            & F.col(f"{role}_time").isNotNull()
-            & F.col(f"{role}_date").between(lo, hi)
+            F.col(f"{role}_location_id").isNotNull() & F.col(f"{role}_date").between(lo, hi)
         )
         legs = transfer_legs(rows, role).withColumn("entity_id", F.col("own_location"))
         if queue is not None:
@@ -133,9 +145,3 @@ def location_range_legs(
             legs = legs.join(q, "entity_id", "left_semi")
         parts.append(legs)
     return parts[0].unionByName(parts[1])
-
-
-def trailing(legs: DataFrame, cutoff_days: int) -> DataFrame:
-    """Customer legs dated after ``as_of_date - cutoff_days`` (cut-off 61, 31, 8
-    gives the 60-, 30- and 7-day look-backs)."""
-    return legs.filter(F.col("age_days") < F.lit(cutoff_days))

@@ -1,158 +1,109 @@
-"""Previous and next row of the same key, without one task per hot key.
+"""Nearest earlier and later rows of the same key, without one task per busy key.
 
 ``lag``/``lead`` over ``Window.partitionBy(key)`` sends every row of a key to
-one task; a key holding a third of the data would then be one task's work.
-Keys with more than ``hot_rows`` rows are therefore cut into time buckets
-(sized per key from its row count and time span; an over-full bucket is cut
-again):
-
-1. ``lag``/``lead`` run over (key, bucket); a hot key spreads over as many
-   tasks as it has buckets, every other key stays one window partition
-   (bucket 0). Inside a bucket the neighbours are already right.
-2. Only the first and the last row of a hot key's bucket can have a
-   neighbour in another bucket. Those edge rows (at most two per bucket) are
-   shuffled by key alone and ordered by time: the previous edge row of a
-   bucket's first row is the last row of the previous non-empty bucket, and
-   the next edge row of a bucket's last row is the first row of the next one.
-3. Interior rows and the corrected edge rows are put back together.
-
-Finding the hot keys is one partial aggregate (a count per key). When there
-is none, the plan is a plain window per key with a single exchange; otherwise
-their list (at most ``rows / hot_rows`` long) is broadcast behind a size check. The
-result is exact for any bucket width and threshold; they only set how a hot
-key is split. Rows need a non-null order column; ties must be broken by
-``tie`` (or not occur).
+one task; a key holding a third of the data would then be one task's work. Here
+every key is cut into chunks of at most ``chunk_rows`` rows, in one plan that
+does not look at the data first:
+
+1. ``deal``: rows are shuffled by ranges of (keys, time, tie) and sorted inside
+   each range; the place in the sorted range, divided by ``chunk_rows``, names
+   the chunk. Since the tie is part of the order, rows of one instant are cut
+   like any others. Most keys have one chunk; a busy key has as many as it
+   needs. The result is written once: the ranges come from a sample, and all
+   later steps must see the same cuts.
+2. ``stream_neighbors``: windows run inside (keys, chunk). What a chunk needs
+   from the others is the last matching row before it and the first after it;
+   each chunk gives one row with its first and last, a window over those rows
+   (one per chunk) carries them on, and one join brings them back.
+
+A *stream* is a condition on rows: neighbours are looked up among the rows that
+meet it (sends only, run ends only, ...). The result does not depend on
+``chunk_rows`` or the partitioning. Rows with a null time are no neighbours and
+have none; they stay in the frame, for aggregates that count all rows.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from fundtrail.functions.params import DEFAULT_BUCKET_SECONDS, DEFAULT_HOT_KEY_ROWS
-from fundtrail.operators.broadcast import sized_broadcast
+from fundtrail.functions.params import DEFAULT_CHUNK_ROWS
+from fundtrail.session import materialize
 
-BUCKET, SUB, HOT = "_nb_bucket", "_nb_sub", "_nb_hot"
-_FIRST, _LAST = "_nb_first", "_nb_last"
+CHUNK = "_chunk"
 
 
-def _width(n: str, t0: str, t1: str, target: int, cap_us: int):
-    span = F.col(t1) - F.col(t0) + F.lit(1)
-    return F.greatest(F.lit(1), F.least(F.lit(cap_us), (span * F.lit(target) / F.col(n)).cast("long")))
+@dataclass(frozen=True)
+class Stream:
+    """Rows that meet the SQL condition ``rows``; ``prev``/``next`` name the columns to bring along."""
 
+    rows: str = "TRUE"
+    prev: tuple[str, ...] = ()
+    next: tuple[str, ...] = ()
 
-def hot_key_buckets(
-    rows: DataFrame,
-    keys: Sequence[str],
-    time_us: str,
-    bucket_seconds: int = DEFAULT_BUCKET_SECONDS,
-    hot_rows: int = DEFAULT_HOT_KEY_ROWS,
+
+def chunks(
+    df: DataFrame, keys: Sequence[str], order: str, tie: str, chunk_rows: int = DEFAULT_CHUNK_ROWS
 ) -> DataFrame:
-    """Add ``_nb_hot`` (key has more than ``hot_rows`` rows) and the bucket
-    columns ``_nb_bucket`` / ``_nb_sub`` (0 / 0 for other keys).
-
-    A hot key's bucket width is its time span times ``hot_rows / 4`` over its
-    row count (evenly spread rows fill a bucket to about a quarter of the
-    threshold), at most ``bucket_seconds`` and at least one microsecond. A
-    bucket that still holds more than ``hot_rows`` rows (a dense burst) is cut
-    again the same way into sub-buckets. (bucket, sub-bucket) follows time
-    order.
+    """Add ``_chunk``: chunks of a key follow its (order, tie) order and hold at most ``chunk_rows`` rows.
+
+    Where the cuts fall depends on the sampled ranges, so a plan must not
+    evaluate this twice and put the two together; ``deal`` fixes it.
     """
-    keys = list(keys)
-    target = max(1, hot_rows // 4)
-    cap = bucket_seconds * 1_000_000
-    stats = [F.count(F.lit(1)).alias("_nb_n"), F.min(time_us).alias("_nb_t0"), F.max(time_us).alias("_nb_t1")]
-    hot = (
-        rows.groupBy(*keys)
-        .agg(*stats)
-        .filter(F.col("_nb_n") > F.lit(hot_rows))
-        .select(*keys, F.lit(True).alias(HOT), "_nb_t0", _width("_nb_n", "_nb_t0", "_nb_t1", target, cap).alias("_nb_w"))
-    )
-    out = rows.join(sized_broadcast(hot, name="hot keys"), keys, "left")
-    out = out.withColumn(HOT, F.coalesce(F.col(HOT), F.lit(False)))
-    level1 = F.floor((F.col(time_us) - F.col("_nb_t0")) / F.col("_nb_w")).cast("long")
-    out = out.withColumn(BUCKET, F.when(F.col(HOT), level1).otherwise(F.lit(0).cast("long"))).drop("_nb_t0", "_nb_w")
-
-    full = (
-        out.filter(F.col(HOT))
-        .groupBy(*keys, BUCKET)
-        .agg(*stats)
-        .filter(F.col("_nb_n") > F.lit(hot_rows))
-        .select(*keys, BUCKET, "_nb_t0", _width("_nb_n", "_nb_t0", "_nb_t1", target, cap).alias("_nb_w"))
-    )
-    if full.limit(1).count() == 0:
-        return out.withColumn(SUB, F.lit(0).cast("long"))
-    out = out.join(sized_broadcast(full, name="full buckets"), [*keys, BUCKET], "left")
-    level2 = F.floor((F.col(time_us) - F.col("_nb_t0")) / F.col("_nb_w")).cast("long")
-    out = out.withColumn(SUB, F.when(F.col("_nb_w").isNotNull(), level2).otherwise(F.lit(0).cast("long")))
-    return out.drop("_nb_t0", "_nb_w")
-
-
-def has_hot_keys(rows: DataFrame, keys: Sequence[str], hot_rows: int = DEFAULT_HOT_KEY_ROWS) -> bool:
-    """Does any key have more than ``hot_rows`` rows? One aggregate job, its
-    result a single flag on the driver."""
-    counts = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_nb_n"))
-    return counts.filter(F.col("_nb_n") > F.lit(hot_rows)).limit(1).count() > 0
-
-
-def with_neighbors(
-    df: DataFrame,
-    keys: Sequence[str],
-    order_us: str,
-    tie: str | None = None,
-    prev_cols: Sequence[str] = (),
-    next_cols: Sequence[str] = (),
-    bucket_seconds: int | None = DEFAULT_BUCKET_SECONDS,
-    hot_rows: int = DEFAULT_HOT_KEY_ROWS,
-    split: bool | None = None,
-    out_prefix: str = "",
+    sort = [*keys, order, tie]
+    ranged = df.repartitionByRange(*sort).sortWithinPartitions(*sort)
+    # ascending inside a partition and from partition to partition
+    place = F.monotonically_increasing_id()
+    return ranged.withColumn(CHUNK, F.floor(place / F.lit(int(chunk_rows))).cast("long"))
+
+
+def deal(
+    df: DataFrame, keys: Sequence[str], order: str, tie: str, chunk_rows: int = DEFAULT_CHUNK_ROWS
 ) -> DataFrame:
-    """Add ``prev_<c>`` / ``next_<c>`` (each name led by ``out_prefix``): column
-    ``c`` on the previous / next row of the same ``keys`` in ``(order_us, tie)``
-    order; null at the ends.
-
-    ``order_us`` is a long (microseconds); rows where it is null are dropped.
-    When no key has more than ``hot_rows`` rows, or with ``bucket_seconds=None``,
-    every key is one plain window partition. ``split`` gives that decision
-    when the caller already knows it (e.g. from a superset of the rows);
-    ``None`` checks the rows.
+    """``chunks``, written to the shared folder, so that every later read sees the same cuts."""
+    return materialize(chunks(df, keys, order, tie, chunk_rows), "chunks")
+
+
+def stream_neighbors(
+    dealt: DataFrame, keys: Sequence[str], order: str, tie: str, streams: Mapping[str, Stream]
+) -> DataFrame:
+    """Add ``{name}_prev_{column}`` / ``{name}_next_{column}`` for every stream, null at the ends.
+
+    ``dealt`` comes from ``deal`` with the same keys (further columns may have
+    been added); one window partition is one chunk.
     """
     keys = list(keys)
-    order = [order_us] + ([tie] if tie else [])
-    rows = df.filter(F.col(order_us).isNotNull())
-    if split is None:
-        split = bucket_seconds is not None and has_hot_keys(rows, keys, hot_rows)
-    p, n = f"{out_prefix}prev_", f"{out_prefix}next_"
-    if bucket_seconds is None or not split:
-        w = Window.partitionBy(*keys).orderBy(*order)
-        return rows.select(
-            "*",
-            *[F.lag(c).over(w).alias(f"{p}{c}") for c in prev_cols],
-            *[F.lead(c).over(w).alias(f"{n}{c}") for c in next_cols],
-        )
-
-    rows = hot_key_buckets(rows, keys, order_us, bucket_seconds, hot_rows)
-    w = Window.partitionBy(*keys, BUCKET, SUB).orderBy(*order)
-    # Row number is unique inside (key, bucket); lag/lead of it mark the edges
-    # even when a carried column is null.
-    rn = F.row_number().over(w)
-    inner = rows.select(
-        "*",
-        *[F.lag(c).over(w).alias(f"{p}{c}") for c in prev_cols],
-        *[F.lead(c).over(w).alias(f"{n}{c}") for c in next_cols],
-        (F.lag(rn).over(w).isNull()).alias(_FIRST),
-        (F.lead(rn).over(w).isNull()).alias(_LAST),
-    )
-    is_edge = F.col(HOT) & (F.col(_FIRST) | F.col(_LAST))
-    interior = inner.filter(~is_edge)
-    edges = inner.filter(is_edge)
-    added = {f"{p}{c}" for c in prev_cols} | {f"{n}{c}" for c in next_cols}
-    we = Window.partitionBy(*keys).orderBy(*order)
-    fixed = edges.select(
-        *[c for c in inner.columns if c not in added],
-        *[F.when(F.col(_FIRST), F.lag(c).over(we)).otherwise(F.col(f"{p}{c}")).alias(f"{p}{c}") for c in prev_cols],
-        *[F.when(F.col(_LAST), F.lead(c).over(we)).otherwise(F.col(f"{n}{c}")).alias(f"{n}{c}") for c in next_cols],
-    )
-    return interior.unionByName(fixed).drop(BUCKET, SUB, HOT, _FIRST, _LAST)
+    chunk = [*keys, CHUNK]
+    w = Window.partitionBy(*chunk)
+    before = w.orderBy(F.col(order).asc_nulls_first(), F.col(tie).asc()).rowsBetween(Window.unboundedPreceding, -1)
+    after = w.orderBy(F.col(order).desc_nulls_last(), F.col(tie).desc()).rowsBetween(Window.unboundedPreceding, -1)
+
+    def found(stream: Stream, columns: Sequence[str]):
+        row = F.struct(F.col(order).alias("_o"), F.col(tie).alias("_t"), *[F.col(c).alias(f"c_{c}") for c in columns])
+        return F.when(F.col(order).isNotNull() & F.expr(stream.rows), row)
+
+    sides = [(n, s, side, cols) for n, s in streams.items() for side, cols in (("prev", s.prev), ("next", s.next)) if cols]
+    inside = [
+        F.last(found(s, cols), ignorenulls=True).over(before if side == "prev" else after).alias(f"_in_{n}_{side}")
+        for n, s, side, cols in sides
+    ]
+    ends = [
+        (F.max if side == "prev" else F.min)(found(s, cols)).alias(f"_end_{n}_{side}") for n, s, side, cols in sides
+    ]
+    earlier = Window.partitionBy(*keys).orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
+    later = Window.partitionBy(*keys).orderBy(F.col(CHUNK).desc()).rowsBetween(Window.unboundedPreceding, -1)
+    carried = [
+        F.last(f"_end_{n}_{side}", ignorenulls=True).over(earlier if side == "prev" else later).alias(f"_by_{n}_{side}")
+        for n, _, side, _ in sides
+    ]
+    some = F.expr(" OR ".join(f"_by_{n}_{side} IS NOT NULL" for n, _, side, _ in sides))
+    carry = dealt.groupBy(*chunk).agg(*ends).select(*chunk, *carried).where(some)
+    joined = dealt.select("*", *inside).join(carry, chunk, "left")
+    out = [F.col(c) for c in dealt.columns]
+    for n, _, side, cols in sides:
+        near = F.coalesce(f"_in_{n}_{side}", f"_by_{n}_{side}")
+        out += [F.when(F.col(order).isNotNull(), near[f"c_{c}"]).alias(f"{n}_{side}_{c}") for c in cols]
+    return joined.select(*out)

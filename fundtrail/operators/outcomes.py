@@ -33,14 +33,21 @@ def outcomes_as_of(
     subject_type: str,
     days_before: int = 0,
     keys: Sequence[str] = ("entity_id", "as_of_date"),
+    between: tuple[dt.date | str, dt.date | str] | None = None,
 ) -> DataFrame:
     """Per (entity_id, as_of_date) of ``keys_df``: flag sums over cases created
     from ``as_of_date - days_before`` to ``as_of_date``.
 
+    ``between`` holds the first and last as-of date, where the caller knows them:
+    cases outside of their windows are then never read.
+
     With the default 0 the window is the as-of day itself. The batch keys are
     broadcast when their size allows; otherwise the join shuffles on the entity.
     """
     rows = outcomes.filter((F.col("subject_type") == F.lit(subject_type)) & F.col("subject_id").isNotNull())
+    if between is not None:
+        first, last = (F.lit(d).cast("date") for d in between)
+        rows = rows.filter(F.col("case_creation_date").between(F.date_sub(first, days_before), last))
     k = sized_broadcast(keys_df.select(*keys).distinct(), name="batch keys")
     joined = rows.join(
         k,

@@ -1,8 +1,8 @@
 """Order-based features: repeats, intervals, bursts, flips and rapid fire.
 
 All of them need the previous or next row of a key in time order (ties broken
-by ``mtcn``). That comes from ``with_neighbors``, which splits a busy key over
-time buckets. Features are then row flags and a ``groupBy``.
+by ``mtcn``), which comes from ``stream_neighbors``: a busy key is cut into
+chunks. Features are then row flags and a ``groupBy`` with map-side combining.
 
 Look-back spans: a span keeps the legs dated after ``as_of_date - cut-off``,
 which is a suffix of each key's time-ordered history. Within the suffix the
@@ -14,6 +14,9 @@ Bursts: a row belongs to a burst when the gap to its previous or to its next
 row is at most the threshold; the burst count is the number of such rows
 (the count of gaps within the threshold plus the count of rows that open a
 run of such gaps).
+
+Legs without a time have no place in the order: they are no neighbours and
+count in none of these features.
 """
 
 from __future__ import annotations
@@ -22,32 +25,23 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from fundtrail.functions.columns import dbl, span_sql
 from fundtrail.functions.params import (
     BURST_GAP_SECONDS,
     CUSTOMER_FLIP_SECONDS,
-    DEFAULT_BUCKET_SECONDS,
-    DEFAULT_HOT_KEY_ROWS,
+    DEFAULT_CHUNK_ROWS,
     RAPID_FIRE_SECONDS,
 )
-from fundtrail.operators.neighbors import has_hot_keys, with_neighbors
+from fundtrail.operators.neighbors import CHUNK, Stream, deal, stream_neighbors
 
 SPANS_FULL = (("", None),)
+KEYS = ("entity_id", "as_of_date")
 _US = 1_000_000
 
 
-def burst_member(prev_ok: Column, gap_seconds: float) -> Column:
-    """Row is within ``gap_seconds`` of its previous (if ``prev_ok``) or next row."""
-    limit = F.lit(int(gap_seconds * _US))
-    near_prev = prev_ok & F.col("prev_leg_us").isNotNull() & (F.col("leg_us") - F.col("prev_leg_us") <= limit)
-    near_next = F.col("next_leg_us").isNotNull() & (F.col("next_leg_us") - F.col("leg_us") <= limit)
-    return near_prev | near_next
-
-
 def burst_sql(prev_ok: str, gap_seconds: float, prev: str = "prev_", nxt: str = "next_") -> str:
-    """SQL form of ``burst_member``; neighbour columns are ``{prev}leg_us`` / ``{nxt}leg_us``."""
+    """Row is within ``gap_seconds`` of its previous (if ``prev_ok``) or next row."""
     limit = int(gap_seconds * _US)
     return (
         f"(({prev_ok}) AND {prev}leg_us IS NOT NULL AND leg_us - {prev}leg_us <= {limit})"
@@ -55,14 +49,18 @@ def burst_sql(prev_ok: str, gap_seconds: float, prev: str = "prev_", nxt: str =
     )
 
 
-def run_end(counterparty: str) -> Column:
-    """Last row of a run of equal counterparties; a null counterparty ends a run."""
-    nxt = F.col(f"next_{counterparty}")
-    return (
-        F.col("next_leg_us").isNull()
-        | F.col(counterparty).isNull()
-        | nxt.isNull()
-        | (nxt != F.col(counterparty))
+def run_end() -> Column:
+    """Last timed row of a run of equal counterparties; a null counterparty ends a run."""
+    return F.expr(
+        "leg_us IS NOT NULL AND (next_leg_us IS NULL OR other_customer IS NULL"
+        " OR next_other_customer IS NULL OR next_other_customer <> other_customer)"
+    )
+
+
+def _of_role(side: str, column: str, prefix: str = "") -> Column:
+    return F.expr(
+        f"CASE WHEN role = 'send' THEN send{prefix}_{side}_{column} ELSE pay{prefix}_{side}_{column} END"
+        f" AS {prefix.lstrip('_') + '_' if prefix else ''}{side}_{column}"
     )
 
 
@@ -71,10 +69,44 @@ def _ages(spans, prev: str = "prev_") -> tuple[str, str]:
     return ("age_days", f"{prev}age_days") if with_age else ("0", "0")
 
 
-def customer_pass1_sql(spans, burst_seconds: float = BURST_GAP_SECONDS) -> list[str]:
-    """Aggregates over all legs with ``prev_*``/``next_*`` per (key, role): repeat
-    amounts, first time and interval stats per role, many-to-one bursts."""
+# ---------------------------------------------------------------- customers
+
+
+def customer_neighbors(
+    legs: DataFrame, keys: Sequence[str] = KEYS, chunk_rows: int = DEFAULT_CHUNK_ROWS
+) -> DataFrame:
+    """All legs, each with its neighbours of any role (``all_prev_*``), of its own
+    role (``prev_*``, ``next_*``), and among the send run ends (``end_*``).
+
+    Legs that were dealt before (``deal`` by the same keys) keep their chunks.
+    """
+    if "age_days" not in legs.columns:
+        legs = legs.withColumn("age_days", F.lit(0))
+    x = legs if CHUNK in legs.columns else deal(legs, keys, "leg_us", "mtcn", chunk_rows)
+    prev, nxt = ("leg_us", "amount", "age_days"), ("leg_us", "other_customer")
+    x = stream_neighbors(
+        x,
+        keys,
+        "leg_us",
+        "mtcn",
+        {
+            "all": Stream(prev=("leg_us", "age_days")),
+            "send": Stream("role = 'send'", prev, nxt),
+            "pay": Stream("role = 'pay'", prev, nxt),
+        },
+    )
+    x = x.select("*", *[_of_role("prev", c) for c in prev], *[_of_role("next", c) for c in nxt])
+    x = x.drop(*[f"{r}_{s}_{c}" for r in ("send", "pay") for s, cols in (("prev", prev), ("next", nxt)) for c in cols])
+    x = x.withColumn("run_end", (F.col("role") == F.lit("send")) & run_end())
+    # one-to-many runs over the send run ends only, with their own neighbours
+    return stream_neighbors(x, keys, "leg_us", "mtcn", {"end": Stream("run_end", ("leg_us", "age_days"), ("leg_us",))})
+
+
+def customer_sequence_sql(spans=SPANS_FULL, burst_seconds: float = BURST_GAP_SECONDS) -> list[str]:
+    """Aggregates over ``customer_neighbors``: repeat amounts, first time and
+    interval stats per role, many-to-one and one-to-many bursts."""
     age, prev_age = _ages(spans)
+    _, end_age = _ages(spans, "end_prev_")
     out = []
     for prefix, cut in spans:
         cur_in = span_sql(age, cut)
@@ -88,50 +120,30 @@ def customer_pass1_sql(spans, burst_seconds: float = BURST_GAP_SECONDS) -> list[
                 f"min(CASE WHEN {cond} THEN leg_time END) AS `{prefix}min_{role}_time`",
                 f"min({g}) / {dbl(_US)} AS `{prefix}min_interval_{role}_txns`",
                 f"max({g}) / {dbl(_US)} AS `{prefix}max_interval_{role}_txns`",
-                f"sum({g}) / count({g}) / {dbl(_US)} AS `{prefix}avg_interval_{role}_txns`",
+                f"sum({g}) / nullif(count({g}), 0) / {dbl(_US)} AS `{prefix}avg_interval_{role}_txns`",
             ]
         out.append(
             f"count_if({cur_in} AND role = 'pay' AND ({burst_sql(prev_in, burst_seconds)}))"
             f" AS `{prefix}many_to_one_pay_count`"
         )
+        out.append(
+            f"count_if(run_end AND {cur_in} AND ({burst_sql(span_sql(end_age, cut), burst_seconds, 'end_prev_', 'end_next_')}))"
+            f" AS `{prefix}one_to_many_send_count`"
+        )
     return out
 
 
-def customer_pass2_sql(
-    spans, burst_seconds: float = BURST_GAP_SECONDS, prev: str = "prev_", nxt: str = "next_", rows: str = "TRUE"
-) -> list[str]:
-    """Aggregates over the send run ends (the rows where ``rows`` holds) with
-    their own neighbours ``{prev}*`` / ``{nxt}*``."""
-    age, prev_age = _ages(spans, prev)
-    return [
-        f"count_if({rows} AND {span_sql(age, cut)} AND ({burst_sql(span_sql(prev_age, cut), burst_seconds, prev, nxt)}))"
-        f" AS `{prefix}one_to_many_send_count`"
-        for prefix, cut in spans
-    ]
-
-
-def with_marked_neighbors(
-    df: DataFrame, keys: Sequence[str], order_us: str, tie: str, mark: str, prev_cols: Sequence[str], prefix: str
-) -> DataFrame:
-    """Add ``{prefix}prev_<c>`` (for ``prev_cols``) and ``{prefix}next_<order_us>``:
-    the previous / next row of the same ``keys`` among the rows where the
-    boolean column ``mark`` holds. All rows stay; the frames grow row by row
-    (O(n) per key) and keep the input's partitioning on ``keys``."""
-    w = Window.partitionBy(*keys)
-    before = w.orderBy(order_us, tie).rowsBetween(Window.unboundedPreceding, -1)
-    after = w.orderBy(F.col(order_us).desc(), F.col(tie).desc()).rowsBetween(Window.unboundedPreceding, -1)
-    last_prev = F.last(F.when(F.col(mark), F.struct(*prev_cols)), ignorenulls=True).over(before)
-    first_next = F.last(F.when(F.col(mark), F.col(order_us)), ignorenulls=True).over(after)
-    out = df.select("*", last_prev.alias("_mk_prev"), first_next.alias(f"{prefix}next_{order_us}"))
-    return out.select(
-        *[c for c in out.columns if c != "_mk_prev"], *[F.col(f"_mk_prev.{c}").alias(f"{prefix}prev_{c}") for c in prev_cols]
-    )
-
+def customer_flip_sql(spans=SPANS_FULL, seconds: float = CUSTOMER_FLIP_SECONDS) -> list[str]:
+    """Aggregates over ``customer_neighbors``: neighbouring distinct event times
+    (sends and pays together) at most ``seconds`` apart.
 
-def customer_flip_sql(spans, seconds: float = CUSTOMER_FLIP_SECONDS, prev: str = "prev_") -> list[str]:
-    """Aggregates over all legs with the previous leg of either role (``{prev}*``)."""
-    age, prev_age = _ages(spans, prev)
-    gap = f"leg_us - {prev}leg_us"
+    Repeated times are not removed first: in time order a repeated time has a
+    zero gap to its twin, and the gap between two distinct times is the same
+    with or without the repeats, so counting gaps in (0, seconds] is the count
+    over distinct times.
+    """
+    age, prev_age = _ages(spans, "all_prev_")
+    gap = "leg_us - all_prev_leg_us"
     return [
         f"count_if({span_sql(age, cut)} AND {span_sql(prev_age, cut)}"
         f" AND {gap} > 0 AND {gap} <= {int(seconds * _US)}) AS `{prefix}flipped_txns_count`"
@@ -141,213 +153,81 @@ def customer_flip_sql(spans, seconds: float = CUSTOMER_FLIP_SECONDS, prev: str =
 
 def customer_sequences(
     legs: DataFrame,
-    keys: Sequence[str] = ("entity_id", "as_of_date"),
+    keys: Sequence[str] = KEYS,
     spans: Sequence[tuple[str, int | None]] = SPANS_FULL,
     burst_seconds: float = BURST_GAP_SECONDS,
-    bucket_seconds: int = DEFAULT_BUCKET_SECONDS,
-    hot_rows: int = DEFAULT_HOT_KEY_ROWS,
-    split: bool | None = None,
+    flip_seconds: float = CUSTOMER_FLIP_SECONDS,
+    chunk_rows: int = DEFAULT_CHUNK_ROWS,
 ) -> DataFrame:
-    """Per key and span: repeat amounts, interval stats and first time per role;
-    many-to-one over all pay legs; one-to-many over the run ends of send legs."""
-    keys = list(keys)
-    with_age = any(c is not None for _, c in spans)
-    cols = [*keys, "role", "mtcn", "leg_us", "leg_time", "amount", "other_customer"]
-    base = legs.select(*cols, *(["age_days"] if with_age else []))
-    prev_cols = ["leg_us", "amount"] + (["age_days"] if with_age else [])
-    # Pass 2 works on a subset of pass 1's rows, so one check covers both.
-    if split is None:
-        split = bucket_seconds is not None and has_hot_keys(base, keys + ["role"], hot_rows)
-    first = with_neighbors(
-        base, keys + ["role"], "leg_us", "mtcn", prev_cols, ["leg_us", "other_customer"], bucket_seconds, hot_rows,
-        split,
-    )
-    exprs = [F.expr(e) for e in customer_pass1_sql(spans, burst_seconds)]
-    per_role = first.groupBy(*keys).agg(*exprs)
+    """Per key and span: every ordered customer feature."""
+    sql = customer_sequence_sql(spans, burst_seconds) + customer_flip_sql(spans, flip_seconds)
+    return customer_neighbors(legs, keys, chunk_rows).groupBy(*keys).agg(*[F.expr(e) for e in sql])
 
-    kept = first.filter((F.col("role") == F.lit("send")) & run_end("other_customer")).select(
-        *keys, "role", "mtcn", "leg_us", *(["age_days"] if with_age else [])
-    )
-    second = with_neighbors(
-        kept, keys + ["role"], "leg_us", "mtcn", ["leg_us"] + (["age_days"] if with_age else []), ["leg_us"],
-        bucket_seconds, hot_rows, split,
-    )
-    otm = [F.expr(e) for e in customer_pass2_sql(spans, burst_seconds)]
-    one_to_many = second.groupBy(*keys).agg(*otm)
-    return per_role.join(one_to_many, keys, "left")
 
-
-def customer_flips(
-    legs: DataFrame,
-    keys: Sequence[str] = ("entity_id", "as_of_date"),
-    spans: Sequence[tuple[str, int | None]] = SPANS_FULL,
-    seconds: float = CUSTOMER_FLIP_SECONDS,
-    bucket_seconds: int = DEFAULT_BUCKET_SECONDS,
-    hot_rows: int = DEFAULT_HOT_KEY_ROWS,
-    split: bool | None = None,
-) -> DataFrame:
-    """Per key and span: neighbouring distinct event times (sends and pays
-    together) at most ``seconds`` apart.
-
-    Repeated times are not removed first: in time order a repeated time has a
-    zero gap to its twin, and the gap between two distinct times is the same
-    with or without the repeats, so counting gaps in (0, seconds] is the count
-    over distinct times.
-    """
-    keys = list(keys)
-    with_age = any(c is not None for _, c in spans)
-    base = legs.select(*keys, "mtcn", "leg_us", *(["age_days"] if with_age else []))
-    nb = with_neighbors(
-        base, keys, "leg_us", "mtcn", ["leg_us"] + (["age_days"] if with_age else []), [], bucket_seconds, hot_rows,
-        split,
-    )
-    exprs = [F.expr(e) for e in customer_flip_sql(spans, seconds)]
-    return nb.groupBy(*keys).agg(*exprs)
+# ---------------------------------------------------------------- locations
 
 
 def location_bursts(
-    legs: DataFrame,
-    burst_seconds: float = BURST_GAP_SECONDS,
-    bucket_seconds: int = DEFAULT_BUCKET_SECONDS,
-    hot_rows: int = DEFAULT_HOT_KEY_ROWS,
-    split: bool | None = None,
+    legs: DataFrame, burst_seconds: float = BURST_GAP_SECONDS, chunk_rows: int = DEFAULT_CHUNK_ROWS
 ) -> DataFrame:
     """Per location: one-to-many (send legs by sender) and many-to-one (pay legs
     by payee) burst counts over the run ends of the counterparty.
 
-    The ordered key is (location, role, own customer), so a busy location is
-    already spread over its customers, and each customer over time buckets.
+    The ordered key is (location, own customer), so a busy location is already
+    spread over its customers, and each customer over chunks.
     """
-    keys = ["entity_id", "role", "own_customer"]
-    base = legs.filter(F.col("own_customer").isNotNull()).select(*keys, "mtcn", "leg_us", "other_customer")
-    if split is None:
-        split = bucket_seconds is not None and has_hot_keys(base, keys, hot_rows)
-    first = with_neighbors(
-        base, keys, "leg_us", "mtcn", [], ["leg_us", "other_customer"], bucket_seconds, hot_rows, split
-    )
-    kept = first.filter(run_end("other_customer")).select(*keys, "mtcn", "leg_us")
-    second = with_neighbors(kept, keys, "leg_us", "mtcn", ["leg_us"], ["leg_us"], bucket_seconds, hot_rows, split)
-    member = burst_member(F.lit(True), burst_seconds)
-    return second.groupBy("entity_id").agg(
-        F.count_if(member & (F.col("role") == F.lit("send"))).alias("one_to_many_send_count"),
-        F.count_if(member & (F.col("role") == F.lit("pay"))).alias("many_to_one_pay_count"),
-    )
-
-
-def location_repeats(
-    legs: DataFrame,
-    bucket_seconds: int = DEFAULT_BUCKET_SECONDS,
-    hot_rows: int = DEFAULT_HOT_KEY_ROWS,
-    split: bool | None = None,
-) -> DataFrame:
-    """Per location and role: legs whose amount equals the next leg's at the same
-    terminal, in time order."""
-    keys = ["entity_id", "role", "own_terminal"]
-    base = legs.filter(F.col("own_terminal").isNotNull()).select(*keys, "mtcn", "leg_us", "amount")
-    nb = with_neighbors(base, keys, "leg_us", "mtcn", ["amount"], [], bucket_seconds, hot_rows, split)
-    same = F.col("prev_amount") == F.col("amount")
-    return nb.groupBy("entity_id").agg(
-        F.count_if(same & (F.col("role") == F.lit("send"))).alias("send_repeat_amount_txns"),
-        F.count_if(same & (F.col("role") == F.lit("pay"))).alias("pay_repeat_amount_txns"),
+    keys = ["entity_id", "own_customer"]
+    base = legs.filter(F.col("own_customer").isNotNull()).select(*keys, "role", "mtcn", "leg_us", "other_customer")
+    x = deal(base, keys, "leg_us", "mtcn", chunk_rows)
+    nxt = ("leg_us", "other_customer")
+    x = stream_neighbors(x, keys, "leg_us", "mtcn", {r: Stream(f"role = '{r}'", next=nxt) for r in ("send", "pay")})
+    x = x.select(*base.columns, CHUNK, *[_of_role("next", c) for c in nxt]).withColumn("run_end", run_end())
+    ends = {f"{r}_end": Stream(f"run_end AND role = '{r}'", ("leg_us",), ("leg_us",)) for r in ("send", "pay")}
+    x = stream_neighbors(x, keys, "leg_us", "mtcn", ends)
+    x = x.select("entity_id", "role", "leg_us", "run_end", _of_role("prev", "leg_us", "_end"), _of_role("next", "leg_us", "_end"))
+    member = f"run_end AND ({burst_sql('TRUE', burst_seconds, 'end_prev_', 'end_next_')})"
+    return x.groupBy("entity_id").agg(
+        F.expr(f"count_if({member} AND role = 'send') AS one_to_many_send_count"),
+        F.expr(f"count_if({member} AND role = 'pay') AS many_to_one_pay_count"),
     )
 
 
-def rapid_fire_groups(
-    legs: DataFrame,
-    seconds: float = RAPID_FIRE_SECONDS,
-    bucket_seconds: int = DEFAULT_BUCKET_SECONDS,
-    hot_rows: int = DEFAULT_HOT_KEY_ROWS,
-    split: bool | None = None,
+def terminal_counts(
+    legs: DataFrame, fire_seconds: float = RAPID_FIRE_SECONDS, chunk_rows: int = DEFAULT_CHUNK_ROWS
 ) -> DataFrame:
-    """Per (location, terminal) with a burst: distinct event times (sends and
-    pays together) within ``seconds`` of the previous or next one there."""
+    """Per (location, terminal): legs whose amount equals that of the role's previous
+    leg there, and distinct event times (sends and pays together) within
+    ``fire_seconds`` of the previous or next one."""
     keys = ["entity_id", "own_terminal"]
-    times = legs.filter(F.col("own_terminal").isNotNull() & F.col("leg_us").isNotNull()).select(*keys, "leg_us").distinct()
-    nb = with_neighbors(times, keys, "leg_us", None, ["leg_us"], ["leg_us"], bucket_seconds, hot_rows, split)
-    counts = nb.groupBy(*keys).agg(F.count_if(burst_member(F.lit(True), seconds)).alias("rapid_fire_count"))
-    return counts.filter(F.col("rapid_fire_count") > 0)
+    base = legs.filter(F.col("own_terminal").isNotNull()).select(*keys, "role", "mtcn", "leg_us", "amount")
+    x = deal(base, keys, "leg_us", "mtcn", chunk_rows)
+    streams = {r: Stream(f"role = '{r}'", ("leg_us", "amount")) for r in ("send", "pay")} | {"any": Stream(prev=("leg_us",))}
+    x = stream_neighbors(x, keys, "leg_us", "mtcn", streams)
+    x = x.select(*base.columns, CHUNK, "any_prev_leg_us", _of_role("prev", "leg_us"), _of_role("prev", "amount"))
+    # the first row of every distinct time
+    x = x.withColumn("opens", F.expr("leg_us IS NOT NULL AND (any_prev_leg_us IS NULL OR any_prev_leg_us < leg_us)"))
+    x = stream_neighbors(x, keys, "leg_us", "mtcn", {"time": Stream("opens", ("leg_us",), ("leg_us",))})
+    same = "prev_leg_us IS NOT NULL AND prev_amount = amount"
+    fire = f"opens AND ({burst_sql('TRUE', fire_seconds, 'time_prev_', 'time_next_')})"
+    return x.groupBy(*keys).agg(
+        F.expr(f"count_if({same} AND role = 'send') AS send_repeat_amount_txns"),
+        F.expr(f"count_if({same} AND role = 'pay') AS pay_repeat_amount_txns"),
+        F.expr(f"count_if({fire}) AS rapid_fire_count"),
+    )
 
 
-def rapid_fire(
-    legs: DataFrame,
-    seconds: float = RAPID_FIRE_SECONDS,
-    bucket_seconds: int = DEFAULT_BUCKET_SECONDS,
-    hot_rows: int = DEFAULT_HOT_KEY_ROWS,
-    split: bool | None = None,
+def location_terminals(
+    legs: DataFrame, fire_seconds: float = RAPID_FIRE_SECONDS, chunk_rows: int = DEFAULT_CHUNK_ROWS
 ) -> DataFrame:
-    """Per location: the rapid-fire counts of its terminals, summed."""
-    groups = rapid_fire_groups(legs, seconds, bucket_seconds, hot_rows, split)
-    return groups.groupBy("entity_id").agg(F.sum("rapid_fire_count").cast("long").alias("rapid_fire_count"))
-
+    """Per location: the repeat and rapid-fire counts of its terminals, summed."""
+    names = ("send_repeat_amount_txns", "pay_repeat_amount_txns", "rapid_fire_count")
+    groups = terminal_counts(legs, fire_seconds, chunk_rows)
+    return groups.groupBy("entity_id").agg(*[F.sum(n).cast("long").alias(n) for n in names])
 
-# ---------------------------------------------------------------- generic forms
 
-
-def repeat_count(
-    rows: DataFrame,
-    keys: Sequence[str],
-    value: str = "amount",
-    order_us: str = "leg_us",
-    tie: str | None = "mtcn",
-    out: str = "repeat_count",
-    bucket_seconds: int = DEFAULT_BUCKET_SECONDS,
-    hot_rows: int = DEFAULT_HOT_KEY_ROWS,
-) -> DataFrame:
-    """Per key: rows whose ``value`` equals the previous row's in time order
-    (nulls never equal)."""
-    nb = with_neighbors(rows, keys, order_us, tie, [value], [], bucket_seconds, hot_rows)
-    return nb.groupBy(*keys).agg(F.count_if(F.col(f"prev_{value}") == F.col(value)).alias(out))
-
-
-def burst_count(
-    rows: DataFrame,
-    keys: Sequence[str],
-    seconds: float,
-    counterparty: str | None = None,
-    order_us: str = "leg_us",
-    tie: str | None = "mtcn",
-    out: str = "burst_count",
-    bucket_seconds: int = DEFAULT_BUCKET_SECONDS,
-    hot_rows: int = DEFAULT_HOT_KEY_ROWS,
-) -> DataFrame:
-    """Per key: rows within ``seconds`` of their previous or next row.
-
-    With ``counterparty``, each run of equal counterparties is first collapsed
-    to its last row (a null counterparty ends a run). Keys whose count is 0
-    are kept.
-    """
-    keys = list(keys)
-    cols = [*keys, order_us, *([tie] if tie else [])]
-    split = bucket_seconds is not None and has_hot_keys(rows.filter(F.col(order_us).isNotNull()), keys, hot_rows)
-    if counterparty is not None:
-        first = with_neighbors(
-            rows.select(*cols, counterparty).withColumnRenamed(order_us, "leg_us"),
-            keys, "leg_us", tie, [], ["leg_us", counterparty], bucket_seconds, hot_rows, split,
-        )
-        base = first.filter(run_end(counterparty)).select(*[c if c != order_us else "leg_us" for c in cols])
-    else:
-        base = rows.select(*cols).withColumnRenamed(order_us, "leg_us")
-    nb = with_neighbors(base, keys, "leg_us", tie, ["leg_us"], ["leg_us"], bucket_seconds, hot_rows, split)
-    return nb.groupBy(*keys).agg(F.expr(f"count_if({burst_sql('TRUE', seconds)}) AS `{out}`"))
-
-
-def interval_stats(
-    rows: DataFrame,
-    keys: Sequence[str],
-    time_col: str = "leg_time",
-    order_us: str = "leg_us",
-    tie: str | None = "mtcn",
-    prefix: str = "",
-    bucket_seconds: int = DEFAULT_BUCKET_SECONDS,
-    hot_rows: int = DEFAULT_HOT_KEY_ROWS,
+def rapid_fire_groups(
+    legs: DataFrame, fire_seconds: float = RAPID_FIRE_SECONDS, chunk_rows: int = DEFAULT_CHUNK_ROWS
 ) -> DataFrame:
-    """Per key: first time, and min / max / mean gap in seconds between
-    neighbouring rows in time order (null for a single row)."""
-    nb = with_neighbors(rows, keys, order_us, tie, [order_us], [], bucket_seconds, hot_rows)
-    gap = F.col(order_us) - F.col(f"prev_{order_us}")
-    return nb.groupBy(*keys).agg(
-        F.min(time_col).alias(f"{prefix}min_time"),
-        (F.min(gap) / F.lit(float(_US))).alias(f"{prefix}min_interval"),
-        (F.max(gap) / F.lit(float(_US))).alias(f"{prefix}max_interval"),
-        (F.sum(gap) / F.count(gap) / F.lit(float(_US))).alias(f"{prefix}avg_interval"),
-    )
+    """Per (location, terminal) with a rapid-fire burst: its count."""
+    counts = terminal_counts(legs, fire_seconds, chunk_rows)
+    return counts.filter(F.col("rapid_fire_count") > 0).select("entity_id", "own_terminal", "rapid_fire_count")

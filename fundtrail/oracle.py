@@ -3,21 +3,26 @@
 The SQL follows the definitions directly: per-span filters rerun for each
 look-back, window ``lag``/``lead`` over the whole key, the send/pay self-join
 for location flips, ``count(DISTINCT ...)``. It shares no formulation with the
-Spark code (one pass for all spans, bucketed neighbours, running counts).
+Spark code (one pass for all spans, chunked neighbours, running counts).
 
-Doubles are rounded to 6 places on both sides (see ``ROUND_DIGITS``) so that
+Doubles are rounded to 4 places on both sides (see ``ROUND_DIGITS``) so that
 summation order and libm differences cannot change a hash.
 """
 
 from __future__ import annotations
 
-from fundtrail.functions.params import AMOUNT_BANDS, OUTCOME_FLAGS
+from fundtrail.functions.params import OUTCOME_FLAGS
 
-ROUND_DIGITS = 6
+# Stated again here, so that the oracle does not take them from the code that it checks.
+AMOUNT_BANDS = ((900, 1000), (1800, 2000), (2500, 3000), (7400, 7500), (9900, 9999))
+
+ROUND_DIGITS = 4
 AS_OF = "2024-01-30"
 PREV_DAY = "2024-01-29"
 RANGE_FROM, RANGE_TO = "2024-01-01", "2024-01-30"
 SPAN_CUTOFFS = (("60_", 61), ("30_", 31), ("7_", 8))
+# The test data cover 30 days; these spans differ from each other and from the full history.
+SHORT_CUTOFFS = (("15_", 15), ("8_", 8), ("3_", 3))
 
 BASE = f"""
 ev AS (
@@ -45,18 +50,22 @@ tr AS (
     e.k % 9 AS send_id_number,
     e.k % 6 AS pay_id_number,
     e.event_type AS product,
-    floor(e.value) * CAST(20.25 AS DOUBLE) AS send_amount,
-    greatest(floor(e.value) * CAST(20.25 AS DOUBLE) - 2.5, 0.0) AS pay_amount,
-    e.ts AS send_time,
+    coalesce(odd.amount, floor(e.value) * CAST(20.25 AS DOUBLE)) AS send_amount,
+    coalesce(odd.amount, greatest(floor(e.value) * CAST(20.25 AS DOUBLE) - 2.5, 0.0)) AS pay_amount,
+    CAST(e.ts AS DATE) AS send_date,
     CASE WHEN e.event_type <> 'error'
+         THEN CAST(e.ts + to_seconds(CAST(round(e.value * 100) AS BIGINT) % 7200) AS DATE) END AS pay_date,
+    CASE WHEN e.event_id % 97 <> 5 THEN e.ts END AS send_time,
+    CASE WHEN e.event_type <> 'error' AND e.event_id % 101 <> 7
          THEN e.ts + to_seconds(CAST(round(e.value * 100) AS BIGINT) % 7200) END AS pay_time
   FROM ev e CROSS JOIN nu
   LEFT JOIN nation sn ON sn.n_nationkey = e.user_id % 25
   LEFT JOIN nation pn ON pn.n_nationkey = (e.event_id + e.k) % 25
+  LEFT JOIN (VALUES (4, CAST(0.0001220703125 AS DOUBLE)), (229, 0.00048828125), (454, 0.5), (679, 1e8)) odd(r, amount)
+    ON odd.r = e.event_id % 900
 ),
 t AS (
-  SELECT *, CAST(send_time AS DATE) AS send_date, CAST(pay_time AS DATE) AS pay_date,
-         epoch_us(pay_time) - epoch_us(send_time) AS payout_us
+  SELECT *, epoch_us(pay_time) - epoch_us(send_time) AS payout_us
   FROM tr
 ),
 geo AS (
@@ -90,6 +99,12 @@ def _dbl(expr: str) -> str:
 
 # ---------------------------------------------------------------- customer legs
 
+# The legs that have a place in time order.
+TIMED = (
+    "st AS (SELECT * FROM s WHERE send_time IS NOT NULL)",
+    "pt AS (SELECT * FROM p WHERE pay_time IS NOT NULL)",
+)
+
 
 def customer_legs_ctes(cutoff: int | None = None, as_of: str = AS_OF) -> list[str]:
     """q (queue), s (send legs), p (pay legs), optionally narrowed to a span."""
@@ -106,6 +121,7 @@ def customer_legs_ctes(cutoff: int | None = None, as_of: str = AS_OF) -> list[st
   ON t.send_customer = q.entity_id AND t.send_date < q.as_of_date{span_s})""",
         f"""p AS (SELECT q.entity_id, q.as_of_date, t.* FROM t JOIN q
   ON t.pay_customer = q.entity_id AND t.pay_date < q.as_of_date{span_p})""",
+        *TIMED,
         "ck AS (SELECT entity_id, as_of_date FROM s UNION SELECT entity_id, as_of_date FROM p)",
     ]
 
@@ -122,6 +138,7 @@ def location_legs_ctes(date_from: str = RANGE_FROM, date_to: str = RANGE_TO) ->
   WHERE send_location_id IN (SELECT entity_id FROM lq) AND send_date {rng})""",
         f"""p AS (SELECT pay_location_id AS entity_id, t.* FROM t
   WHERE pay_location_id IN (SELECT entity_id FROM lq) AND pay_date {rng})""",
+        *TIMED,
         "ck AS (SELECT entity_id FROM s UNION SELECT entity_id FROM p)",
     ]
 
@@ -294,24 +311,24 @@ def _customer_span_ctes(keys: str = "entity_id, as_of_date") -> list[str]:
 )""",
         f"""rp AS (
   SELECT {keys}, {_big('count(*) FILTER (WHERE prev_amt = send_amount)')} AS send_repeat_amount_txns
-  FROM (SELECT {keys}, send_amount, lag(send_amount) OVER ({w_s}) AS prev_amt FROM s) GROUP BY {keys}
+  FROM (SELECT {keys}, send_amount, lag(send_amount) OVER ({w_s}) AS prev_amt FROM st) GROUP BY {keys}
 )""",
         f"""rq AS (
   SELECT {keys}, {_big('count(*) FILTER (WHERE prev_amt = pay_amount)')} AS pay_repeat_amount_txns
-  FROM (SELECT {keys}, pay_amount, lag(pay_amount) OVER ({w_p}) AS prev_amt FROM p) GROUP BY {keys}
+  FROM (SELECT {keys}, pay_amount, lag(pay_amount) OVER ({w_p}) AS prev_amt FROM pt) GROUP BY {keys}
 )""",
-        _burst("otm", "s", keys, "send_time", "pay_customer", None, 36000),
-        _burst("mto", "p", keys, "pay_time", None, None, 36000),
+        _burst("otm", "st", keys, "send_time", "pay_customer", None, 36000),
+        _burst("mto", "pt", keys, "pay_time", None, None, 36000),
         f"""iv_s AS (
   SELECT {keys}, min(send_time) AS min_send_time, min(d) / 1e6 AS min_interval_send_txns,
          max(d) / 1e6 AS max_interval_send_txns, avg(d) / 1e6 AS avg_interval_send_txns
-  FROM (SELECT {keys}, send_time, epoch_us(send_time) - epoch_us(lag(send_time) OVER ({w_s})) AS d FROM s)
+  FROM (SELECT {keys}, send_time, epoch_us(send_time) - epoch_us(lag(send_time) OVER ({w_s})) AS d FROM st)
   GROUP BY {keys}
 )""",
         f"""iv_p AS (
   SELECT {keys}, min(pay_time) AS min_pay_time, min(d) / 1e6 AS min_interval_pay_txns,
          max(d) / 1e6 AS max_interval_pay_txns, avg(d) / 1e6 AS avg_interval_pay_txns
-  FROM (SELECT {keys}, pay_time, epoch_us(pay_time) - epoch_us(lag(pay_time) OVER ({w_p})) AS d FROM p)
+  FROM (SELECT {keys}, pay_time, epoch_us(pay_time) - epoch_us(lag(pay_time) OVER ({w_p})) AS d FROM pt)
   GROUP BY {keys}
 )""",
         f"""oc AS (
@@ -390,8 +407,8 @@ def customer_block_sql(columns: list[str], kinds: dict[str, str] | None = None)
     return _with(*customer_legs_ctes(None), *_customer_span_ctes()) + f"\nSELECT {', '.join(cols)} FROM cs"
 
 
-def lookback_counts_sql() -> str:
-    parts = [("", None)] + list(SPAN_CUTOFFS)
+def lookback_counts_sql(cutoffs=SPAN_CUTOFFS) -> str:
+    parts = [("", None)] + list(cutoffs)
     cols = ["f0.entity_id", "f0.as_of_date"]
     joins = []
     for i, (prefix, cut) in enumerate(parts):
@@ -412,8 +429,8 @@ def _location_ctes() -> list[str]:
         _role_basics("pay", "p", keys, LOCATION_DISTINCT["pay"]),
         _degree(keys, "pay_location_id", "send_location_id", "total_agent_count"),
         _totals(keys, "customer", "total_customer_count"),
-        _burst("otm_g", "s", "entity_id, send_customer", "send_time", "pay_customer", "send_customer", 36000),
-        _burst("mto_g", "p", "entity_id, pay_customer", "pay_time", "send_customer", "pay_customer", 36000),
+        _burst("otm_g", "st", "entity_id, send_customer", "send_time", "pay_customer", "send_customer", 36000),
+        _burst("mto_g", "pt", "entity_id, pay_customer", "pay_time", "send_customer", "pay_customer", 36000),
         "otm AS (SELECT entity_id, CAST(sum(burst) AS BIGINT) AS one_to_many_send_count FROM otm_g WHERE burst > 0 GROUP BY entity_id)",
         "mto AS (SELECT entity_id, CAST(sum(burst) AS BIGINT) AS many_to_one_pay_count FROM mto_g WHERE burst > 0 GROUP BY entity_id)",
         _benford("send", "s"),
@@ -437,7 +454,7 @@ def _location_ctes() -> list[str]:
   SELECT entity_id, send_terminal, count(*) FILTER (WHERE nxt = send_amount) AS c FROM (
     SELECT entity_id, send_terminal, send_amount,
       lead(send_amount) OVER (PARTITION BY entity_id, send_terminal ORDER BY send_time, mtcn) AS nxt
-    FROM s WHERE send_terminal IS NOT NULL
+    FROM st WHERE send_terminal IS NOT NULL
   ) GROUP BY entity_id, send_terminal
 )""",
         "rp AS (SELECT entity_id, CAST(sum(c) AS BIGINT) AS send_repeat_amount_txns FROM rp_g WHERE c >= 1 GROUP BY entity_id)",
@@ -445,7 +462,7 @@ def _location_ctes() -> list[str]:
   SELECT entity_id, pay_terminal, count(*) FILTER (WHERE nxt = pay_amount) AS c FROM (
     SELECT entity_id, pay_terminal, pay_amount,
       lead(pay_amount) OVER (PARTITION BY entity_id, pay_terminal ORDER BY pay_time, mtcn) AS nxt
-    FROM p WHERE pay_terminal IS NOT NULL
+    FROM pt WHERE pay_terminal IS NOT NULL
   ) GROUP BY entity_id, pay_terminal
 )""",
         "rq AS (SELECT entity_id, CAST(sum(c) AS BIGINT) AS pay_repeat_amount_txns FROM rq_g WHERE c >= 1 GROUP BY entity_id)",
@@ -480,11 +497,11 @@ def _benford(role: str, src: str) -> str:
   SELECT tot.entity_id,
     sum(abs(coalesce(c.n, 0) / tot.n - log10(1 + CAST(1 AS DOUBLE) / dg.d))) AS first_digit_{role}
   FROM (SELECT entity_id, count(*) AS n FROM (
-          SELECT entity_id, substr(CAST({role}_amount AS VARCHAR), 1, 1) AS ch FROM {src})
+          SELECT entity_id, substr(CAST({role}_amount AS VARCHAR), 1, 1) AS ch FROM {src} WHERE {role}_amount >= 1)
         WHERE ch IN ('1','2','3','4','5','6','7','8','9') GROUP BY entity_id) tot
   CROSS JOIN (SELECT range AS d FROM range(1, 10)) dg
   LEFT JOIN (SELECT entity_id, CAST(ch AS INTEGER) AS d, count(*) AS n FROM (
-          SELECT entity_id, substr(CAST({role}_amount AS VARCHAR), 1, 1) AS ch FROM {src})
+          SELECT entity_id, substr(CAST({role}_amount AS VARCHAR), 1, 1) AS ch FROM {src} WHERE {role}_amount >= 1)
         WHERE ch IN ('1','2','3','4','5','6','7','8','9') GROUP BY entity_id, ch) c
     ON c.entity_id = tot.entity_id AND c.d = dg.d
   GROUP BY tot.entity_id
@@ -532,7 +549,7 @@ def history_sql(role: str) -> str:
     src, other = ("s", "pay") if role == "send" else ("p", "send")
     return _with(*customer_legs_ctes()) + f"""
 SELECT entity_id, as_of_date, mtcn, {role}_time AS leg_time, {role}_date AS leg_date,
-  {role}_amount AS amount, {other}_customer AS other_customer, {other}_country AS other_country,
+  {_dbl(f'{role}_amount')} AS amount, {other}_customer AS other_customer, {other}_country AS other_country,
   {_dbl('payout_us / 1e6')} AS payout_seconds
 FROM {src}"""
 
@@ -563,7 +580,7 @@ def run_ends_sql() -> str:
     return _with(*customer_legs_ctes()) + f"""
 SELECT entity_id, as_of_date, mtcn FROM (
   SELECT entity_id, as_of_date, mtcn, pay_customer AS cp,
-    lead(pay_customer) OVER ({w}) AS nxt_cp, lead(mtcn) OVER ({w}) AS nxt_id FROM s
+    lead(pay_customer) OVER ({w}) AS nxt_cp, lead(mtcn) OVER ({w}) AS nxt_id FROM st
 ) WHERE nxt_id IS NULL OR cp IS NULL OR nxt_cp IS NULL OR nxt_cp <> cp"""
 
 
@@ -578,8 +595,8 @@ SELECT entity_id, role, CAST(ch AS INTEGER) AS digit, CAST(count(*) AS BIGINT) A
   {_dbl('count(*) / sum(count(*)) OVER (PARTITION BY entity_id, role)')} AS share
 FROM (
   SELECT * FROM (
-    SELECT entity_id, 'send' AS role, substr(CAST(send_amount AS VARCHAR), 1, 1) AS ch FROM s
-    UNION ALL SELECT entity_id, 'pay', substr(CAST(pay_amount AS VARCHAR), 1, 1) FROM p
+    SELECT entity_id, 'send' AS role, substr(CAST(send_amount AS VARCHAR), 1, 1) AS ch FROM s WHERE send_amount >= 1
+    UNION ALL SELECT entity_id, 'pay', substr(CAST(pay_amount AS VARCHAR), 1, 1) FROM p WHERE pay_amount >= 1
   ) WHERE ch IN ('1','2','3','4','5','6','7','8','9')
 )
 GROUP BY entity_id, role, ch"""
@@ -587,3 +604,17 @@ GROUP BY entity_id, role, ch"""
 
 def time_index_tag_sql() -> str:
     return location_block_sql(["id_type", "time_index"])
+
+
+def customer_features_text_ids_sql() -> str:
+    return f"SELECT * REPLACE (CAST(entity_id AS VARCHAR) AS entity_id) FROM ({customer_features_sql(all_spans=False)})"
+
+
+def customer_sink_sql() -> str:
+    return customer_features_sql(all_spans=True)
+
+
+def location_sink_sql() -> str:
+    return (
+        f"SELECT *, DATE '{RANGE_FROM}' AS date_from, DATE '{RANGE_TO}' AS date_to FROM ({location_features_sql()})"
+    )

@@ -3,14 +3,16 @@
 ``customer_features`` takes history legs (``operators.legs.customer_history_legs``)
 and computes every span from the same legs in one pass per feature family:
 
-* basics, payout speed, rapid payouts, risky-country sums: one ``groupBy``;
+* basics, payout speed, rapid payouts, risky-country sums and all ordered
+  features: one aggregate over the legs with their neighbours
+  (``operators.sequences``), which cuts busy customers into chunks;
 * distinct counts of 21 attributes: ``operators.distinct`` (two aggregates);
 * primary countries: two aggregates;
-* ordered features: ``operators.sequences`` (bucketed neighbours);
 * outcomes: a join on (entity, as-of date).
 
-The blocks meet in left joins on (entity_id, as_of_date), each one row per
-key and already hash-partitioned on it by its last aggregate.
+There is one plan for every batch, whatever its size and skew. The blocks meet
+in left joins on (entity_id, as_of_date), each one row per key and already
+hash-partitioned on it by its last aggregate.
 
 Rows: one per (entity_id, as_of_date) with at least one leg in the history.
 Missing numbers become 0 (an entity with no leg in a span gets 0 for every
@@ -19,44 +21,30 @@ number of that span, outcomes included); countries and first times stay null.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fundtrail.functions.params import (
     AMOUNT_BANDS,
     BURST_GAP_SECONDS,
     CUSTOMER_FLIP_SECONDS,
-    DEFAULT_BUCKET_SECONDS,
-    DEFAULT_HOT_KEY_ROWS,
-    FIXTURE_SUBJECT_TYPES,
+    DEFAULT_CHUNK_ROWS,
     LOOKBACK_SPANS,
     OUTCOME_FLAGS,
+    PRODUCTION_SUBJECT_TYPES,
     RAPID_PAYOUT_SECONDS,
 )
-from fundtrail.operators.basics import basics, basics_exprs
+from fundtrail.operators.basics import basics_exprs
 from fundtrail.operators.countries import flag_high_risk, primary_countries
 from fundtrail.operators.distinct import DistinctOut as O
 from fundtrail.operators.distinct import ValueFamily, distinct_counts
-from fundtrail.operators.neighbors import has_hot_keys, with_neighbors
 from fundtrail.operators.outcomes import outcomes_as_of
-from fundtrail.operators.sequences import (
-    customer_flip_sql,
-    customer_flips,
-    customer_pass1_sql,
-    customer_pass2_sql,
-    customer_sequences,
-    run_end,
-    with_marked_neighbors,
-)
+from fundtrail.operators.sequences import customer_flip_sql, customer_neighbors, customer_sequence_sql
 
 KEYS = ("entity_id", "as_of_date")
-FULL = (("", None),)
-
-
-def _role(r: str) -> Column:
-    return F.col("role") == F.lit(r)
 
 
 def customer_distinct_families() -> list[ValueFamily]:
@@ -102,7 +90,7 @@ def _role_block(role: str) -> list[str]:
     ]
 
 
-# Output columns of one span, in order (69).
+# The output columns of one span (69). Their order follows the operators.
 FEATURES = (
     *_role_block("send"),
     *_role_block("pay"),
@@ -144,66 +132,35 @@ DOUBLES = {
 }
 
 
-def _ordered_and_basics(legs, keys, spans, bands, rapid_seconds, burst_seconds, flip_seconds) -> DataFrame:
-    """No hot entity: one exchange on (entity, as-of date) serves the flip window
-    (both roles), the per-role windows, the neighbours among send run ends and
-    the one aggregate, since a hash partitioning on the entity keys satisfies
-    every finer window key and the final ``groupBy``."""
-    ages = ["age_days"] if any(c is not None for _, c in spans) else []
-    x = with_neighbors(legs, keys, "leg_us", "mtcn", ["leg_us", *ages], [], split=False, out_prefix="all_")
-    x = with_neighbors(
-        x, keys + ["role"], "leg_us", "mtcn", ["leg_us", "amount", *ages], ["leg_us", "other_customer"], split=False
-    )
-    exprs = basics_exprs(spans, bands, rapid_seconds, with_hrj=True)
-    exprs += [F.expr(e) for e in customer_pass1_sql(spans, burst_seconds)]
-    exprs += [F.expr(e) for e in customer_flip_sql(spans, flip_seconds, prev="all_prev_")]
-    # One-to-many runs over the send run ends only: their own neighbours come
-    # from growing frames over the marked rows, on the same partitioning.
-    x = x.withColumn("run_end", (F.col("role") == F.lit("send")) & run_end("other_customer"))
-    x = with_marked_neighbors(x, keys + ["role"], "leg_us", "mtcn", "run_end", ["leg_us", *ages], "end_")
-    exprs += [F.expr(e) for e in customer_pass2_sql(spans, burst_seconds, "end_prev_", "end_next_", "run_end")]
-    return x.groupBy(*keys).agg(*exprs)
-
-
 def customer_features(
     legs: DataFrame,
     geo_risk: DataFrame,
     outcomes: DataFrame,
     spans: Sequence[tuple[str, int | None]] = LOOKBACK_SPANS,
-    subject_type: str = FIXTURE_SUBJECT_TYPES["customer"],
+    subject_type: str = PRODUCTION_SUBJECT_TYPES["customer"],
     outcome_days: int = 0,
     bands: Sequence[tuple[float, float]] = AMOUNT_BANDS,
     rapid_seconds: float = RAPID_PAYOUT_SECONDS,
     burst_seconds: float = BURST_GAP_SECONDS,
     flip_seconds: float = CUSTOMER_FLIP_SECONDS,
-    bucket_seconds: int = DEFAULT_BUCKET_SECONDS,
-    hot_rows: int = DEFAULT_HOT_KEY_ROWS,
+    chunk_rows: int = DEFAULT_CHUNK_ROWS,
+    as_of_between: tuple[dt.date | str, dt.date | str] | None = None,
 ) -> DataFrame:
-    """(entity_id, as_of_date, then FEATURES under each span prefix)."""
+    """(entity_id, as_of_date, then FEATURES under each span prefix).
+
+    ``as_of_between``: the first and last as-of date of the batch, where known,
+    to read only the cases of those days.
+    """
     keys = list(KEYS)
     if "is_hrj" not in legs.columns:
         legs = flag_high_risk(legs, geo_risk)
-    # Every ordered key is finer than (entity, as-of date): if no entity is hot,
-    # no operator needs to look for hot keys of its own.
-    if has_hot_keys(legs, keys, hot_rows):
-        blocks = basics(legs, keys, spans, bands, rapid_seconds, with_hrj=True)
-        parts = [
-            customer_sequences(legs, keys, spans, burst_seconds, bucket_seconds, hot_rows),
-            customer_flips(legs, keys, spans, flip_seconds, bucket_seconds, hot_rows),
-        ]
-        by_key = legs
-    else:
-        blocks = _ordered_and_basics(legs, keys, spans, bands, rapid_seconds, burst_seconds, flip_seconds)
-        parts = []
-        # Distinct counts and primary countries group by the keys plus a value,
-        # then by the keys. With no hot entity, narrow legs shuffled once on the
-        # keys serve both steps: no second exchange, and no wide partial states
-        # (which merge little, as one entity's legs are spread over many files).
-        by_key = legs.repartition(*keys)
-    parts += [
-        distinct_counts(by_key, keys, customer_distinct_families(), spans),
-        primary_countries(by_key, keys, spans),
-        outcomes_as_of(outcomes, legs.select(*keys).distinct(), subject_type, outcome_days, keys),
+    exprs = basics_exprs(spans, bands, rapid_seconds, with_hrj=True)
+    exprs += [F.expr(e) for e in customer_sequence_sql(spans, burst_seconds) + customer_flip_sql(spans, flip_seconds)]
+    blocks = customer_neighbors(legs, keys, chunk_rows).groupBy(*keys).agg(*exprs)
+    parts = [
+        distinct_counts(legs, keys, customer_distinct_families(), spans),
+        primary_countries(legs, keys, spans),
+        outcomes_as_of(outcomes, legs.select(*keys).distinct(), subject_type, outcome_days, keys, as_of_between),
     ]
     for part in parts:
         blocks = blocks.join(part, keys, "left")

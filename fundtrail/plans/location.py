@@ -3,10 +3,12 @@
 ``location_features`` takes range legs (``operators.legs.location_range_legs``).
 Basics, risky-country sums and leading digits come from one ``groupBy``;
 distinct counts from ``operators.distinct``; bursts, repeats and rapid fire
-from bucketed neighbours keyed finer than the location (by customer or
-terminal), so a busy location does not become one task; flips from running
+from neighbours keyed finer than the location (by customer or terminal) and cut
+into chunks, so a busy location does not become one task; flips from running
 counts (``operators.flips``). Outcomes are a left join; the time index is the
-one row of a global aggregate.
+one row of a global aggregate. There is one plan for every batch, whatever its
+size and skew; nothing is shuffled on the location alone before it is
+aggregated.
 """
 
 from __future__ import annotations
@@ -14,17 +16,16 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fundtrail.functions.params import (
     AMOUNT_BANDS,
     BURST_GAP_SECONDS,
-    DEFAULT_BUCKET_SECONDS,
-    DEFAULT_HOT_KEY_ROWS,
-    FIXTURE_SUBJECT_TYPES,
+    DEFAULT_CHUNK_ROWS,
     LOCATION_ID_TYPE,
     OUTCOME_FLAGS,
+    PRODUCTION_SUBJECT_TYPES,
     RAPID_FIRE_SECONDS,
     RAPID_PAYOUT_SECONDS,
 )
@@ -34,24 +35,12 @@ from fundtrail.operators.countries import flag_high_risk
 from fundtrail.operators.distinct import DistinctOut as O
 from fundtrail.operators.distinct import ValueFamily, distinct_counts
 from fundtrail.operators.flips import location_flips
-from fundtrail.operators.neighbors import has_hot_keys, with_neighbors
 from fundtrail.operators.outcomes import outcome_sums
-from fundtrail.operators.sequences import (
-    burst_sql,
-    location_bursts,
-    location_repeats,
-    rapid_fire,
-    run_end,
-    with_marked_neighbors,
-)
+from fundtrail.operators.sequences import location_bursts, location_terminals
 
 KEYS = ("entity_id",)
 
 
-def _role(r: str) -> Column:
-    return F.col("role") == F.lit(r)
-
-
 def location_distinct_families() -> list[ValueFamily]:
     S, P, A = ("send",), ("pay",), ("send", "pay")
     return [
@@ -97,7 +86,7 @@ def _role_block(role: str) -> list[str]:
     ]
 
 
-# Output columns after entity_id, in order (64).
+# The output columns after entity_id (64). Their order follows the operators.
 FEATURES = (
     *_role_block("send"),
     *_role_block("pay"),
@@ -138,11 +127,10 @@ def location_aggregates(
     bands: Sequence[tuple[float, float]] = AMOUNT_BANDS,
     rapid_seconds: float = RAPID_PAYOUT_SECONDS,
     with_hrj: bool = True,
-    extra: Sequence[Column] = (),
 ) -> DataFrame:
     """One ``groupBy``: per-role basics, risky-country sums (legs flagged by
-    ``flag_high_risk``), leading digits and any ``extra`` aggregates."""
-    exprs = list(extra)
+    ``flag_high_risk``) and leading digits."""
+    exprs = []
     for role in ("send", "pay"):
         exprs += role_exprs(role, "", f"role = '{role}'", bands, rapid_seconds)
         exprs += B.digit_count_exprs(role)
@@ -155,35 +143,6 @@ def location_aggregates(
     ).drop(*digits)
 
 
-def _ordered_and_aggregates(
-    legs: DataFrame, bands: Sequence[tuple[float, float]], rapid_seconds: float, burst_seconds: float
-) -> DataFrame:
-    """No hot location: the legs are shuffled once, on the location. That hash
-    partitioning serves the repeat window (location, role, terminal), the burst
-    window (location, role, customer), the neighbours among run ends, and one
-    aggregate with the basics, leading digits, bursts and repeats. Legs without
-    a terminal or customer form their own window groups and are not counted,
-    as in ``location_repeats`` / ``location_bursts``."""
-    by_customer = ["entity_id", "role", "own_customer"]
-    by_terminal = ["entity_id", "role", "own_terminal"]
-    # The first window is keyed finer than the location; shuffling on the
-    # location itself lets every later window and the aggregate reuse it.
-    x = legs.repartition(*KEYS)
-    x = with_neighbors(x, by_terminal, "leg_us", "mtcn", ["amount"], [], split=False, out_prefix="term_")
-    x = with_neighbors(x, by_customer, "leg_us", "mtcn", [], ["leg_us", "other_customer"], split=False)
-    x = x.withColumn("run_end", F.col("own_customer").isNotNull() & run_end("other_customer"))
-    x = with_marked_neighbors(x, by_customer, "leg_us", "mtcn", "run_end", ["leg_us"], "end_")
-    member = f"run_end AND ({burst_sql('TRUE', burst_seconds, 'end_prev_', 'end_next_')})"
-    same = "own_terminal IS NOT NULL AND term_prev_amount = amount"
-    extra = [
-        F.expr(f"count_if({member} AND role = 'send') AS one_to_many_send_count"),
-        F.expr(f"count_if({member} AND role = 'pay') AS many_to_one_pay_count"),
-        F.expr(f"count_if({same} AND role = 'send') AS send_repeat_amount_txns"),
-        F.expr(f"count_if({same} AND role = 'pay') AS pay_repeat_amount_txns"),
-    ]
-    return location_aggregates(x, bands, rapid_seconds, extra=extra)
-
-
 def time_index_value(time_index: DataFrame, date_from: dt.date | str, date_to: dt.date | str) -> DataFrame:
     """One row: the index whose (t1, t2) equals the range, or null."""
     lo, hi = F.lit(date_from).cast("date"), F.lit(date_to).cast("date")
@@ -199,40 +158,24 @@ def location_features(
     time_index: DataFrame,
     date_from: dt.date | str,
     date_to: dt.date | str,
-    subject_type: str = FIXTURE_SUBJECT_TYPES["location"],
+    subject_type: str = PRODUCTION_SUBJECT_TYPES["location"],
     bands: Sequence[tuple[float, float]] = AMOUNT_BANDS,
     rapid_seconds: float = RAPID_PAYOUT_SECONDS,
     burst_seconds: float = BURST_GAP_SECONDS,
     flip_seconds: float = BURST_GAP_SECONDS,
     fire_seconds: float = RAPID_FIRE_SECONDS,
-    bucket_seconds: int = DEFAULT_BUCKET_SECONDS,
-    hot_rows: int = DEFAULT_HOT_KEY_ROWS,
+    chunk_rows: int = DEFAULT_CHUNK_ROWS,
 ) -> DataFrame:
     """(entity_id, FEATURES): one row per location with a leg in the range."""
     keys = list(KEYS)
     if "is_hrj" not in legs.columns:
         legs = flag_high_risk(legs, geo_risk)
-    # Ordered keys are finer than the location: if no location is hot, no
-    # operator needs to look for hot keys of its own.
-    if has_hot_keys(legs, keys, hot_rows):
-        split = None
-        blocks = location_aggregates(legs, bands, rapid_seconds)
-        parts = [
-            location_bursts(legs, burst_seconds, bucket_seconds, hot_rows, split),
-            location_repeats(legs, bucket_seconds, hot_rows, split),
-        ]
-    else:
-        split = False
-        blocks = _ordered_and_aggregates(legs, bands, rapid_seconds, burst_seconds)
-        parts = []
-    # Distinct counts, flips and rapid fire group by keys that hold the
-    # location, then by the location: with no hot location, legs shuffled on
-    # the location serve every step (one exchange each instead of two or three).
-    by_location = legs if split is None else legs.repartition(*keys)
-    parts += [
-        distinct_counts(by_location, keys, location_distinct_families()),
-        location_flips(by_location, flip_seconds, bucket_seconds, hot_rows, split),
-        rapid_fire(by_location, fire_seconds, bucket_seconds, hot_rows, split),
+    blocks = location_aggregates(legs, bands, rapid_seconds)
+    parts = [
+        location_bursts(legs, burst_seconds, chunk_rows),
+        location_terminals(legs, fire_seconds, chunk_rows),
+        distinct_counts(legs, keys, location_distinct_families()),
+        location_flips(legs, flip_seconds, chunk_rows),
         outcome_sums(outcomes, subject_type, date_from, date_to),
     ]
     for part in parts:

@@ -1,79 +1,112 @@
-"""Feature sinks and the batch runners that feed them."""
+"""Feature sinks, queue tables, and the batch runners that feed them.
+
+Every write replaces the partitions it has rows for (the as-of date; the date
+range for locations), so running a batch again leaves the same table.
+"""
 
 from __future__ import annotations
 
 import datetime as dt
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from fundtrail.functions.params import FIXTURE_SUBJECT_TYPES, LOOKBACK_SPANS
+from fundtrail.functions.params import LOOKBACK_SPANS, PRODUCTION_SUBJECT_TYPES
 from fundtrail.operators.countries import flag_high_risk
 from fundtrail.operators.legs import customer_history_legs, location_range_legs
+from fundtrail.operators.neighbors import deal
 from fundtrail.operators.queue import active_customers, queue_remaining
+from fundtrail.plans.customer import KEYS as CUSTOMER_KEYS
 from fundtrail.plans.customer import customer_features
 from fundtrail.plans.location import location_features
-from fundtrail.session import materialize, release
+from fundtrail.session import materialize, scratch
+
+
+def _replace(df: DataFrame, path: str, fmt: str, partitions: list[str]) -> None:
+    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy(*partitions).format(fmt).save(path)
 
 
 def write_customer_features(features: DataFrame, path: str, fmt: str = "parquet") -> None:
-    """Append, partitioned by as-of date (one folder per batch day)."""
-    features.write.mode("append").partitionBy("as_of_date").format(fmt).save(path)
+    """One folder per as-of date; the dates of ``features`` are replaced."""
+    _replace(features, path, fmt, ["as_of_date"])
+
+
+def write_location_features(
+    features: DataFrame, path: str, date_from: dt.date | str, date_to: dt.date | str, fmt: str = "parquet"
+) -> None:
+    """One folder per date range (``date_from``, ``date_to`` are added); the range is replaced."""
+    ranged = features.withColumn("date_from", F.lit(date_from).cast("date")).withColumn(
+        "date_to", F.lit(date_to).cast("date")
+    )
+    _replace(ranged, path, fmt, ["date_from", "date_to"])
 
 
-def write_location_features(features: DataFrame, path: str, fmt: str = "parquet") -> None:
-    features.write.mode("append").format(fmt).save(path)
+def write_customer_queue(queue: DataFrame, path: str, fmt: str = "parquet") -> None:
+    """Store a queue (entity_id, as_of_date), one folder per as-of date; those dates are replaced."""
+    _replace(queue.select("entity_id", "as_of_date"), path, fmt, ["as_of_date"])
+
+
+def write_location_queue(queue: DataFrame, path: str, fmt: str = "parquet") -> None:
+    """Store a queue of location ids, replacing what was there."""
+    queue.select("entity_id").write.mode("overwrite").format(fmt).save(path)
 
 
 def run_customer_batch(
     tables: dict[str, DataFrame],
-    as_of: dt.date,
+    as_of: dt.date | str,
     out_path: str,
     done: DataFrame | None = None,
-    subject_type: str = FIXTURE_SUBJECT_TYPES["customer"],
+    subject_type: str = PRODUCTION_SUBJECT_TYPES["customer"],
+    queue: DataFrame | None = None,
 ) -> None:
-    """Queue the customers active on ``as_of``, skip those already written, and
-    append their features for all look-back spans.
+    """Features of the queued customers for all look-back spans, written to ``out_path``.
+
+    ``queue`` holds (entity_id, as_of_date); its rows of ``as_of`` are computed.
+    Without it everyone active on ``as_of`` is. ``done`` (keys already written)
+    leaves those out; the written table is then read back and kept.
 
-    The legs are written once to the checkpoint folder (when the session names
-    one) so each feature family reads them instead of re-running the history
-    join, and a lost executor restarts from those files. They are deleted once
-    the features are written.
+    The legs are written once to the shared folder, cut into chunks, so each
+    feature family reads them instead of re-running the history join, and a lost
+    executor restarts from those files. They are deleted at the end, failed or
+    not.
     """
     transfers = tables["transfers"]
-    queue = active_customers(transfers, as_of)
+    day = F.lit(as_of).cast("date")
+    if queue is None:
+        queue = active_customers(transfers, as_of)
+    queue = queue.filter(F.col("as_of_date") == day)
     if done is not None:
         queue = queue_remaining(queue, done)
-    legs = customer_history_legs(transfers, queue)
-    legs = materialize(flag_high_risk(legs, tables["geo_risk"]), "customer-legs")
-    features = customer_features(legs, tables["geo_risk"], tables["outcomes"], LOOKBACK_SPANS, subject_type)
-    write_customer_features(features, out_path)
-    release(legs)
+    with scratch(transfers.sparkSession):
+        legs = customer_history_legs(transfers, queue, latest=as_of)
+        legs = deal(flag_high_risk(legs, tables["geo_risk"]), CUSTOMER_KEYS, "leg_us", "mtcn")
+        features = customer_features(
+            legs, tables["geo_risk"], tables["outcomes"], LOOKBACK_SPANS, subject_type, as_of_between=(as_of, as_of)
+        )
+        if done is None:
+            write_customer_features(features, out_path)
+        else:
+            # what is there of this day stays, so the new rows are added to it
+            features.write.mode("append").partitionBy("as_of_date").parquet(out_path)
 
 
 def run_location_batch(
     tables: dict[str, DataFrame],
-    date_from: dt.date,
-    date_to: dt.date,
+    date_from: dt.date | str,
+    date_to: dt.date | str,
     out_path: str,
-    subject_type: str = FIXTURE_SUBJECT_TYPES["location"],
-    materialize_legs: bool = False,
+    subject_type: str = PRODUCTION_SUBJECT_TYPES["location"],
     queue: DataFrame | None = None,
 ) -> None:
-    """Features of every location active in the range, appended to ``out_path``.
-
-    Location legs are all transfers of the range; each feature family re-derives
-    them from a date-pruned, column-pruned scan, which costs less than writing
-    them once. ``materialize_legs=True`` writes them to the checkpoint folder
-    instead (worth it when the transfers come from an expensive source).
-    Without a ``queue`` every location active in the range is computed (the
-    range legs cover exactly those, so no semi-join is planned).
+    """Features of every location active in the range (or of the queued ones), written to ``out_path``.
+
+    The range's legs are written once to the shared folder, as for customers.
     """
-    transfers = tables["transfers"]
-    legs = flag_high_risk(location_range_legs(transfers, date_from, date_to, queue), tables["geo_risk"])
-    if materialize_legs:
-        legs = materialize(legs, "location-legs")
-    features = location_features(
-        legs, tables["geo_risk"], tables["outcomes"], tables["time_index"], date_from, date_to, subject_type
-    )
-    write_location_features(features, out_path)
-    release(legs)
+    with scratch(tables["transfers"].sparkSession):
+        legs = location_range_legs(tables["transfers"], date_from, date_to, queue)
+        legs = materialize(flag_high_risk(legs, tables["geo_risk"]), "location-legs")
+        features = location_features(
+            legs, tables["geo_risk"], tables["outcomes"], tables["time_index"], date_from, date_to, subject_type
+        )
+        write_location_features(features, out_path, date_from, date_to)

@@ -2,8 +2,9 @@
 
 They read the driver's tables (``sources.fixture``), run one operator or a
 whole plan over the full data, and return the columns that the matching SQL
-in ``fundtrail.oracle`` returns. When the session names a checkpoint folder
-the customer legs are written there once and every feature family reads them. Doubles are rounded to ``ROUND_DIGITS``.
+in ``fundtrail.oracle`` returns. The legs of the default batches are written to
+the shared folder once per application and every feature family reads them.
+Doubles are rounded to ``ROUND_DIGITS``.
 Block queries return one row per entity with at least one leg, filled the
 way the feature tables are.
 """
@@ -16,29 +17,29 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fundtrail.functions.params import LOOKBACK_SPANS
+from fundtrail.functions.params import FIXTURE_SUBJECT_TYPES, LOOKBACK_SPANS
 from fundtrail.operators import benford as B
 from fundtrail.operators.basics import basics
 from fundtrail.operators.countries import PRIMARY_FORMS, flag_high_risk, hrj_exposure, primary_countries
 from fundtrail.operators.distinct import distinct_counts, select_outputs
 from fundtrail.operators.flips import location_flips
 from fundtrail.operators.legs import customer_history_legs, location_range_legs, transfer_legs
-from fundtrail.operators.neighbors import with_neighbors
+from fundtrail.operators.neighbors import deal
 from fundtrail.operators.outcomes import outcome_sums, outcomes_as_of
 from fundtrail.operators.queue import active_customers, active_locations, queue_remaining
 from fundtrail.operators.sequences import (
-    customer_flips,
+    customer_neighbors,
     customer_sequences,
     location_bursts,
-    location_repeats,
-    rapid_fire,
+    location_terminals,
     rapid_fire_groups,
-    run_end,
 )
-from fundtrail.oracle import AS_OF, PREV_DAY, RANGE_FROM, RANGE_TO, ROUND_DIGITS
+from fundtrail.oracle import AS_OF, PREV_DAY, RANGE_FROM, RANGE_TO, ROUND_DIGITS, SHORT_CUTOFFS
 from fundtrail.plans import customer as C
 from fundtrail.plans import location as L
-from fundtrail.session import app_key, materialize
+from fundtrail.plans import sinks
+from fundtrail.session import app_key, materialize, scratch_path
+from fundtrail.sources import schema as S
 from fundtrail.sources.fixture import fixture_tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -59,22 +60,27 @@ def _tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return fixture_tables(spark, sf_dir)
 
 
-# Written customer legs of the default batch, per (application, sf_dir): the
-# registered customer queries are slices of one batch, which computes its legs
-# once for all feature families.
-_CUSTOMER_LEGS: dict[tuple[str, str], DataFrame] = {}
+# Written legs of the default batches, per (application, sf_dir, kind): the
+# registered queries are slices of one batch, which computes its legs once for
+# all feature families.
+_LEGS: dict[tuple[str, str, str], DataFrame] = {}
+
+
+def _written(spark: SparkSession, sf_dir: str, kind: str, build) -> DataFrame:
+    key = (app_key(spark), sf_dir, kind)
+    if key not in _LEGS:
+        _LEGS[key] = build()
+    return _LEGS[key]
 
 
 def _customer_legs(spark: SparkSession, sf_dir: str) -> tuple[dict[str, DataFrame], DataFrame]:
     t = _tables(spark, sf_dir)
-    key = (app_key(spark), sf_dir)
-    if key in _CUSTOMER_LEGS:
-        return t, _CUSTOMER_LEGS[key]
-    legs = customer_history_legs(t["transfers"], active_customers(t["transfers"], AS_OF))
-    legs = materialize(flag_high_risk(legs, t["geo_risk"]), "customer-legs")
-    if hasattr(legs, "_fundtrail_path"):
-        _CUSTOMER_LEGS[key] = legs
-    return t, legs
+
+    def build():
+        legs = customer_history_legs(t["transfers"], active_customers(t["transfers"], AS_OF), latest=AS_OF)
+        return deal(flag_high_risk(legs, t["geo_risk"]), CKEYS, "leg_us", "mtcn")
+
+    return t, _written(spark, sf_dir, "customer-legs", build)
 
 
 def _location_legs(spark: SparkSession, sf_dir: str) -> tuple[dict[str, DataFrame], DataFrame]:
@@ -82,10 +88,11 @@ def _location_legs(spark: SparkSession, sf_dir: str) -> tuple[dict[str, DataFram
     # The batch is every location active in the range, which is exactly the set
     # the range legs cover, so no queue semi-join is needed (location_scan
     # applies an explicit queue).
-    legs = location_range_legs(t["transfers"], RANGE_FROM, RANGE_TO)
-    # Not written: location legs are every transfer of the range, and deriving
-    # them again is a pruned scan with two broadcast joins (cheaper than a write).
-    return t, flag_high_risk(legs, t["geo_risk"])
+    def build():
+        legs = location_range_legs(t["transfers"], RANGE_FROM, RANGE_TO)
+        return materialize(flag_high_risk(legs, t["geo_risk"]), "location-legs")
+
+    return t, _written(spark, sf_dir, "location-legs", build)
 
 
 def _fill(df: DataFrame, kinds: dict[str, str]) -> DataFrame:
@@ -195,38 +202,58 @@ def hrj_customer(spark, sf_dir):
     return _on_keys(legs, CKEYS, hrj_exposure(legs, CKEYS), HRJ, _ckind)
 
 
-def flipped_customer(spark, sf_dir):
-    _, legs = _customer_legs(spark, sf_dir)
-    return _on_keys(legs, CKEYS, customer_flips(legs, CKEYS), ["flipped_txns_count"], _ckind)
-
-
 def outcomes_customer(spark, sf_dir):
     t, legs = _customer_legs(spark, sf_dir)
     keys = legs.select(*CKEYS).distinct()
     return _on_keys(legs, CKEYS, outcomes_as_of(t["outcomes"], keys, "customer", 0, CKEYS), OUTCOMES, _ckind)
 
 
-def lookback_counts(spark, sf_dir):
-    _, legs = _customer_legs(spark, sf_dir)
-    cols = [f"{p}{r}_txn_count" for p, _ in LOOKBACK_SPANS for r in ("send", "pay")]
-    return _on_keys(legs, CKEYS, basics(legs, CKEYS, LOOKBACK_SPANS), cols, lambda c: "long")
+def _spans(cutoffs) -> tuple[tuple[str, int | None], ...]:
+    return (("", None), *cutoffs)
+
+
+def _lookback_counts(spans) -> Query:
+    def q(spark, sf_dir):
+        _, legs = _customer_legs(spark, sf_dir)
+        cols = [f"{p}{r}_txn_count" for p, _ in spans for r in ("send", "pay")]
+        return _on_keys(legs, CKEYS, basics(legs, CKEYS, spans), cols, lambda c: "long")
+
+    return q
 
 
 def run_ends(spark, sf_dir):
     _, legs = _customer_legs(spark, sf_dir)
-    send = legs.filter(F.col("role") == F.lit("send")).select(*CKEYS, "role", "mtcn", "leg_us", "other_customer")
-    nb = with_neighbors(send, CKEYS + ["role"], "leg_us", "mtcn", [], ["leg_us", "other_customer"])
-    return nb.filter(run_end("other_customer")).select(*CKEYS, "mtcn")
+    return customer_neighbors(legs, CKEYS).filter("run_end").select(*CKEYS, "mtcn")
 
 
-def customer_features_full(spark, sf_dir):
-    t, legs = _customer_legs(spark, sf_dir)
-    return round_doubles(C.customer_features(legs, t["geo_risk"], t["outcomes"], spans=(("", None),)))
+def _customer_features(spans) -> Query:
+    def q(spark, sf_dir):
+        t, legs = _customer_legs(spark, sf_dir)
+        out = C.customer_features(
+            legs, t["geo_risk"], t["outcomes"], spans, FIXTURE_SUBJECT_TYPES["customer"], as_of_between=(AS_OF, AS_OF)
+        )
+        return round_doubles(out)
 
+    return q
 
-def customer_features_all_spans(spark, sf_dir):
-    t, legs = _customer_legs(spark, sf_dir)
-    return round_doubles(C.customer_features(legs, t["geo_risk"], t["outcomes"], spans=LOOKBACK_SPANS))
+
+def customer_features_text_ids(spark, sf_dir):
+    """The customer features of a transfer table whose identifiers are text and whose names are in capitals."""
+    t = _tables(spark, sf_dir)
+
+    def text_ids(df: DataFrame, schema) -> DataFrame:
+        cast = [
+            F.col(f.name).cast("string" if f.name in S.IDENTIFIERS and f.name != "mtcn" else f.dataType).alias(f.name.upper())
+            for f in df.schema.fields
+        ]
+        return S.check_columns(df.select(*cast), schema, "text ids")
+
+    transfers = text_ids(t["transfers"], S.TRANSFERS)
+    outcomes = text_ids(t["outcomes"], S.OUTCOMES)
+    legs = customer_history_legs(transfers, active_customers(transfers, AS_OF), latest=AS_OF)
+    legs = deal(flag_high_risk(legs, t["geo_risk"]), CKEYS, "leg_us", "mtcn")
+    out = C.customer_features(legs, t["geo_risk"], outcomes, (("", None),), FIXTURE_SUBJECT_TYPES["customer"])
+    return round_doubles(out)
 
 
 # ---------------------------------------------------------------- location blocks
@@ -290,7 +317,9 @@ def time_index_tag(spark, sf_dir):
 def location_features(spark, sf_dir):
     t, legs = _location_legs(spark, sf_dir)
     return round_doubles(
-        L.location_features(legs, t["geo_risk"], t["outcomes"], t["time_index"], RANGE_FROM, RANGE_TO)
+        L.location_features(
+            legs, t["geo_risk"], t["outcomes"], t["time_index"], RANGE_FROM, RANGE_TO, FIXTURE_SUBJECT_TYPES["location"]
+        )
     )
 
 
@@ -343,6 +372,53 @@ def q_payout_seconds(spark, sf_dir):
     return round_doubles(transfer_legs(tr, "send").select("mtcn", "payout_seconds"))
 
 
+# ---------------------------------------------------------------- sinks and queue tables
+
+
+def _same_types(df: DataFrame, like: DataFrame) -> DataFrame:
+    """Partition columns come back from folder names; give them their own type and place again."""
+    return df.select(*[F.col(f.name).cast(f.dataType) for f in like.schema.fields])
+
+
+def customer_queue_table(spark, sf_dir):
+    """Write the queue, write it again, and read the table."""
+    queue = active_customers(_tables(spark, sf_dir)["transfers"], AS_OF)
+    path = scratch_path(spark, "customer-queue")
+    for _ in range(2):
+        sinks.write_customer_queue(queue, path)
+    return _same_types(spark.read.parquet(path), queue)
+
+
+def location_queue_table(spark, sf_dir):
+    queue = active_locations(_tables(spark, sf_dir)["transfers"], RANGE_FROM, RANGE_TO)
+    path = scratch_path(spark, "location-queue")
+    for _ in range(2):
+        sinks.write_location_queue(queue, path)
+    return spark.read.parquet(path)
+
+
+def customer_sink(spark, sf_dir):
+    """Run the customer batch from a queue, run it again, and read the feature table."""
+    t = _tables(spark, sf_dir)
+    path = scratch_path(spark, "customer-features")
+    queue = active_customers(t["transfers"], AS_OF)
+    for _ in range(2):
+        sinks.run_customer_batch(t, AS_OF, path, subject_type=FIXTURE_SUBJECT_TYPES["customer"], queue=queue)
+    out = spark.read.parquet(path)
+    first = [*CKEYS, *[c for c in out.columns if c not in CKEYS]]
+    return round_doubles(out.withColumn("as_of_date", F.col("as_of_date").cast("date")).select(*first))
+
+
+def location_sink(spark, sf_dir):
+    """Run the location batch, run it again, and read the feature table."""
+    t = _tables(spark, sf_dir)
+    path = scratch_path(spark, "location-features")
+    for _ in range(2):
+        sinks.run_location_batch(t, RANGE_FROM, RANGE_TO, path, FIXTURE_SUBJECT_TYPES["location"])
+    out = spark.read.parquet(path)
+    return round_doubles(out.withColumns({c: F.col(c).cast("date") for c in ("date_from", "date_to")}))
+
+
 QUERIES: dict[str, Query] = {
     "active_customers": q_active_customers,
     "active_locations": q_active_locations,
@@ -365,16 +441,23 @@ QUERIES: dict[str, Query] = {
     "primary_pay_country": _customer_primary("primary_pay_country"),
     "primary_country": _customer_primary("primary_country"),
     "hrj_customer": hrj_customer,
-    "flipped_customer": flipped_customer,
+    "flipped_customer": _customer_sequence(["flipped_txns_count"]),
     "repeat_amount_customer": _customer_sequence(["send_repeat_amount_txns", "pay_repeat_amount_txns"]),
     "one_to_many_customer": _customer_sequence(["one_to_many_send_count"]),
     "many_to_one_customer": _customer_sequence(["many_to_one_pay_count"]),
     "interval_stats_customer": _customer_sequence(INTERVALS),
     "run_ends": run_ends,
     "outcomes_customer": outcomes_customer,
-    "lookback_counts": lookback_counts,
-    "customer_features": customer_features_full,
-    "customer_features_all_spans": customer_features_all_spans,
+    "lookback_counts": _lookback_counts(LOOKBACK_SPANS),
+    "lookback_counts_short": _lookback_counts(_spans(SHORT_CUTOFFS)),
+    "customer_features": _customer_features((("", None),)),
+    "customer_features_all_spans": _customer_features(LOOKBACK_SPANS),
+    "customer_features_short_spans": _customer_features(_spans(SHORT_CUTOFFS)),
+    "customer_features_text_ids": customer_features_text_ids,
+    "customer_queue_table": customer_queue_table,
+    "location_queue_table": location_queue_table,
+    "customer_sink": customer_sink,
+    "location_sink": location_sink,
     "banded_amounts_location": _location_aggregates(BANDS),
     "payout_speed_location": _location_aggregates(SPEEDS),
     "rapid_payout_location": _location_aggregates(["send_rapid_pay_out_txns", "pay_rapid_pay_out_txns"]),
@@ -388,9 +471,9 @@ QUERIES: dict[str, Query] = {
     "one_to_many_location": _location_block(location_bursts, ["one_to_many_send_count"]),
     "many_to_one_location": _location_block(location_bursts, ["many_to_one_pay_count"]),
     "flipped_location": _location_block(location_flips, ["flipped_txns_count", "flipped_customer_count"]),
-    "rapid_fire_location": _location_block(rapid_fire, ["rapid_fire_count"]),
+    "rapid_fire_location": _location_block(location_terminals, ["rapid_fire_count"]),
     "burst_count": burst_count,
-    "repeat_amount_location": _location_block(location_repeats, ["send_repeat_amount_txns", "pay_repeat_amount_txns"]),
+    "repeat_amount_location": _location_block(location_terminals, ["send_repeat_amount_txns", "pay_repeat_amount_txns"]),
     "hrj_location": hrj_location,
     "outcomes_location": outcomes_location,
     "time_index_tag": time_index_tag,

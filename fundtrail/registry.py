@@ -42,6 +42,13 @@ def oracle_sql() -> dict[str, str]:
         "run_ends": O.run_ends_sql(),
         "outcomes_customer": cb(Q.OUTCOMES),
         "lookback_counts": O.lookback_counts_sql(),
+        "lookback_counts_short": O.lookback_counts_sql(O.SHORT_CUTOFFS),
+        "customer_features_short_spans": O.customer_features_sql(all_spans=True, cutoffs=O.SHORT_CUTOFFS),
+        "customer_features_text_ids": O.customer_features_text_ids_sql(),
+        "customer_queue_table": O.active_customers_sql(),
+        "location_queue_table": O.active_locations_sql(),
+        "customer_sink": O.customer_sink_sql(),
+        "location_sink": O.location_sink_sql(),
         "customer_features": O.customer_features_sql(all_spans=False),
         "customer_features_all_spans": O.customer_features_sql(all_spans=True),
         "banded_amounts_location": lb(Q.BANDS),

@@ -5,6 +5,8 @@ from __future__ import annotations
 import atexit
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark import SparkContext
 from pyspark.sql import DataFrame, SparkSession
@@ -82,6 +84,13 @@ def shared_dir(spark: SparkSession) -> str:
     return ensure_checkpoint_dir(spark, tempfile.mkdtemp(prefix="fundtrail-checkpoint-"))
 
 
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new path under the shared folder, deleted at the end of the application."""
+    path = f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    _written.add(path)
+    return path
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as parquet under the shared folder and read it back.
 
@@ -91,8 +100,7 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     end of the application.
     """
     spark = df.sparkSession
-    path = f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    _written.add(path)
+    path = scratch_path(spark, name)
     df.write.mode("overwrite").parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._fundtrail_path = path  # for release()
@@ -116,6 +124,18 @@ def release(df: DataFrame) -> None:
         _written.discard(path)
 
 
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Delete at the end, failed or not, what was written to the shared folder inside the block."""
+    before = set(_written)
+    try:
+        yield
+    finally:
+        for path in sorted(_written - before):
+            _delete(spark.sparkContext, path)
+            _written.discard(path)
+
+
 @atexit.register
 def _release_all() -> None:
     context = SparkContext._active_spark_context

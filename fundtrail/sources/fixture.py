@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from fundtrail.functions.params import HIGH_RISK_RATING, OUTCOME_FLAGS
 from fundtrail.operators.broadcast import sized_broadcast
-from fundtrail.session import app_key, checkpoint_dir, materialize
+from fundtrail.session import app_key, materialize
 
 TABLES = ("events", "nation")
 
@@ -39,6 +39,12 @@ def transfers_from_events(events: DataFrame, nation: DataFrame) -> DataFrame:
     def pay_side(expr):
         return F.when(paid, expr)
 
+    paid_at = pay_side(F.expr("timestampadd(SECOND, CAST(round(value * 100) AS BIGINT) % 7200, ts)"))
+    # amounts without a leading digit, and one that a double prints in E notation
+    odd_amount = F.expr(
+        "CASE event_id % 900 WHEN 4 THEN 0.0001220703125D WHEN 229 THEN 0.00048828125D WHEN 454 THEN 0.5D WHEN 679 THEN 1.0E8D END"
+    )
+
     ev = ev.select(
         F.col("event_id").alias("mtcn"),
         F.col("user_id").alias("send_customer"),
@@ -58,14 +64,16 @@ def transfers_from_events(events: DataFrame, nation: DataFrame) -> DataFrame:
         (F.col("k") % 9).alias("send_id_number"),
         (F.col("k") % 6).alias("pay_id_number"),
         F.col("event_type").alias("product"),
-        (F.floor("value").cast("double") * F.lit(20.25)).alias("send_amount"),
-        F.greatest(F.floor("value").cast("double") * F.lit(20.25) - F.lit(2.5), F.lit(0.0)).alias("pay_amount"),
-        F.col("ts").alias("send_time"),
-        pay_side(
-            F.expr("timestampadd(SECOND, CAST(round(value * 100) AS BIGINT) % 7200, ts)")
-        ).alias("pay_time"),
+        F.coalesce(odd_amount, F.floor("value").cast("double") * F.lit(20.25)).alias("send_amount"),
+        F.coalesce(
+            odd_amount, F.greatest(F.floor("value").cast("double") * F.lit(20.25) - F.lit(2.5), F.lit(0.0))
+        ).alias("pay_amount"),
+        F.to_date("ts").alias("send_date"),
+        F.to_date(paid_at).alias("pay_date"),
+        # some sides have a date but no time
+        F.when(F.col("event_id") % 97 != 5, F.col("ts")).alias("send_time"),
+        F.when(F.col("event_id") % 101 != 7, paid_at).alias("pay_time"),
     )
-    ev = ev.withColumn("send_date", F.to_date("send_time")).withColumn("pay_date", F.to_date("pay_time"))
     out = ev.join(send_names, "send_nk", "left").join(pay_names, "pay_nk", "left")
     return out.drop("send_nk", "pay_nk")
 
@@ -108,9 +116,9 @@ _PREPARED: dict[tuple[str, str], dict[str, DataFrame]] = {}
 def fixture_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """The input tables derived from the driver's tables in ``sf_dir``.
 
-    With a checkpoint folder set, the transfers and outcomes are written there
-    once per application and read back by every later call, the way a real
-    deployment reads ready-made tables; without one they are derived lazily.
+    The transfers and outcomes are written to the shared folder once per
+    application and read back by every later call, the way a real deployment
+    reads ready-made tables.
     """
     key = (app_key(spark), sf_dir)
     if key in _PREPARED:
@@ -123,8 +131,7 @@ def fixture_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         "outcomes": outcomes_from_events(events),
         "time_index": time_index_from_events(events),
     }
-    if checkpoint_dir(spark):
-        tables["transfers"] = materialize(tables["transfers"], "transfers")
-        tables["outcomes"] = materialize(tables["outcomes"], "outcomes")
-        _PREPARED[key] = dict(tables)
-    return tables
+    tables["transfers"] = materialize(tables["transfers"], "transfers")
+    tables["outcomes"] = materialize(tables["outcomes"], "outcomes")
+    _PREPARED[key] = dict(tables)
+    return dict(tables)

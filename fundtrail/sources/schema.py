@@ -70,26 +70,44 @@ TIME_INDEX = T.StructType(
 _TIME_TYPES = (T.TimestampType, T.TimestampNTZType)
 
 
+# Identifiers may be text or integers; they are only compared.
+IDENTIFIERS = {
+    "mtcn", "entity_id", "subject_id",
+    *(f"{side}_{name}" for side in ("send", "pay") for name in ("customer", "location_id", "agent", "terminal", "channel", "phone", "id_number")),
+}
+
+
 def check_columns(df: DataFrame, schema: T.StructType, name: str) -> DataFrame:
-    """Fail early when a required column is missing or has an unusable type.
+    """``df`` with the declared column names; fails early on a missing column or an unusable type.
 
-    Integral and fractional widths may differ from the declared ones; time
-    columns may be either timestamp flavour.
+    Names match without case. Identifiers may be text, integers or decimals
+    without a fraction; other integral and fractional widths may differ from the
+    declared ones (amounts may be decimals); time columns may be either timestamp
+    flavour.
     """
-    have = {f.name: f.dataType for f in df.schema.fields}
+    have: dict[str, T.StructField] = {}
+    for f in df.schema.fields:
+        if f.name.lower() in have and f.name.lower() in {x.name for x in schema.fields}:
+            raise ValueError(f"{name}: two columns named {f.name!r} but for case")
+        have[f.name.lower()] = f
+    renamed = {}
     for field in schema.fields:
         if field.name not in have:
             raise ValueError(f"{name}: missing column {field.name!r}")
-        got, want = have[field.name], field.dataType
-        if isinstance(want, _TIME_TYPES):
+        got, want = have[field.name].dataType, field.dataType
+        if field.name in IDENTIFIERS:
+            ok = isinstance(got, (T.StringType, T.IntegralType)) or (isinstance(got, T.DecimalType) and got.scale == 0)
+        elif isinstance(want, _TIME_TYPES):
             ok = isinstance(got, _TIME_TYPES)
-        elif isinstance(want, T.IntegralType) or isinstance(want, T.FractionalType):
+        elif isinstance(want, T.NumericType):
             ok = isinstance(got, T.NumericType)
         else:
             ok = type(got) is type(want)
         if not ok:
             raise TypeError(f"{name}.{field.name}: expected {want.simpleString()}, got {got.simpleString()}")
-    return df
+        if have[field.name].name != field.name:
+            renamed[have[field.name].name] = field.name
+    return df.withColumnsRenamed(renamed) if renamed else df
 
 
 def date_time_mismatches(transfers: DataFrame) -> DataFrame:

@@ -85,7 +85,7 @@ def main(argv: list[str]) -> int:
     from fundtrail.session import build_session
 
     sf_dir = argv[1] if len(argv) > 1 else "/root/testdata/sf0.01"
-    names = argv[2:] or sorted(E.queries())
+    names = argv[2:] or sorted(E.oracle_sql())
     spark = build_session("local[8]", conf={"spark.sql.shuffle.partitions": "8"})
     spark.sparkContext.setLogLevel("ERROR")
     qs, sqls = E.queries(), E.oracle_sql()

@@ -4,10 +4,12 @@ import datetime as dt
 import math
 
 import pytest
+from pyspark.sql import functions as F
 
 from fundtrail.operators.legs import customer_history_legs, location_range_legs
 from fundtrail.plans.customer import customer_features
 from fundtrail.plans.location import location_features
+from fundtrail.sources.schema import GEO_RISK, TRANSFERS, check_columns
 from tests.helpers import AS_OF, T0, geo_df, outcomes_df, queue_df, transfer, transfers_df
 
 H = dt.timedelta(hours=1)
@@ -163,7 +165,7 @@ def test_location_flips_pairs_and_customers(spark):
 
 def test_fixture_dates_agree_with_times(spark):
     from fundtrail.sources.fixture import fixture_tables
-    from fundtrail.sources.schema import TRANSFERS, check_columns, date_time_mismatches
+    from fundtrail.sources.schema import date_time_mismatches
     from tests.conftest import SF_SMALL
 
     tr = fixture_tables(spark, SF_SMALL)["transfers"]
@@ -173,9 +175,64 @@ def test_fixture_dates_agree_with_times(spark):
 
 
 def test_check_columns_rejects_missing_and_mistyped(spark):
-    from fundtrail.sources.schema import GEO_RISK, check_columns
-
     with pytest.raises(ValueError):
         check_columns(spark.createDataFrame([("A",)], "country_code string"), GEO_RISK, "geo_risk")
     with pytest.raises(TypeError):
         check_columns(spark.createDataFrame([("A", 1)], "country_code string, rating int"), GEO_RISK, "geo_risk")
+
+
+def test_legs_without_a_time_count(spark):
+    rows = [transfer(k, 8, 60, T0 + k * H) for k in range(6)]
+    for k in (2, 4):
+        rows[k]["send_time"] = None
+    r = _customers(spark, rows, [8])[8]
+    assert r["send_txn_count"] == 6 and r["avg_send_amount"] == 50.0 and r["send_agent_count"] == 1
+    # the ordered features see the four timed sends
+    assert r["max_interval_send_txns"] == 7200.0 and r["send_repeat_amount_txns"] == 3
+    assert r["min_send_time"] == T0 and r["one_to_many_send_count"] == 0  # one payee: one run end
+
+
+def _typed(spark, rows, types):
+    df = transfers_df(spark, rows)
+    return df.select(*[F.col(f.name).cast(types.get(f.name, f.dataType)).alias(f.name) for f in df.schema.fields])
+
+
+def test_decimal_sums_tie(spark):
+    rows = [
+        transfer(1, 8, 60, T0, send_amount=0.10, pay_country="BB"),
+        transfer(2, 8, 60, T0 + H, send_amount=0.20, pay_country="BB"),
+        transfer(3, 8, 60, T0 + 2 * H, send_amount=0.30, pay_country="AA"),
+    ]
+    tr = _typed(spark, rows, {"send_amount": "decimal(18,2)", "pay_amount": "decimal(18,2)"})
+    legs = customer_history_legs(check_columns(tr, TRANSFERS, "transfers"), queue_df(spark, [8]))
+    r = customer_features(legs, geo_df(spark), outcomes_df(spark), spans=FULL).first()
+    assert r["primary_send_country"] == "AA" and r["avg_send_amount"] == pytest.approx(0.2)
+
+
+def test_text_and_wide_identifiers(spark):
+    rows = [transfer(k, 8, 60 + k, T0 + k * H, send_phone=1, send_id_number=2) for k in range(3)]
+    text = {f"{s}_{n}": "string" for s in ("send", "pay") for n in ("customer", "agent", "channel", "terminal")}
+    wide = {f"{s}_{n}": "decimal(20,0)" for s in ("send", "pay") for n in ("phone", "id_number")}
+    tr = _typed(spark, rows, text | wide)
+    big = F.lit("18446744073709551615").cast("decimal(20,0)")
+    tr = tr.withColumn("send_phone", F.when(F.col("mtcn") == 0, big).otherwise(F.col("send_phone"))).withColumnRenamed("mtcn", "MTCN")
+    tr = check_columns(tr, TRANSFERS, "transfers")
+    assert "mtcn" in tr.columns
+    queue = spark.createDataFrame([("8", AS_OF)], "entity_id string, as_of_date date")
+    outcomes = outcomes_df(spark).withColumn("subject_id", F.col("subject_id").cast("string"))
+    r = customer_features(customer_history_legs(tr, queue), geo_df(spark), outcomes, spans=FULL).first()
+    assert r["entity_id"] == "8" and r["send_phone_count"] == 2 and r["pay_customer_count"] == 3 and r["send_id_count"] == 1
+
+
+def test_leading_digit(spark):
+    from fundtrail.functions.columns import leading_digit
+
+    values = [0.0001, 0.00052, 0.5, 0.99, 1.0, 9.99, 1e8, 1.2e7, 3e15, -4.0, None]
+    df = spark.createDataFrame([(k, v) for k, v in enumerate(values)], "k int, v double")
+    got = [r[0] for r in df.orderBy("k").select(leading_digit(F.col("v"))).collect()]
+    assert got == [None, None, None, None, 1, 9, 1, 1, 3, None, None]
+
+
+def test_columns_that_differ_in_case_only(spark):
+    df = spark.createDataFrame([("A", "x", "y")], "country_code string, rating string, RATING2 string")
+    assert check_columns(df, GEO_RISK, "geo").columns == ["country_code", "rating", "RATING2"]

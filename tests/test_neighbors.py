@@ -1,12 +1,18 @@
-"""The hot-key split paths give the same answers as plain windows and joins."""
+"""Chunked neighbours and running counts give the same answers as plain windows and joins, at any chunk size."""
 
 import random
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from fundtrail.functions.params import FIXTURE_SUBJECT_TYPES
 from fundtrail.operators.flips import pair_counts
-from fundtrail.operators.neighbors import with_neighbors
+from fundtrail.operators.neighbors import CHUNK, Stream, deal, stream_neighbors
+from fundtrail.operators.sequences import customer_neighbors, location_bursts, location_terminals
+from tests.conftest import SF_SMALL
+
+DAY = 86_400 * 1_000_000
 
 
 def _rows(n=600, seed=7):
@@ -14,131 +20,136 @@ def _rows(n=600, seed=7):
     out = []
     for i in range(n):
         key = rnd.choice([1, 1, 1, 1, 2, 3])  # key 1 is the busy one
-        t = rnd.randrange(0, 5 * 86_400) * 1_000_000 + rnd.choice([0, 0, 1, 999_999])
-        val = rnd.choice([None, 1, 2, 3])
-        out.append((key, rnd.choice(["a", "b"]), t, i, val))
+        t = rnd.choice([None, rnd.randrange(0, 5 * 86_400) * 1_000_000, 7, 7, 999_999])
+        out.append((key, rnd.choice(["a", "b"]), t, i, rnd.choice([None, 1, 2, 3])))
     return out
 
 
-@pytest.mark.parametrize("bucket", [60, 3600, 86_400, 10 * 86_400])
-def test_split_equals_plain(spark, bucket):
-    df = spark.createDataFrame(_rows(), "k long, r string, t long, id long, v long")
-    keys = ["k", "r"]
-    plain = with_neighbors(df, keys, "t", "id", ["t", "v"], ["t", "v"], bucket_seconds=None)
-    split = with_neighbors(df, keys, "t", "id", ["t", "v"], ["t", "v"], bucket_seconds=bucket, hot_rows=0)
-    cols = ["k", "r", "t", "id", "v", "prev_t", "prev_v", "next_t", "next_v"]
-    a = sorted(tuple(r) for r in plain.select(*cols).collect())
-    b = sorted(tuple(r) for r in split.select(*cols).collect())
-    assert a == b
-    assert len(a) == 600
-
-
-def test_split_is_checked_and_skipped_without_hot_keys(spark):
-    df = spark.createDataFrame(_rows(60), "k long, r string, t long, id long, v long")
-    out = with_neighbors(df, ["k"], "t", "id", ["t"], [], bucket_seconds=3600, hot_rows=10_000)
-    plan = out._jdf.queryExecution().optimizedPlan().toString()
-    assert "_nb_bucket" not in plan
+def _plain(rows, marked):
+    """id -> (previous, next) marked row among the timed rows of the key, by Python."""
+    out = {}
+    by_key = {}
+    for r in rows:
+        by_key.setdefault(r[0], []).append(r)
+    for group in by_key.values():
+        timed = sorted((r for r in group if r[2] is not None), key=lambda r: (r[2], r[3]))
+        for k, r in enumerate(timed):
+            before = [x for x in timed[:k] if marked(x)]
+            after = [x for x in timed[k + 1 :] if marked(x)]
+            out[r[3]] = (before[-1] if before else None, after[0] if after else None)
+        for r in group:
+            out.setdefault(r[3], (None, None))
+    return out
 
 
-@pytest.mark.parametrize("hot_rows", [0, 10_000])
-def test_pair_counts_equal_self_join(spark, hot_rows):
+def test_cuts_are_the_same_for_every_read(spark):
+    """Several ranges and several reads of different columns: neighbours never come from the wrong side."""
+    rnd = random.Random(1)
+    rows = [(rnd.choice([1, 2, 3]), t, t) for t in rnd.sample(range(10**9), 20_000)]
+    df = spark.createDataFrame(rows, "k long, t long, id long").repartition(7)
+    x = deal(df.withColumn("wide", F.lit("x" * 50)), ["k"], "t", "id", 3000)
+    y = stream_neighbors(x, ["k"], "t", "id", {"a": Stream(prev=("t",), next=("t",))})
+    y = stream_neighbors(y.withColumn("even", F.expr("a_prev_t % 2 = 0")), ["k"], "t", "id", {"e": Stream("even", ("t",), ("t",))})
+    assert y.where("a_prev_t >= t or a_next_t <= t or e_prev_t >= t or e_next_t <= t").count() == 0
+    assert y.where("a_prev_t is null").count() == 3 and y.where("a_next_t is null").count() == 3
+
+
+@pytest.mark.parametrize("chunk_rows", [1, 7, 50, 100_000])
+def test_streams_equal_plain_python(spark, chunk_rows):
+    rows = _rows()
+    df = spark.createDataFrame(rows, "k long, r string, t long, id long, v long")
+    x = deal(df, ["k"], "t", "id", chunk_rows)
+    got = stream_neighbors(
+        x, ["k"], "t", "id", {"any": Stream(prev=("id",), next=("id", "v")), "m": Stream("r = 'a' AND v = 2", ("id", "t"), ("id",))}
+    ).collect()
+    assert len(got) == len(rows)
+    every = _plain(rows, lambda r: True)
+    marked = _plain(rows, lambda r: r[1] == "a" and r[4] == 2)
+    pick = lambda r, k: r[k] if r else None
+    for g in got:
+        p, n = every[g["id"]]
+        assert (g["any_prev_id"], g["any_next_id"], g["any_next_v"]) == (pick(p, 3), pick(n, 3), pick(n, 4))
+        p, n = marked[g["id"]]
+        assert (g["m_prev_id"], g["m_prev_t"], g["m_next_id"]) == (pick(p, 3), pick(p, 2), pick(n, 3))
+
+
+def test_chunks_are_small_and_in_order(spark):
+    """Many rows of one instant, and a burst inside a burst: no window sees more than ``chunk_rows`` rows."""
+    rows = [(1, 20 * DAY, i) for i in range(5000)]  # one microsecond
+    rows += [(2, d * DAY, 10_000 + d) for d in range(40)]
+    rows += [(2, 20 * DAY + i * 300, 20_000 + i) for i in range(3000)]
+    rows += [(2, 20 * DAY + 900_000 + i, 30_000 + i) for i in range(2800)]
+    df = spark.createDataFrame(rows, "k long, t long, id long")
+    x = deal(df, ["k"], "t", "id", chunk_rows=400)
+    sizes = x.groupBy("k", CHUNK).count()
+    assert sizes.agg(F.max("count")).first()[0] <= 400
+    assert x.count() == len(rows)
+    ordered = x.groupBy("k", CHUNK).agg(F.min(F.struct("t", "id")).alias("lo"), F.max(F.struct("t", "id")).alias("hi"))
+    w = Window.partitionBy("k").orderBy(CHUNK)
+    assert ordered.withColumn("before", F.lag("hi").over(w)).where("before >= lo").count() == 0
+
+
+@pytest.mark.parametrize("chunk_rows", [1, 20, 100_000])
+def test_pair_counts_equal_self_join(spark, chunk_rows):
     rnd = random.Random(3)
-    sends = [(rnd.choice([1, 2, None]), rnd.randrange(0, 3 * 86_400) * 1_000_000) for _ in range(300)]
-    pays = [(rnd.choice([1, 2, 3]), rnd.randrange(0, 3 * 86_400) * 1_000_000) for _ in range(300)]
-    # exact boundary cases: a pay exactly T after a send, and T + 1 microsecond
-    sends += [(5, 0), (5, 10 * 86_400 * 1_000_000)]
-    pays += [(5, 36_000 * 1_000_000), (5, 10 * 86_400 * 1_000_000 + 36_000 * 1_000_000 + 1)]
-    s = spark.createDataFrame(sends, "c long, leg_us long")
-    p = spark.createDataFrame(pays, "c long, leg_us long")
-    got = {r["c"]: r["pairs"] for r in pair_counts(s, p, ["c"], 36_000, 3600, hot_rows).collect()}
-    j = s.alias("s").join(p.alias("p"), F.col("s.c") == F.col("p.c"))
-    j = j.filter(F.abs(F.col("s.leg_us") - F.col("p.leg_us")) <= 36_000 * 1_000_000)
-    want = {r["c"]: r["n"] for r in j.groupBy(F.col("s.c").alias("c")).agg(F.count(F.lit(1)).alias("n")).collect()}
+    legs = [("send", rnd.choice([1, 2, None]), rnd.randrange(0, 3 * 86_400) * 1_000_000) for _ in range(300)]
+    legs += [("pay", rnd.choice([1, 2, 3]), rnd.randrange(0, 3 * 86_400) * 1_000_000) for _ in range(300)]
+    # exact boundary cases: a pay exactly T after a send, and T + 1 microsecond; a missing time
+    legs += [("send", 5, 0), ("send", 5, 10 * DAY), ("send", 5, None), ("pay", 5, None)]
+    legs += [("pay", 5, 36_000 * 1_000_000), ("pay", 5, 10 * DAY + 36_000 * 1_000_000 + 1)]
+    df = spark.createDataFrame(legs, "role string, c long, leg_us long")
+    got = {r["c"]: r["pairs"] for r in pair_counts(df, ["c"], 36_000, chunk_rows).collect()}
+    want = {}
+    for role, c, t in legs:
+        for role2, c2, t2 in legs:
+            if role == "send" and role2 == "pay" and c is not None and c == c2 and None not in (t, t2):
+                want[c] = want.get(c, 0) + (abs(t - t2) <= 36_000 * 1_000_000)
     assert got[5] == 1
-    for c, n in want.items():
-        assert got[c] == n
-    assert all(v == 0 for c, v in got.items() if c not in want)
+    assert got == {c: want.get(c, 0) for c in got} and set(want) <= set(got)
 
 
 def _rows_of(df):
     return sorted((tuple(r) for r in df.collect()), key=repr)
 
 
-def test_plans_equal_with_every_key_split(spark):
-    """Force the hot-key path in both plans (every key counts as hot) and
-    require the same features as the plain path."""
+@pytest.mark.parametrize("chunk_rows", [3, 20])
+def test_features_do_not_depend_on_the_chunk_size(spark, chunk_rows):
+    """The same features with every key cut, legs without a time, customer or terminal included."""
     from fundtrail.plans.customer import customer_features
     from fundtrail.plans.location import location_features
     from fundtrail.queries import _customer_legs, _location_legs, round_doubles
-    from tests.conftest import SF_SMALL
 
     t, legs = _customer_legs(spark, SF_SMALL)
-    spans = (("", None), ("8_", 8), ("3_", 3))
-    plain = customer_features(legs, t["geo_risk"], t["outcomes"], spans=spans)
-    split = customer_features(legs, t["geo_risk"], t["outcomes"], spans=spans, hot_rows=0, bucket_seconds=7200)
-    assert _rows_of(round_doubles(plain)) == _rows_of(round_doubles(split))
+    assert legs.where("leg_us is null").count() > 0
+    legs = legs.drop(CHUNK)
+    args = (legs, t["geo_risk"], t["outcomes"], (("", None), ("8_", 8), ("3_", 3)), FIXTURE_SUBJECT_TYPES["customer"])
+    plain = customer_features(*args)
+    assert _rows_of(round_doubles(plain)) == _rows_of(round_doubles(customer_features(*args, chunk_rows=chunk_rows)))
 
     t, legs = _location_legs(spark, SF_SMALL)
+    legs = legs.withColumn("own_terminal", F.expr("CASE WHEN mtcn % 5 <> 0 THEN own_terminal END")).withColumn(
+        "own_customer", F.expr("CASE WHEN mtcn % 7 <> 0 THEN own_customer END")
+    )
     args = (legs, t["geo_risk"], t["outcomes"], t["time_index"], "2024-01-01", "2024-01-30")
     plain = location_features(*args)
-    split = location_features(*args, hot_rows=0, bucket_seconds=7200)
-    assert _rows_of(round_doubles(plain)) == _rows_of(round_doubles(split))
-
-
-def test_dense_burst_is_split_again(spark):
-    """A hot key with a one-second burst inside days of sparse rows: the burst
-    bucket is cut again, and the answers still equal the plain window."""
-    from fundtrail.operators.neighbors import BUCKET, SUB, hot_key_buckets
-
-    rows = [(1, 86_400 * 1_000_000 * d + 7, 10_000 + d, d % 3) for d in range(40)]
-    rows += [(1, 20 * 86_400 * 1_000_000 + i * 300, i, i % 2) for i in range(3000)]  # 3000 rows in 0.9 s
-    rows += [(2, i * 1_000_000, 20_000 + i, 1) for i in range(50)]
-    df = spark.createDataFrame(rows, "k long, t long, id long, v long")
-    b = hot_key_buckets(df, ["k"], "t", 3600, hot_rows=400)
-    sizes = [r["n"] for r in b.groupBy("k", BUCKET, SUB).count().withColumnRenamed("count", "n").collect()]
-    assert max(sizes) <= 400
-    plain = with_neighbors(df, ["k"], "t", "id", ["t", "v"], ["t", "v"], bucket_seconds=None)
-    split = with_neighbors(df, ["k"], "t", "id", ["t", "v"], ["t", "v"], bucket_seconds=3600, hot_rows=400)
-    assert _rows_of(plain) == _rows_of(split)
-    s = df.filter(F.col("v") == 0).select(F.col("k").alias("c"), F.col("t").alias("leg_us"))
-    p = df.filter(F.col("v") == 1).select(F.col("k").alias("c"), F.col("t").alias("leg_us"))
-    got = {r["c"]: r["pairs"] for r in pair_counts(s, p, ["c"], 1, 3600, hot_rows=400).collect()}
-    j = s.alias("s").join(p.alias("p"), "c").filter(F.abs(F.col("s.leg_us") - F.col("p.leg_us")) <= 1_000_000)
-    want = {r["c"]: r["n"] for r in j.groupBy("c").agg(F.count(F.lit(1)).alias("n")).collect()}
-    assert got[1] == want[1]
-
-
-def test_marked_neighbors_equal_filter_then_window(spark):
-    """Neighbours among marked rows, taken without filtering, equal lag/lead
-    over the marked rows alone (values with nulls, ties in time)."""
-    from fundtrail.operators.sequences import with_marked_neighbors
-
-    df = spark.createDataFrame(_rows(), "k long, r string, t long, id long, v long")
-    df = df.withColumn("m", F.coalesce(F.col("v"), F.lit(0)) != 2)
-    keys = ["k", "r"]
-    got = with_marked_neighbors(df, keys, "t", "id", "m", ["t", "v"], "m_").filter("m")
-    want = with_neighbors(df.filter("m"), keys, "t", "id", ["t", "v"], ["t"], bucket_seconds=None)
-    a = sorted(tuple(r) for r in got.select("id", "m_prev_t", "m_prev_v", "m_next_t").collect())
-    b = sorted(tuple(r) for r in want.select("id", "prev_t", "prev_v", "next_t").collect())
-    assert a == b
-    assert len(a) == df.filter("m").count()
-
-
-def test_location_single_shuffle_path_with_blank_customers_and_terminals(spark):
-    """Legs without a customer or terminal: the single-shuffle location path
-    (windows over all legs, counts gated) equals the separate operators, which
-    drop those legs before their windows."""
-    from fundtrail.plans.location import location_features
-    from fundtrail.queries import _location_legs, round_doubles
-    from tests.conftest import SF_SMALL
+    assert _rows_of(round_doubles(plain)) == _rows_of(round_doubles(location_features(*args, chunk_rows=chunk_rows)))
 
-    t, legs = _location_legs(spark, SF_SMALL)
-    legs = legs.withColumn(
-        "own_terminal", F.when(F.col("mtcn") % 5 == 0, F.lit(None)).otherwise(F.col("own_terminal"))
-    ).withColumn("own_customer", F.when(F.col("mtcn") % 7 == 0, F.lit(None)).otherwise(F.col("own_customer")))
-    args = (legs, t["geo_risk"], t["outcomes"], t["time_index"], "2024-01-01", "2024-01-30")
-    fused = round_doubles(location_features(*args))
-    separate = round_doubles(location_features(*args, hot_rows=0, bucket_seconds=7200))
-    assert _rows_of(fused) == _rows_of(separate)
-    cols = ["one_to_many_send_count", "many_to_one_pay_count", "send_repeat_amount_txns", "pay_repeat_amount_txns"]
-    assert fused.agg(*[F.sum(c) for c in cols]).first()[0] is not None
+
+def test_burst_counts_are_zero_or_at_least_two(spark):
+    from fundtrail.queries import _location_legs
+
+    _, legs = _location_legs(spark, SF_SMALL)
+    one = legs.withColumn("entity_id", F.struct("entity_id", "own_customer").cast("string"))
+    counts = location_bursts(one)
+    assert counts.where("one_to_many_send_count = 1 OR many_to_one_pay_count = 1").count() == 0
+    assert counts.where("one_to_many_send_count >= 2").count() > 0
+    assert location_terminals(one).where("rapid_fire_count = 1").count() == 0
+
+
+def test_all_legs_stay_in_the_ordered_frame(spark):
+    from fundtrail.queries import _customer_legs
+
+    _, legs = _customer_legs(spark, SF_SMALL)
+    y = customer_neighbors(legs.drop(CHUNK), chunk_rows=10)
+    assert y.count() == legs.count()
+    assert y.where("leg_us is null and (prev_leg_us is not null or run_end)").count() == 0

@@ -4,10 +4,19 @@ import re
 
 import pytest
 
-import __spark_entry__ as E
+from fundtrail import registry
 from fundtrail.operators.legs import customer_history_legs
+from fundtrail.operators.neighbors import CHUNK, deal
+from fundtrail.operators.outcomes import outcomes_as_of
 from fundtrail.operators.queue import active_customers
-from tests.conftest import SF_SMALL
+from fundtrail.plans import customer as C
+from fundtrail.plans import location as L
+from fundtrail.queries import _customer_legs, _location_legs
+from fundtrail.session import materialize, release
+from fundtrail.sources.fixture import fixture_tables
+from tests.conftest import SF_MID, SF_SMALL
+
+QUERIES = registry.spark_queries()
 
 PY_NODES = ("BatchEvalPython", "ArrowEvalPython", "PythonUDF", "FlatMapGroupsInPandas", "MapInPandas")
 
@@ -16,29 +25,83 @@ def _plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_no_python_in_plan(spark, name):
-    plan = _plan(E.queries()[name](spark, SF_SMALL))
+    plan = _plan(QUERIES[name](spark, SF_SMALL))
     assert not any(p in plan for p in PY_NODES), name
 
 
-@pytest.mark.parametrize("name,limit", [("customer_features_all_spans", 20), ("location_features", 24)])
-def test_exchange_count_bounded(spark, name, limit):
-    plan = _plan(E.queries()[name](spark, SF_SMALL))
-    n = len(re.findall(r"Exchange hashpartitioning", plan))
-    assert 0 < n <= limit, n
+def _final_plan(df) -> str:
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().executedPlan().toString()
 
 
-def test_filters_and_columns_reach_the_scan(spark, tmp_path):
-    from fundtrail.sources.fixture import fixture_tables
+@pytest.mark.parametrize(
+    "kind,exchanges,reads", [("customer", 15, 6), ("location", 22, 3)]
+)
+def test_exchanges_and_reads_with_every_key_cut(spark, kind, exchanges, reads):
+    """The one plan of a batch, with chunks of 20 rows: shuffles that run, and reads of the written legs."""
+    t, legs = (_customer_legs if kind == "customer" else _location_legs)(spark, SF_MID)
+    if kind == "customer":
+        legs = materialize(deal(legs.drop(CHUNK), C.KEYS, "leg_us", "mtcn", 20), "customer-legs")
+        df = C.customer_features(legs, t["geo_risk"], t["outcomes"])
+    else:
+        df = L.location_features(legs, t["geo_risk"], t["outcomes"], t["time_index"], "2024-01-01", "2024-01-30", chunk_rows=20)
+    plan = _final_plan(df)
+    ran = [x for x in plan.splitlines() if re.search(r"\bExchange (hash|range)partitioning", x)]
+    assert 0 < len(ran) <= exchanges, len(ran)
+    scans = [x for x in plan.splitlines() if "FileScan parquet" in x and f"{kind}-legs" in x]
+    assert 0 < len(scans) <= reads, len(scans)
+
+
+def test_only_writes_run_while_a_plan_is_built(spark, monkeypatch):
+    """No counts or checks: with dealt legs the customer plan is built without a job."""
+    t, legs = _customer_legs(spark, SF_SMALL)
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("building", "building")
+    C.customer_features(legs, t["geo_risk"], t["outcomes"])
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert list(tracker.getJobIdsForGroup("building")) == []
+
+
+def test_written_legs_run_the_history_join_once(spark):
+    t = fixture_tables(spark, SF_SMALL)
+    queue = active_customers(t["transfers"], "2024-01-30")
+    legs = customer_history_legs(t["transfers"], queue)
+    tracker = spark.sparkContext.statusTracker()
 
+    def jobs(group, action):
+        spark.sparkContext.setJobGroup(group, group)
+        action()
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        return len(list(tracker.getJobIdsForGroup(group)))
+
+    plain = jobs("plain", lambda: legs.write.format("noop").mode("overwrite").save())
+    written = jobs("written", lambda: release(materialize(legs, "legs")))
+    assert written <= plain
+
+
+def test_filters_and_columns_reach_the_scan(spark, tmp_path):
     t = fixture_tables(spark, SF_SMALL)
     path = str(tmp_path / "transfers")
     t["transfers"].write.parquet(path)
     tr = spark.read.parquet(path)
-    legs = customer_history_legs(tr, active_customers(tr, "2024-01-30")).select("entity_id", "amount")
-    plan = legs._jdf.queryExecution().executedPlan().toString()
-    assert "PushedFilters: [IsNotNull(send_customer)" in plan
-    assert "PushedFilters: [IsNotNull(pay_customer)" in plan
+    legs = customer_history_legs(tr, active_customers(tr, "2024-01-30"), latest="2024-01-30").select("entity_id", "amount")
+    spark.conf.set("spark.sql.maxMetadataStringLength", "1000")
+    plan = _plan(legs)
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
+    for role in ("send", "pay"):
+        assert re.search(rf"PushedFilters: \[[^\]]*IsNotNull\({role}_customer\)", plan)
+        assert re.search(rf"PushedFilters: \[[^\]]*LessThan\({role}_date,2024-01-30\)", plan)
     scans = re.findall(r"ReadSchema: struct<([^>]*)>", plan)
     assert scans and all(len(s.split(",")) <= 4 for s in scans), scans
+
+
+def test_case_dates_reach_the_scan(spark):
+    t = fixture_tables(spark, SF_SMALL)
+    keys = active_customers(t["transfers"], "2024-01-30")
+    spark.conf.set("spark.sql.maxMetadataStringLength", "1000")
+    plan = _plan(outcomes_as_of(t["outcomes"], keys, "customer", 3, between=("2024-01-30", "2024-01-30")))
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
+    assert "GreaterThanOrEqual(case_creation_date,2024-01-27)" in plan
+    assert "LessThanOrEqual(case_creation_date,2024-01-30)" in plan

@@ -1,8 +1,7 @@
-"""Properties: partitioning and row order do not matter; burst counts are 0 or >= 2."""
+"""Properties: partitioning and row order do not matter."""
 
 from pyspark.sql import functions as F
 
-from fundtrail.operators.sequences import burst_count
 from fundtrail.plans.location import location_features
 from fundtrail.queries import _location_legs, round_doubles
 from tests.conftest import SF_SMALL
@@ -20,12 +19,3 @@ def test_partitioning_and_order_do_not_matter(spark):
     assert _rows(round_doubles(location_features(shuffled, *args))) == base
     single = legs.coalesce(1).orderBy(F.col("mtcn").desc())
     assert _rows(round_doubles(location_features(single, *args))) == base
-
-
-def test_burst_counts_are_zero_or_at_least_two(spark):
-    _, legs = _location_legs(spark, SF_SMALL)
-    for seconds in (60, 3600, 36_000):
-        counts = burst_count(legs.filter(F.col("own_customer").isNotNull()), ["entity_id", "own_customer"], seconds)
-        assert counts.filter(F.col("burst_count") == 1).count() == 0
-        if seconds == 36_000:
-            assert counts.filter(F.col("burst_count") >= 2).count() > 0

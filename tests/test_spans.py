@@ -24,7 +24,7 @@ def inputs(spark):
 @pytest.fixture(scope="module")
 def all_spans(spark, inputs):
     t, legs = inputs
-    return round_doubles(customer_features(legs, t["geo_risk"], t["outcomes"], spans=SPANS))
+    return round_doubles(customer_features(legs, t["geo_risk"], t["outcomes"], SPANS, "customer"))
 
 
 def test_all_spans_match_per_span_sql(all_spans):
@@ -44,7 +44,7 @@ def test_all_spans_equal_separate_runs(inputs, all_spans):
     base = all_spans.select(*keys)
     for prefix, cut in SPANS[1:]:
         narrowed = legs.filter(F.col("age_days") < cut)
-        run = round_doubles(customer_features(narrowed, t["geo_risk"], t["outcomes"], spans=(("", None),)))
+        run = round_doubles(customer_features(narrowed, t["geo_risk"], t["outcomes"], (("", None),), "customer"))
         run = base.join(run, keys, "left")
         one = all_spans.select(*keys, *[F.col(f"`{prefix}{f}`").alias(f) for f in FEATURES])
         a = {tuple(r) for r in one.collect()}
