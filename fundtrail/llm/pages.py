@@ -23,16 +23,17 @@ element rules. Html is never cut.
 
 from __future__ import annotations
 
-import hashlib
 import html as html_lib
 import re
 from collections.abc import Iterator
 
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fundtrail.llm.urls import with_host_and_path
+from fundtrail.session import materialize
 
 MIN_PAGES = 4
 MIN_SHARE = 0.6
@@ -183,7 +184,8 @@ def blocks_of(page: str) -> Iterator[tuple[str, str, bool, bool]]:
 
 def _token(path: str, text: str) -> int:
     """A signed 64-bit hash of a token in its place."""
-    return int.from_bytes(hashlib.blake2b(f"{path}\0{text}".encode("utf-8", "surrogatepass"), digest_size=8).digest(), "big", signed=True)
+    value = xxhash.xxh3_64_intdigest(f"{path}\0{text}".encode("utf-8", "surrogatepass"))
+    return value - (1 << 64) if value >> 63 else value
 
 
 def deduce_templates(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
@@ -221,7 +223,8 @@ def deduce_templates(pages: DataFrame, id_col: str = "page_id", url_col: str = "
     source = with_host_and_path(pages, url_col).select(
         "host", F.xxhash64(id_col, html_col).alias("mark"), F.col(html_col).alias("html")
     )
-    tokens = (
+    least = int(MIN_PAGES * MIN_SHARE)
+    counted = (
         source.mapInArrow(occurrences, "host string, token long, vector long, pages long, times long, is_text int")
         .groupBy("host", "token")
         .agg(
@@ -230,10 +233,12 @@ def deduce_templates(pages: DataFrame, id_col: str = "page_id", url_col: str = "
             F.sum("times").alias("times"),
             F.max("is_text").alias("is_text"),
         )
+        .where(f"token = 0 OR pages > {least}")
     )
+    # written, as it is read three times below
+    tokens = materialize(counted, "page-tokens")
     hosts = tokens.where("token = 0").select("host", F.col("pages").alias("host_pages"))
-    least = int(MIN_PAGES * MIN_SHARE)
-    frequent = tokens.where(f"token <> 0 and pages > {least}").join(hosts, "host").where(
+    frequent = tokens.where("token <> 0").join(hosts, "host").where(
         (F.col("host_pages") >= MIN_PAGES) & (F.col("pages") >= MIN_SHARE * F.col("host_pages"))
     )
     # equal vectors have equal page and occurrence counts too, which guards the fingerprint
@@ -249,7 +254,8 @@ def deduce_templates(pages: DataFrame, id_col: str = "page_id", url_col: str = "
 
 def extract_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """(id, url, text) per row; blocks joined by an empty line."""
-    templates = deduce_templates(pages, id_col, url_col, html_col)
+    # written, so that Spark knows its size: a small one is broadcast, a large one meets the pages in a shuffle
+    templates = materialize(deduce_templates(pages, id_col, url_col, html_col), "page-templates")
     named = with_host_and_path(pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"), F.col(html_col).alias("html")), "url")
     joined = named.join(templates, "host", "left").select("id", "url", "html", "tokens")
 
