@@ -1,7 +1,7 @@
 """Connected components of an edge list, in Spark.
 
 Alternating rounds (every node tells its larger neighbours, then its smaller
-ones, about the smallest node it knows) until no edge changes. A round is one
+ones, about the smallest node it knows) until the edges are stars. A round is one
 aggregate with map-side combining and one join, whose hot side Spark may split;
 no neighbour list is ever gathered. Every round is written to the shared
 folder, so a lost executor costs one round at most.
@@ -15,12 +15,13 @@ from pyspark.sql import functions as F
 from fundtrail.session import materialize
 
 
-def _state(edges: DataFrame) -> tuple:
-    row = edges.agg(
-        F.count(F.lit(1)),
-        F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")),
-    ).first()
-    return tuple(row)
+def _settled(edges: DataFrame) -> bool:
+    """Whether the edges (larger to smaller node) are stars: no centre has a smaller neighbour of its own."""
+    ends = edges.select(F.col("a").alias("node"), F.lit(1).alias("out"), F.lit(0).alias("into")).union(
+        edges.select("b", F.lit(0), F.lit(1))
+    )
+    odd = ends.groupBy("node").agg(F.sum("out").alias("out"), F.max("into").alias("into"))
+    return odd.where("out > 1 OR (out > 0 AND into > 0)").isEmpty()
 
 
 def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
@@ -34,8 +35,10 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     current = materialize(
         clean.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges"
     )
-    state = _state(current)
     for _ in range(max_rounds):
+        if _settled(current):
+            roots = current.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
+            return current.select(F.col("a").alias("node"), F.col("b").alias("component")).union(roots)
         both = current.union(current.select("b", "a"))
         least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
         # larger neighbours, and the node itself, learn the smallest node known here
@@ -47,9 +50,4 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         # smaller neighbours learn it too
         small = large.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).union(least)
         current = materialize(small.where("a <> b").distinct(), "edges")
-        before, state = state, _state(current)
-        if state == before:
-            nodes = current.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("component"))
-            roots = current.select(F.col("b").alias("node")).distinct()
-            return nodes.union(roots.select("node", F.col("node").alias("component")))
     raise RuntimeError(f"components did not settle in {max_rounds} rounds")

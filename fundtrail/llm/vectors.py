@@ -206,11 +206,11 @@ def near_vectors(
     classes = materialize(
         usable.groupBy("digest").agg(
             F.min(F.col("id").cast("long")).alias("rep"), F.count(F.lit(1)).alias("m"), F.first("v").alias("v")
-        ),
+        )
+        # only where rows repeat an id with different vectors
+        .dropDuplicates(["rep"]),
         "classes",
     )
-    # rows that repeat an id with different vectors: the smallest digest stands for the id
-    classes = classes.dropDuplicates(["rep"])
     members = classes.count()
     if members:
         links = materialize(_find_links(classes, members, size, threshold), "links")
