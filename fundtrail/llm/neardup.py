@@ -288,7 +288,7 @@ def _rest_links(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         dealt(F.col("total"), F.col("held")).alias("all_blocks"),
         dealt(F.col("total") - F.col("top.m"), F.col("held") - F.col("top.s")).alias("few_blocks"),
     )
-    tagged = members.join(main, "key").join(sets, "rep")
+    tagged = members.join(materialize(main, "buckets"), "key").join(sets, "rep")
     place = F.xxhash64("rep", F.lit(5))
     few = tagged.where(F.col("comp") != F.col("main")).select(
         "key", "rep", "comp", "n", "registers", "values", F.lit(True).alias("few"),
@@ -362,11 +362,13 @@ def near_duplicates(
         "classes",
     )
     bands = materialize(band_rows(classes), "bands")
-    hubs = (
+    # written, as are the other bucket tables: a join with a table can split a crowded bucket, one with an aggregate cannot
+    hubs = materialize(
         bands.groupBy("key")
         .agg(F.min("rep").alias("hub"), F.max("rep").alias("last"))
         .where("hub <> last")
-        .select("key", "hub")
+        .select("key", "hub"),
+        "buckets",
     )
     hub_pairs = (
         bands.join(hubs, "key")
@@ -390,12 +392,14 @@ def near_duplicates(
         .drop("component")
     )
     # in a bucket of two, the hub pair was all there was
-    mixed = (
+    mixed = materialize(
         named.groupBy("key")
         .agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count(F.lit(1)).alias("m"))
         .where("lo <> hi and m > 2")
+        .select("key"),
+        "buckets",
     )
-    members = named.join(mixed.select("key"), "key", "left_semi").join(classes.select("rep", "n", "registers"), "rep")
+    members = named.join(mixed, "key", "left_semi").join(classes.select("rep", "n", "registers"), "rep")
     members = materialize(members, "members")
     sets = _full_sets(_needed(texts, marks, members.select("rep")), size)
     more = materialize(_rest_links(members, sets, percent), "links")
