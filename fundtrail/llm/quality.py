@@ -6,7 +6,8 @@ its inverse document frequency. A singular value decomposition of the labelled s
 weights gives latent-semantic directions. The sample's vectors, centred and
 scaled to length one, are sent to all tasks; every document's vector is
 compared with all of them by exact cosine products in blocks, and the nearest
-ones vote with their labels, weighted by similarity.
+ones vote with their labels, weighted by similarity and by how many labelled
+texts a sampled one stands for.
 
 The sample is bounded by ``sample_per_label``, so the broadcast and the work
 per document do not grow with the input. Fitting uses the sampled texts only;
@@ -35,7 +36,7 @@ TERM_BITS = 11
 TERMS = 1 << TERM_BITS
 DIRECTIONS = 48
 NEIGHBOURS = 25
-SAMPLE_PER_LABEL = 1_500
+SAMPLE_PER_LABEL = 2_500
 BLOCK_TEXTS = 1024
 #: similarity ** SHARPNESS is a neighbour's weight
 SHARPNESS = 4
@@ -48,6 +49,7 @@ class QualityModel:
     directions: np.ndarray  # (TERMS, DIRECTIONS)
     vectors: np.ndarray  # (labelled texts, DIRECTIONS), length one
     labels: np.ndarray
+    odds: tuple[float, float]  # labelled texts for each sampled text, by label
 
 
 def _term_counts(data: np.ndarray, offs: np.ndarray) -> np.ndarray:
@@ -127,11 +129,13 @@ def fit_quality(
     values, basis = np.linalg.eigh((centred.T @ centred).astype(np.float64))
     order = np.argsort(values)[::-1][: min(DIRECTIONS, len(y))]
     directions = basis[:, order].astype(np.float32)
-    return QualityModel(idf, centre, directions, _unit(centred @ directions), y.astype(np.float32))
+    every = {row["_y"]: row["count"] for row in known.groupBy("_y").count().collect()}  # at most two rows
+    odds = tuple(every.get(k, 0) / max(1, (y == k).sum()) for k in (0, 1))
+    return QualityModel(idf, centre, directions, _unit(centred @ directions), y.astype(np.float32), odds)
 
 
-def _vote(model: QualityModel, vectors: np.ndarray, base: np.ndarray) -> np.ndarray:
-    """Share of the neighbours' weight that label 1 has; labels weigh against their frequency in the sample."""
+def _vote(model: QualityModel, vectors: np.ndarray) -> np.ndarray:
+    """Share of the neighbours' weight that label 1 has; a sampled text stands for all labelled ones of its label."""
     out = np.empty(len(vectors))
     k = min(NEIGHBOURS, len(model.labels))
     for a in range(0, len(vectors), BLOCK_TEXTS):
@@ -139,7 +143,7 @@ def _vote(model: QualityModel, vectors: np.ndarray, base: np.ndarray) -> np.ndar
         at = np.argpartition(near, near.shape[1] - k, axis=1)[:, near.shape[1] - k :]
         weight = np.clip(np.take_along_axis(near, at, axis=1), 0, 1).astype(np.float64) ** SHARPNESS + 1e-9
         y = model.labels[at]
-        good, bad = (weight * y).sum(axis=1) * base[1], (weight * (1 - y)).sum(axis=1) * base[0]
+        good, bad = (weight * y).sum(axis=1) * model.odds[1], (weight * (1 - y)).sum(axis=1) * model.odds[0]
         out[a : a + BLOCK_TEXTS] = good / (good + bad)
     return out
 
@@ -153,14 +157,12 @@ def score_quality(
         for batch in batches:
             out = np.full(batch.num_rows, 0.5)
             if model is not None:
-                counts = np.array([(model.labels == 0).sum(), (model.labels == 1).sum()], float)
-                base = np.where(counts > 0, counts.sum() / np.maximum(counts, 1) / 2, 1.0)
                 for a, b, data, offs in blocks(batch.column("_text")):
                     for i in range(0, b - a, BLOCK_TEXTS):
                         cuts = offs[i : min(b - a, i + BLOCK_TEXTS) + 1]
                         weights = _weights(_term_counts(data[cuts[0] : cuts[-1]], cuts - cuts[0]), model.idf)
                         vectors = _unit((weights - model.centre) @ model.directions)
-                        out[a + i : a + i + len(cuts) - 1] = _vote(model, vectors, base)
+                        out[a + i : a + i + len(cuts) - 1] = _vote(model, vectors)
             yield pa.RecordBatch.from_arrays([batch.column("_id"), pa.array(out)], ["_id", "score"])
 
     kind = docs.schema[id_col].dataType.simpleString()
