@@ -39,7 +39,7 @@ CACHE_PIECES = 200_000
 #: Longer fragments are merged one by one, so that a text without spaces stays linear.
 LONG_FRAGMENT = 256
 NO_RANK = np.iinfo(np.int32).max
-_HASH_BITS = 20
+_HASH_BITS = 18
 _SEPARATORS = regex.compile("[\x1c-\x1f]")
 _WHITE = regex.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")
 
@@ -345,7 +345,7 @@ def encode_decode(
 ) -> DataFrame:
     """(id, ids array<int>, decoded) of every row's whole text; ``decoded`` is made from the ids alone."""
     spec = read_tokenizer(tokenizer_path)
-    limit = 1 << 21
+    limit = 1 << 20
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = Bpe(spec)

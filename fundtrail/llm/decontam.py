@@ -48,7 +48,7 @@ STEP_AGREEMENT = 0.75
 MAX_EDITS_SHARE = 0.2
 BLOCK_ITEM_WORDS = 200_000
 FILTER_BITS = 22
-_SCAN_BYTES = 1 << 19
+_SCAN_BYTES = 1 << 18
 
 
 def tables_per_walk(trials: int, target: float = TARGET_RECALL, agreement: float = STEP_AGREEMENT) -> int:

@@ -31,7 +31,7 @@ from fundtrail.llm.labelled import bounded_sample
 PROFILE_SIZE = 300
 SAMPLE_PER_LANGUAGE = 3_000
 UNKNOWN = "und"
-BLOCK_CHARS = 1 << 19
+BLOCK_CHARS = 1 << 17
 _CHAR_BITS = 21
 
 _letters: np.ndarray | None = None
@@ -44,16 +44,18 @@ def _letter_table() -> np.ndarray:
     return _letters
 
 
-def _text_blocks(texts: list[str | None]) -> Iterator[tuple[int, int, list[str]]]:
+def _text_blocks(column: pa.Array) -> Iterator[tuple[int, int, list[str]]]:
+    """(first row, end row, lower-cased texts) for runs of whole texts; only one run is held as Python text."""
     low, size, part = 0, 0, []
-    for i, text in enumerate(texts):
-        part.append((text or "").lower())
-        size += len(part[-1])
+    for i in range(len(column)):
+        text = (column[i].as_py() or "").lower()
+        part.append(text)
+        size += len(text)
         if size >= BLOCK_CHARS:
             yield low, i + 1, part
             low, size, part = i + 1, 0, []
     if part:
-        yield low, len(texts), part
+        yield low, len(column), part
 
 
 def _ngram_counts(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -144,7 +146,7 @@ def fit_profiles(
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             langs = np.asarray(batch.column("_lang").to_pylist(), dtype=object)
-            for a, b, part in _text_blocks(batch.column("_text").to_pylist()):
+            for a, b, part in _text_blocks(batch.column("_text")):
                 text, gram, counts = _ngram_counts(part)
                 for lang in sorted(set(langs[a:b])):
                     mine = langs[a:b][text] == lang
@@ -195,7 +197,7 @@ def _predictor(profiles: dict[str, dict[int, int]], profile_size: int):
         ranks[np.searchsorted(grams, np.fromiter(mine, np.int64, len(mine))), k] = list(mine.values())
     label = np.array(names + [UNKNOWN], dtype=object)
 
-    def predict(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+    def predict(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         pred, score = np.full(len(texts), len(names)), np.zeros(len(texts))
         if names:
             for a, b, part in _text_blocks(texts):
@@ -224,7 +226,7 @@ def predict_language(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            pred, score = predict(batch.column("_text").to_pylist())
+            pred, score = predict(batch.column("_text"))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("_id"), pa.array(pred.tolist(), pa.string()), pa.array(score)],
                 ["_id", "lang_pred", "score"],
@@ -253,7 +255,7 @@ def filter_language(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            pred, score = predict(batch.column(text_col).to_pylist())
+            pred, score = predict(batch.column(text_col))
             keep = np.fromiter((p in wanted for p in pred), bool, len(pred)) & (score > 0.5)
             yield batch.filter(pa.array(keep))
 
