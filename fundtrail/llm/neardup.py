@@ -21,9 +21,10 @@
 Edge cases: a null or empty text, or one without words, has no shingles and is
 linked with nothing; a text with fewer words than a shingle is one shingle. A
 row without id links with nothing and gets a null component. Where rows
-repeat an id with different texts, one of the texts is compared with other
-ids and the others link through equal sets only. An empty table gives an empty
-result. Ids are integers.
+repeat an id with different texts, each text is linked by its own set: classes
+are numbered, and ids only name the components at the end (so two components
+have the same name when one id is the smallest of both). An empty table gives
+an empty result. Ids are integers.
 """
 
 from __future__ import annotations
@@ -347,18 +348,17 @@ def near_duplicates(
     the row whose id it is.
     """
     rows = materialize(sketch(docs, id_col, text_col, size), "sketches")
-    # one member per set of shingles; registers are equal within a class
+    # one member per set of shingles; registers are equal within a class. Classes have numbers of their own (fixed
+    # once written), as an id may stand on rows of several classes
     classes = materialize(
         rows.where("digest is not null and id is not null")
         .groupBy("digest")
         .agg(
-            F.min(F.struct(F.col("id").cast("long").alias("rep"), "mark")).alias("least"),
+            F.min(F.struct(F.col("id").cast("long").alias("least"), "mark")).alias("first"),
             F.first("n").alias("n"),
             F.first("registers").alias("registers"),
         )
-        .select("digest", "least.rep", "least.mark", "n", "registers")
-        # only where rows repeat an id with different texts
-        .dropDuplicates(["rep"]),
+        .select(F.monotonically_increasing_id().alias("rep"), "digest", "first.least", "first.mark", "n", "registers"),
         "classes",
     )
     bands = materialize(band_rows(classes), "bands")
@@ -377,9 +377,9 @@ def near_duplicates(
         .distinct()
     )
     texts = docs.select(
-        F.col(id_col).cast("long").alias("rep"), F.xxhash64(text_col).alias("mark"), F.col(text_col).alias("text")
+        F.col(id_col).cast("long").alias("least"), F.xxhash64(text_col).alias("mark"), F.col(text_col).alias("text")
     )
-    marks = classes.select("rep", "mark")
+    marks = classes.select("rep", "least", "mark")
     screened = materialize(_screen(hub_pairs, classes, percent), "pairs")
     paired = screened.select(F.col("a").alias("rep")).union(screened.select("b"))
     links = materialize(_verify(screened, _needed(texts, marks, paired), size, percent), "links")
@@ -403,11 +403,13 @@ def near_duplicates(
     members = materialize(members, "members")
     sets = _full_sets(_needed(texts, marks, members.select("rep")), size)
     more = materialize(_rest_links(members, sets, percent), "links")
-    final = connected_components(links.union(more))
+    final = connected_components(links.union(more)).withColumnRenamed("node", "rep")
 
-    found = classes.join(final.withColumnRenamed("node", "rep"), "rep", "left").select(
-        "digest", F.coalesce("component", "rep").alias("component_id")
-    )
+    # the smallest id of each component
+    linked = materialize(final.join(classes.select("rep", "least"), "rep"), "linked")
+    names = materialize(linked.groupBy("component").agg(F.min("least").alias("name")), "names")
+    named = linked.join(names, "component").select("rep", "name")
+    found = classes.join(named, "rep", "left").select("digest", F.coalesce("name", "least").alias("component_id"))
     kind = docs.schema[id_col].dataType
     with_set = rows.join(found, "digest", "left")
     component = F.when(F.col("id").isNotNull(), F.coalesce(F.col("component_id").cast(kind), F.col("id")))
@@ -423,7 +425,7 @@ def _needed(texts: DataFrame, marks: DataFrame, ids: DataFrame) -> DataFrame:
     """(rep, text) of the classes named in ``ids``."""
     wanted = ids.distinct()
     return (
-        texts.join(marks.join(wanted, "rep", "left_semi"), ["rep", "mark"], "left_semi")
+        texts.join(marks.join(wanted, "rep", "left_semi"), ["least", "mark"])
         .dropDuplicates(["rep"])
         .select("rep", "text")
     )

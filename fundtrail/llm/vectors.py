@@ -19,7 +19,8 @@
 
 Edge cases: vectors that are null, zero, or hold null or non-finite components
 link with nothing, as do those whose length is not the most common one; rows
-that repeat an id count as vectors of their own (equal vectors are linked);
+that repeat an id count as vectors of their own, each linked by its own
+components: classes are numbered, and ids only name the components at the end;
 rows without id link with nothing. An empty table gives an empty result.
 """
 
@@ -203,12 +204,11 @@ def near_vectors(
     usual = rows.where("size is not null and id is not null").groupBy("size").count().orderBy(F.desc("count"), "size").first()
     size = usual["size"] if usual else 0
     usable = rows.where((F.col("size") == size) & F.col("id").isNotNull())
+    # numbers of their own (fixed once written), as an id may stand on rows of several classes
     classes = materialize(
-        usable.groupBy("digest").agg(
-            F.min(F.col("id").cast("long")).alias("rep"), F.count(F.lit(1)).alias("m"), F.first("v").alias("v")
-        )
-        # only where rows repeat an id with different vectors
-        .dropDuplicates(["rep"]),
+        usable.groupBy("digest")
+        .agg(F.min(F.col("id").cast("long")).alias("least"), F.count(F.lit(1)).alias("m"), F.first("v").alias("v"))
+        .select(F.monotonically_increasing_id().alias("rep"), "digest", "least", "m", "v"),
         "classes",
     )
     members = classes.count()
@@ -219,13 +219,16 @@ def near_vectors(
     else:
         counts = spark.createDataFrame([], "rep long, n long")
         parts = spark.createDataFrame([], "node long, component long")
+    # the smallest id of each component
+    linked = materialize(parts.withColumnRenamed("node", "rep").join(classes.select("rep", "least"), "rep"), "linked")
+    names = materialize(linked.groupBy("component").agg(F.min("least").alias("name")), "names")
     named = (
         classes.join(counts, "rep", "left")
-        .join(parts.withColumnRenamed("node", "rep"), "rep", "left")
+        .join(linked.join(names, "component").select("rep", "name"), "rep", "left")
         .select(
             "digest",
             (F.coalesce("n", F.lit(0)) + F.col("m") - 1).alias("n_links"),
-            F.coalesce("component", "rep").alias("component_id"),
+            F.coalesce("name", "least").alias("component_id"),
         )
     )
     own = F.when(F.col("size") == size, F.col("digest"))
@@ -241,11 +244,12 @@ def near_vectors(
 
 def _find_links(classes: DataFrame, members: int, size: int, threshold: float) -> DataFrame:
     """(rep, n, other): link counts of classes (to be summed), and edges of their components (n = 0)."""
-    place = F.pmod(F.xxhash64("rep", F.lit(3)), F.lit(1 << 20))
-    sample = classes.where(place * members < F.lit(SAMPLE * (1 << 20))).orderBy("rep").limit(2 * SAMPLE).select("v")
+    # by digest: the numbers of classes may differ from run to run
+    place = F.pmod(F.xxhash64("digest", F.lit(3)), F.lit(1 << 20))
+    sample = classes.where(place * members < F.lit(SAMPLE * (1 << 20))).orderBy("digest").limit(2 * SAMPLE).select("v")
     taken = _matrix(sample.toArrow().column("v"), size)
     if not len(taken):
-        taken = _matrix(classes.orderBy("rep").limit(1).toArrow().column("v"), size)
+        taken = _matrix(classes.orderBy("digest").limit(1).toArrow().column("v"), size)
     index = MultiIndex(taken, members, threshold)
 
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

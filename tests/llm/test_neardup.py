@@ -92,3 +92,16 @@ def test_components(spark):
     want = components(sorted({x for e in clean for x in e}), clean)
     assert {r["node"]: r["component"] for r in got.collect()} == want
     assert connected_components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_an_id_shared_by_two_groups(spark):
+    """Id 1 stands on a copy of each of two texts and on a near copy of a third; every group is still linked."""
+    rng = random.Random(21)
+    one, two, three = (variants(rng, 1, 0)[0] for _ in range(3))
+    near = three.split()
+    near[0] = "changed"
+    docs = [(1, one), (1, two), (1, " ".join(near)), (30, three)] + [(k, one) for k in range(2, 12)] + [(k, two) for k in range(12, 22)]
+    rows = neardup.near_duplicates(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    assert len(rows) == len(docs)
+    assert {r["component_id"] for r in rows} == {1}
+    assert sorted(r["doc_id"] for r in rows if r["kept"]) == [1, 1, 1]

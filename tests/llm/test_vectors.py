@@ -93,3 +93,16 @@ def test_odd_rows(spark):
         assert (i, 0, i, True) in got
     assert (None, 0, None, False) in got
     assert vectors.near_vectors(frame.limit(0)).count() == 0
+
+
+def test_an_id_shared_by_two_groups(spark):
+    """Id 1 stands on an equal vector of each of two groups and near one of a third; every group is still linked."""
+    rng = np.random.default_rng(8)
+    one, two, three = (np.float32(rng.standard_normal(16)).tolist() for _ in range(3))
+    near = [three[0] + 0.01, *three[1:]]
+    data = [(1, one), (1, two), (1, near), (30, three)] + [(k, one) for k in range(2, 12)] + [(k, two) for k in range(12, 22)]
+    got = vectors.near_vectors(spark.createDataFrame([(i, v, 0) for i, v in data], SCHEMA)).collect()
+    assert {r["component_id"] for r in got} == {1}
+    assert sorted((r["vec_id"], r["n_links"]) for r in got) == sorted(
+        [(1, 10), (1, 10), (1, 1), (30, 1)] + [(k, 10) for k in range(2, 22)]
+    )
