@@ -9,12 +9,17 @@ document is within a word edit distance of a fifth of the item's length.
   sequences at a small edit distance emit strings at a small Hamming distance.
 * A window of a document starts at every ``STRIDE``-th word; items have a
   window at every word, so one of them starts where a document window does. The
-  walk's length follows the item's size (a power of two of steps), so windows
-  are as large as the items they are held against.
+  walk is short beside the item, so that among its windows some meet few of
+  its edits.
 * Bit-sampling LSH: each table hashes the words emitted at a few sampled
-  steps. The number of tables per walk follows from the target recall.
-* Document windows whose key occurs among the items' keys are candidates; each
-  is verified exactly by dynamic programming over words (the item against the
+  steps. The number of tables per walk is measured at the most edits a leak may
+  have (see ``TABLES``).
+* Items under ``WALK_WORDS`` words are too short for windows that surely miss
+  the edits. They are cut into one piece more than the edits allowed; one piece
+  stands unedited in every leak, and all pieces are looked up at every word.
+* Document windows whose key occurs among the items' keys are candidates. Those
+  with too few words of the item around their place cannot be leaks; the others
+  are verified exactly by dynamic programming over words (the item against the
   best stretch around its place).
 
 Items come in blocks of bounded size, each sent to all tasks; documents are
@@ -28,7 +33,6 @@ left out; rows without an id are reported with a null id. Texts are never cut.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -42,20 +46,20 @@ MIN_WORDS = 5
 STRIDE = 4
 WALKS = 2
 SAMPLED = 5
-TARGET_RECALL = 0.99
-#: Chance that two walks agree at a sampled step when a tenth of the words differ.
-STEP_AGREEMENT = 0.75
+#: Items with fewer words are found by their pieces, those with as many or more by walks.
+WALK_WORDS = 40
+STEPS = 32
+#: Tables per walk. Measured with exactly ``MAX_EDITS_SHARE`` of the words replaced, left out or added, at random or
+#: evenly spread places: none of 500 leaks missed at 40, 45, 50, 60 and 100 words each (tests/llm/test_decontam.py).
+TABLES = 16
 MAX_EDITS_SHARE = 0.2
 BLOCK_ITEM_WORDS = 200_000
-FILTER_BITS = 22
 _SCAN_BYTES = 1 << 18
 
 
-def tables_per_walk(trials: int, target: float = TARGET_RECALL, agreement: float = STEP_AGREEMENT) -> int:
-    """Tables so that ``trials`` windows of a leak find it with the target recall."""
-    hit = agreement**SAMPLED
-    need = math.log(1 - target) / math.log(1 - hit)
-    return max(1, math.ceil(need / max(1, trials * WALKS)))
+def _allowed(item_words: int) -> int:
+    """The most edits of a leak."""
+    return int(MAX_EDITS_SHARE * item_words)
 
 
 def _words(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -70,12 +74,6 @@ def _words(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return out, first + np.arange(texts + 1)
 
 
-def _steps(item_words: int) -> int:
-    """Walk length for an item: a power of two whose walk ends inside the item from its first few words."""
-    room = max(MIN_WORDS, item_words - STRIDE + 1)
-    return max(8, 1 << int(math.floor(math.log2(1.5 * room))))
-
-
 def _samples(walk: int, steps: int, tables: int) -> np.ndarray:
     """(tables, SAMPLED) steps; every table samples over the whole walk."""
     rng = np.random.default_rng(walk * 1009 + steps)
@@ -92,19 +90,40 @@ def _emit(words: np.ndarray, at: np.ndarray, walk: int, steps: int) -> Iterator[
         at += ((now * random[t]) >> U64(63)).astype(np.int64)  # word 0 never moves
 
 
+class _Keys:
+    """Sorted keys of items' windows, with a bitmap that rules most other keys out."""
+
+    def __init__(self, key: np.ndarray, owner: np.ndarray, offset: np.ndarray):
+        order = np.argsort(key, kind="stable")
+        self.key, self.owner, self.offset = key[order], owner[order], offset[order]
+        bits = min(22, max(12, int(64 * len(key)).bit_length()))
+        self.shift = U64(64 - bits)
+        self.bitmap = np.zeros(1 << bits, bool)
+        self.bitmap[key >> self.shift] = True
+
+    def candidates(self, key: np.ndarray, at: np.ndarray) -> np.ndarray | None:
+        """(place of the window, item, offset in the item) for the windows at ``at`` with these keys."""
+        maybe = np.flatnonzero(self.bitmap[key >> self.shift])
+        if not len(maybe):
+            return None
+        lo = np.searchsorted(self.key, key[maybe], side="left")
+        many = np.searchsorted(self.key, key[maybe], side="right") - lo
+        entry = np.arange(int(many.sum())) - np.repeat(np.cumsum(many) - many, many) + np.repeat(lo, many)
+        return np.stack([at[np.repeat(maybe, many)], self.owner[entry], self.offset[entry]], axis=1)
+
+
 class _Index:
     """Keys of one block of items, and what they point to."""
 
     def __init__(self, ids: list, words: list[np.ndarray]):
         self.ids, self.words = ids, words
-        self.classes: dict[int, int] = {}
-        for w in words:
-            steps = _steps(len(w))
-            windows = max(1, (len(w) - steps // 2) // STRIDE)
-            self.classes[steps] = max(self.classes.get(steps, 1), tables_per_walk(windows))
-        self.keys: dict[tuple[int, int, int], tuple] = {}
+        self.sizes = np.array([len(w) for w in words], np.int64)
+        self.salts = salts(len(words), 11)
+        self.bag = np.unique(np.concatenate([mix(w + x) for w, x in zip(words, self.salts, strict=True)] or [np.zeros(0, U64)]))
+        self.classes = {STEPS: TABLES} if (self.sizes >= WALK_WORDS).any() else {}
+        self.keys: dict[tuple[int, int, int], _Keys] = {}
         for steps, tables in sorted(self.classes.items()):
-            mine = [k for k, w in enumerate(words) if _steps(len(w)) == steps]
+            mine = [k for k, w in enumerate(words) if len(w) >= WALK_WORDS]
             flat = np.concatenate([np.append(words[k], U64(0)) for k in mine])
             starts, owner, offset = [], [], []
             base = 0
@@ -121,9 +140,40 @@ class _Index:
                 for table in range(tables):
                     # past an item's end a document goes on, so such windows cannot be equal
                     ok = inside[table]
-                    key, own, off = sums[table][ok], owner[ok], offset[ok]
-                    order = np.argsort(key, kind="stable")
-                    self.keys[steps, walk, table] = (key[order], own[order], off[order])
+                    self.keys[steps, walk, table] = _Keys(sums[table][ok], owner[ok], offset[ok])
+        pieces: dict[int, list[tuple[int, int, int]]] = {}
+        for k, w in enumerate(words):
+            if len(w) < WALK_WORDS:
+                count = _allowed(len(w)) + 1
+                length = len(w) // count
+                for start in range(0, count * length, length):
+                    key = int(_piece_keys(w[start : start + length], np.zeros(1, np.int64), length)[0])
+                    pieces.setdefault(length, []).append((key, k, start))
+        self.pieces = {
+            length: _Keys(np.array([r[0] for r in rows], U64), np.array([r[1] for r in rows]), np.array([r[2] for r in rows]))
+            for length, rows in sorted(pieces.items())
+        }
+
+
+def _piece_keys(words: np.ndarray, at: np.ndarray, length: int) -> np.ndarray:
+    """Keys of the ``length`` words from each of the positions ``at``."""
+    total = np.full(len(at), length, U64)
+    for k, factor in enumerate(salts(length, 13)):
+        total += words[at + k] * factor
+    return mix(total)
+
+
+def _plausible(words: np.ndarray, low: np.ndarray, high: np.ndarray, item: np.ndarray, index: _Index) -> np.ndarray:
+    """Whether words[low:high] holds as many words of the item as a leak must keep."""
+    many = high - low
+    owner = np.repeat(np.arange(len(low)), many)
+    at = np.arange(int(many.sum())) + np.repeat(low - (np.cumsum(many) - many), many)
+    key = mix(words[at] + index.salts[item][owner])
+    place = np.searchsorted(index.bag, key)
+    place[place == len(index.bag)] = 0
+    kept = np.bincount(owner, index.bag[place] == key, minlength=len(low))
+    sizes = index.sizes[item]
+    return kept >= sizes - (MAX_EDITS_SHARE * sizes).astype(np.int64)
 
 
 def _table_keys(words, at, walk, steps, picked) -> tuple[list[np.ndarray], list[np.ndarray]]:
@@ -216,15 +266,11 @@ def _scanner(ids: list, texts: list[str]):
         words = [flat[a : b - 1] for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
         usable = [k for k, w in enumerate(words) if len(w) >= MIN_WORDS]
         index = _Index([ids[k] for k in usable], [words[k] for k in usable])
-        bitmap = {}
-        for name, (key, _, _) in index.keys.items():
-            bitmap[name] = np.zeros(1 << FILTER_BITS, bool)
-            bitmap[name][key >> U64(64 - FILTER_BITS)] = True
         for batch in batches:
             out: list[tuple] = []
             for low, _, data, offs in blocks(batch.column("_text"), _SCAN_BYTES):
                 if index.words:
-                    out += [(low + doc, *rest) for doc, *rest in _scan_block(data, offs, index, bitmap)]
+                    out += [(low + doc, *rest) for doc, *rest in _scan_block(data, offs, index)]
             rows = pa.array([r[0] for r in out], pa.int64())
             ends = list(zip(*[r[1:] for r in out], strict=True)) if out else [()] * 5
             item_type = pa.infer_type(index.ids) if index.ids else pa.int64()
@@ -243,7 +289,7 @@ def _scanner(ids: list, texts: list[str]):
     return scan
 
 
-def _scan_block(data, offs, index: _Index, bitmap) -> list[tuple]:
+def _scan_block(data, offs, index: _Index) -> list[tuple]:
     """(text, item, start word, end word, edits, item words) of the leaks in one block."""
     words, cuts = _words(data, offs)
     # windows at every STRIDE-th word of each text (the closing 0 is no word)
@@ -252,7 +298,7 @@ def _scan_block(data, offs, index: _Index, bitmap) -> list[tuple]:
     if not len(at):
         return []
     candidates = []
-    for walk in range(WALKS):
+    for walk in range(WALKS if index.classes else 0):
         longest = max(index.classes)
         picks = {steps: _samples(walk, steps, tables) for steps, tables in index.classes.items()}
         uses: dict[int, list[tuple[int, int]]] = {}
@@ -273,17 +319,12 @@ def _scan_block(data, offs, index: _Index, bitmap) -> list[tuple]:
                 for name in wanted:
                     sums[name] += term
         for (steps, table), total in sums.items():
-            key = mix(total)
-            maybe = np.flatnonzero(bitmap[steps, walk, table][key >> U64(64 - FILTER_BITS)])
-            if not len(maybe):
-                continue
-            known, owner, offset = index.keys[steps, walk, table]
-            lo = np.searchsorted(known, key[maybe], side="left")
-            hi = np.searchsorted(known, key[maybe], side="right")
-            many = hi - lo
-            where = np.repeat(maybe, many)
-            entry = np.arange(int(many.sum())) - np.repeat(np.cumsum(many) - many, many) + np.repeat(lo, many)
-            candidates.append(np.stack([at[where], owner[entry], offset[entry]], axis=1))
+            candidates.append(index.keys[steps, walk, table].candidates(mix(total), at))
+    ends = np.repeat(cuts[1:] - 1, np.diff(cuts))
+    for length, keys in index.pieces.items():
+        every = np.flatnonzero(np.arange(len(words)) + length <= ends)
+        candidates.append(keys.candidates(_piece_keys(words, every, length), every))
+    candidates = [c for c in candidates if c is not None]
     if not candidates:
         return []
     found = np.concatenate(candidates)
@@ -291,10 +332,14 @@ def _scan_block(data, offs, index: _Index, bitmap) -> list[tuple]:
     # where the item would start; one candidate per (text, item, place)
     place = found[:, 0] - found[:, 2]
     todo = np.unique(np.stack([text, found[:, 1], place], axis=1), axis=0)
+    slack = (MAX_EDITS_SHARE * index.sizes[todo[:, 1]]).astype(np.int64)
+    low = np.maximum(cuts[todo[:, 0]], todo[:, 2] - slack)
+    high = np.minimum(cuts[todo[:, 0] + 1] - 1, todo[:, 2] + index.sizes[todo[:, 1]] + slack)
+    todo = todo[_plausible(words, low, high, todo[:, 1], index)]
     best: dict[tuple[int, int], tuple] = {}
     for doc, item, start in todo.tolist():
         mine = index.words[item]
-        allowed = int(MAX_EDITS_SHARE * len(mine))
+        allowed = _allowed(len(mine))
         seen = best.get((doc, item))
         if seen and (seen[2] == 0 or abs(seen[0] + cuts[doc] - start) <= allowed):
             continue  # already found there, or found without an edit

@@ -1,5 +1,8 @@
 import random
 
+import pyarrow as pa
+import pytest
+
 from fundtrail.llm import decontam, registry
 from tests.conftest import SF_SMALL
 from tests.llm.helpers import edit_distance_to_best_stretch, odd_documents, words
@@ -84,3 +87,56 @@ def test_odd_rows(spark):
     assert sorted({(r["doc_id"] or 0, r["item_id"]) for r in rows}) == [(0, 4), (1, 4), (2, 4), (7, 4), (8, 4)]
     assert decontam.find_leaks(docs, items.limit(0)).count() == 0
     assert decontam.find_leaks(docs.limit(0), items).count() == 0
+
+
+def _edited(rng, item, edits, spread):
+    """The item with so many words replaced, left out or added: at random places, or every fifth word."""
+    out = list(item)
+    places = sorted(rng.sample(range(len(item)), edits)) if not spread else [k * len(item) // edits for k in range(edits)]
+    for j in reversed(places):
+        out[j : j + 1] = rng.choice((["changed"], [], [out[j], "added"]))
+    return out
+
+
+def _found(items, texts):
+    """(text, item) found among texts, without Spark."""
+    scan = decontam._scanner(list(range(len(items))), [" ".join(i) for i in items])
+    batch = pa.RecordBatch.from_pydict(
+        {"_id": pa.array(range(len(texts)), pa.int64()), "_text": pa.array([" ".join(t) for t in texts], pa.string())}
+    )
+    return {(r["id"], r["item_id"]) for out in scan(iter([batch])) for r in out.to_pylist()}
+
+
+@pytest.mark.parametrize("length", [15, 18, 20, 25, 29, 30, 40, 46, 59, 60, 100, 150, 200])
+@pytest.mark.parametrize("share,spread", [(0, False), (0.1, False), (0.2, False), (0.2, True)])
+def test_recall_at_heavy_edits(length, share, spread):
+    """Leaks with a tenth and a fifth of the words edited, insertions and deletions too."""
+    rng = random.Random(length * 10 + int(10 * share))
+    vocabulary = [f"w{k}" for k in range(20000)]
+    items = [rng.choices(vocabulary, k=length) for _ in range(200)]
+    texts = []
+    for item in items:
+        before, after = rng.choices(vocabulary, k=rng.randint(0, 30)), rng.choices(vocabulary, k=rng.randint(0, 30))
+        texts.append(before + _edited(rng, item, int(share * length), spread) + after)
+    got = _found(items, texts)
+    found = sum((k, k) in got for k in range(len(items)))
+    assert found >= 0.995 * len(items) if length >= decontam.WALK_WORDS and share else found == len(items)
+
+
+def test_short_items_are_all_found():
+    """Items of 5 to 39 words with as many edits as a leak may have, at any place in the text."""
+    rng = random.Random(7)
+    vocabulary = [f"w{k}" for k in range(400)]
+    items = [rng.choices(vocabulary, k=5 + k % 35) for k in range(140)]
+    texts = []
+    for item in items:
+        edited = _edited(rng, item, rng.randint(0, int(0.2 * len(item))), False)
+        texts.append(rng.choices(vocabulary, k=rng.randint(0, 9)) + edited + rng.choices(vocabulary, k=rng.randint(0, 9)))
+    want = {
+        (d, k)
+        for d, t in enumerate(texts)
+        for k, v in enumerate(items)
+        if edit_distance_to_best_stretch(v, t) <= int(0.2 * len(v))
+    }
+    assert {(k, k) for k in range(len(items))} <= want
+    assert _found(items, texts) == want

@@ -1,7 +1,9 @@
+import random
+
 import corpus_pipeline
 from fundtrail.llm import decontam
 from tests.conftest import SF_MID, SF_SMALL
-from tests.llm.helpers import has_letter, near_duplicate_components, odd_documents, words
+from tests.llm.helpers import edit_distance_to_best_stretch, has_letter, near_duplicate_components, odd_documents, words
 
 
 def test_stages(spark):
@@ -67,3 +69,28 @@ def test_odd_rows_and_empty_tables(spark, tmp_path):
                 ids = [r["doc_id"] for r in rows]
                 assert ids.count(1) == 1 and 2 not in ids and 8 not in ids and ids.count(None) == 2
     assert decontam.MIN_WORDS == 5
+
+
+def test_every_brute_force_leak_is_gone(spark):
+    """Documents of the small tables that hold an item within the edits allowed, heavily edited copies included."""
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet").limit(120)
+    given = [tuple(r) for r in docs.collect()]
+    items = [words(r["text"]) for r in spark.read.parquet(f"{SF_SMALL}/benchmark.parquet").limit(25).collect()]
+    rng = random.Random(4)
+    rows = []
+    for k, row in enumerate(given):
+        text = words(row[1])
+        if k % 2:
+            item = list(items[k % len(items)])
+            for j in sorted(rng.sample(range(len(item)), int(0.2 * len(item))), reverse=True):
+                item[j : j + 1] = rng.choice((["changed"], [], [item[j], "added"]))
+            text[5:5] = item
+        rows.append((row[0], " ".join(text), *row[2:]))
+    dirty = set()
+    for row in rows:
+        text = words(row[1])
+        if any(len(v) >= 5 and edit_distance_to_best_stretch(v, text[:80]) <= int(0.2 * len(v)) for v in items):
+            dirty.add(row[0])
+    assert len(dirty) >= 60
+    kept = corpus_pipeline.decontamination(spark, spark.createDataFrame(rows, docs.schema), SF_SMALL).collect()
+    assert not dirty & {r["doc_id"] for r in kept}
