@@ -3,12 +3,17 @@
 Tokens of a page are its tags (name, class, id) and its text blocks, each with
 the path of elements above it. Over all pages of a host, tokens that share
 their occurrence vector (how often they occur on which page) form an
-equivalence class. Classes that are frequent and large enough, and whose tokens
-keep to one place in the nesting, make up the host's template; the text blocks
-of the template are the same everywhere and are no content. The remaining
-slots, in page order, are the page's own text; slots under elements for
-menus, adverts, forms and the like go, and where the template has an element
-for the article, only slots inside it stay.
+equivalence class. Classes that are frequent and large enough and hold a tag
+make up the host's template (text that only copies of an article share has no
+tag in its class and stays); the text blocks of the template are the same
+everywhere and are no content, inside the article as well as outside.
+
+The template's elements are nested, and the one whose slots hold the article is
+chosen by the text that is not of the template: the innermost element that holds
+over ``SLOT_SHARE`` of it over all pages of the host. Element names are a hint:
+an element for the article needs only ``HINT_SHARE``. Only text inside the
+chosen element stays; slots under elements for menus, adverts, forms and the
+like go. A page whose text in that element is all of the template keeps it.
 
 Occurrence vectors are never gathered: each is a 64-bit fingerprint, the xor of
 a hash of (page, count) over the pages, so classes come from two Spark
@@ -26,6 +31,7 @@ from __future__ import annotations
 import html as html_lib
 import re
 from collections.abc import Iterator
+from functools import lru_cache
 
 import pyarrow as pa
 import xxhash
@@ -38,6 +44,8 @@ from fundtrail.session import materialize
 MIN_PAGES = 4
 MIN_SHARE = 0.6
 MIN_CLASS = 3
+SLOT_SHARE = 0.5
+HINT_SHARE = 0.2
 
 # Html element names and the usual names of page furniture.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -188,26 +196,55 @@ def _token(path: str, text: str) -> int:
     return value - (1 << 64) if value >> 63 else value
 
 
+def _above(path: str) -> list[str]:
+    """The path and those of the elements above it, outermost first."""
+    cuts = [k for k, c in enumerate(path) if c == ">"][1:]
+    return [path[:k] for k in cuts] + [path] if path else []
+
+
+@lru_cache(maxsize=1 << 14)
+def _places(path: str) -> tuple[int, ...]:
+    """The tokens of the path's element and of those above it."""
+    return tuple(_token(p, "") for p in _above(path))
+
+
 def deduce_templates(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """(host, tokens): the text tokens of each host's template."""
+    """(host, tokens, slot): the text tokens of each host's template, and its element that holds the article."""
 
     def occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found: dict[tuple[str, int], list] = {}
             hosts, marks, sources = (batch.column(c).to_pylist() for c in ("host", "mark", "html"))
             for host, mark, source in zip(hosts, marks, sources, strict=True):
-                counts: dict[int, list[int]] = {}
-                for path, text, _, _ in blocks_of(source or ""):
-                    one = counts.setdefault(_token(path, text), [0, int(bool(text))])
+                # times, is_text, characters of kept text (in a text, or under an element), depth, hint, elements above a text
+                counts: dict[int, list] = {}
+                mains: set[str] = set()
+                total = 0
+                for path, text, dropped, main in blocks_of(source or ""):
+                    above = _places(path)
+                    token = _token(path, text) if text else above[-1]
+                    one = counts.get(token)
+                    if one is None:
+                        one = counts[token] = [0, int(bool(text)), 0, len(above), 0, above if text else None]
                     one[0] += 1
-                counts[0] = [1, 0]  # every page has the token 0: the host's number of pages
-                for token, (n, is_text) in counts.items():
+                    if not text and main and path not in mains:
+                        one[4] = int(not any(p in mains for p in _above(path)))
+                        mains.add(path)
+                    if text and not dropped:
+                        one[2] += len(text)
+                        total += len(text)
+                        for element in above:
+                            if element in counts:
+                                counts[element][2] += len(text)
+                counts[0] = [1, 0, total, 0, 0, None]  # every page has the token 0: the host's number of pages
+                for token, (n, is_text, chars, depth, hint, under) in counts.items():
                     # the xor of a hash of (page, count)
                     print_ = hash((mark, n, 0x5BD1E995)) & 0x7FFFFFFFFFFFFFFF
-                    row = found.setdefault((host, token), [0, 0, 0, is_text])
+                    row = found.setdefault((host, token), [0, 0, 0, is_text, 0, depth, hint, under])
                     row[0] ^= print_
                     row[1] += 1
                     row[2] += n
+                    row[4] += chars
             keys, rows = list(found), list(found.values())
             yield pa.RecordBatch.from_pydict(
                 {
@@ -217,6 +254,10 @@ def deduce_templates(pages: DataFrame, id_col: str = "page_id", url_col: str = "
                     "pages": pa.array([r[1] for r in rows], pa.int64()),
                     "times": pa.array([r[2] for r in rows], pa.int64()),
                     "is_text": pa.array([r[3] for r in rows], pa.int32()),
+                    "chars": pa.array([r[4] for r in rows], pa.int64()),
+                    "depth": pa.array([r[5] for r in rows], pa.int32()),
+                    "hint": pa.array([r[6] for r in rows], pa.int32()),
+                    "under": pa.array([r[7] for r in rows], pa.list_(pa.int64())),
                 }
             )
 
@@ -225,13 +266,21 @@ def deduce_templates(pages: DataFrame, id_col: str = "page_id", url_col: str = "
     )
     least = int(MIN_PAGES * MIN_SHARE)
     counted = (
-        source.mapInArrow(occurrences, "host string, token long, vector long, pages long, times long, is_text int")
+        source.mapInArrow(
+            occurrences,
+            "host string, token long, vector long, pages long, times long, is_text int, chars long, depth int, hint int, "
+            "under array<long>",
+        )
         .groupBy("host", "token")
         .agg(
             F.bit_xor("vector").alias("vector"),
             F.sum("pages").alias("pages"),
             F.sum("times").alias("times"),
             F.max("is_text").alias("is_text"),
+            F.sum("chars").alias("chars"),
+            F.max("depth").alias("depth"),
+            F.max("hint").alias("hint"),
+            F.first("under").alias("under"),
         )
         .where(f"token = 0 OR pages > {least}")
     )
@@ -242,14 +291,52 @@ def deduce_templates(pages: DataFrame, id_col: str = "page_id", url_col: str = "
         (F.col("host_pages") >= MIN_PAGES) & (F.col("pages") >= MIN_SHARE * F.col("host_pages"))
     )
     # equal vectors have equal page and occurrence counts too, which guards the fingerprint
-    classes = frequent.groupBy("host", "vector", "pages", "times").agg(F.count(F.lit(1)).alias("held"))
-    valid = classes.where(F.col("held") >= MIN_CLASS).select("host", "vector", "pages", "times")
-    return (
-        frequent.where("is_text = 1")
-        .join(valid, ["host", "vector", "pages", "times"], "left_semi")
-        .groupBy("host")
-        .agg(F.collect_set("token").alias("tokens"))
+    classes = frequent.groupBy("host", "vector", "pages", "times").agg(
+        F.count(F.lit(1)).alias("held"), F.min("is_text").alias("texts_only")
+    )
+    valid = classes.where((F.col("held") >= MIN_CLASS) & (F.col("texts_only") == 0)).select("host", "vector", "pages", "times")
+    template = materialize(frequent.join(valid, ["host", "vector", "pages", "times"], "left_semi"), "page-template-tokens")
+    texts = template.where("is_text = 1")
+
+    # text under each element that is not of the template
+    shared = texts.select("host", F.explode("under").alias("token"), "chars").groupBy("host", "token").agg(F.sum("chars").alias("fixed"))
+    fixed = texts.groupBy("host").agg(F.sum("chars").alias("all_fixed"))
+    whole = tokens.where("token = 0").join(fixed, "host", "left").select(
+        "host", (F.col("chars") - F.coalesce("all_fixed", F.lit(0))).alias("all_own")
     )
+    elements = (
+        template.where("is_text = 0")
+        .join(shared, ["host", "token"], "left")
+        .join(whole, "host")
+        .withColumn("share", F.try_divide(F.col("chars") - F.coalesce("fixed", F.lit(0)), F.col("all_own")))
+        .where((F.col("share") > SLOT_SHARE) | ((F.col("hint") == 1) & (F.col("share") >= HINT_SHARE)))
+    )
+    slots = elements.groupBy("host").agg(F.max(F.struct("hint", "depth", "share", "token")).alias("best")).select(
+        "host", F.col("best.token").alias("slot")
+    )
+    return texts.groupBy("host").agg(F.collect_set("token").alias("tokens")).join(slots, "host", "full")
+
+
+def _content(source: str, tokens: list[int] | None, slot: int | None) -> list[str]:
+    """The text blocks of a page that are its own, given its host's template."""
+    template = frozenset(tokens or ())
+    kept = [b for b in blocks_of(source) if b[1] and not b[2]]
+
+    def own(blocks: list) -> list:
+        # all of the template: pages that are copies of each other
+        return [b for b in blocks if _token(b[0], b[1]) not in template] or blocks
+
+    scope = [b for b in kept if slot in _places(b[0])] if slot is not None else []
+    named = [b for b in scope or kept if b[3]]
+    if scope:
+        found = own(scope)
+        # a layout with an element for the article inside the chosen one
+        hinted = own(named) if len(named) < len(scope) else found
+        if sum(len(b[1]) for b in hinted) >= HINT_SHARE * sum(len(b[1]) for b in found):
+            found = hinted or found
+    else:
+        found = own(named or kept)
+    return [b[1] for b in found]
 
 
 def extract_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
@@ -257,19 +344,12 @@ def extract_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url"
     # written, so that Spark knows its size: a small one is broadcast, a large one meets the pages in a shuffle
     templates = materialize(deduce_templates(pages, id_col, url_col, html_col), "page-templates")
     named = with_host_and_path(pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"), F.col(html_col).alias("html")), "url")
-    joined = named.join(templates, "host", "left").select("id", "url", "html", "tokens")
+    joined = named.join(templates, "host", "left").select("id", "url", "html", "tokens", "slot")
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = []
-            for source, tokens in zip(batch.column("html").to_pylist(), batch.column("tokens").to_pylist(), strict=True):
-                template = frozenset(tokens or ())
-                kept = [b for b in blocks_of(source or "") if b[1] and not b[2]]
-                inside = [b for b in kept if b[3]]
-                if not inside:
-                    # no element for the article: the slots of the template, or all text where it leaves none
-                    inside = [b for b in kept if _token(b[0], b[1]) not in template] or kept
-                out.append("\n\n".join(b[1] for b in inside))
+            rows = zip(*(batch.column(c).to_pylist() for c in ("html", "tokens", "slot")), strict=True)
+            out = ["\n\n".join(_content(source or "", tokens, slot)) for source, tokens, slot in rows]
             yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("url"), pa.array(out, pa.string())], ["id", "url", "text"])
 
     kind = pages.schema[id_col].dataType.simpleString()

@@ -1,6 +1,7 @@
 """Urls and pages."""
 
 import html
+import random
 import re
 
 import pytest
@@ -124,3 +125,22 @@ def test_template_text_is_no_content(spark):
     assert text[3] == ["own text 3"] and text[7] == ["own text 7"] * 2 and text[None] == ["own text n"]
     assert text[20][0].startswith("Welcome") and text[21] == [""] and text[22] == [""]
     assert pages.extract_text(frame.limit(0)).count() == 0
+
+
+def test_template_text_inside_the_article(spark):
+    """What all pages of a host share goes inside the article too; the element that holds the article needs no telling name."""
+    rng = random.Random(6)
+    say = lambda n: " ".join(f"w{rng.randint(0, 9999)}" for _ in range(n))
+    inside = "<html><body><div class=q><p>{}</p></div><article><div class=z>Read in the app</div><p>{}</p><p>{}</p><div class=k>Write to us</div></article></body></html>"
+    plain = "<html><body><div class=q><p>{}</p></div><div class=u><div class=v>Our notice</div><p>{}</p><p>{}</p></div></body></html>"
+    rows, want = [], {}
+    for k in range(24):
+        one, two = (say(30) for _ in range(2)) if k % 8 or k % 2 else ("the same", "copied text")
+        page = (inside if k % 2 else plain).format(say(4), one, two)
+        rows.append((k, f"http://host{k % 2}.org/{k}", page))
+        want[k] = f"{one}\n\n{two}"
+    rows += [(100 + k, f"http://copies.org/{k}", inside.format("x", "all alike", "again")) for k in range(6)]
+    frame = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r["page_id"]: r["text"] for r in pages.extract_text(frame).collect()}
+    assert {k: got[k] for k in want} == want
+    assert all("all alike\n\nagain" in got[100 + k] for k in range(6))
