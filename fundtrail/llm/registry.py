@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fundtrail.llm import bpe, decontam, language, licenses, neardup, pages, quality, toxicity, urls, vectors
+from fundtrail.llm import bpe, counts, decontam, language, licenses, neardup, pages, quality, toxicity, urls, vectors
 from fundtrail.llm.labelled import fold
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -27,11 +27,11 @@ URL_RULES = [
 ]
 
 
-def tokenizer_path() -> str:
-    """The public tokenizer file of the registered queries; operators take any path."""
+def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
+    """A public tokenizer file of the registered queries; operators take any path."""
     import public_tokenizers
 
-    return public_tokenizers.path("word_bpe_49k.json")
+    return public_tokenizers.path(name)
 
 
 def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -116,6 +116,11 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counted = counts.count_tokens(_read(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
+    return counted.withColumn("over_limit", F.col("n_tokens") > 512)
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_license_scan": op1_license_scan,
@@ -128,6 +133,7 @@ def queries() -> dict[str, Query]:
         "op8_language_id": op8_language_id,
         "op9_html_text": op9_html_text,
         "op10_toxicity": op10_toxicity,
+        "op11_token_counts": op11_token_counts,
     }
 
 
