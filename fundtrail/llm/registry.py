@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fundtrail.llm import bpe, counts, decontam, language, licenses, neardup, pages, quality, toxicity, urls, vectors
+from fundtrail.llm import ballcodes, bpe, counts, decontam, language, licenses, neardup, pages, quality, toxicity, urls, vectors
 from fundtrail.llm.labelled import fold
+from fundtrail.llm.oracle import ball_codes_sql
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -121,6 +122,18 @@ def op11_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.withColumn("over_limit", F.col("n_tokens") > 512)
 
 
+def op12_ball_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = ballcodes.ball_codes(_read(spark, sf_dir, "embeddings"))
+    digits = F.transform("code", lambda c: F.lpad(F.lower(F.hex(c)), 2, "0"))
+    return ballcodes.with_label_errors(found.rows).select(
+        F.col("id").alias("vec_id"),
+        F.array_join(digits, "").alias("code"),
+        "error",
+        "label_error",
+        F.lit(found.books.sha256 if found.books else None).cast("string").alias("codebooks_sha256"),
+    )
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_license_scan": op1_license_scan,
@@ -134,8 +147,9 @@ def queries() -> dict[str, Query]:
         "op9_html_text": op9_html_text,
         "op10_toxicity": op10_toxicity,
         "op11_token_counts": op11_token_counts,
+        "op12_ball_codes": op12_ball_codes,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op12_ball_codes": ball_codes_sql()}
