@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fundtrail.llm import ballcodes, bpe, counts, decontam, language, licenses, neardup, pages, quality, toxicity, urls, vectors
+from fundtrail.llm import ballcodes, bpe, counts, decontam, language, licenses, neardup, pages, quality, toxicity, urls, vectors, whitening
 from fundtrail.llm.labelled import fold
 from fundtrail.llm.oracle import ball_codes_sql
 
@@ -134,6 +134,22 @@ def op12_ball_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    embeddings = _read(spark, sf_dir, "embeddings")
+    model = whitening.fit_whitening(embeddings)
+    out = whitening.whiten(embeddings, model)
+    explained = F.array(*map(F.lit, model.explained)) if model and model.explained else F.array().cast("array<double>")
+    return out.select(
+        "vec_id",
+        "component",
+        F.lit(model.n if model else 0).cast("long").alias("n"),
+        F.col("deviation").cast("long").alias("deviation"),
+        "whitened",
+        F.get(explained, F.col("component") - 1).alias("explained"),
+        F.lit(model.identity_error if model else None).cast("double").alias("identity_error"),
+    )
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_license_scan": op1_license_scan,
@@ -148,6 +164,7 @@ def queries() -> dict[str, Query]:
         "op10_toxicity": op10_toxicity,
         "op11_token_counts": op11_token_counts,
         "op12_ball_codes": op12_ball_codes,
+        "op13_embedding_whitening": op13_embedding_whitening,
     }
 
 
