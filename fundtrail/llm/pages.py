@@ -31,7 +31,6 @@ from __future__ import annotations
 import html as html_lib
 import re
 from collections.abc import Iterator
-from functools import lru_cache
 
 import pyarrow as pa
 import xxhash
@@ -46,6 +45,8 @@ MIN_SHARE = 0.6
 MIN_CLASS = 3
 SLOT_SHARE = 0.5
 HINT_SHARE = 0.2
+#: Paths whose tokens a task remembers.
+PLACES = 1 << 14
 
 # Html element names and the usual names of page furniture.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -202,7 +203,6 @@ def _above(path: str) -> list[str]:
     return [path[:k] for k in cuts] + [path] if path else []
 
 
-@lru_cache(maxsize=1 << 14)
 def _places(path: str) -> tuple[int, ...]:
     """The tokens of the path's element and of those above it."""
     return tuple(_token(p, "") for p in _above(path))
@@ -212,6 +212,8 @@ def deduce_templates(pages: DataFrame, id_col: str = "page_id", url_col: str = "
     """(host, tokens, slot): the text tokens of each host's template, and its element that holds the article."""
 
     def occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # a plain dict: a cached module function would have to be importable on the workers
+        places: dict[str, tuple[int, ...]] = {}
         for batch in batches:
             found: dict[tuple[str, int], list] = {}
             hosts, marks, sources = (batch.column(c).to_pylist() for c in ("host", "mark", "html"))
@@ -221,7 +223,11 @@ def deduce_templates(pages: DataFrame, id_col: str = "page_id", url_col: str = "
                 mains: set[str] = set()
                 total = 0
                 for path, text, dropped, main in blocks_of(source or ""):
-                    above = _places(path)
+                    above = places.get(path)
+                    if above is None:
+                        if len(places) >= PLACES:
+                            places.clear()
+                        above = places[path] = _places(path)
                     token = _token(path, text) if text else above[-1]
                     one = counts.get(token)
                     if one is None:
