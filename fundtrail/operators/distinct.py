@@ -63,18 +63,13 @@ def _age_for(roles: tuple[str, ...]) -> str:
     return f"_age_{roles[0]}"
 
 
-def distinct_counts(
-    legs: DataFrame,
-    keys: Sequence[str],
-    families: Sequence[ValueFamily],
-    spans: Sequence[tuple[str, int | None]] = (("", None),),
-    age_col: str = "age_days",
+def leg_values(
+    legs: DataFrame, families: Sequence[ValueFamily], columns: Sequence[str], with_hrj: bool | None = None
 ) -> DataFrame:
-    """One row per key with at least one value; columns ``{prefix}{output name}``."""
-    keys = list(keys)
+    """One row per leg and family with a value: ``columns``, role, ``_hrj``, and the value as (f, vl, vs)."""
     dtypes = {f.name: f.dataType for f in legs.schema.fields}
-    with_age = any(cut is not None for _, cut in spans)
-    need_hrj = any(o.hrj for fam in families for o in fam.outputs)
+    if with_hrj is None:
+        with_hrj = any(o.hrj for fam in families for o in fam.outputs)
     entries = []
     for i, fam in enumerate(families):
         # integers compare as longs, everything else by its exact text
@@ -87,20 +82,23 @@ def distinct_counts(
                 (v if is_text else F.lit(None).cast("string")).alias("vs"),
             )
         )
-    age = F.col(age_col) if with_age else F.lit(0)
     exploded = legs.select(
-        *keys,
+        *columns,
         "role",
-        age.alias("_age"),
-        (F.col("is_hrj") if need_hrj else F.lit(False)).alias("_hrj"),
+        (F.col("is_hrj") if with_hrj else F.lit(False)).alias("_hrj"),
         F.explode(F.array(*entries)).alias("_e"),
-    ).select(*keys, "role", "_age", "_hrj", "_e.f", "_e.vl", "_e.vs")
-    exploded = exploded.filter(F.col("vl").isNotNull() | F.col("vs").isNotNull())
-    per_value = exploded.groupBy(*keys, "f", "vl", "vs").agg(
-        F.min(F.when(F.col("role") == F.lit("send"), F.col("_age"))).alias("_age_send"),
-        F.min(F.when(F.col("role") == F.lit("pay"), F.col("_age"))).alias("_age_pay"),
-        F.max("_hrj").alias("_hrj"),
-    )
+    ).select(*columns, "role", "_hrj", "_e.f", "_e.vl", "_e.vs")
+    return exploded.filter(F.col("vl").isNotNull() | F.col("vs").isNotNull())
+
+
+def count_by_age(
+    per_value: DataFrame,
+    keys: Sequence[str],
+    families: Sequence[ValueFamily],
+    spans: Sequence[tuple[str, int | None]] = (("", None),),
+) -> DataFrame:
+    """Per key: the values of each output and span, from one row per (key, f, value) with the
+    age of its latest leg of each role (``_age_send``, ``_age_pay``) and ``_hrj``."""
     counts = []
     for prefix, cut in spans:
         for i, fam in enumerate(families):
@@ -109,3 +107,22 @@ def distinct_counts(
                 cond = f"f = {i} AND {a} IS NOT NULL AND {span_sql(a, cut)}" + (" AND _hrj" if out.hrj else "")
                 counts.append(F.expr(f"count_if({cond}) AS `{prefix}{out.name}`"))
     return per_value.groupBy(*keys).agg(*counts)
+
+
+def distinct_counts(
+    legs: DataFrame,
+    keys: Sequence[str],
+    families: Sequence[ValueFamily],
+    spans: Sequence[tuple[str, int | None]] = (("", None),),
+    age_col: str = "age_days",
+) -> DataFrame:
+    """One row per key with at least one value; columns ``{prefix}{output name}``."""
+    keys = list(keys)
+    with_age = any(cut is not None for _, cut in spans)
+    aged = legs.withColumn("_age", F.col(age_col) if with_age else F.lit(0))
+    per_value = leg_values(aged, families, [*keys, "_age"]).groupBy(*keys, "f", "vl", "vs").agg(
+        F.min(F.when(F.col("role") == F.lit("send"), F.col("_age"))).alias("_age_send"),
+        F.min(F.when(F.col("role") == F.lit("pay"), F.col("_age"))).alias("_age_pay"),
+        F.max("_hrj").alias("_hrj"),
+    )
+    return count_by_age(per_value, keys, families, spans)

@@ -122,6 +122,32 @@ def customer_history_legs(
     return legs.withColumn("age_days", F.datediff("as_of_date", "leg_date"))
 
 
+def customer_range_legs(
+    transfers: DataFrame,
+    date_from: dt.date | str | None,
+    date_to: dt.date | str,
+    customers: DataFrame | None = None,
+) -> DataFrame:
+    """Legs of customers dated in the inclusive range (``date_from`` None: from the first on).
+
+    The date filter and the not-null test reach the scan. ``customers`` (entity_id)
+    keeps the legs of these only, by a semi-join on the distinct ids; a leg never comes twice.
+    """
+    parts = []
+    for role in ROLES:
+        rows = transfers.filter(
+            F.col(f"{role}_customer").isNotNull() & (F.col(f"{role}_date") <= F.lit(date_to).cast("date"))
+        )
+        if date_from is not None:
+            rows = rows.filter(F.col(f"{role}_date") >= F.lit(date_from).cast("date"))
+        legs = transfer_legs(rows, role).withColumn("entity_id", F.col("own_customer"))
+        if customers is not None:
+            q = sized_broadcast(customers.select("entity_id").distinct(), name="customers")
+            legs = legs.join(q, "entity_id", "left_semi")
+        parts.append(legs)
+    return parts[0].unionByName(parts[1])
+
+
 def location_range_legs(
     transfers: DataFrame,
     date_from: dt.date | str,

@@ -72,31 +72,39 @@ def _ages(spans, prev: str = "prev_") -> tuple[str, str]:
 # ---------------------------------------------------------------- customers
 
 
-def customer_neighbors(
-    legs: DataFrame, keys: Sequence[str] = KEYS, chunk_rows: int = DEFAULT_CHUNK_ROWS
+def role_neighbors(
+    legs: DataFrame, keys: Sequence[str] = KEYS, chunk_rows: int = DEFAULT_CHUNK_ROWS, prev: Sequence[str] = ()
 ) -> DataFrame:
-    """All legs, each with its neighbours of any role (``all_prev_*``), of its own
-    role (``prev_*``, ``next_*``), and among the send run ends (``end_*``).
+    """All legs, each with its neighbours of any role (``all_prev_*``) and of its own
+    role (``prev_*``, ``next_*``); ``prev`` names further columns of the leg before.
 
-    Legs that were dealt before (``deal`` by the same keys) keep their chunks.
+    Legs that were dealt before (``deal`` by the same keys, or by a part of them
+    that comes first in time order) keep their chunks.
     """
-    if "age_days" not in legs.columns:
-        legs = legs.withColumn("age_days", F.lit(0))
     x = legs if CHUNK in legs.columns else deal(legs, keys, "leg_us", "mtcn", chunk_rows)
-    prev, nxt = ("leg_us", "amount", "age_days"), ("leg_us", "other_customer")
+    before, nxt = ("leg_us", "amount", *prev), ("leg_us", "other_customer")
     x = stream_neighbors(
         x,
         keys,
         "leg_us",
         "mtcn",
         {
-            "all": Stream(prev=("leg_us", "age_days")),
-            "send": Stream("role = 'send'", prev, nxt),
-            "pay": Stream("role = 'pay'", prev, nxt),
+            "all": Stream(prev=("leg_us", *prev)),
+            "send": Stream("role = 'send'", before, nxt),
+            "pay": Stream("role = 'pay'", before, nxt),
         },
     )
-    x = x.select("*", *[_of_role("prev", c) for c in prev], *[_of_role("next", c) for c in nxt])
-    x = x.drop(*[f"{r}_{s}_{c}" for r in ("send", "pay") for s, cols in (("prev", prev), ("next", nxt)) for c in cols])
+    x = x.select("*", *[_of_role("prev", c) for c in before], *[_of_role("next", c) for c in nxt])
+    return x.drop(*[f"{r}_{s}_{c}" for r in ("send", "pay") for s, cols in (("prev", before), ("next", nxt)) for c in cols])
+
+
+def customer_neighbors(
+    legs: DataFrame, keys: Sequence[str] = KEYS, chunk_rows: int = DEFAULT_CHUNK_ROWS
+) -> DataFrame:
+    """``role_neighbors`` with those among the send run ends (``end_*``)."""
+    if "age_days" not in legs.columns:
+        legs = legs.withColumn("age_days", F.lit(0))
+    x = role_neighbors(legs, keys, chunk_rows, ("age_days",))
     x = x.withColumn("run_end", (F.col("role") == F.lit("send")) & run_end())
     # one-to-many runs over the send run ends only, with their own neighbours
     return stream_neighbors(x, keys, "leg_us", "mtcn", {"end": Stream("run_end", ("leg_us", "age_days"), ("leg_us",))})

@@ -5,8 +5,9 @@ look-back, window ``lag``/``lead`` over the whole key, the send/pay self-join
 for location flips, ``count(DISTINCT ...)``. It shares no formulation with the
 Spark code (one pass for all spans, chunked neighbours, running counts).
 
-Doubles are rounded to 4 places on both sides (see ``ROUND_DIGITS``) so that
-summation order and libm differences cannot change a hash.
+Doubles are rounded to 6 places on both sides (see ``ROUND_DIGITS``), by the same
+arithmetic (the two engines' own ``round`` treat ties apart), so that summation order and
+libm differences do not change a hash.
 """
 
 from __future__ import annotations
@@ -16,9 +17,12 @@ from fundtrail.functions.params import OUTCOME_FLAGS
 # Stated again here, so that the oracle does not take them from the code that it checks.
 AMOUNT_BANDS = ((900, 1000), (1800, 2000), (2500, 3000), (7400, 7500), (9900, 9999))
 
-ROUND_DIGITS = 4
+ROUND_DIGITS = 6
 AS_OF = "2024-01-30"
 PREV_DAY = "2024-01-29"
+THREE_DAYS = ("2024-01-28", "2024-01-29", "2024-01-30")
+# Every day of the test data that has a day before it.
+MANY_DAYS = tuple(f"2024-01-{d:02d}" for d in range(2, 31))
 RANGE_FROM, RANGE_TO = "2024-01-01", "2024-01-30"
 SPAN_CUTOFFS = (("60_", 61), ("30_", 31), ("7_", 8))
 # The test data cover 30 days; these spans differ from each other and from the full history.
@@ -94,7 +98,7 @@ def _big(expr: str) -> str:
 
 
 def _dbl(expr: str) -> str:
-    return f"round(CAST({expr} AS DOUBLE), {ROUND_DIGITS})"
+    return f"floor(CAST({expr} AS DOUBLE) * {10.0**ROUND_DIGITS} + CAST(0.5 AS DOUBLE)) / {10.0**ROUND_DIGITS}"
 
 
 # ---------------------------------------------------------------- customer legs
@@ -106,16 +110,20 @@ TIMED = (
 )
 
 
-def customer_legs_ctes(cutoff: int | None = None, as_of: str = AS_OF) -> list[str]:
+def _dates(as_of: str | tuple[str, ...]) -> str:
+    return ", ".join(f"DATE '{d}'" for d in ((as_of,) if isinstance(as_of, str) else as_of))
+
+
+def customer_legs_ctes(cutoff: int | None = None, as_of: str | tuple[str, ...] = AS_OF) -> list[str]:
     """q (queue), s (send legs), p (pay legs), optionally narrowed to a span."""
     span_s = f" AND t.send_date > q.as_of_date - {cutoff}" if cutoff else ""
     span_p = f" AND t.pay_date > q.as_of_date - {cutoff}" if cutoff else ""
     return [
         f"""q AS (
   SELECT send_customer AS entity_id, send_date AS as_of_date FROM t
-  WHERE send_customer IS NOT NULL AND send_date = DATE '{as_of}'
+  WHERE send_customer IS NOT NULL AND send_date IN ({_dates(as_of)})
   UNION
-  SELECT pay_customer, pay_date FROM t WHERE pay_customer IS NOT NULL AND pay_date = DATE '{as_of}'
+  SELECT pay_customer, pay_date FROM t WHERE pay_customer IS NOT NULL AND pay_date IN ({_dates(as_of)})
 )""",
         f"""s AS (SELECT q.entity_id, q.as_of_date, t.* FROM t JOIN q
   ON t.send_customer = q.entity_id AND t.send_date < q.as_of_date{span_s})""",
@@ -283,7 +291,7 @@ def _burst(name: str, src: str, part: str, time: str, cp: str | None, own: str |
 # ---------------------------------------------------------------- customer span
 
 
-def _customer_span_ctes(keys: str = "entity_id, as_of_date") -> list[str]:
+def _customer_span_ctes(keys: str = "entity_id, as_of_date", as_of: str | tuple[str, ...] = AS_OF) -> list[str]:
     """All customer blocks over s/p; ``cs`` holds one row per key of ck."""
     w_s = f"PARTITION BY {keys} ORDER BY send_time, mtcn"
     w_p = f"PARTITION BY {keys} ORDER BY pay_time, mtcn"
@@ -332,10 +340,10 @@ def _customer_span_ctes(keys: str = "entity_id, as_of_date") -> list[str]:
   GROUP BY {keys}
 )""",
         f"""oc AS (
-  SELECT subject_id AS entity_id, {", ".join(f"{_big(f'sum({f})')} AS {f}" for f in OUTCOME_FLAGS)}
-  FROM outc WHERE subject_type = 'customer'
-    AND case_creation_date BETWEEN DATE '{AS_OF}' AND DATE '{AS_OF}'
-  GROUP BY subject_id
+  SELECT subject_id AS entity_id, case_creation_date AS as_of_date,
+    {", ".join(f"{_big(f'sum({f})')} AS {f}" for f in OUTCOME_FLAGS)}
+  FROM outc WHERE subject_type = 'customer' AND case_creation_date IN ({_dates(as_of)})
+  GROUP BY subject_id, case_creation_date
 )""",
         f"""cs AS (
   SELECT ck.entity_id, ck.as_of_date,
@@ -347,7 +355,7 @@ def _customer_span_ctes(keys: str = "entity_id, as_of_date") -> list[str]:
     rp.send_repeat_amount_txns, rq.pay_repeat_amount_txns,
     otm.burst AS one_to_many_send_count, mto.burst AS many_to_one_pay_count,
     iv_s.* EXCLUDE (entity_id, as_of_date), iv_p.* EXCLUDE (entity_id, as_of_date),
-    oc.* EXCLUDE (entity_id)
+    oc.* EXCLUDE (entity_id, as_of_date)
   FROM ck
   LEFT JOIN b_send USING ({keys}) LEFT JOIN b_pay USING ({keys})
   LEFT JOIN dg USING ({keys}) LEFT JOIN tt USING ({keys})
@@ -355,14 +363,14 @@ def _customer_span_ctes(keys: str = "entity_id, as_of_date") -> list[str]:
   LEFT JOIN primary_country USING ({keys}) LEFT JOIN hrj USING ({keys}) LEFT JOIN fl USING ({keys})
   LEFT JOIN rp USING ({keys}) LEFT JOIN rq USING ({keys}) LEFT JOIN otm USING ({keys})
   LEFT JOIN mto USING ({keys}) LEFT JOIN iv_s USING ({keys}) LEFT JOIN iv_p USING ({keys})
-  LEFT JOIN oc ON oc.entity_id = ck.entity_id
+  LEFT JOIN oc ON oc.entity_id = ck.entity_id AND oc.as_of_date = ck.as_of_date
 )""",
     ]
 
 
-def customer_span_sql(cutoff: int | None = None) -> str:
+def customer_span_sql(cutoff: int | None = None, as_of: str | tuple[str, ...] = AS_OF) -> str:
     """One row per customer with legs in the span; raw (unfilled) features."""
-    return _with(*customer_legs_ctes(cutoff), *_customer_span_ctes()) + "\nSELECT * FROM cs"
+    return _with(*customer_legs_ctes(cutoff, as_of), *_customer_span_ctes(as_of=as_of)) + "\nSELECT * FROM cs"
 
 
 def _filled(alias: str, name: str, out: str, kind: str) -> str:
@@ -382,7 +390,9 @@ def _customer_kind(name: str) -> str:
     return "double" if name in DOUBLES else "long"
 
 
-def customer_features_sql(all_spans: bool = True, cutoffs=SPAN_CUTOFFS) -> str:
+def customer_features_sql(
+    all_spans: bool = True, cutoffs=SPAN_CUTOFFS, as_of: str | tuple[str, ...] = AS_OF
+) -> str:
     from fundtrail.plans.customer import FEATURES
 
     spans = [("", None)] + (list(cutoffs) if all_spans else [])
@@ -392,9 +402,9 @@ def customer_features_sql(all_spans: bool = True, cutoffs=SPAN_CUTOFFS) -> str:
         for name in FEATURES:
             cols.append(_filled(f"f{i}", name, f"{prefix}{name}", _customer_kind(name)))
         if i:
-            joins.append(f"LEFT JOIN ({customer_span_sql(cut)}) f{i} USING (entity_id, as_of_date)")
+            joins.append(f"LEFT JOIN ({customer_span_sql(cut, as_of)}) f{i} USING (entity_id, as_of_date)")
     return (
-        f"SELECT {', '.join(cols)}\nFROM ({customer_span_sql(None)}) f0\n" + "\n".join(joins)
+        f"SELECT {', '.join(cols)}\nFROM ({customer_span_sql(None, as_of)}) f0\n" + "\n".join(joins)
     )
 
 

@@ -4,8 +4,9 @@
 and computes every span from the same legs in one pass per feature family:
 
 * basics, payout speed, rapid payouts, risky-country sums and all ordered
-  features: one aggregate over the legs with their neighbours
-  (``operators.sequences``), which cuts busy customers into chunks;
+  features: one segment per key and age class (``operators.segments``), from the
+  legs with their neighbours, which cuts busy customers into chunks; the spans
+  are merged from the segments of a key, one per class;
 * distinct counts of 21 attributes: ``operators.distinct`` (two aggregates);
 * primary countries: two aggregates;
 * outcomes: a join on (entity, as-of date).
@@ -37,12 +38,11 @@ from fundtrail.functions.params import (
     PRODUCTION_SUBJECT_TYPES,
     RAPID_PAYOUT_SECONDS,
 )
-from fundtrail.operators.basics import basics_exprs
 from fundtrail.operators.countries import flag_high_risk, primary_countries
 from fundtrail.operators.distinct import DistinctOut as O
 from fundtrail.operators.distinct import ValueFamily, distinct_counts
 from fundtrail.operators.outcomes import outcomes_as_of
-from fundtrail.operators.sequences import customer_flip_sql, customer_neighbors, customer_sequence_sql
+from fundtrail.operators.segments import by_age_class, finish, segments, span_features
 
 KEYS = ("entity_id", "as_of_date")
 
@@ -154,14 +154,26 @@ def customer_features(
     keys = list(KEYS)
     if "is_hrj" not in legs.columns:
         legs = flag_high_risk(legs, geo_risk)
-    exprs = basics_exprs(spans, bands, rapid_seconds, with_hrj=True)
-    exprs += [F.expr(e) for e in customer_sequence_sql(spans, burst_seconds) + customer_flip_sql(spans, flip_seconds)]
-    blocks = customer_neighbors(legs, keys, chunk_rows).groupBy(*keys).agg(*exprs)
+    limits = (bands, rapid_seconds, burst_seconds, flip_seconds, chunk_rows)
+    if len(spans) == 1 and spans[0][1] is None:  # one stretch per key: nothing to merge
+        whole = finish(segments(legs, keys, *limits), keys, burst_seconds)
+        blocks = whole.select(*keys, *[F.col(c).alias(f"{spans[0][0]}{c}") for c in whole.columns if c not in keys])
+    else:
+        stretches = segments(by_age_class(legs, spans), [*keys, "_age"], *limits)
+        blocks = span_features(stretches, keys, "_age", spans, burst_seconds, flip_seconds)
     parts = [
         distinct_counts(legs, keys, customer_distinct_families(), spans),
         primary_countries(legs, keys, spans),
         outcomes_as_of(outcomes, legs.select(*keys).distinct(), subject_type, outcome_days, keys, as_of_between),
     ]
+    return assemble(blocks, parts, spans, keys)
+
+
+def assemble(
+    blocks: DataFrame, parts: Sequence[DataFrame], spans: Sequence[tuple[str, int | None]], keys: Sequence[str] = KEYS
+) -> DataFrame:
+    """The feature table: ``blocks`` (one row per key, with ``{prefix}_legs``) joined with ``parts``, filled and named."""
+    keys = list(keys)
     for part in parts:
         blocks = blocks.join(part, keys, "left")
     out = list(keys)

@@ -11,6 +11,7 @@ way the feature tables are.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -34,7 +35,8 @@ from fundtrail.operators.sequences import (
     location_terminals,
     rapid_fire_groups,
 )
-from fundtrail.oracle import AS_OF, PREV_DAY, RANGE_FROM, RANGE_TO, ROUND_DIGITS, SHORT_CUTOFFS
+from fundtrail.oracle import AS_OF, MANY_DAYS, PREV_DAY, RANGE_FROM, RANGE_TO, ROUND_DIGITS, SHORT_CUTOFFS, THREE_DAYS
+from fundtrail.plans import carried
 from fundtrail.plans import customer as C
 from fundtrail.plans import location as L
 from fundtrail.plans import sinks
@@ -48,9 +50,13 @@ LKEYS = ["entity_id"]
 
 
 def round_doubles(df: DataFrame, digits: int = ROUND_DIGITS) -> DataFrame:
+    """Half up, by plain arithmetic: the oracle does the same on the same doubles, ties included."""
+    scale = 10.0**digits
     return df.select(
         *[
-            F.round(F.col(f"`{f.name}`"), digits).alias(f.name) if isinstance(f.dataType, T.DoubleType) else F.col(f"`{f.name}`")
+            (F.floor(F.col(f"`{f.name}`") * scale + F.lit(0.5)) / F.lit(scale)).alias(f.name)
+            if isinstance(f.dataType, T.DoubleType)
+            else F.col(f"`{f.name}`")
             for f in df.schema.fields
         ]
     )
@@ -237,6 +243,45 @@ def _customer_features(spans) -> Query:
     return q
 
 
+def _carried(spans) -> Query:
+    """Three daily batches running: each reads the state stored by the one before and its own day's legs."""
+
+    def q(spark, sf_dir):
+        t = _tables(spark, sf_dir)
+        limits = carried.Limits(spans=spans)
+        path = scratch_path(spark, "customer-state")
+        history = str(dt.date.fromisoformat(THREE_DAYS[0]) - dt.timedelta(days=2))
+        carried.write_state(carried.build_state(t["transfers"], t["geo_risk"], history, limits), path)
+        days = []
+        for as_of in THREE_DAYS:
+            through = dt.date.fromisoformat(as_of) - dt.timedelta(days=1)
+            before = carried.read_state(spark, path, through - dt.timedelta(days=1))
+            carried.write_state(carried.advance(before, t["transfers"], t["geo_risk"], through, limits), path)
+            days.append(
+                carried.features_from_state(
+                    carried.read_state(spark, path, through),
+                    active_customers(t["transfers"], as_of),
+                    t["outcomes"],
+                    limits,
+                    FIXTURE_SUBJECT_TYPES["customer"],
+                )
+            )
+        return round_doubles(days[0].unionByName(days[1]).unionByName(days[2]))
+
+    return q
+
+
+def customer_features_many_dates(spark, sf_dir):
+    """Every customer on every day of the data on which it was active: 29 as-of dates in one queue."""
+    t = _tables(spark, sf_dir)
+    queue = active_customers(t["transfers"], MANY_DAYS[0], MANY_DAYS[-1])
+    out = carried.customer_features_at(
+        t["transfers"], t["geo_risk"], t["outcomes"], queue, MANY_DAYS[-1],
+        carried.Limits(spans=_spans(SHORT_CUTOFFS)), FIXTURE_SUBJECT_TYPES["customer"],
+    )
+    return round_doubles(out)
+
+
 def customer_features_text_ids(spark, sf_dir):
     """The customer features of a transfer table whose identifiers are text and whose names are in capitals."""
     t = _tables(spark, sf_dir)
@@ -453,6 +498,9 @@ QUERIES: dict[str, Query] = {
     "customer_features": _customer_features((("", None),)),
     "customer_features_all_spans": _customer_features(LOOKBACK_SPANS),
     "customer_features_short_spans": _customer_features(_spans(SHORT_CUTOFFS)),
+    "customer_features_carried": _carried(LOOKBACK_SPANS),
+    "customer_features_carried_short_spans": _carried(_spans(SHORT_CUTOFFS)),
+    "customer_features_many_dates": customer_features_many_dates,
     "customer_features_text_ids": customer_features_text_ids,
     "customer_queue_table": customer_queue_table,
     "location_queue_table": location_queue_table,

@@ -44,6 +44,9 @@ def oracle_sql() -> dict[str, str]:
         "lookback_counts": O.lookback_counts_sql(),
         "lookback_counts_short": O.lookback_counts_sql(O.SHORT_CUTOFFS),
         "customer_features_short_spans": O.customer_features_sql(all_spans=True, cutoffs=O.SHORT_CUTOFFS),
+        "customer_features_carried": O.customer_features_sql(as_of=O.THREE_DAYS),
+        "customer_features_carried_short_spans": O.customer_features_sql(cutoffs=O.SHORT_CUTOFFS, as_of=O.THREE_DAYS),
+        "customer_features_many_dates": O.customer_features_sql(cutoffs=O.SHORT_CUTOFFS, as_of=O.MANY_DAYS),
         "customer_features_text_ids": O.customer_features_text_ids_sql(),
         "customer_queue_table": O.active_customers_sql(),
         "location_queue_table": O.active_locations_sql(),
