@@ -60,8 +60,5 @@ FIXTURE_SUBJECT_TYPES = {"customer": "customer", "location": "location"}
 # chunks (see operators/neighbors.py). It sets the work of a task, not the result.
 DEFAULT_CHUNK_ROWS = 100_000
 
-# Largest lookup or queue (in rows) that is broadcast; beyond it the join
-# shuffles both sides.
-BROADCAST_MAX_ROWS = 2_000_000
-# Largest estimated plan size that is broadcast without counting rows.
-BROADCAST_MAX_BYTES = 64 * 1024 * 1024
+# Most bytes in memory that a broadcast side may take (see operators/broadcast.py).
+BROADCAST_MAX_BYTES = 256 * 1024 * 1024

@@ -1,11 +1,15 @@
-"""Broadcast behind a size check."""
+"""Broadcast behind a check of bytes."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fundtrail.functions.params import BROADCAST_MAX_BYTES, BROADCAST_MAX_ROWS
+from fundtrail.functions.params import BROADCAST_MAX_BYTES
+from fundtrail.session import materialize
+
+#: Rows in memory may take so many times the bytes of their compressed columns.
+EXPANSION = 4
 
 
 def estimated_bytes(df: DataFrame) -> int | None:
@@ -21,21 +25,20 @@ def estimated_bytes(df: DataFrame) -> int | None:
         return None
 
 
-def sized_broadcast(
-    df: DataFrame,
-    max_rows: int = BROADCAST_MAX_ROWS,
-    name: str = "side",
-    max_bytes: int = BROADCAST_MAX_BYTES,
-) -> DataFrame:
-    """Mark ``df`` for broadcast only when its size is known to be small.
+def sized_broadcast(df: DataFrame, name: str = "side", max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
+    """Mark ``df`` for broadcast only when its bytes are known to be few.
 
-    First the plan's size estimate (free); when that is not small enough, a
-    count that stops after ``max_rows + 1`` rows. A larger side is returned
-    unmarked, so the join shuffles both sides (and AQE may still switch to a
-    broadcast if the shuffled side turns out small at run time).
+    First the plan's size estimate (free). When that is not small enough, the side
+    is written once to the shared folder and the bytes of its files decide. A
+    larger side is returned unmarked and read from there, so the join shuffles
+    both sides (and AQE may still switch to a broadcast at run time).
     """
-    est = estimated_bytes(df)
-    if est is not None and est <= max_bytes:
+
+    def small(side: DataFrame) -> bool:
+        size = estimated_bytes(side)
+        return size is not None and size * EXPANSION <= max_bytes
+
+    if small(df):
         return F.broadcast(df)
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    side = materialize(df, name.replace(" ", "-"))
+    return F.broadcast(side) if small(side) else side

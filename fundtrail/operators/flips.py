@@ -7,8 +7,10 @@ makes that join quadratic, so the count is taken from running totals instead:
     pairs(key) = sum over send legs s of  P(s + T) - P(s - T, strictly)
 
 where P(x) counts the key's pay legs at or before x. Each send leg becomes two
-probes (s - T and s + T); probes and pay legs are cut into chunks
-(``operators.neighbors.chunks``), a running count of pay legs inside each chunk
+probes (s - T and s + T). Probes and pay legs of one key, instant and kind become one
+row with a weight before anything is ordered, so a million legs of one instant are
+added up where they lie. The weighted rows are cut into chunks
+(``operators.neighbors.deal``), a running count of pay legs inside each chunk
 gives the inner part of P, and a running total over the key's per-chunk pay
 counts gives the part from earlier chunks. Nothing grows with the number of
 pairs.
@@ -22,7 +24,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from fundtrail.functions.params import BURST_GAP_SECONDS, DEFAULT_CHUNK_ROWS
-from fundtrail.operators.neighbors import CHUNK, chunks
+from fundtrail.operators.neighbors import CHUNK, deal
 
 _US = 1_000_000
 
@@ -48,8 +50,10 @@ def pair_counts(
         " ELSE array(named_struct('t', leg_us, 'k', 1, 'w', 1, 'sign', 0)) END"
     )
     events = legs.where(timed).select(*keys, F.explode(entries).alias("e"))
-    events = events.select(*keys, F.col("e.t").alias("_t"), F.col("e.k").alias("_k"), F.col("e.w").alias("_w"), F.col("e.sign").alias("_sign"))
-    x = chunks(events, keys, "_t", "_k", chunk_rows)
+    weighted = events.groupBy(*keys, F.col("e.t").alias("_t"), F.col("e.k").alias("_k")).agg(
+        F.sum("e.w").alias("_w"), F.sum("e.sign").alias("_sign")
+    )
+    x = deal(weighted, keys, "_t", "_k", chunk_rows)
     running = Window.partitionBy(*keys, CHUNK).orderBy("_t", "_k").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     per_chunk = (
         x.withColumn("_run", F.sum("_w").over(running))

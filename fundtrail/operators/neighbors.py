@@ -2,15 +2,14 @@
 
 ``lag``/``lead`` over ``Window.partitionBy(key)`` sends every row of a key to
 one task; a key holding a third of the data would then be one task's work. Here
-every key is cut into chunks of at most ``chunk_rows`` rows, in one plan that
-does not look at the data first:
-
-1. ``deal``: rows are shuffled by ranges of (keys, time, tie) and sorted inside
-   each range; the place in the sorted range, divided by ``chunk_rows``, names
-   the chunk. Since the tie is part of the order, rows of one instant are cut
-   like any others. Most keys have one chunk; a busy key has as many as it
-   needs. The result is written once: the ranges come from a sample, and all
-   later steps must see the same cuts.
+every key is cut into chunks of at most ``chunk_rows`` rows, the same in every run:
+
+1. ``deal``: the input is written once. Rows are counted per key, and for keys
+   with more than ``chunk_rows`` rows per *cell* (an hour) too; the running total
+   of a busy key's cells names their chunks. Only a cell that is over-full itself
+   is sorted: its rows are shuffled by ranges of (keys, time, tie), written, and
+   cut by place, so that rows of one instant are cut like any others. All other
+   rows take their chunk from the table of cells, without a shuffle where that is small.
 2. ``stream_neighbors``: windows run inside (keys, chunk). What a chunk needs
    from the others is the last matching row before it and the first after it;
    each chunk gives one row with its first and last, a window over those rows
@@ -34,6 +33,9 @@ from fundtrail.functions.params import DEFAULT_CHUNK_ROWS
 from fundtrail.session import materialize
 
 CHUNK = "_chunk"
+#: An hour in microseconds.
+CELL = 3_600_000_000
+NO_TIME = -(1 << 62)
 
 
 @dataclass(frozen=True)
@@ -45,26 +47,60 @@ class Stream:
     next: tuple[str, ...] = ()
 
 
-def chunks(
-    df: DataFrame, keys: Sequence[str], order: str, tie: str, chunk_rows: int = DEFAULT_CHUNK_ROWS
+def deal(
+    df: DataFrame,
+    keys: Sequence[str],
+    order: str,
+    tie: str,
+    chunk_rows: int = DEFAULT_CHUNK_ROWS,
+    cell: int = CELL,
+    written: bool = False,
 ) -> DataFrame:
     """Add ``_chunk``: chunks of a key follow its (order, tie) order and hold at most ``chunk_rows`` rows.
 
-    Where the cuts fall depends on the sampled ranges, so a plan must not
-    evaluate this twice and put the two together; ``deal`` fixes it.
+    ``order`` is a whole number (microseconds); ``cell`` is the length of a cell in its unit.
+    ``written`` says that ``df`` reads written files, so that running it again is cheap;
+    else it is written first and its plan runs once. A chunk is named by the place
+    of its cells and, in an over-full cell, the place of its rows.
     """
+    keys = list(keys)
+    rows = df if written else materialize(df, "undealt")
+    # cells of up to half a chunk fill a chunk until the next one begins
+    half = max(1, int(chunk_rows) // 2)
+    many = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > int(chunk_rows)).drop("_n")
+    many = materialize(many, "busy-keys")
+    # rows without a time come first
+    placed = rows.withColumn("_cell", F.coalesce(F.floor(F.col(order) / F.lit(cell)).cast("long"), F.lit(NO_TIME)))
+    per_cell = _null_safe(placed.select(*keys, "_cell"), many, keys, "left_semi")
+    per_cell = per_cell.groupBy(*keys, "_cell").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy(*keys).orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
+    cells = per_cell.select(
+        *keys,
+        "_cell",
+        (F.col("_n") > half).alias("_full"),
+        F.floor(F.coalesce(F.sum("_n").over(before), F.lit(0)) / F.lit(half)).cast("long").alias("_at"),
+    )
+    # written, so that Spark knows their bytes when it plans the joins
+    cells = materialize(cells, "cells")
+    found = _null_safe(placed, cells, [*keys, "_cell"], "left")
+    name = F.struct(F.coalesce("_at", F.lit(0)).alias("cell"), F.lit(0).cast("long").alias("place")).alias(CHUNK)
+    usual = found.where(~F.coalesce(F.col("_full"), F.lit(False))).select(*df.columns, name)
+    full = _null_safe(placed, cells.where("_full"), [*keys, "_cell"], "inner")
     sort = [*keys, order, tie]
-    ranged = df.repartitionByRange(*sort).sortWithinPartitions(*sort)
+    ranged = full.repartitionByRange(*sort).sortWithinPartitions(*sort)
     # ascending inside a partition and from partition to partition
-    place = F.monotonically_increasing_id()
-    return ranged.withColumn(CHUNK, F.floor(place / F.lit(int(chunk_rows))).cast("long"))
-
-
-def deal(
-    df: DataFrame, keys: Sequence[str], order: str, tie: str, chunk_rows: int = DEFAULT_CHUNK_ROWS
-) -> DataFrame:
-    """``chunks``, written to the shared folder, so that every later read sees the same cuts."""
-    return materialize(chunks(df, keys, order, tie, chunk_rows), "chunks")
+    place = F.floor(F.monotonically_increasing_id() / F.lit(half)).cast("long") + 1
+    cut = ranged.select(*df.columns, F.struct(F.col("_at").alias("cell"), place.alias("place")).alias(CHUNK))
+    return usual.unionByName(materialize(cut, "full-cells"))
+
+
+def _null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
+    """Join on keys that may be null; the columns of ``left``, then those of ``right`` beside the keys."""
+    renamed = right.select(*[F.col(c).alias(f"_r_{c}") if c in keys else F.col(c) for c in right.columns])
+    same = F.lit(True)
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"_r_{k}"))
+    return left.join(renamed, same, how).drop(*[f"_r_{k}" for k in keys])
 
 
 def stream_neighbors(

@@ -39,8 +39,9 @@ from fundtrail.functions.params import (
     RAPID_PAYOUT_SECONDS,
 )
 from fundtrail.operators.legs import ROLES
-from fundtrail.operators.neighbors import Stream, stream_neighbors
+from fundtrail.operators.neighbors import CHUNK, Stream, stream_neighbors
 from fundtrail.operators.sequences import role_neighbors, run_end
+from fundtrail.session import as_written
 
 _US = 1_000_000
 BANDS = tuple(range(1, len(AMOUNT_BANDS) + 1))
@@ -79,7 +80,9 @@ def segments(
 ) -> DataFrame:
     """One segment per key; needs ``is_hrj``. Legs dealt by a prefix of the keys keep their chunks."""
     keys = list(keys)
-    x = role_neighbors(legs, keys, chunk_rows)
+    needed = ("role", "mtcn", "leg_time", "leg_us", "amount", "payout_seconds", "other_customer", "is_hrj")
+    narrow = legs.select(*keys, *needed, *[c for c in (CHUNK,) if c in legs.columns])
+    x = role_neighbors(as_written(narrow, legs), keys, chunk_rows)
     x = x.withColumn("inner_end", (F.col("role") == F.lit("send")) & F.col("next_leg_us").isNotNull() & run_end())
     x = stream_neighbors(x, keys, "leg_us", "mtcn", {"end": Stream("inner_end", ("leg_us",), ("leg_us",))})
     burst, flip = int(burst_seconds * _US), int(flip_seconds * _US)
@@ -293,7 +296,7 @@ def by_age_class(legs: DataFrame, spans: Sequence[tuple[str, int | None]], age:
     """Add ``_age``, the least age of the leg's class: legs of equal ``_age`` are in the same spans."""
     ages = class_ages(spans)
     least = " ".join(f"WHEN {age} >= {c} THEN {c}" for c in reversed(ages))
-    return legs.withColumn("_age", F.expr(f"CASE {least} ELSE 0 END"))
+    return as_written(legs.withColumn("_age", F.expr(f"CASE {least} ELSE 0 END")), legs)
 
 
 def span_features(

@@ -34,6 +34,7 @@ from fundtrail.functions.params import (
     RAPID_FIRE_SECONDS,
 )
 from fundtrail.operators.neighbors import CHUNK, Stream, deal, stream_neighbors
+from fundtrail.session import as_written, is_written
 
 SPANS_FULL = (("", None),)
 KEYS = ("entity_id", "as_of_date")
@@ -81,7 +82,7 @@ def role_neighbors(
     Legs that were dealt before (``deal`` by the same keys, or by a part of them
     that comes first in time order) keep their chunks.
     """
-    x = legs if CHUNK in legs.columns else deal(legs, keys, "leg_us", "mtcn", chunk_rows)
+    x = legs if CHUNK in legs.columns else deal(legs, keys, "leg_us", "mtcn", chunk_rows, written=is_written(legs))
     before, nxt = ("leg_us", "amount", *prev), ("leg_us", "other_customer")
     x = stream_neighbors(
         x,
@@ -103,7 +104,7 @@ def customer_neighbors(
 ) -> DataFrame:
     """``role_neighbors`` with those among the send run ends (``end_*``)."""
     if "age_days" not in legs.columns:
-        legs = legs.withColumn("age_days", F.lit(0))
+        legs = as_written(legs.withColumn("age_days", F.lit(0)), legs)
     x = role_neighbors(legs, keys, chunk_rows, ("age_days",))
     x = x.withColumn("run_end", (F.col("role") == F.lit("send")) & run_end())
     # one-to-many runs over the send run ends only, with their own neighbours

@@ -51,6 +51,7 @@ from fundtrail.operators.neighbors import deal
 from fundtrail.operators.outcomes import outcomes_as_of
 from fundtrail.operators.segments import merge_segments, segment_columns, segments, span_features
 from fundtrail.plans.customer import KEYS, assemble, customer_distinct_families
+from fundtrail.session import path_exists
 
 VALUE = ("f", "vl", "vs")
 Spans = Sequence[tuple[str, int | None]]
@@ -186,11 +187,16 @@ def state_path(path: str, through: dt.date | str) -> str:
 
 
 def write_state(state: CustomerState, path: str) -> None:
-    """Store the state in a folder of its last day; written again, it is replaced."""
+    """Store the state in a folder of its last day, segments last; written again, it is replaced."""
     for name, part in state.parts().items():
         part.write.mode("overwrite").parquet(f"{state_path(path, state.through)}/{name}")
 
 
+def has_state(spark: SparkSession, path: str, through: dt.date | str) -> bool:
+    """Whether the state of the day was written whole: its segments are committed last."""
+    return path_exists(spark, f"{state_path(path, through)}/segments/_SUCCESS")
+
+
 def read_state(spark: SparkSession, path: str, through: dt.date | str) -> CustomerState:
     """The stored state of the day; a state that was not written whole has no segments and is refused by the reader."""
     folder = state_path(path, through)

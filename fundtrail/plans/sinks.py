@@ -14,12 +14,12 @@ from pyspark.sql import functions as F
 from fundtrail.functions.params import LOOKBACK_SPANS, PRODUCTION_SUBJECT_TYPES
 from fundtrail.operators.countries import flag_high_risk
 from fundtrail.operators.legs import customer_history_legs, location_range_legs
-from fundtrail.operators.neighbors import deal
 from fundtrail.operators.queue import active_customers, queue_remaining
+from fundtrail.plans import carried
 from fundtrail.plans.customer import KEYS as CUSTOMER_KEYS
 from fundtrail.plans.customer import customer_features
 from fundtrail.plans.location import location_features
-from fundtrail.session import materialize, scratch
+from fundtrail.session import materialize, path_exists, scratch
 
 
 def _replace(df: DataFrame, path: str, fmt: str, partitions: list[str]) -> None:
@@ -32,6 +32,22 @@ def write_customer_features(features: DataFrame, path: str, fmt: str = "parquet"
     _replace(features, path, fmt, ["as_of_date"])
 
 
+def add_customer_features(features: DataFrame, path: str, as_of: dt.date | str, fmt: str = "parquet") -> None:
+    """Add the rows of ``features`` (all of day ``as_of``) whose keys the table does not hold yet.
+
+    What is there of the day is first copied to the shared folder; then the day's
+    folder is replaced, in one commit, by the copy and the new rows. So a run that failed,
+    or runs again, leaves each key once, and the rows that were there as they were.
+    """
+    spark = features.sparkSession
+    if path_exists(spark, path):
+        there = spark.read.format(fmt).load(path).where(F.col("as_of_date") == F.lit(as_of).cast("date"))
+        there = there.select(*[F.col(f.name).cast(f.dataType) for f in features.schema.fields])
+        kept = materialize(there, "already-there")
+        features = kept.unionByName(features.join(kept.select(*CUSTOMER_KEYS), list(CUSTOMER_KEYS), "left_anti"))
+    write_customer_features(features, path, fmt)
+
+
 def write_location_features(
     features: DataFrame, path: str, date_from: dt.date | str, date_to: dt.date | str, fmt: str = "parquet"
 ) -> None:
@@ -59,12 +75,14 @@ def run_customer_batch(
     done: DataFrame | None = None,
     subject_type: str = PRODUCTION_SUBJECT_TYPES["customer"],
     queue: DataFrame | None = None,
+    fmt: str = "parquet",
 ) -> None:
     """Features of the queued customers for all look-back spans, written to ``out_path``.
 
     ``queue`` holds (entity_id, as_of_date); its rows of ``as_of`` are computed.
-    Without it everyone active on ``as_of`` is. ``done`` (keys already written)
-    leaves those out; the written table is then read back and kept.
+    Without it everyone active on ``as_of`` is. With ``done`` (keys already written,
+    not a reader of the files that this run replaces) those are not computed, and what the
+    table holds of the day stays (``add_customer_features``).
 
     The legs are written once to the shared folder, cut into chunks, so each
     feature family reads them instead of re-running the history join, and a lost
@@ -80,15 +98,49 @@ def run_customer_batch(
         queue = queue_remaining(queue, done)
     with scratch(transfers.sparkSession):
         legs = customer_history_legs(transfers, queue, latest=as_of)
-        legs = deal(flag_high_risk(legs, tables["geo_risk"]), CUSTOMER_KEYS, "leg_us", "mtcn")
+        legs = materialize(flag_high_risk(legs, tables["geo_risk"]), "customer-legs")
         features = customer_features(
             legs, tables["geo_risk"], tables["outcomes"], LOOKBACK_SPANS, subject_type, as_of_between=(as_of, as_of)
         )
         if done is None:
-            write_customer_features(features, out_path)
+            write_customer_features(features, out_path, fmt)
+        else:
+            add_customer_features(features, out_path, as_of, fmt)
+
+
+def run_customer_day(
+    tables: dict[str, DataFrame],
+    as_of: dt.date | str,
+    state_path: str,
+    out_path: str,
+    subject_type: str = PRODUCTION_SUBJECT_TYPES["customer"],
+    queue: DataFrame | None = None,
+    fmt: str = "parquet",
+    limits: carried.Limits | None = None,
+) -> None:
+    """One day of the daily batch from carried state (``plans.carried``), written to ``out_path``.
+
+    Reads the state stored for two days before ``as_of`` and the legs of the day
+    before it; stores the next state beside it, then writes the features. A state that
+    is missing is built from the whole history. Run again, it leaves the same.
+    """
+    spark = tables["transfers"].sparkSession
+    limits = limits or carried.Limits()
+    as_of = dt.date.fromisoformat(as_of) if isinstance(as_of, str) else as_of
+    last = as_of - dt.timedelta(days=1)
+    if queue is None:
+        queue = active_customers(tables["transfers"], as_of)
+    with scratch(spark):
+        before = last - dt.timedelta(days=1)
+        if carried.has_state(spark, state_path, before):
+            state = carried.read_state(spark, state_path, before)
+            state = carried.advance(state, tables["transfers"], tables["geo_risk"], last, limits)
         else:
-            # what is there of this day stays, so the new rows are added to it
-            features.write.mode("append").partitionBy("as_of_date").parquet(out_path)
+            state = carried.build_state(tables["transfers"], tables["geo_risk"], last, limits)
+        carried.write_state(state, state_path)
+        state = carried.read_state(spark, state_path, last)
+        features = carried.features_from_state(state, queue, tables["outcomes"], limits, subject_type)
+        write_customer_features(features, out_path, fmt)
 
 
 def run_location_batch(

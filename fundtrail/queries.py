@@ -25,7 +25,6 @@ from fundtrail.operators.countries import PRIMARY_FORMS, flag_high_risk, hrj_exp
 from fundtrail.operators.distinct import distinct_counts, select_outputs
 from fundtrail.operators.flips import location_flips
 from fundtrail.operators.legs import customer_history_legs, location_range_legs, transfer_legs
-from fundtrail.operators.neighbors import deal
 from fundtrail.operators.outcomes import outcome_sums, outcomes_as_of
 from fundtrail.operators.queue import active_customers, active_locations, queue_remaining
 from fundtrail.operators.sequences import (
@@ -84,7 +83,7 @@ def _customer_legs(spark: SparkSession, sf_dir: str) -> tuple[dict[str, DataFram
 
     def build():
         legs = customer_history_legs(t["transfers"], active_customers(t["transfers"], AS_OF), latest=AS_OF)
-        return deal(flag_high_risk(legs, t["geo_risk"]), CKEYS, "leg_us", "mtcn")
+        return materialize(flag_high_risk(legs, t["geo_risk"]), "customer-legs")
 
     return t, _written(spark, sf_dir, "customer-legs", build)
 
@@ -296,7 +295,7 @@ def customer_features_text_ids(spark, sf_dir):
     transfers = text_ids(t["transfers"], S.TRANSFERS)
     outcomes = text_ids(t["outcomes"], S.OUTCOMES)
     legs = customer_history_legs(transfers, active_customers(transfers, AS_OF), latest=AS_OF)
-    legs = deal(flag_high_risk(legs, t["geo_risk"]), CKEYS, "leg_us", "mtcn")
+    legs = materialize(flag_high_risk(legs, t["geo_risk"]), "customer-legs")
     out = C.customer_features(legs, t["geo_risk"], outcomes, (("", None),), FIXTURE_SUBJECT_TYPES["customer"])
     return round_doubles(out)
 
@@ -454,6 +453,21 @@ def customer_sink(spark, sf_dir):
     return round_doubles(out.withColumn("as_of_date", F.col("as_of_date").cast("date")).select(*first))
 
 
+def customer_sink_done(spark, sf_dir):
+    """Half of the queue, then all of it twice with the same finished keys; read the feature table."""
+    t = _tables(spark, sf_dir)
+    path = scratch_path(spark, "customer-features")
+    queue = active_customers(t["transfers"], AS_OF)
+    subject = FIXTURE_SUBJECT_TYPES["customer"]
+    sinks.run_customer_batch(t, AS_OF, path, subject_type=subject, queue=queue.where("entity_id % 2 = 0"))
+    done = materialize(spark.read.parquet(path).select(*CKEYS), "done")
+    for _ in range(2):
+        sinks.run_customer_batch(t, AS_OF, path, done=done, subject_type=subject, queue=queue)
+    out = spark.read.parquet(path)
+    first = [*CKEYS, *[c for c in out.columns if c not in CKEYS]]
+    return round_doubles(out.withColumn("as_of_date", F.col("as_of_date").cast("date")).select(*first))
+
+
 def location_sink(spark, sf_dir):
     """Run the location batch, run it again, and read the feature table."""
     t = _tables(spark, sf_dir)
@@ -505,6 +519,7 @@ QUERIES: dict[str, Query] = {
     "customer_queue_table": customer_queue_table,
     "location_queue_table": location_queue_table,
     "customer_sink": customer_sink,
+    "customer_sink_done": customer_sink_done,
     "location_sink": location_sink,
     "banded_amounts_location": _location_aggregates(BANDS),
     "payout_speed_location": _location_aggregates(SPEEDS),

@@ -51,6 +51,7 @@ def oracle_sql() -> dict[str, str]:
         "customer_queue_table": O.active_customers_sql(),
         "location_queue_table": O.active_locations_sql(),
         "customer_sink": O.customer_sink_sql(),
+        "customer_sink_done": O.customer_sink_sql(),
         "location_sink": O.location_sink_sql(),
         "customer_features": O.customer_features_sql(all_spans=False),
         "customer_features_all_spans": O.customer_features_sql(all_spans=True),

@@ -104,9 +104,28 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     df.write.mode("overwrite").parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._fundtrail_path = path  # for release()
+    out._fundtrail_written = True
     return out
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether the path is there, asked of its own (Hadoop) file system."""
+    context = spark.sparkContext
+    hpath = context._jvm.org.apache.hadoop.fs.Path(path)
+    return hpath.getFileSystem(context._jsc.hadoopConfiguration()).exists(hpath)
+
+
+def is_written(df: DataFrame) -> bool:
+    """Whether the frame only reads files of ``materialize``, so that running it again is cheap."""
+    return getattr(df, "_fundtrail_written", False)
+
+
+def as_written(df: DataFrame, source: DataFrame) -> DataFrame:
+    """Mark ``df``, a projection or filter of ``source``, as written if ``source`` is."""
+    df._fundtrail_written = is_written(source)
+    return df
+
+
 def _delete(context: SparkContext, path: str) -> None:
     hpath = context._jvm.org.apache.hadoop.fs.Path(path)
     hpath.getFileSystem(context._jsc.hadoopConfiguration()).delete(hpath, True)

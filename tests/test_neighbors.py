@@ -108,6 +108,15 @@ def test_pair_counts_equal_self_join(spark, chunk_rows):
     assert got == {c: want.get(c, 0) for c in got} and set(want) <= set(got)
 
 
+def test_many_legs_of_one_instant_are_weighed(spark):
+    """Equal instants become one row each before anything is ordered."""
+    legs = spark.range(40_000).selectExpr("if(id % 2 = 0, 'send', 'pay') AS role", "1L AS c", f"id % 4 * {DAY} AS leg_us")
+    df = pair_counts(legs, ["c"], 36_000, chunk_rows=10)
+    # sends at days 0 and 2, pays at days 1 and 3: none within ten hours; then all at one instant
+    assert df.collect()[0]["pairs"] == 0
+    assert pair_counts(legs.withColumn("leg_us", F.lit(5)), ["c"], 36_000, chunk_rows=10).collect()[0]["pairs"] == 20_000**2
+
+
 def _rows_of(df):
     return sorted((tuple(r) for r in df.collect()), key=repr)
 

@@ -4,7 +4,10 @@ import re
 
 import pytest
 
+from pyspark.sql import functions as F
+
 from fundtrail import registry
+from fundtrail.operators.broadcast import sized_broadcast
 from fundtrail.operators.legs import customer_history_legs
 from fundtrail.operators.neighbors import CHUNK, deal
 from fundtrail.operators.outcomes import outcomes_as_of
@@ -57,6 +60,7 @@ def test_exchanges_and_reads_with_every_key_cut(spark, kind, exchanges, reads):
 def test_only_writes_run_while_a_plan_is_built(spark, monkeypatch):
     """No counts or checks: with dealt legs the customer plan is built without a job."""
     t, legs = _customer_legs(spark, SF_SMALL)
+    legs = deal(legs, C.KEYS, "leg_us", "mtcn", written=True)
     tracker = spark.sparkContext.statusTracker()
     spark.sparkContext.setJobGroup("building", "building")
     C.customer_features(legs, t["geo_risk"], t["outcomes"])
@@ -81,6 +85,30 @@ def test_written_legs_run_the_history_join_once(spark):
     assert written <= plain
 
 
+def test_dealing_runs_its_input_once(spark, tmp_path):
+    """Counts, cells and chunks read what was written, not the plan behind it."""
+    source = str(tmp_path / "source")
+    spark.range(1000).selectExpr("id % 3 AS k", "id * 1000000 AS t", "id").write.parquet(source)
+    dealt = deal(spark.read.parquet(source), ["k"], "t", "id", 50)
+    assert source not in _plan(dealt) and "undealt-" in _plan(dealt)
+    assert dealt.count() == 1000
+    # the cuts are counted, not sampled: every run makes the same
+    again = deal(spark.read.parquet(source).repartition(5), ["k"], "t", "id", 50)
+    assert {tuple(r) for r in dealt.select("id", CHUNK).collect()} == {tuple(r) for r in again.select("id", CHUNK).collect()}
+
+
+def test_broadcast_by_bytes(spark):
+    def marked(df):
+        return "ResolvedHint" in df._jdf.queryExecution().analyzed().toString()
+
+    wide = spark.range(20_000).select("id", *[F.sha2((F.col("id") + i).cast("string"), 512).alias(f"c{i}") for i in range(8)])
+    assert not marked(sized_broadcast(wide, max_bytes=1 << 20))
+    # the estimate is too large for the bound, the bytes are not
+    few = spark.range(200_000).where("id % 1000 = 0")
+    assert marked(sized_broadcast(few, max_bytes=1 << 20))
+    assert marked(sized_broadcast(spark.range(10)))
+
+
 def test_filters_and_columns_reach_the_scan(spark, tmp_path):
     t = fixture_tables(spark, SF_SMALL)
     path = str(tmp_path / "transfers")
