@@ -99,8 +99,55 @@ NOTICES = (
     ("gpl", "free software you can redistribute it and or modify it under the terms of the gnu"),
     ("apache", "you may not use this file except in compliance with the license"),
     ("unlicense", "this is free and unencumbered software released into the public domain"),
+    ("unlicense", "anyone is free to copy modify publish use compile sell or distribute this software"),
+    ("mit", "the above copyright notice and this permission notice shall be included in all copies or substantial portions of the software"),
+    ("mit", "the software is provided as is without warranty of any kind"),
+    ("bsd", "neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products"),
+    ("bsd", "redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer"),
+    ("bsd", "this software is provided by the copyright holders and contributors as is"),
+    ("apache", "software distributed under the license is distributed on an as is basis without warranties or conditions of any kind"),
+    ("gpl", "this program is distributed in the hope that it will be useful but without any warranty"),
+    ("gpl", "you should have received a copy of the gnu general public license along with this program"),
+    ("lgpl", "you should have received a copy of the gnu lesser general public license along with this library"),
+    ("agpl", "you should have received a copy of the gnu affero general public license along with this program"),
+    ("mpl", "this source code form is subject to the terms of the mozilla public license"),
+    ("epl", "this program and the accompanying materials are made available under the terms of the eclipse public license"),
+    ("boost", "permission is hereby granted free of charge to any person or organization obtaining a copy of the software and accompanying documentation covered by this license"),
+    ("zlib", "the origin of this software must not be misrepresented you must not claim that you wrote the original software"),
+    ("postgresql", "permission to use copy modify and distribute this software and its documentation for any purpose without fee and without a written agreement is hereby granted"),
+    ("ofl", "this font software is licensed under the sil open font license"),
+    ("cc0", "to the extent possible under law the author has waived all copyright and related or neighboring rights"),
 )
 
+# Identifiers behind "SPDX-License-Identifier:", by label.
+SPDX = (
+    ("mit", ("MIT", "MIT-0", "X11")),
+    ("apache", ("Apache-1.0", "Apache-1.1", "Apache-2.0")),
+    ("bsd", ("0BSD", "BSD-1-Clause", "BSD-2-Clause", "BSD-3-Clause", "BSD-4-Clause")),
+    ("gpl", ("GPL-1.0", "GPL-2.0", "GPL-3.0")),
+    ("lgpl", ("LGPL-2.0", "LGPL-2.1", "LGPL-3.0")),
+    ("agpl", ("AGPL-1.0", "AGPL-3.0")),
+    ("mpl", ("MPL-1.0", "MPL-1.1", "MPL-2.0")),
+    ("epl", ("EPL-1.0", "EPL-2.0")),
+    ("cddl", ("CDDL-1.0", "CDDL-1.1")),
+    ("eupl", ("EUPL-1.0", "EUPL-1.1", "EUPL-1.2")),
+    ("isc", ("ISC",)),
+    ("zlib", ("Zlib",)),
+    ("boost", ("BSL-1.0",)),
+    ("unlicense", ("Unlicense",)),
+    ("wtfpl", ("WTFPL",)),
+    ("artistic", ("Artistic-1.0", "Artistic-2.0")),
+    ("python", ("PSF-2.0", "Python-2.0")),
+    ("postgresql", ("PostgreSQL",)),
+    ("openssl", ("OpenSSL",)),
+    ("ofl", ("OFL-1.0", "OFL-1.1")),
+    ("cc0", ("CC0-1.0",)),
+    ("cc-by", ("CC-BY-3.0", "CC-BY-4.0")),
+    ("cc-by-sa", ("CC-BY-SA-3.0", "CC-BY-SA-4.0")),
+    ("cc-by-nc", ("CC-BY-NC-3.0", "CC-BY-NC-4.0")),
+    ("cc-by-nd", ("CC-BY-ND-3.0", "CC-BY-ND-4.0")),
+)
+
 # Forms in which a name is stated, with the confidence of the statement. {} is the name.
 FORMS = (
     ("this work is licensed under the {}", 1.0),
@@ -155,16 +202,34 @@ def build_rules() -> list[Rule]:
             rules.append(Rule(label, _phrase(name), 30, PLAIN_CONFIDENCE, _keyword(name)))
     for label, words in NOTICES:
         rules.append(Rule(label, _phrase(words), 15, NOTICE_CONFIDENCE, _keyword(words)))
+    for label, names in SPDX:
+        for name in names:
+            rules.append(Rule(label, _phrase(f"spdx license identifier {name}"), 10, 1.0, "identifier"))
     return rules
 
 
 def _resolve(found: list[tuple]) -> list[tuple]:
-    """Detections (priority, -length, start, end, rule) that are not inside one taken before."""
+    """Detections (priority, -length, start, end, rule) that are not inside one taken before.
+
+    A tree over the starts keeps the furthest end taken from any start up to
+    each place, so n detections take n log n steps.
+    """
+    place = {start: k + 1 for k, start in enumerate(sorted({hit[2] for hit in found}))}
+    furthest = [-1] * (len(place) + 1)
     taken: list[tuple] = []
     for hit in sorted(found):
         _, _, start, end, _ = hit
-        if not any(a <= start and end <= b for _, _, a, b, _ in taken):
-            taken.append(hit)
+        k, reach = place[start], -1
+        while k:
+            reach = max(reach, furthest[k])
+            k &= k - 1
+        if reach >= end:
+            continue
+        taken.append(hit)
+        k = place[start]
+        while k <= len(place):
+            furthest[k] = max(furthest[k], end)
+            k += k & -k
     return sorted(taken, key=lambda h: (h[2], h[3], h[4]))
 
 

@@ -1,4 +1,6 @@
+import random
 import re
+import time
 
 from fundtrail.llm import licenses, registry
 from tests.conftest import SF_SMALL
@@ -74,6 +76,44 @@ def test_equal_intervals_go_to_the_earlier_rule():
     assert hits == [(0, 3, "first", 0.5), (2, 3, "part", 0.1)]
 
 
+def test_suppression_equals_comparing_all():
+    rng = random.Random(2)
+    for _ in range(200):
+        found = []
+        for k in range(rng.randint(0, 40)):
+            start = rng.randint(0, 30)
+            end = start + rng.randint(1, 12)
+            found.append((rng.randint(0, 3), start - end, start, end, k))
+        taken = []
+        for hit in sorted(found):
+            if not any(a <= hit[2] and hit[3] <= b for _, _, a, b, _ in taken):
+                taken.append(hit)
+        assert licenses._resolve(found) == sorted(taken, key=lambda h: (h[2], h[3], h[4]))
+
+
+def test_many_mentions_stay_quick():
+    text = b"the mit license, or the apache license. " * 50_000
+    started = time.perf_counter()
+    base, hits = licenses.Scanner(licenses.build_rules()).scan(text)
+    assert len(base) == len(hits) == 100_000
+    assert time.perf_counter() - started < 30
+
+
+def test_identifiers_and_notices(spark):
+    texts = [
+        "// SPDX-License-Identifier: MIT",
+        "# SPDX-License-Identifier: Apache-2.0",
+        "SPDX-License-Identifier: BSD-3-Clause",
+        "SPDX-License-Identifier: GPL-2.0-or-later",
+        "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products",
+        "THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND",
+        "SPDX-License-Identifier: NOASSERTION",
+    ]
+    got = scan(spark, texts)
+    labels = [sorted({d["label"] for d in got[i]["detections"]}) for i in range(len(texts))]
+    assert labels == [["mit"], ["apache"], ["bsd"], ["gpl"], ["bsd"], ["mit"], []]
+
+
 def test_odd_rows(spark):
     docs = odd_documents(spark)
     rows = licenses.scan_licenses(docs).collect()
