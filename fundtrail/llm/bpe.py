@@ -34,6 +34,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
+from tokenizers.normalizers import Lowercase
 
 CACHE_PIECES = 200_000
 #: Longer fragments are merged one by one, so that a text without spaces stays linear.
@@ -76,6 +77,13 @@ def _not_yet_known(path: str) -> str:
     return "".join(spans)
 
 
+def _newer_capitals() -> dict[int, str]:
+    """Capital letters that the tokenizer's library lower-cases and Python's older tables do not know."""
+    lower = Lowercase().normalize_str
+    unknown = [chr(c) for c in range(0x110000) if unicodedata.category(chr(c)) == "Cn"]
+    return {ord(c): lower(c) for c in unknown if lower(c) != c}
+
+
 def read_tokenizer(path: str) -> dict:
     """The parts of a tokenizer file that encoding needs; raises on features that it does not know."""
     with open(path, encoding="utf-8") as f:
@@ -98,6 +106,7 @@ def read_tokenizer(path: str) -> dict:
         "suffix": model["end_of_word_suffix"] or "",
         "pattern": _own_classes(split["pattern"]["Regex"], _not_yet_known(path)),
         "special": {t["content"]: t["id"] for t in spec["added_tokens"]},
+        "capitals": _newer_capitals(),
     }
 
 
@@ -118,6 +127,8 @@ class Bpe:
         vocab, suffix = spec["vocab"], spec["suffix"]
         self.pattern = regex.compile(spec["pattern"])
         self.special = spec["special"]
+        self.capitals = spec["capitals"]
+        self.capital_pattern = regex.compile("[" + "".join(map(chr, self.capitals)) + "]") if self.capitals else None
         self.special_pattern = (
             regex.compile("|".join(regex.escape(s) for s in sorted(self.special, key=len, reverse=True)))
             if self.special
@@ -303,6 +314,8 @@ class Bpe:
         if "Σ" in text:  # lower-casing looks at one character at a time: no final sigma
             text = text.replace("Σ", "σ")
         text = text.lower()
+        if self.capital_pattern is not None and not text.isascii() and self.capital_pattern.search(text):
+            text = text.translate(self.capitals)
         # str.split also splits at four control characters that are no white space
         return text.split() if not _SEPARATORS.search(text) else _WHITE.sub(" ", text).strip(" ").split(" ")
 

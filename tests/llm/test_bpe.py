@@ -39,6 +39,17 @@ def test_equals_the_library(own, library):
     check(own, library, texts)
 
 
+def test_every_code_point(own, library):
+    """Alone and inside a word, capitals that Python's tables do not know included."""
+    points = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    for a in range(0, len(points), 4096):
+        part = points[a : a + 4096]
+        texts = [*part, *(f"a{c}b" for c in part if ord(c) < 0x20000)]
+        got = own.encode(texts)
+        for text, want, ids in zip(texts, library.encode_batch(texts, add_special_tokens=False), got, strict=True):
+            assert np.frombuffer(ids, np.int32).tolist() == want.ids, hex(ord(max(text)))
+
+
 def test_long_fragments_and_cache_turnover(own, library, monkeypatch):
     rng = random.Random(4)
     long = ["".join(rng.choice("abehinorst") for _ in range(n)) for n in (2, 255, 256, 257, 3000, 20000)]
