@@ -32,6 +32,17 @@ def bounded_sample(rows: DataFrame, label_col: str, id_col: str, bound: int) ->
     )
 
 
+def sample_texts(docs: DataFrame, chosen: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(id, _y, text) with one text per sampled id, so that rows are bounded like ids.
+
+    Where rows of an id have different texts, the one with the smallest hash
+    stands for all; the choice does not depend on order or partitioning.
+    """
+    rows = docs.select(F.col(id_col), F.col(text_col)).join(F.broadcast(chosen), id_col)
+    least = F.min_by(F.col(text_col), F.struct(F.xxhash64(text_col), F.sha2(F.col(text_col), 256)))
+    return rows.groupBy(id_col, "_y").agg(least.alias(text_col))
+
+
 def binary_labels(labels: DataFrame, id_col: str, label_col: str) -> DataFrame:
     """One row per id with label 0 or 1; repeated rows of an id count as 1 if any says 1."""
     return (

@@ -13,7 +13,7 @@ The sample is bounded by ``sample_per_label``, so the broadcast and the work
 per document do not grow with the input. Fitting uses the sampled texts only;
 scoring is one pass without a shuffle.
 
-Edge cases: a null or empty text has no terms; its vector is the mean's
+Edge cases: an id on several rows gives one text to the sample; a null or empty text has no terms; its vector is the mean's
 opposite like that of any text without known terms, and it is scored by the
 same vote. Null labels or ids are not learned from. Without any label every
 text scores 0.5. Texts are never cut.
@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fundtrail.llm.labelled import binary_labels, bounded_sample
+from fundtrail.llm.labelled import binary_labels, bounded_sample, sample_texts
 from fundtrail.llm.textblocks import TOKEN_BYTES, blocks, run_hashes, runs
 
 TERM_BITS = 11
@@ -115,7 +115,7 @@ def fit_quality(
     if learn_from is not None:
         known = known.where(learn_from)
     chosen = bounded_sample(known, "_y", id_col, sample_per_label)
-    sample = docs.select(F.col(id_col), F.col(text_col)).join(F.broadcast(chosen), id_col)
+    sample = sample_texts(docs, chosen, id_col, text_col)
     table = _sample_counts(sample.withColumnRenamed(id_col, "_key"), text_col).toArrow().sort_by("_key")
     if not table.num_rows:
         return None

@@ -12,7 +12,7 @@ Counting runs as one Spark aggregate over the sampled labelled texts. The
 driver gets the kept places and the sample's sparse rows, both bounded by
 parameters; scoring is one pass over the texts without a shuffle.
 
-Edge cases: a null or empty text has no features and scores sigmoid(bias);
+Edge cases: an id on several rows gives one text to the sample; a null or empty text has no features and scores sigmoid(bias);
 null labels or ids are not learned from; without labels of both kinds every
 text scores 0. Texts are never cut. Other columns pass through or are dropped
 as the functions say, and may have any name.
@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fundtrail.llm.labelled import binary_labels, bounded_sample
+from fundtrail.llm.labelled import binary_labels, bounded_sample, sample_texts
 from fundtrail.llm.textblocks import LOWER, U64, blocks
 from fundtrail.session import materialize, release
 
@@ -37,6 +37,8 @@ PLACE_BITS = 20
 MAX_PLACES = 1 << 15
 MIN_TEXTS = 4
 SAMPLE_PER_LABEL = 6_000
+#: Places of all sampled texts together that the regression gets (some 40 bytes each on the driver).
+MAX_SAMPLE_PLACES = 20_000_000
 L2 = 1.0
 _GOLDEN = 0x9E3779B97F4A7C15
 
@@ -98,7 +100,7 @@ def _count_places(sample: DataFrame, text_col: str) -> DataFrame:
 
 
 def _sparse_rows(sample: DataFrame, text_col: str, kept: np.ndarray) -> DataFrame:
-    """(_y, places as bytes) of the sampled texts; places are positions in ``kept``."""
+    """(_key, _y, n, places as bytes) of the sampled texts; places are positions in ``kept``, n is their number."""
     wanted = np.zeros(1 << PLACE_BITS, bool)
     wanted[kept] = True
     position = np.cumsum(wanted) - 1
@@ -111,9 +113,34 @@ def _sparse_rows(sample: DataFrame, text_col: str, kept: np.ndarray) -> DataFram
                 cuts = np.searchsorted(text, np.arange(b - a + 1))
                 local = position[place].astype(np.int32)
                 rows = [local[i:j].tobytes() for i, j in zip(cuts[:-1], cuts[1:], strict=True)]
-                yield pa.RecordBatch.from_pydict({"_y": y[a:b].astype(np.int32), "row": pa.array(rows, pa.binary())})
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        batch.column("_key").slice(a, b - a),
+                        pa.array(y[a:b].astype(np.int32)),
+                        pa.array(np.diff(cuts), pa.int64()),
+                        pa.array(rows, pa.binary()),
+                    ],
+                    ["_key", "_y", "n", "row"],
+                )
+
+    return sample.select("_key", F.col(text_col).alias("_text"), "_y").mapInArrow(
+        extract, "_key long, _y int, n long, row binary"
+    )
+
 
-    return sample.select(F.col(text_col).alias("_text"), "_y").mapInArrow(extract, "_y int, row binary")
+def _within(rows: DataFrame, bound: int) -> DataFrame:
+    """The sparse rows in order of their key's hash, as long as they hold at most ``bound`` places together.
+
+    Only (key, n) of the bounded sample is read to find where to stop; with
+    fewer places every row stays.
+    """
+    total = rows.agg(F.sum("n").alias("n")).first()["n"] or 0
+    if total <= bound:
+        return rows
+    place = F.xxhash64("_key", F.lit("places"))
+    sizes = rows.select(place.alias("at"), "n").toPandas().sort_values("at")
+    inside = sizes["at"][sizes["n"].cumsum() <= bound]
+    return rows.where(place <= F.lit(int(inside.max()))) if len(inside) else rows.limit(0)
 
 
 def _logistic(cols: np.ndarray, rows: np.ndarray, y: np.ndarray, scale: np.ndarray) -> tuple[np.ndarray, float]:
@@ -146,22 +173,30 @@ def fit_toxicity(
     learn_from: Column | None = None,
     sample_per_label: int = SAMPLE_PER_LABEL,
     max_places: int = MAX_PLACES,
+    max_sample_places: int = MAX_SAMPLE_PLACES,
 ) -> ToxicityModel:
     """Learn from labelled texts; ``learn_from`` says which ids of ``labels`` may be used.
 
     ``sample_per_label`` bounds the texts of each label (chosen by a hash of
-    the id), ``max_places`` the features that the regression sees.
+    the id), ``max_places`` the features that the regression sees and
+    ``max_sample_places`` the features of all its texts together.
     """
     known = binary_labels(labels, id_col, label_col)
     if learn_from is not None:
         known = known.where(learn_from)
     chosen = bounded_sample(known, "_y", id_col, sample_per_label)
-    sample = docs.select(id_col, text_col).join(F.broadcast(chosen), id_col)
+    # one scan of the documents; counting and extracting read the bounded sample
+    sample = sample_texts(docs, chosen, id_col, text_col).select(
+        F.xxhash64(id_col).alias("_key"), "_y", F.col(text_col).alias("_text")
+    )
+    sample, text_col = materialize(sample, "toxicity-sample"), "_text"
 
     counts = _count_places(sample, text_col)
     counts = materialize(counts, "toxicity-counts")
     texts = counts.where("place = -1").select("toxic", "clean").first()
     if not texts or not texts["toxic"] or not texts["clean"]:
+        release(counts)
+        release(sample)
         return ToxicityModel(np.zeros(1 << PLACE_BITS, np.float32), 0.0, constant=0.0)
     ratio = F.log((F.col("toxic") + 1.0) / (texts["toxic"] + 2.0)) - F.log(
         (F.col("clean") + 1.0) / (texts["clean"] + 2.0)
@@ -176,10 +211,12 @@ def fit_toxicity(
         .sort_values("place")
     )
     kept, scale = top["place"].to_numpy(np.int64), top["r"].to_numpy(np.float64)
-    table = _sparse_rows(sample, text_col, kept).toArrow()
+    sparse = materialize(_sparse_rows(sample, text_col, kept), "toxicity-rows")
+    table = _within(sparse, max(max_sample_places, max_places)).toArrow().sort_by("_key")
     y = table.column("_y").to_numpy()
     packed = [np.frombuffer(row.as_py(), np.int32) for row in table.column("row")]
-    release(counts)
+    for written in (counts, sample, sparse):
+        release(written)
     rows = np.repeat(np.arange(len(packed)), [len(p) for p in packed])
     cols = np.concatenate(packed) if packed else np.zeros(0, np.int32)
     fitted, bias = _logistic(cols, rows, y, scale)

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from fundtrail.llm import language, quality, registry, toxicity
-from fundtrail.llm.labelled import binary_labels, bounded_sample, fold
+from fundtrail.llm.labelled import binary_labels, bounded_sample, fold, sample_texts
 from tests.conftest import SF_MID, SF_SMALL
 from tests.llm.helpers import has_letter, odd_documents
 
@@ -145,6 +145,29 @@ def test_odd_rows(spark, module, fit, score):
     assert getattr(module, score)(docs.limit(0), model).count() == 0
 
 
+def test_repeated_ids_stay_bounded(spark):
+    """One id on thousands of rows gives the driver one text, the same in any order."""
+    rows = spark.range(3000).selectExpr("1L as doc_id", "concat('text ', id) as text")
+    docs = rows.union(spark.createDataFrame([(2, None), (2, None), (3, "a")], "doc_id long, text string"))
+    chosen = spark.createDataFrame([(1, 1), (2, 0)], "doc_id long, _y int")
+    first = sorted(tuple(r) for r in sample_texts(docs, chosen, "doc_id", "text").collect())
+    again = sorted(tuple(r) for r in sample_texts(docs.repartition(7), chosen, "doc_id", "text").collect())
+    assert first == again and [r[0] for r in first] == [1, 2] and first[1][2] is None
+
+
+def test_sample_places_are_bounded(spark):
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
+    sample = docs.selectExpr("doc_id as _key", "cast(doc_id % 2 as int) as _y", "text as _text")
+    rows = toxicity._sparse_rows(sample, "_text", np.arange(0, 1 << toxicity.PLACE_BITS, 32))
+    sizes = {r["_key"]: r["n"] for r in rows.collect()}
+    assert all(len(r["row"]) == 4 * r["n"] for r in rows.collect())
+    total = sum(sizes.values())
+    assert toxicity._within(rows, total).count() == len(sizes)
+    half = [r["n"] for r in toxicity._within(rows, total // 2).collect()]
+    assert total // 2 - max(sizes.values()) <= sum(half) <= total // 2
+    assert toxicity._within(rows, 0).count() == 0 or sum(r["n"] for r in toxicity._within(rows, 0).collect()) == 0
+
+
 def test_toxic_filter_keeps_columns(spark):
     docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
     model = toxicity.fit_toxicity(docs, spark.read.parquet(f"{SF_SMALL}/labels.parquet"))
