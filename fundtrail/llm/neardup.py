@@ -38,6 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fundtrail.llm.components import connected_components
+from fundtrail.llm.rows import NO_ID, only_rows, row_key, without_rows
 from fundtrail.llm.textblocks import LOWER, TOKEN_BYTES, U64, blocks, distinct_sorted, mix, run_hashes, runs, shingles
 from fundtrail.session import materialize
 
@@ -347,6 +348,43 @@ def near_duplicates(
     both. The component is the smallest id reachable by links; ``kept`` marks
     the row whose id it is.
     """
+    kind = docs.schema[id_col].dataType
+    component = F.when(F.col("id").isNotNull(), F.coalesce(F.col("first.least").cast(kind), F.col("id")))
+    return _with_first(docs, id_col, text_col, size, percent).select(
+        F.col("id").alias(id_col),
+        F.col("n").alias("n_shingles"),
+        component.alias("component_id"),
+        F.coalesce(component == F.col("id"), F.lit(False)).alias("kept"),
+    )
+
+
+def drop_near_duplicates(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5, percent: int = 80
+) -> DataFrame:
+    """The rows of ``docs``, all columns, without near duplicates: one row of each group stays.
+
+    It is the row of the smallest id, and of those the one whose text has the
+    smallest hash. Every row gets its own verdict: rows that share an id are
+    compared by their own texts, and rows without id are compared too (they
+    come behind all others). Rows without words are linked with nothing and
+    stay, but a row that repeats both id and text of another goes.
+    """
+    keyed = docs.select(row_key(id_col, text_col)["id"].alias("key"), F.col(text_col).alias("body"))
+    found = materialize(_with_first(keyed, "key", "body", size, percent).select("id", "mark", "first"), "verdicts")
+    leads = (F.col("id") == F.col("first.least")) & (F.col("mark") == F.col("first.mark"))
+    gone = found.where(F.col("first").isNotNull() & ~leads).select("id", "mark").distinct()
+    stay = found.where(F.when(F.col("first").isNull(), F.col("id") != NO_ID).otherwise(leads))
+    repeated = stay.groupBy("id", "mark").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("id", "mark")
+    repeated = materialize(repeated, "repeated")
+    kept = without_rows(docs, gone, id_col, text_col)
+    if repeated.isEmpty():
+        return kept
+    again = only_rows(kept, repeated, id_col, text_col).dropDuplicates([id_col, text_col])
+    return without_rows(kept, repeated, id_col, text_col).union(again)
+
+
+def _with_first(docs: DataFrame, id_col: str, text_col: str, size: int, percent: int) -> DataFrame:
+    """(id, mark, n, first) per row: the smallest (least: id, mark) of the row's component, null without words."""
     rows = materialize(sketch(docs, id_col, text_col, size), "sketches")
     # one member per set of shingles; registers are equal within a class. Classes have numbers of their own (fixed
     # once written), as an id may stand on rows of several classes
@@ -406,19 +444,12 @@ def near_duplicates(
     final = connected_components(links.union(more)).withColumnRenamed("node", "rep")
 
     # the smallest id of each component
-    linked = materialize(final.join(classes.select("rep", "least"), "rep"), "linked")
-    names = materialize(linked.groupBy("component").agg(F.min("least").alias("name")), "names")
+    linked = materialize(final.join(marks, "rep"), "linked")
+    first = F.struct("least", "mark")
+    names = materialize(linked.groupBy("component").agg(F.min(first).alias("name")), "names")
     named = linked.join(names, "component").select("rep", "name")
-    found = classes.join(named, "rep", "left").select("digest", F.coalesce("name", "least").alias("component_id"))
-    kind = docs.schema[id_col].dataType
-    with_set = rows.join(found, "digest", "left")
-    component = F.when(F.col("id").isNotNull(), F.coalesce(F.col("component_id").cast(kind), F.col("id")))
-    return with_set.select(
-        F.col("id").alias(id_col),
-        F.col("n").alias("n_shingles"),
-        component.alias("component_id"),
-        F.coalesce(component == F.col("id"), F.lit(False)).alias("kept"),
-    )
+    found = classes.join(named, "rep", "left").select("digest", F.coalesce("name", first).alias("first"))
+    return rows.join(found, "digest", "left").select("id", "mark", "n", "first")
 
 
 def _needed(texts: DataFrame, marks: DataFrame, ids: DataFrame) -> DataFrame:

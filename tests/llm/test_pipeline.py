@@ -67,10 +67,28 @@ def test_odd_rows_and_empty_tables(spark, tmp_path):
             assert len(rows) <= given.count()
             if name == "near_duplicates" and rows:
                 ids = [r["doc_id"] for r in rows]
-                assert ids.count(1) == 1 and 2 not in ids and 8 not in ids and ids.count(None) == 2
+                # the copy without id goes too; the row without id and text stays
+                assert ids.count(1) == 1 and 2 not in ids and 8 not in ids and ids.count(None) == 1
     assert decontam.MIN_WORDS == 5
 
 
+def test_every_row_has_its_own_verdict(spark, tmp_path):
+    """Rows without id, and rows that share one, go or stay by their own text."""
+    item = "seven small boats left the quiet harbour before the storm came over the hills"
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    clean = "a plain text about bread and butter that nobody would ever look for in a test"
+    docs = spark.createDataFrame([(None, item), (5, item), (5, clean), (None, clean)], "doc_id long, text string")
+    kept = corpus_pipeline.decontamination(spark, docs, str(tmp_path)).collect()
+    assert sorted((r["doc_id"] or 0, r["text"]) for r in kept) == [(0, clean), (5, clean)]
+
+    one = "first text of many words that has copies on other rows of this table"
+    two = "second text of as many words whose copies carry other numbers than these"
+    rows = [(5, one), (5, two), (5, clean), (5, clean), (7, one), (8, two), (None, one), (None, item), (None, item), (None, None), (None, "")]
+    kept = corpus_pipeline.near_duplicates(spark, spark.createDataFrame(rows, "doc_id long, text string"), "").collect()
+    want = [(5, one), (5, two), (5, clean), (None, item), (None, None), (None, "")]
+    assert sorted(map(str, map(tuple, kept))) == sorted(map(str, want))
+
+
 def test_every_brute_force_leak_is_gone(spark):
     """Documents of the small tables that hold an item within the edits allowed, heavily edited copies included."""
     docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet").limit(120)
