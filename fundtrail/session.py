@@ -5,7 +5,7 @@ from __future__ import annotations
 import atexit
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
 from pyspark import SparkContext
@@ -144,13 +144,21 @@ def release(df: DataFrame) -> None:
 
 
 @contextmanager
-def scratch(spark: SparkSession) -> Iterator[None]:
-    """Delete at the end, failed or not, what was written to the shared folder inside the block."""
-    before = set(_written)
+def scratch(spark: SparkSession) -> Iterator[Callable[[DataFrame], DataFrame]]:
+    """Delete at the end, failed or not, what was written to the shared folder inside the block.
+
+    The block gets a function that excepts a frame of ``materialize`` and returns it.
+    """
+    before, kept = set(_written), set()
+
+    def keep(df: DataFrame) -> DataFrame:
+        kept.add(df._fundtrail_path)
+        return df
+
     try:
-        yield
+        yield keep
     finally:
-        for path in sorted(_written - before):
+        for path in sorted(_written - before - kept):
             _delete(spark.sparkContext, path)
             _written.discard(path)
 
