@@ -6,9 +6,11 @@ folder and rereads it as the next stage's ``docs``, so a lost executor repeats
 at most one stage. All stages but the last return the columns of ``documents``.
 
 Edge cases, per stage: a null or letterless text is rejected by the language
-stage; null labels are not learned from; rows without id pass the
-near-duplicate stage unlinked; an empty table passes through as empty. Extra
-columns pass through every filtering stage.
+stage; null labels are not learned from; every row has its own verdict in the
+near-duplicate and decontamination stages (by id and text), so rows without id
+are copies or leaks like any others, and where an id repeats a clean text stays
+when another goes; an empty table passes through as empty. Extra columns pass
+through every filtering stage.
 """
 
 from __future__ import annotations
@@ -19,17 +21,12 @@ from pyspark.sql import functions as F
 from fundtrail.llm import bpe, decontam, language, neardup, toxicity
 from fundtrail.llm.labelled import fold
 from fundtrail.llm.registry import tokenizer_path
-from fundtrail.session import materialize
+from fundtrail.llm.rows import row_key, without_rows
+from fundtrail.session import materialize, release, scratch
 
 TOXIC_SCORE = 0.7
 
 
-def _keep_ids(docs: DataFrame, verdicts: DataFrame, keep: str) -> DataFrame:
-    """Rows of ``docs`` whose id the verdicts (id, keep) keep; rows without id stay."""
-    gone = verdicts.where(f"doc_id is not null and not ({keep})").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
-
-
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep documents whose language is one of those learned."""
     profiles = language.fit_profiles(docs, learn_from=fold("doc_id", 5) != 0)
@@ -45,19 +42,14 @@ def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep one document (the smallest id) of each near-duplicate group: five words, similarity 0.8."""
-    found = neardup.near_duplicates(docs, size=5, percent=80)
-    kept = _keep_ids(docs, found, "kept")
-    # rows that repeat an id with the same text are copies too
-    repeated = docs.where("doc_id is not null").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    once = kept.join(repeated, "doc_id", "left_anti").select(*docs.columns)
-    again = kept.join(repeated, "doc_id", "left_semi").select(*docs.columns).dropDuplicates(["doc_id", "text"])
-    return once.union(again)
+    return neardup.drop_near_duplicates(docs, size=5, percent=80)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep documents without a benchmark item."""
-    leaks = decontam.find_leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    return _keep_ids(docs, leaks.select("doc_id"), "false")
+    keyed = docs.select(row_key().alias("row"), "text")
+    leaks = decontam.find_leaks(keyed, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), id_col="row")
+    return without_rows(docs, leaks.select("row.*").distinct())
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -87,5 +79,8 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the documents of ``sf_dir``; the rows of the last."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
-        docs = materialize(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        with scratch(spark) as keep:  # a stage's own tables go when its result is written
+            after = keep(materialize(stage(spark, docs, sf_dir), f"pipeline-{name}"))
+        release(docs)
+        docs = after
     return docs
