@@ -106,3 +106,58 @@ def test_an_id_shared_by_two_groups(spark):
     assert sorted((r["vec_id"], r["n_links"]) for r in got) == sorted(
         [(1, 10), (1, 10), (1, 1), (30, 1)] + [(k, 10) for k in range(2, 22)]
     )
+
+
+def unit(rng, n, d=64):
+    x = rng.standard_normal((n, d))
+    return x / np.linalg.norm(x, axis=1, keepdims=True)
+
+
+def test_single_partners_at_the_threshold_are_found_at_every_size():
+    """Index only: random vectors, none of them used to fit, partners at cosine 0.902 in a random direction."""
+    rng = np.random.default_rng(12)
+    for members in (51_282, 1_000_000, 20_000_000):
+        sample = max(vectors.SAMPLE, vectors.SAMPLE_PER_CODE * vectors._codes(members)) + vectors.HELD_OUT
+        index = vectors.MultiIndex(unit(rng, sample), members, 0.9)
+        x = unit(rng, 2000)
+        y = index.partners(x, 0.902, rng)
+        there, back = index.traverse(x) == index.cells(y)[:, None], index.traverse(y) == index.cells(x)[:, None]
+        found = there.any(axis=1) | back.any(axis=1)
+        assert found.mean() >= 0.97
+
+
+def test_links_count_at_both_ends(spark, monkeypatch):
+    """Few visits, so that many links are found from one side only; dense groups, whole balls and blocks among them."""
+    monkeypatch.setattr(vectors, "CELL_MEMBERS", 4)
+    monkeypatch.setattr(vectors, "PART_MEMBERS", 16)
+    monkeypatch.setattr(vectors, "BLOCK", 16)
+    monkeypatch.setattr(vectors.MultiIndex.__init__, "__defaults__", (0.6,))
+    rng = np.random.default_rng(13)
+    x = unit(rng, 300, 32)
+    noise = unit(rng, 300, 32)
+    noise -= (noise * x).sum(axis=1, keepdims=True) * x
+    noise /= np.linalg.norm(noise, axis=1, keepdims=True)
+    rows = [*x.tolist(), *(0.93 * x + np.sqrt(1 - 0.93**2) * noise).tolist()]
+    rows = [np.float32(r).tolist() for r in rows]
+    got = run(spark, list(range(600)), rows)
+    ends = [(got[i]["n_links"], got[i + 300]["n_links"]) for i in range(300)]
+    assert all(a == b for a, b in ends)
+    assert 0 < sum(a for a, _ in ends) < 300
+    dense = clusters(rng, [90], 0.05) + clusters(rng, [60], 0.3)
+    degree, _ = brute_force(list(range(150)), dense)
+    got = run(spark, list(range(150)), dense)
+    assert sum(r["n_links"] for r in got.values()) % 2 == 0
+    assert all(got[i]["n_links"] <= degree[i] for i in degree)
+
+
+def test_every_length_is_linked(spark):
+    rng = np.random.default_rng(14)
+    rows = [np.float32(v).tolist() for d in (16, 5, 1, 40) for v in clusters(rng, [6, 4, 1, 1], 0.05, d)]
+    ids = list(range(1, len(rows) + 1))
+    expected = {}
+    for d in (16, 5, 1, 40):
+        mine = [i for i in ids if len(rows[i - 1]) == d]
+        degree, component = brute_force(mine, [rows[i - 1] for i in mine])
+        expected |= {i: (degree[i], component[i]) for i in mine}
+    got = run(spark, ids, rows)
+    assert {i: (r["n_links"], r["component_id"]) for i, r in got.items()} == expected
