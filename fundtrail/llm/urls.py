@@ -7,10 +7,12 @@ Templates, for urls without a rule: every host has a tree of path templates. A
 segment that looks variable (digits, hashes, dates, long mixtures) becomes a
 wildcard of its kind, as does any segment below a node with many different
 children. Branches of a node whose labelled shares do not differ statistically
-merge into one. The purity of a template is its share of bad labelled urls,
-smoothed towards the template's share over all hosts and, above that, towards
-the overall share; a template of enough bad purity, and with labelled urls of
-its own, is rejected.
+merge into one, which the others of the node do not count in. The purity of a
+template is its share of bad labelled urls, smoothed towards the template's
+share over all hosts and, above that, towards the overall share. A template of
+enough bad purity is rejected when its branch has labelled urls of its own, or
+when it has none and the template is labelled on several other hosts, whose
+share then decides.
 
 Labels come from the caller as (url, bad); the registered query uses the
 verdicts of the rules on the urls they fit. The trees are
@@ -37,6 +39,8 @@ PRIOR_WEIGHT = 4.0
 REJECT_PURITY = 0.7
 #: A host's template needs so many labelled urls of its own (merged branches count) to be rejected.
 MIN_LABELLED = 3
+#: Without any, the share over all hosts decides if the template has so many labelled urls on so many hosts.
+MIN_SHARED, MIN_HOSTS = 20, 3
 #: Branches differ when their shares are further apart than so many standard errors.
 MERGE_DEVIATIONS = 2.0
 DEFAULT_SHARE = 0.1
@@ -141,18 +145,20 @@ def with_templates(urls: DataFrame) -> DataFrame:
 
 
 def template_purity(rows: DataFrame) -> DataFrame:
-    """(host, template, purity, labelled) from rows with ``host``, ``template`` and ``bad`` (null where unlabelled)."""
+    """(host, template, purity, labelled, shared, hosts) from rows with ``host``, ``template`` and ``bad`` (null where unlabelled)."""
     counts = rows.groupBy("host", "template").agg(
         F.count("bad").alias("n"), F.coalesce(F.sum("bad"), F.lit(0)).cast("double").alias("bad")
     )
     overall = counts.agg(
         F.coalesce(F.sum("bad") / F.when(F.sum("n") > 0, F.sum("n")), F.lit(DEFAULT_SHARE)).alias("overall")
     )
-    shared = counts.groupBy("template").agg(F.sum("n").alias("all_n"), F.sum("bad").alias("all_bad"))
+    shared = counts.groupBy("template").agg(
+        F.sum("n").alias("all_n"), F.sum("bad").alias("all_bad"), F.count_if(F.col("n") > 0).alias("hosts")
+    )
     named = counts.join(shared, "template").withColumn(
         "prior", (F.col("all_bad") + PRIOR_WEIGHT * overall.scalar()) / (F.col("all_n") + PRIOR_WEIGHT)
     )
-    # siblings under one parent that do not differ from the parent's other branches share their counts
+    # siblings under one parent that do not differ from the parent's share merge into one branch
     parent = F.regexp_replace("template", r"/[^/]*$", "")
     family = Window.partitionBy("host", "parent")
     named = (
@@ -164,13 +170,21 @@ def template_purity(rows: DataFrame) -> DataFrame:
     family_share = F.col("family_bad") / F.greatest(F.col("family_n"), F.lit(1))
     error = F.sqrt(family_share * (1 - family_share) / F.greatest(F.col("n"), F.lit(1))) + F.lit(1e-9)
     alike = (F.col("n") == 0) | (F.abs(share - family_share) <= MERGE_DEVIATIONS * error)
-    n = F.when(alike, F.col("family_n")).otherwise(F.col("n"))
-    bad = F.when(alike, F.col("family_bad")).otherwise(F.col("bad"))
+    branch = Window.partitionBy("host", "parent", "alike")
+    named = (
+        named.withColumn("alike", alike)
+        .withColumn("branch_n", F.sum("n").over(branch))
+        .withColumn("branch_bad", F.sum("bad").over(branch))
+    )
+    n = F.when(F.col("alike"), F.col("branch_n")).otherwise(F.col("n"))
+    bad = F.when(F.col("alike"), F.col("branch_bad")).otherwise(F.col("bad"))
     return named.select(
         "host",
         "template",
         ((bad + PRIOR_WEIGHT * F.col("prior")) / (n + PRIOR_WEIGHT)).alias("purity"),
         n.alias("labelled"),
+        F.col("all_n").alias("shared"),
+        "hosts",
     )
 
 
@@ -192,7 +206,8 @@ def filter_urls(
     rows = with_templates(base)
     purity = template_purity(rows)
     judged = rows.join(purity, ["host", "template"], "left")
-    impure = (F.col("purity") >= REJECT_PURITY) & (F.col("labelled") >= MIN_LABELLED)
+    elsewhere = (F.col("labelled") == 0) & (F.col("shared") >= MIN_SHARED) & (F.col("hosts") >= MIN_HOSTS)
+    impure = (F.col("purity") >= REJECT_PURITY) & ((F.col("labelled") >= MIN_LABELLED) | elsewhere)
     own = F.when(impure, F.lit("block")).otherwise(F.lit("allow"))
     return judged.select(
         F.col("id").alias(id_col),

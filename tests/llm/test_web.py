@@ -74,6 +74,30 @@ def test_templates_learn_from_labels(spark):
     assert {got[4 * k + 3]["verdict"] for k in range(200)} == {"allow"}  # no labelled url of its own
 
 
+def test_registered_query_blocks_by_the_tree(spark, tmp_path):
+    """The rules block /fr/<num> on many net hosts; a host without rule follows, but not for other templates or with labels."""
+    rows = [f"http://h{h}.net/fr/{k}" for h in range(5) for k in range(8)]
+    rows += [f"http://h{h}.net/de/{k}" for h in range(5) for k in range(8)]
+    other = ["http://a.org/fr/77", "http://b.org/de/77", "http://c.org/fr/seventy", "http://d.org/", "http://shop.com/fr/77"]
+    pages_ = [(k, u, "") for k, u in enumerate(rows + other)]
+    spark.createDataFrame(pages_, "page_id long, url string, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    got = {r["page_id"]: r for r in registry.op3_url_filter(spark, str(tmp_path)).collect()}
+    assert len(got) == len(pages_)
+    verdicts = [got[len(rows) + k]["verdict"] for k in range(len(other))]
+    assert verdicts == ["block", "allow", "allow", "allow", "allow"]
+    assert got[len(rows)]["rule"] is None and got[len(rows)]["template"] == "/fr/<num>"
+
+
+def test_an_unlike_branch_stays_out_of_the_merged_one(spark):
+    """One bad branch among 20 good ones, 30 labelled urls each: the others merge, and their share has none of its urls."""
+    rows = [("h", f"/a/b{b}", int(b == 0)) for b in range(21) for _ in range(30)] + [("h", "/a/new", None)]
+    frame = spark.createDataFrame(rows, "host string, template string, bad int")
+    got = {r["template"]: r for r in urls.template_purity(frame).collect()}
+    assert got["/a/b0"]["labelled"] == 30 and got["/a/b0"]["purity"] > 0.9
+    assert got["/a/b1"]["labelled"] == got["/a/new"]["labelled"] == 600
+    assert got["/a/b1"]["purity"] < 0.01
+
+
 def article_text(source):
     m = re.search(r"<article>(.*?)</article>", source, re.DOTALL)
     parts = re.split(r"</?(?:p|h1|br)[^>]*>", m[1]) if m else []
