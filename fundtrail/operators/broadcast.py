@@ -4,20 +4,21 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from fundtrail.functions.params import BROADCAST_MAX_BYTES
 from fundtrail.session import materialize
 
-#: Rows in memory may take so many times the bytes of their compressed columns.
-EXPANSION = 4
+#: Rows in memory may take so many times the bytes of their compressed columns: runs and repeats pack well.
+EXPANSION = 64
+#: Bytes of a row in the driver while a broadcast is built, beside its values.
+ROW_OVERHEAD = 64
 
 
 def estimated_bytes(df: DataFrame) -> int | None:
     """Catalyst's size estimate of the optimized plan (no job runs), if known.
 
-    Without column statistics Spark estimates from file sizes and never
-    shrinks a size through a filter, so the estimate is an upper bound for
-    file-backed plans.
+    Without column statistics Spark estimates from the sizes of compressed files.
     """
     try:
         return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
@@ -29,16 +30,15 @@ def sized_broadcast(df: DataFrame, name: str = "side", max_bytes: int = BROADCAS
     """Mark ``df`` for broadcast only when its bytes are known to be few.
 
     First the plan's size estimate (free). When that is not small enough, the side
-    is written once to the shared folder and the bytes of its files decide. A
-    larger side is returned unmarked and read from there, so the join shuffles
-    both sides (and AQE may still switch to a broadcast at run time).
+    is written once to the shared folder, and its rows, counted there, and their width (or the
+    bytes of their files, where more) decide. A larger side is returned unmarked and read
+    from there, so the join shuffles both sides (and AQE may still switch to a broadcast at run time).
     """
-
-    def small(side: DataFrame) -> bool:
-        size = estimated_bytes(side)
-        return size is not None and size * EXPANSION <= max_bytes
-
-    if small(df):
+    size = estimated_bytes(df)
+    if size is not None and size * EXPANSION <= max_bytes:
         return F.broadcast(df)
     side = materialize(df, name.replace(" ", "-"))
-    return F.broadcast(side) if small(side) else side
+    width = ROW_OVERHEAD + 2 * sum(24 if isinstance(f.dataType, T.StringType) else 8 for f in side.schema.fields)
+    rows = side.count()
+    size = max(rows * width, 4 * (estimated_bytes(side) or 0))
+    return F.broadcast(side) if size <= max_bytes else side

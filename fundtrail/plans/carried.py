@@ -204,10 +204,13 @@ def read_state(spark: SparkSession, path: str, through: dt.date | str) -> Custom
 
 
 def _features(
-    days: DataFrame, values: DataFrame, amounts: DataFrame, outcomes: DataFrame, limits: Limits, subject_type: str,
-    outcome_days: int, between: tuple[dt.date, dt.date] | None,
+    days: DataFrame, values: DataFrame, amounts: DataFrame, queue: DataFrame, outcomes: DataFrame, limits: Limits,
+    subject_type: str, outcome_days: int, between: tuple[dt.date, dt.date] | None,
 ) -> DataFrame:
-    """The feature table from day partials that carry ``as_of_date``; ``values`` has one row per key and value."""
+    """The feature table from day partials that carry ``as_of_date``; ``values`` has one row per key and value.
+
+    ``queue`` holds every key of ``days``, each once; keys without days get no row.
+    """
     keys = list(KEYS)
     age = F.datediff("as_of_date", "day")
     blocks = span_features(
@@ -217,7 +220,7 @@ def _features(
     parts = [
         count_by_age(aged, keys, customer_distinct_families(), limits.spans),
         primary_countries(amounts.withColumn("age_days", age), keys, limits.spans),
-        outcomes_as_of(outcomes, days.select(*keys).distinct(), subject_type, outcome_days, keys, between),
+        outcomes_as_of(outcomes, queue, subject_type, outcome_days, keys, between),
     ]
     return assemble(blocks, parts, limits.spans)
 
@@ -238,9 +241,9 @@ def features_from_state(
     as_of = state.through + dt.timedelta(days=1)
     day = F.lit(as_of).cast("date")
     q = queue.where(F.col("as_of_date") == day).select("entity_id", "as_of_date").distinct()
-    q = sized_broadcast(q, name="customer queue")
-    at = [part.join(q, "entity_id") for part in (state.segments, state.values, state.amounts)]
-    return _features(*at, outcomes, limits, subject_type, outcome_days, (as_of, as_of))
+    small = sized_broadcast(q, name="customer queue")
+    at = [part.join(small, "entity_id") for part in (state.segments, state.values, state.amounts)]
+    return _features(*at, q, outcomes, limits, subject_type, outcome_days, (as_of, as_of))
 
 
 def customer_features_at(
@@ -258,6 +261,8 @@ def customer_features_at(
     Each leg of a queued customer is shuffled once, into the partials of its
     day; a partial then joins the later as-of dates of its customer. For
     distinct counts a value's row joins the dates up to the value's next use only.
+    These joins are merge joins: Spark reckons the partials by the bytes of compressed files and would
+    broadcast them. Partials are shuffled by customer once, before they meet the dates.
     """
     limits = limits or Limits()
     last = _date(latest) - dt.timedelta(days=1)
@@ -272,7 +277,8 @@ def customer_features_at(
         F.lead("day").over(uses).alias("_next"),
     )
     later = F.col("as_of_date") > F.col("day")
-    days = _day_segments(legs, limits).join(q, "entity_id").where(later)
-    current = values.join(q, "entity_id").where(later & (F.col("_next").isNull() | (F.col("as_of_date") <= F.col("_next"))))
-    amounts = _day_amounts(legs).join(q, "entity_id").where(later)
-    return _features(days, current, amounts, outcomes, limits, subject_type, outcome_days, None)
+    dates = q.hint("merge")
+    days = _day_segments(legs, limits).join(dates, "entity_id").where(later)
+    current = values.join(dates, "entity_id").where(later & (F.col("_next").isNull() | (F.col("as_of_date") <= F.col("_next"))))
+    amounts = _day_amounts(legs).join(dates, "entity_id").where(later)
+    return _features(days, current, amounts, q, outcomes, limits, subject_type, outcome_days, None)

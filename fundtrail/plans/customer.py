@@ -175,7 +175,8 @@ def assemble(
     """The feature table: ``blocks`` (one row per key, with ``{prefix}_legs``) joined with ``parts``, filled and named."""
     keys = list(keys)
     for part in parts:
-        blocks = blocks.join(part, keys, "left")
+        # a part has as many rows as blocks: never broadcast by the bytes of the compressed files it came from
+        blocks = blocks.join(part.hint("merge"), keys, "left")
     out = list(keys)
     for prefix, _ in spans:
         for name in FEATURES:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from fundtrail.functions.params import FIXTURE_SUBJECT_TYPES
 from fundtrail.operators.basics import basics_exprs
+from fundtrail.operators.broadcast import sized_broadcast
 from fundtrail.operators.countries import flag_high_risk
 from fundtrail.operators.legs import customer_history_legs, customer_range_legs
 from fundtrail.operators.queue import active_customers
@@ -16,7 +17,7 @@ from fundtrail.operators.sequences import customer_flip_sql, customer_neighbors,
 from fundtrail.plans import carried, sinks
 from fundtrail.plans.customer import customer_features
 from fundtrail.queries import round_doubles
-from fundtrail.session import materialize
+from fundtrail.session import materialize, release
 from fundtrail.sources.fixture import fixture_tables
 from tests.conftest import SF_SMALL
 
@@ -168,3 +169,22 @@ def test_many_dates_equal_one_by_one(spark):
     # a leg comes once, however many dates its customer has
     legs = customer_range_legs(t["transfers"], None, "2024-01-29", queue)
     assert legs.count() == legs.select("mtcn", "role").distinct().count()
+
+
+def test_partials_of_many_dates_are_not_broadcast(spark):
+    """Partials and dates grow alike: their joins are merge joins, however few the compressed bytes."""
+    t = fixture_tables(spark, SF_SMALL)
+    queue = active_customers(t["transfers"], "2024-01-05", "2024-01-30")
+    got = carried.customer_features_at(t["transfers"], t["geo_risk"], t["outcomes"], queue, "2024-01-30", LIMITS, SUBJECT)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin [entity_id" in plan
+    assert not [x for x in plan.splitlines() if "BroadcastHashJoin [entity_id" in x and "LeftSemi" not in x]
+    assert "SortMergeJoin [entity_id#" in plan and ", as_of_date#" in plan
+
+
+def test_side_of_few_bytes_and_many_rows_is_not_broadcast(spark):
+    """Two million equal rows are a few kB of file; in memory they are not."""
+    many = spark.range(2_000_000).selectExpr("CAST(id % 2 AS BIGINT) AS k")
+    side = sized_broadcast(many, max_bytes=1 << 20)
+    assert "ResolvedHint" not in side._jdf.queryExecution().analyzed().toString()
+    release(side)
