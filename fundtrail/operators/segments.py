@@ -306,17 +306,21 @@ def span_features(
     spans: Sequence[tuple[str, int | None]],
     burst_seconds: float = BURST_GAP_SECONDS,
     flip_seconds: float = CUSTOMER_FLIP_SECONDS,
+    dealt: bool = False,
 ) -> DataFrame:
     """Per key: ``{prefix}{feature}`` for every span, from segments whose column ``age`` (in days) tells their spans.
 
     A segment joins every span that its age is in; the segments of (key, span) are
-    merged and finished, and the spans of a key put side by side.
+    merged and finished, and the spans of a key put side by side. Segments are shuffled by key
+    once, before each becomes one row per span; ``dealt``: they lie by key (or a part of it) already.
     """
     keys = list(keys)
     if all(cut is None for _, cut in spans) and len(spans) == 1:  # everything is in the one span
         merged = merge_segments(rows.withColumn("_order", -F.col(age)), keys, "_order", burst_seconds, flip_seconds)
         done = finish(merged, keys, burst_seconds)
         return done.select(*keys, *[F.col(c).alias(f"{spans[0][0]}{c}") for c in done.columns if c not in keys])
+    if not dealt:
+        rows = rows.repartition(*keys)
     held = ", ".join(f"CASE WHEN {span_sql(age, cut)} THEN {i} END" for i, (_, cut) in enumerate(spans))
     each = rows.select(
         *keys, (-F.col(age)).alias("_order"), *segment_columns(),

@@ -103,10 +103,10 @@ def _day_segments(legs: DataFrame, limits: Limits) -> DataFrame:
     return found.withColumnRenamed("leg_date", "day")
 
 
-def _day_values(legs: DataFrame) -> DataFrame:
-    """Per customer, value and day: whether a send and a pay leg carried it."""
+def _day_values(legs: DataFrame, per: Sequence[str] = ("day",)) -> DataFrame:
+    """Per customer, value and day: whether a send and a pay leg carried it; with no ``per``, the latest days."""
     rows = leg_values(legs.withColumn("day", F.col("leg_date")), customer_distinct_families(), ["entity_id", "day"])
-    return rows.groupBy("entity_id", *VALUE, "day").agg(
+    return rows.groupBy("entity_id", *VALUE, *per).agg(
         F.max(F.when(F.col("role") == F.lit("send"), F.col("day"))).alias("last_send"),
         F.max(F.when(F.col("role") == F.lit("pay"), F.col("day"))).alias("last_pay"),
         F.max("_hrj").alias("_hrj"),
@@ -127,8 +127,8 @@ def _latest(values: DataFrame) -> DataFrame:
     )
 
 
-def _fold(state: CustomerState, limits: Limits) -> CustomerState:
-    """Days that are in no finite span any more become one."""
+def _fold(state: CustomerState, limits: Limits, latest: bool = False) -> CustomerState:
+    """Days that are in no finite span any more become one; ``latest``: each value has one row already."""
     oldest = F.lit(state.through + dt.timedelta(days=1 - limits.longest)).cast("date")
     old = state.segments.where(F.col("day") <= oldest)
     merged = merge_segments(old, ["entity_id"], "day", limits.burst_seconds, limits.flip_seconds)
@@ -141,7 +141,7 @@ def _fold(state: CustomerState, limits: Limits) -> CustomerState:
     )
     same = {f.name: f.dataType for f in state.segments.schema.fields}
     folded = folded.select(*[F.col(c).cast(same[c]) for c in kept.columns])
-    return CustomerState(state.through, kept.unionByName(folded), _latest(state.values), amounts)
+    return CustomerState(state.through, kept.unionByName(folded), state.values if latest else _latest(state.values), amounts)
 
 
 def build_state(
@@ -150,8 +150,8 @@ def build_state(
     """The state of the whole history up to the day ``through``."""
     limits = limits or Limits()
     legs = _dealt(customer_range_legs(transfers, None, through), geo_risk, limits)
-    first = CustomerState(_date(through), _day_segments(legs, limits), _day_values(legs), _day_amounts(legs))
-    return _fold(first, limits)
+    first = CustomerState(_date(through), _day_segments(legs, limits), _day_values(legs, ()), _day_amounts(legs))
+    return _fold(first, limits, latest=True)
 
 
 def advance(
@@ -176,7 +176,7 @@ def advance(
     together = CustomerState(
         through,
         add(state.segments, _day_segments(legs, limits), "segments"),
-        add(state.values, _day_values(legs), "values"),
+        add(state.values, _day_values(legs, ()), "values"),
         add(state.amounts, _day_amounts(legs), "amounts"),
     )
     return _fold(together, limits)
@@ -205,7 +205,7 @@ def read_state(spark: SparkSession, path: str, through: dt.date | str) -> Custom
 
 def _features(
     days: DataFrame, values: DataFrame, amounts: DataFrame, queue: DataFrame, outcomes: DataFrame, limits: Limits,
-    subject_type: str, outcome_days: int, between: tuple[dt.date, dt.date] | None,
+    subject_type: str, outcome_days: int, between: tuple[dt.date, dt.date] | None, dealt: bool = False,
 ) -> DataFrame:
     """The feature table from day partials that carry ``as_of_date``; ``values`` has one row per key and value.
 
@@ -214,7 +214,7 @@ def _features(
     keys = list(KEYS)
     age = F.datediff("as_of_date", "day")
     blocks = span_features(
-        days.withColumn("_age", age), keys, "_age", limits.spans, limits.burst_seconds, limits.flip_seconds
+        days.withColumn("_age", age), keys, "_age", limits.spans, limits.burst_seconds, limits.flip_seconds, dealt
     )
     aged = values.withColumns({f"_age_{r}": F.datediff("as_of_date", f"last_{r}") for r in ("send", "pay")})
     parts = [
@@ -281,4 +281,4 @@ def customer_features_at(
     days = _day_segments(legs, limits).join(dates, "entity_id").where(later)
     current = values.join(dates, "entity_id").where(later & (F.col("_next").isNull() | (F.col("as_of_date") <= F.col("_next"))))
     amounts = _day_amounts(legs).join(dates, "entity_id").where(later)
-    return _features(days, current, amounts, q, outcomes, limits, subject_type, outcome_days, None)
+    return _features(days, current, amounts, q, outcomes, limits, subject_type, outcome_days, None, dealt=True)

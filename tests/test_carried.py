@@ -188,3 +188,22 @@ def test_side_of_few_bytes_and_many_rows_is_not_broadcast(spark):
     side = sized_broadcast(many, max_bytes=1 << 20)
     assert "ResolvedHint" not in side._jdf.queryExecution().analyzed().toString()
     release(side)
+
+
+def test_values_of_a_state_are_shuffled_once(spark):
+    """Whole histories become the latest day of each value in one aggregate, not by day first."""
+    t = fixture_tables(spark, SF_SMALL)
+    state = carried.build_state(t["transfers"], t["geo_risk"], "2024-01-20", LIMITS)
+    plan = state.values._jdf.queryExecution().executedPlan().toString()
+    assert len([x for x in plan.splitlines() if "Exchange hashpartitioning" in x and "vl" in x]) == 1
+
+
+def test_segments_are_shuffled_before_they_meet_their_spans(spark):
+    t = fixture_tables(spark, SF_SMALL)
+    legs = customer_history_legs(t["transfers"], active_customers(t["transfers"], "2024-01-30"))
+    legs = by_age_class(flag_high_risk(legs, t["geo_risk"]), SPANS)
+    rows = materialize(segments(legs, [*KEYS, "_age"]), "segments")
+    wide = span_features(rows, KEYS, "_age", SPANS)
+    plan = wide._jdf.queryExecution().executedPlan().toString()
+    shuffles = [x for x in plan.splitlines() if "Exchange hashpartitioning" in x]
+    assert len(shuffles) == 1 and "_span" not in shuffles[0]
