@@ -19,7 +19,7 @@ from fundtrail.plans import carried
 from fundtrail.plans.customer import KEYS as CUSTOMER_KEYS
 from fundtrail.plans.customer import customer_features
 from fundtrail.plans.location import location_features
-from fundtrail.session import materialize, path_exists, scratch
+from fundtrail.session import LEGS_PER_FILE, materialize, path_exists, scratch
 
 
 def _replace(df: DataFrame, path: str, fmt: str, partitions: list[str]) -> None:
@@ -98,7 +98,7 @@ def run_customer_batch(
         queue = queue_remaining(queue, done)
     with scratch(transfers.sparkSession):
         legs = customer_history_legs(transfers, queue, latest=as_of)
-        legs = materialize(flag_high_risk(legs, tables["geo_risk"]), "customer-legs")
+        legs = materialize(flag_high_risk(legs, tables["geo_risk"]), "customer-legs", LEGS_PER_FILE)
         features = customer_features(
             legs, tables["geo_risk"], tables["outcomes"], LOOKBACK_SPANS, subject_type, as_of_between=(as_of, as_of)
         )

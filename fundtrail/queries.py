@@ -39,7 +39,7 @@ from fundtrail.plans import carried
 from fundtrail.plans import customer as C
 from fundtrail.plans import location as L
 from fundtrail.plans import sinks
-from fundtrail.session import app_key, materialize, scratch_path
+from fundtrail.session import LEGS_PER_FILE, app_key, materialize, scratch_path
 from fundtrail.sources import schema as S
 from fundtrail.sources.fixture import fixture_tables
 
@@ -83,7 +83,7 @@ def _customer_legs(spark: SparkSession, sf_dir: str) -> tuple[dict[str, DataFram
 
     def build():
         legs = customer_history_legs(t["transfers"], active_customers(t["transfers"], AS_OF), latest=AS_OF)
-        return materialize(flag_high_risk(legs, t["geo_risk"]), "customer-legs")
+        return materialize(flag_high_risk(legs, t["geo_risk"]), "customer-legs", LEGS_PER_FILE)
 
     return t, _written(spark, sf_dir, "customer-legs", build)
 
@@ -295,7 +295,7 @@ def customer_features_text_ids(spark, sf_dir):
     transfers = text_ids(t["transfers"], S.TRANSFERS)
     outcomes = text_ids(t["outcomes"], S.OUTCOMES)
     legs = customer_history_legs(transfers, active_customers(transfers, AS_OF), latest=AS_OF)
-    legs = materialize(flag_high_risk(legs, t["geo_risk"]), "customer-legs")
+    legs = materialize(flag_high_risk(legs, t["geo_risk"]), "customer-legs", LEGS_PER_FILE)
     out = C.customer_features(legs, t["geo_risk"], outcomes, (("", None),), FIXTURE_SUBJECT_TYPES["customer"])
     return round_doubles(out)
 

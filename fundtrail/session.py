@@ -91,17 +91,22 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return path
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
+#: Rows of a file of legs. Spark packs files into read tasks by bytes, 4 MB for each beside its
+#: own, so at most 32 of them: legs that pack well do not make a task of millions.
+LEGS_PER_FILE = 20_000
+
+
+def materialize(df: DataFrame, name: str, file_rows: int = 0) -> DataFrame:
     """Write ``df`` as parquet under the shared folder and read it back.
 
     Cuts the lineage so later stages (and retries after a lost executor) start
     from the written files instead of recomputing the inputs. The plan runs
     once; a failed write fails. The folder is deleted by ``release`` or at the
-    end of the application.
+    end of the application. ``file_rows`` bounds the rows of a file (0: no bound).
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.mode("overwrite").parquet(path)
+    df.write.mode("overwrite").option("maxRecordsPerFile", file_rows).parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._fundtrail_path = path  # for release()
     out._fundtrail_written = True

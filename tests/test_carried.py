@@ -207,3 +207,9 @@ def test_segments_are_shuffled_before_they_meet_their_spans(spark):
     plan = wide._jdf.queryExecution().executedPlan().toString()
     shuffles = [x for x in plan.splitlines() if "Exchange hashpartitioning" in x]
     assert len(shuffles) == 1 and "_span" not in shuffles[0]
+
+
+def test_files_of_legs_are_bounded(spark):
+    out = materialize(spark.range(100).coalesce(1), "legs", 20)
+    assert [r["count"] for r in out.groupBy(F.input_file_name()).count().collect()] == [20] * 5
+    release(out)
