@@ -13,7 +13,8 @@ every key is cut into chunks of at most ``chunk_rows`` rows, the same in every r
 2. ``stream_neighbors``: windows run inside (keys, chunk). What a chunk needs
    from the others is the last matching row before it and the first after it;
    each chunk gives one row with its first and last, a window over those rows
-   (one per chunk) carries them on, and one join brings them back.
+   (one per chunk) carries them on, and one join brings them back. A key that is
+   not cut has nothing to carry: its rows are not read for that.
 
 A *stream* is a condition on rows: neighbours are looked up among the rows that
 meet it (sends only, run ends only, ...). The result does not depend on
@@ -36,6 +37,8 @@ CHUNK = "_chunk"
 #: An hour in microseconds.
 CELL = 3_600_000_000
 NO_TIME = -(1 << 62)
+#: The cell in the chunk name of a key that is not cut.
+UNCUT = -1
 
 
 @dataclass(frozen=True)
@@ -61,7 +64,8 @@ def deal(
     ``order`` is a whole number (microseconds); ``cell`` is the length of a cell in its unit.
     ``written`` says that ``df`` reads written files, so that running it again is cheap;
     else it is written first and its plan runs once. A chunk is named by the place
-    of its cells and, in an over-full cell, the place of its rows.
+    of its cells and, in an over-full cell, the place of its rows; the one chunk of a key
+    that is not cut, by the cell ``UNCUT``.
     """
     keys = list(keys)
     rows = df if written else materialize(df, "undealt")
@@ -83,7 +87,7 @@ def deal(
     # written, so that Spark knows their bytes when it plans the joins
     cells = materialize(cells, "cells")
     found = _null_safe(placed, cells, [*keys, "_cell"], "left")
-    name = F.struct(F.coalesce("_at", F.lit(0)).alias("cell"), F.lit(0).cast("long").alias("place")).alias(CHUNK)
+    name = F.struct(F.coalesce("_at", F.lit(UNCUT)).alias("cell"), F.lit(0).cast("long").alias("place")).alias(CHUNK)
     usual = found.where(~F.coalesce(F.col("_full"), F.lit(False))).select(*df.columns, name)
     full = _null_safe(placed, cells.where("_full"), [*keys, "_cell"], "inner")
     sort = [*keys, order, tie]
@@ -104,12 +108,14 @@ def _null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str)
 
 
 def stream_neighbors(
-    dealt: DataFrame, keys: Sequence[str], order: str, tie: str, streams: Mapping[str, Stream]
+    dealt: DataFrame, keys: Sequence[str], order: str, tie: str, streams: Mapping[str, Stream], first: str = "prev"
 ) -> DataFrame:
     """Add ``{name}_prev_{column}`` / ``{name}_next_{column}`` for every stream, null at the ends.
 
     ``dealt`` comes from ``deal`` with the same keys (further columns may have
-    been added); one window partition is one chunk.
+    been added); one window partition is one chunk. ``first`` is the side that is
+    looked up first: rows that an earlier call left in the order of that side are not
+    sorted again (the order of ``next`` runs backwards). It does not change the result.
     """
     keys = list(keys)
     chunk = [*keys, CHUNK]
@@ -124,7 +130,7 @@ def stream_neighbors(
     sides = [(n, s, side, cols) for n, s in streams.items() for side, cols in (("prev", s.prev), ("next", s.next)) if cols]
     inside = [
         F.last(found(s, cols), ignorenulls=True).over(before if side == "prev" else after).alias(f"_in_{n}_{side}")
-        for n, s, side, cols in sides
+        for n, s, side, cols in sorted(sides, key=lambda x: x[2] != first)
     ]
     ends = [
         (F.max if side == "prev" else F.min)(found(s, cols)).alias(f"_end_{n}_{side}") for n, s, side, cols in sides
@@ -136,7 +142,9 @@ def stream_neighbors(
         for n, _, side, _ in sides
     ]
     some = F.expr(" OR ".join(f"_by_{n}_{side} IS NOT NULL" for n, _, side, _ in sides))
-    carry = dealt.groupBy(*chunk).agg(*ends).select(*chunk, *carried).where(some)
+    # the test of the chunk's name reaches below the plan of ``dealt``, so that only keys in chunks are summarised
+    cut = dealt.where(F.col(f"{CHUNK}.cell") != F.lit(UNCUT))
+    carry = cut.groupBy(*chunk).agg(*ends).select(*chunk, *carried).where(some)
     joined = dealt.select("*", *inside).join(carry, chunk, "left")
     out = [F.col(c) for c in dealt.columns]
     for n, _, side, cols in sides:

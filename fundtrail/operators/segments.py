@@ -84,7 +84,8 @@ def segments(
     narrow = legs.select(*keys, *needed, *[c for c in (CHUNK,) if c in legs.columns])
     x = role_neighbors(as_written(narrow, legs), keys, chunk_rows)
     x = x.withColumn("inner_end", (F.col("role") == F.lit("send")) & F.col("next_leg_us").isNotNull() & run_end())
-    x = stream_neighbors(x, keys, "leg_us", "mtcn", {"end": Stream("inner_end", ("leg_us",), ("leg_us",))})
+    ends = {"end": Stream("inner_end", ("leg_us",), ("leg_us",))}
+    x = stream_neighbors(x, keys, "leg_us", "mtcn", ends, first="next")
     burst, flip = int(burst_seconds * _US), int(flip_seconds * _US)
     near_prev = f"(prev_leg_us IS NOT NULL AND leg_us - prev_leg_us <= {burst})"
     near_next = f"(next_leg_us IS NOT NULL AND next_leg_us - leg_us <= {burst})"

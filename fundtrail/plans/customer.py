@@ -45,6 +45,11 @@ from fundtrail.operators.outcomes import outcomes_as_of
 from fundtrail.operators.segments import by_age_class, finish, segments, span_features
 
 KEYS = ("entity_id", "as_of_date")
+# The leg columns that ``customer_features`` reads.
+LEGS_READ = (
+    *KEYS, "age_days", "role", "mtcn", "leg_time", "leg_us", "amount", "payout_seconds", "is_hrj",
+    "other_customer", "own_agent", "own_phone", "own_channel", "other_channel", "own_id_number", "other_country", "product",
+)
 
 
 def customer_distinct_families() -> list[ValueFamily]:

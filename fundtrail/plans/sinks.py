@@ -17,6 +17,7 @@ from fundtrail.operators.legs import customer_history_legs, location_range_legs
 from fundtrail.operators.queue import active_customers, queue_remaining
 from fundtrail.plans import carried
 from fundtrail.plans.customer import KEYS as CUSTOMER_KEYS
+from fundtrail.plans.customer import LEGS_READ as CUSTOMER_LEGS
 from fundtrail.plans.customer import customer_features
 from fundtrail.plans.location import location_features
 from fundtrail.session import LEGS_PER_FILE, materialize, path_exists, scratch
@@ -84,8 +85,8 @@ def run_customer_batch(
     not a reader of the files that this run replaces) those are not computed, and what the
     table holds of the day stays (``add_customer_features``).
 
-    The legs are written once to the shared folder, cut into chunks, so each
-    feature family reads them instead of re-running the history join, and a lost
+    The legs are written once to the shared folder, with the columns that the features
+    read and cut into chunks, so each feature family reads them instead of re-running the history join, and a lost
     executor restarts from those files. They are deleted at the end, failed or
     not.
     """
@@ -98,7 +99,8 @@ def run_customer_batch(
         queue = queue_remaining(queue, done)
     with scratch(transfers.sparkSession):
         legs = customer_history_legs(transfers, queue, latest=as_of)
-        legs = materialize(flag_high_risk(legs, tables["geo_risk"]), "customer-legs", LEGS_PER_FILE)
+        legs = flag_high_risk(legs, tables["geo_risk"]).select(*CUSTOMER_LEGS)
+        legs = materialize(legs, "customer-legs", LEGS_PER_FILE)
         features = customer_features(
             legs, tables["geo_risk"], tables["outcomes"], LOOKBACK_SPANS, subject_type, as_of_between=(as_of, as_of)
         )

@@ -1,6 +1,7 @@
 """Chunked neighbours and running counts give the same answers as plain windows and joins, at any chunk size."""
 
 import random
+import re
 
 import pytest
 from pyspark.sql import Window
@@ -162,3 +163,27 @@ def test_all_legs_stay_in_the_ordered_frame(spark):
     y = customer_neighbors(legs.drop(CHUNK), chunk_rows=10)
     assert y.count() == legs.count()
     assert y.where("leg_us is null and (prev_leg_us is not null or run_end)").count() == 0
+
+
+def test_only_keys_in_chunks_are_summarised(spark):
+    """Rows of keys that are not cut have nothing to carry: what is summarised per chunk has met the cells of busy keys
+    in an inner join before its windows, also in a second call."""
+    rows = [r for r in _rows() if r[2] is not None]
+    df = spark.createDataFrame(rows, "k long, r string, t long, id long, v long")
+
+    def found(chunk_rows):
+        x = stream_neighbors(deal(df, ["k"], "t", "id", chunk_rows), ["k"], "t", "id", {"a": Stream("r = 'a'", ("t",), ("t",))})
+        y = stream_neighbors(x.withColumn("m", F.expr("a_prev_t < t")), ["k"], "t", "id", {"b": Stream("m", ("t",), ("id",))})
+        plan = y._jdf.queryExecution().optimizedPlan().toString().splitlines()
+        return {r["id"]: (r["a_prev_t"], r["a_next_t"], r["b_prev_t"], r["b_next_id"]) for r in y.collect()}, plan
+
+    whole, plan = found(100_000)
+    depth = [re.search(r"\w", line).start() for line in plan]
+    summaries = [i for i, line in enumerate(plan) if re.search(r"\bAggregate \[", line)]
+    assert len(summaries) >= 2
+    for i in summaries:
+        below = next((j for j in range(i + 1, len(plan)) if depth[j] <= depth[i]), len(plan))
+        joins = [line for line in plan[i + 1 : below] if "Join" in line and "_cell" in line]
+        assert joins and all("Join Inner" in line for line in joins)
+    cut, _ = found(20)
+    assert whole == cut and len(whole) == len(rows)
