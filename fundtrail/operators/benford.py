@@ -8,7 +8,8 @@ null have no leading digit and stay out of the base; an entity with no such
 amount gets null.
 
 Digit counts are conditional aggregates, so the feature joins the entity's
-other aggregates in one ``groupBy``.
+other aggregates in one ``groupBy``. The digit is a column of the leg
+(``with_digit``), taken once and not in each of its counts.
 """
 
 from __future__ import annotations
@@ -25,10 +26,14 @@ DIGITS = tuple(range(1, 10))
 EXPECTED = {d: math.log10(1.0 + 1.0 / d) for d in DIGITS}
 
 
-def digit_count_exprs(role: str, amount: Column | None = None) -> list[Column]:
-    digit = leading_digit(F.col("amount") if amount is None else amount)
+def with_digit(legs: DataFrame, amount: Column | None = None) -> DataFrame:
+    """Add ``_digit``, the leading digit of the amount, for ``digit_count_exprs``."""
+    return legs.withColumn("_digit", leading_digit(F.col("amount") if amount is None else amount))
+
+
+def digit_count_exprs(role: str) -> list[Column]:
     is_role = F.col("role") == F.lit(role)
-    return [F.count_if(is_role & (digit == F.lit(d))).alias(f"_d{d}_{role}") for d in DIGITS]
+    return [F.count_if(is_role & (F.col("_digit") == F.lit(d))).alias(f"_d{d}_{role}") for d in DIGITS]
 
 
 def deviation(role: str) -> Column:
@@ -44,7 +49,7 @@ def deviation(role: str) -> Column:
 
 def benford(legs: DataFrame, keys: Sequence[str] = ("entity_id",)) -> DataFrame:
     """Per key: first_digit_send and first_digit_pay."""
-    counts = legs.groupBy(*keys).agg(*digit_count_exprs("send"), *digit_count_exprs("pay"))
+    counts = with_digit(legs).groupBy(*keys).agg(*digit_count_exprs("send"), *digit_count_exprs("pay"))
     return counts.select(*keys, deviation("send").alias("first_digit_send"), deviation("pay").alias("first_digit_pay"))
 
 

@@ -108,7 +108,8 @@ def customer_neighbors(
     x = role_neighbors(legs, keys, chunk_rows, ("age_days",))
     x = x.withColumn("run_end", (F.col("role") == F.lit("send")) & run_end())
     # one-to-many runs over the send run ends only, with their own neighbours
-    return stream_neighbors(x, keys, "leg_us", "mtcn", {"end": Stream("run_end", ("leg_us", "age_days"), ("leg_us",))})
+    ends = {"end": Stream("run_end", ("leg_us", "age_days"), ("leg_us",))}
+    return stream_neighbors(x, keys, "leg_us", "mtcn", ends, first="next")
 
 
 def customer_sequence_sql(spans=SPANS_FULL, burst_seconds: float = BURST_GAP_SECONDS) -> list[str]:
@@ -192,7 +193,7 @@ def location_bursts(
     x = stream_neighbors(x, keys, "leg_us", "mtcn", {r: Stream(f"role = '{r}'", next=nxt) for r in ("send", "pay")})
     x = x.select(*base.columns, CHUNK, *[_of_role("next", c) for c in nxt]).withColumn("run_end", run_end())
     ends = {f"{r}_end": Stream(f"run_end AND role = '{r}'", ("leg_us",), ("leg_us",)) for r in ("send", "pay")}
-    x = stream_neighbors(x, keys, "leg_us", "mtcn", ends)
+    x = stream_neighbors(x, keys, "leg_us", "mtcn", ends, first="next")
     x = x.select("entity_id", "role", "leg_us", "run_end", _of_role("prev", "leg_us", "_end"), _of_role("next", "leg_us", "_end"))
     member = f"run_end AND ({burst_sql('TRUE', burst_seconds, 'end_prev_', 'end_next_')})"
     return x.groupBy("entity_id").agg(

@@ -39,6 +39,12 @@ from fundtrail.operators.outcomes import outcome_sums
 from fundtrail.operators.sequences import location_bursts, location_terminals
 
 KEYS = ("entity_id",)
+# The leg columns that ``location_features`` reads.
+LEGS_READ = (
+    *KEYS, "role", "mtcn", "leg_us", "amount", "payout_seconds", "is_hrj", "own_customer", "other_customer",
+    "other_location", "other_agent", "own_terminal", "own_phone", "own_channel", "other_channel", "own_id_number",
+    "other_country", "product",
+)
 
 
 def location_distinct_families() -> list[ValueFamily]:
@@ -136,7 +142,7 @@ def location_aggregates(
         exprs += B.digit_count_exprs(role)
     if with_hrj:
         exprs += hrj_amount_exprs("", "TRUE")
-    agg = legs.groupBy(*KEYS).agg(*exprs)
+    agg = B.with_digit(legs).groupBy(*KEYS).agg(*exprs)
     digits = [f"_d{d}_{r}" for r in ("send", "pay") for d in B.DIGITS]
     return agg.select(
         "*", B.deviation("send").alias("first_digit_send"), B.deviation("pay").alias("first_digit_pay")

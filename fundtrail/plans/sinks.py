@@ -19,6 +19,7 @@ from fundtrail.plans import carried
 from fundtrail.plans.customer import KEYS as CUSTOMER_KEYS
 from fundtrail.plans.customer import LEGS_READ as CUSTOMER_LEGS
 from fundtrail.plans.customer import customer_features
+from fundtrail.plans.location import LEGS_READ as LOCATION_LEGS
 from fundtrail.plans.location import location_features
 from fundtrail.session import LEGS_PER_FILE, materialize, path_exists, scratch
 
@@ -159,7 +160,8 @@ def run_location_batch(
     """
     with scratch(tables["transfers"].sparkSession):
         legs = location_range_legs(tables["transfers"], date_from, date_to, queue)
-        legs = materialize(flag_high_risk(legs, tables["geo_risk"]), "location-legs")
+        legs = flag_high_risk(legs, tables["geo_risk"]).select(*LOCATION_LEGS)
+        legs = materialize(legs, "location-legs")
         features = location_features(
             legs, tables["geo_risk"], tables["outcomes"], tables["time_index"], date_from, date_to, subject_type
         )
