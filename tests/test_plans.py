@@ -133,3 +133,14 @@ def test_case_dates_reach_the_scan(spark):
     spark.conf.unset("spark.sql.maxMetadataStringLength")
     assert "GreaterThanOrEqual(case_creation_date,2024-01-27)" in plan
     assert "LessThanOrEqual(case_creation_date,2024-01-30)" in plan
+
+
+def test_a_leading_digit_is_taken_once(spark):
+    """Not in each of the counts of the digits and roles; and the written legs have the columns that the features read."""
+    t, legs = _location_legs(spark, SF_SMALL)
+    plan = L.location_aggregates(legs)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("substring(") == 1
+    narrow = (legs.select(*L.LEGS_READ), t["geo_risk"], t["outcomes"], t["time_index"], "2024-01-01", "2024-01-30")
+    assert L.location_features(*narrow).columns == ["entity_id", *L.FEATURES]
+    _, legs = _customer_legs(spark, SF_SMALL)
+    assert C.customer_features(legs.select(*C.LEGS_READ), t["geo_risk"], t["outcomes"]).columns[:2] == list(C.KEYS)
