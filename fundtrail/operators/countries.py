@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fundtrail.functions.columns import span_sql
@@ -47,30 +47,32 @@ def primary_countries(
     Sends are grouped by the payee's country, pays by the sender's, and the
     stacked form uses both. Ties go to the lowest country code; decimal amounts
     are summed exactly, so equal sums are ties. Two aggregates:
-    per (key, country) sums for every form and span, then per key the minimum
+    per (key, country) the latest leg of each role and its sum in every span, then per key the minimum
     of (-sum, country), which is the arg-max with that tie rule.
     """
     keys = list(keys)
-    sums = []
-    for prefix, cut in spans:
-        span = span_sql("age_days", cut)
-        for name, role in forms:
-            cond = span if role is None else f"{span} AND role = '{role}'"
-            sums.append(F.expr(f"count_if({cond}) AS `n|{prefix}{name}`"))
-            sums.append(F.expr(f"CAST(coalesce(sum(CASE WHEN {cond} THEN amount END), 0) AS DOUBLE) AS `s|{prefix}{name}`"))
+    ages = [F.expr(f"min(CASE WHEN role = '{r}' THEN age_days END) AS `n|{r}`") for r in ("send", "pay")]
+    sums = [
+        F.expr(f"coalesce(sum(CASE WHEN {span_sql('age_days', cut)} AND role = '{r}' THEN amount END), 0) AS `s|{prefix}{r}`")
+        for prefix, cut in spans
+        for r in ("send", "pay")
+    ]
     per_country = (
         legs.filter(F.col("other_country").isNotNull())
         .groupBy(*keys, F.col("other_country").alias("_country"))
-        .agg(*sums)
+        .agg(*ages, *sums)
     )
-    picks = [
-        F.expr(
-            f"min(CASE WHEN `n|{prefix}{name}` > 0 THEN struct(-`s|{prefix}{name}` AS neg, _country AS c) END).c"
-            f" AS `{prefix}{name}`"
+
+    def pick(name: str, role: str | None, prefix: str, cut: int | None) -> Column:
+        roles = ("send", "pay") if role is None else (role,)
+        # a country is in the span if its latest leg is
+        some = " OR ".join(f"(`n|{r}` IS NOT NULL AND {span_sql(f'`n|{r}`', cut)})" for r in roles)
+        total = " + ".join(f"`s|{prefix}{r}`" for r in roles)
+        return F.expr(
+            f"min(CASE WHEN {some} THEN struct(-CAST({total} AS DOUBLE) AS neg, _country AS c) END).c AS `{prefix}{name}`"
         )
-        for prefix, _ in spans
-        for name, _ in forms
-    ]
+
+    picks = [pick(name, role, prefix, cut) for prefix, cut in spans for name, role in forms]
     return per_country.groupBy(*keys).agg(*picks)
 
 

@@ -29,6 +29,8 @@ from pyspark.sql import types as T
 from fundtrail.functions.columns import span_sql
 
 ROLES_ANY = ("send", "pay")
+#: The column of ``value_changes``.
+CHANGES = "_changes"
 
 
 @dataclass(frozen=True)
@@ -109,6 +111,67 @@ def count_by_age(
     return per_value.groupBy(*keys).agg(*counts)
 
 
+def entered(prefix: str, name: str) -> str:
+    """The column of the values that enter the span of the output the next day."""
+    return f"_in_{prefix}{name}"
+
+
+def left(prefix: str, name: str) -> str:
+    """The column of the values that leave the span of the output when it ends on this day."""
+    return f"_out_{prefix}{name}"
+
+
+def value_changes(
+    per_day: DataFrame,
+    families: Sequence[ValueFamily],
+    spans: Sequence[tuple[str, int | None]],
+    key: str = "entity_id",
+) -> DataFrame:
+    """Per (key, day): how many values enter and leave the span of each output with their use on that day (``CHANGES``).
+
+    ``per_day`` has one row per (key, f, vl, vs, day), with ``send`` and ``pay``, whether a leg of the role
+    carried the value that day, and ``_hrj``. A value enters a span by a use whose last use before is no longer in the
+    span, and leaves it by a use that is not followed by another in time. Rows are counted per family first,
+    with a column for each kind of output, and the families of a day put side by side after.
+    """
+    uses = per_day.repartition(key)
+    kinds = sorted({(tuple(sorted(out.roles)), out.hrj) for fam in families for out in fam.outputs})
+    roles = sorted({r for r, _ in kinds})
+    over = f"OVER (PARTITION BY `{key}`, f, vl, vs ORDER BY day)"
+    used = {r: f"({' OR '.join(r)})" for r in roles}
+    near = []
+    for k, r in enumerate(roles):
+        day = f"CASE WHEN {used[r]} THEN day END"
+        near += [
+            f"datediff(day, lag({day}) IGNORE NULLS {over}) AS _since{k}",
+            f"datediff(lead({day}) IGNORE NULLS {over}, day) AS _until{k}",
+        ]
+    x = uses.selectExpr(key, "f", "day", "send", "pay", "_hrj", *near)
+    cuts = sorted({c for _, c in spans if c is not None})
+    sums = []
+    for k, (r, hrj) in enumerate(kinds):
+        i, cond = roles.index(r), used[r] + (" AND _hrj" if hrj else "")
+        sums.append(f"count_if({cond} AND _since{i} IS NULL) AS k{k}_in")
+        for c in cuts:
+            sums.append(f"count_if({cond} AND coalesce(_since{i} >= {c}, TRUE)) AS k{k}_in{c}")
+            sums.append(f"count_if({cond} AND coalesce(_until{i} >= {c}, TRUE)) AS k{k}_out{c}")
+    names = [s.rsplit(" ", 1)[1] for s in sums]
+    per_family = x.groupBy(key, "f", "day").agg(*[F.expr(s) for s in sums])
+    # the struct is made before it is collected: what an aggregate collects is not compiled
+    entries = per_family.select(key, "day", F.struct("f", F.struct(*names).alias("n")).alias("_e"))
+    wide = entries.groupBy(key, "day").agg(F.map_from_entries(F.collect_list("_e")).alias("_by_family"))
+    out = []
+    for prefix, cut in spans:
+        for i, fam in enumerate(families):
+            for o in fam.outputs:
+                k = kinds.index((tuple(sorted(o.roles)), o.hrj))
+                found = F.col("_by_family")[i]
+                out.append(found[f"k{k}_in{'' if cut is None else cut}"].alias(entered(prefix, o.name)))
+                if cut is not None:
+                    out.append(found[f"k{k}_out{cut}"].alias(left(prefix, o.name)))
+    return wide.select(key, "day", F.struct(*out).alias(CHANGES))
+
+
 def distinct_counts(
     legs: DataFrame,
     keys: Sequence[str],

@@ -31,7 +31,7 @@ import datetime as dt
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fundtrail.functions.params import (
@@ -45,10 +45,11 @@ from fundtrail.functions.params import (
 )
 from fundtrail.operators.broadcast import sized_broadcast
 from fundtrail.operators.countries import flag_high_risk, primary_countries
-from fundtrail.operators.distinct import count_by_age, leg_values
+from fundtrail.operators.distinct import count_by_age, leg_values, value_changes
 from fundtrail.operators.legs import customer_range_legs
 from fundtrail.operators.neighbors import deal
 from fundtrail.operators.outcomes import outcomes_as_of
+from fundtrail.operators.running import days_and_dates, running_counts, span_features_at
 from fundtrail.operators.segments import merge_segments, segment_columns, segments, span_features
 from fundtrail.plans.customer import KEYS, assemble, customer_distinct_families
 from fundtrail.session import path_exists
@@ -268,17 +269,18 @@ def customer_features_at(
     last = _date(latest) - dt.timedelta(days=1)
     legs = _dealt(customer_range_legs(transfers, None, last, queue), geo_risk, limits)
     q = queue.where(F.col("as_of_date") <= F.lit(latest).cast("date")).select("entity_id", "as_of_date").distinct()
-    uses = Window.partitionBy("entity_id", *VALUE).orderBy("day")
-    so_far = uses.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    values = _day_values(legs).select(
-        "entity_id", *VALUE, "_hrj", "day",
-        F.max("last_send").over(so_far).alias("last_send"),
-        F.max("last_pay").over(so_far).alias("last_pay"),
-        F.lead("day").over(uses).alias("_next"),
-    )
-    later = F.col("as_of_date") > F.col("day")
-    dates = q.hint("merge")
-    days = _day_segments(legs, limits).join(dates, "entity_id").where(later)
-    current = values.join(dates, "entity_id").where(later & (F.col("_next").isNull() | (F.col("as_of_date") <= F.col("_next"))))
-    amounts = _day_amounts(legs).join(dates, "entity_id").where(later)
-    return _features(days, current, amounts, q, outcomes, limits, subject_type, outcome_days, None, dealt=True)
+    families = customer_distinct_families()
+    used = _day_values(legs).select(
+        "entity_id", *VALUE, "_hrj", "day", *[F.col(f"last_{r}").isNotNull().alias(r) for r in ("send", "pay")]
+    )
+    changes = value_changes(used, families, limits.spans)
+    days = _day_segments(legs, limits).join(changes.hint("merge"), ["entity_id", "day"], "left")
+    rows = span_features_at(days_and_dates(days, q), limits.spans, limits.burst_seconds, limits.flip_seconds)
+    rows = running_counts(rows, families, limits.spans).where(F.col("as_of_date").isNotNull() & (F.col("_before") > 0))
+    blocks = rows.select(*KEYS, "_features", "_counts")
+    amounts = _day_amounts(legs).join(q.hint("merge"), "entity_id").where(F.col("as_of_date") > F.col("day"))
+    parts = [
+        primary_countries(amounts.withColumn("age_days", F.datediff("as_of_date", "day")), list(KEYS), limits.spans),
+        outcomes_as_of(outcomes, q, subject_type, outcome_days, list(KEYS)),
+    ]
+    return assemble(blocks, parts, limits.spans)

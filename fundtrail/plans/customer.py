@@ -27,6 +27,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from fundtrail.functions.params import (
     AMOUNT_BANDS,
@@ -177,22 +178,38 @@ def customer_features(
 def assemble(
     blocks: DataFrame, parts: Sequence[DataFrame], spans: Sequence[tuple[str, int | None]], keys: Sequence[str] = KEYS
 ) -> DataFrame:
-    """The feature table: ``blocks`` (one row per key, with ``{prefix}_legs``) joined with ``parts``, filled and named."""
+    """The feature table: ``blocks`` (one row per key, with ``{prefix}_legs``) joined with ``parts``, filled and named.
+
+    Columns may come in structs.
+    """
     keys = list(keys)
-    for part in parts:
+
+    def packed(df: DataFrame, name: str) -> DataFrame:
+        """The columns beside the keys as one struct: joins and sorts copy each column of a row by itself."""
+        return df.select(*keys, F.struct(*[c for c in df.columns if c not in keys]).alias(name))
+
+    sides = {f"_{i}": df for i, df in enumerate([blocks, *parts])}
+    where = {}
+    for name, df in sides.items():
+        for f in df.schema.fields:
+            inner = f.dataType.names if isinstance(f.dataType, T.StructType) else None
+            where |= {f.name: name} if inner is None else {c: f"{name}.`{f.name}`" for c in inner}
+    joined = packed(blocks, "_0")
+    for name, part in list(sides.items())[1:]:
         # a part has as many rows as blocks: never broadcast by the bytes of the compressed files it came from
-        blocks = blocks.join(part.hint("merge"), keys, "left")
+        joined = joined.join(packed(part, name).hint("merge"), keys, "left")
     out = list(keys)
     for prefix, _ in spans:
         for name in FEATURES:
-            src = f"`{prefix}{name}`" if name not in OUTCOME_FLAGS else f"`{name}`"
+            column = name if name in OUTCOME_FLAGS else f"{prefix}{name}"
+            src = f"{where[column]}.`{column}`"
             if name in NOT_FILLED:
                 col = src
             elif name in OUTCOME_FLAGS:
-                col = f"CAST(CASE WHEN `{prefix}_legs` > 0 THEN coalesce({src}, 0) ELSE 0 END AS BIGINT)"
+                col = f"CAST(CASE WHEN {where[f'{prefix}_legs']}.`{prefix}_legs` > 0 THEN coalesce({src}, 0) ELSE 0 END AS BIGINT)"
             elif name in DOUBLES:
                 col = f"coalesce(CAST({src} AS DOUBLE), CAST(0 AS DOUBLE))"
             else:
                 col = f"coalesce(CAST({src} AS BIGINT), CAST(0 AS BIGINT))"
             out.append(f"{col} AS `{prefix}{name}`")
-    return blocks.selectExpr(*out)
+    return joined.selectExpr(*out)

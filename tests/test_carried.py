@@ -2,6 +2,7 @@
 
 import datetime as dt
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -12,6 +13,7 @@ from fundtrail.operators.broadcast import sized_broadcast
 from fundtrail.operators.countries import flag_high_risk
 from fundtrail.operators.legs import customer_history_legs, customer_range_legs
 from fundtrail.operators.queue import active_customers
+from fundtrail.operators.running import days_and_dates, span_features_at
 from fundtrail.operators.segments import by_age_class, finish, merge_segments, segments, span_features
 from fundtrail.operators.sequences import customer_flip_sql, customer_neighbors, customer_sequence_sql
 from fundtrail.plans import carried, sinks
@@ -100,6 +102,23 @@ def test_merging_is_associative(odd_legs):
         assert _rows(merge_segments(parts, ["entity_id"], "part")) == _rows(whole)
 
 
+@pytest.mark.parametrize("seed", [1, 2])
+@pytest.mark.parametrize("spans", [SPANS, (("12_", 12), ("", None), ("3_", 3), ("1_", 1))])
+def test_windows_over_the_days_equal_the_spans_of_each_date(spark, odd_legs, spans, seed):
+    """Dates with and without legs, before the first and after the last one; counterparties and gaps by chance."""
+    legs = odd_legs.withColumn("other_customer", F.when(F.rand(seed) < 0.9, F.floor(F.rand(seed + 9) * 3)).cast("long"))
+    legs = materialize(legs.where(F.rand(seed + 5) < 0.3).drop("as_of_date", "age_days"), "fewer-legs")
+    days = materialize(segments(legs, ["entity_id", "leg_date"]).withColumnRenamed("leg_date", "day"), "days")
+    dates = spark.range(-2, 20).selectExpr("date_add(DATE'2024-03-01', CAST(id AS INT)) AS as_of_date")
+    dates = dates.crossJoin(spark.createDataFrame([(1,), (2,), (3,), (999,)], "entity_id long").union(legs.select("entity_id").distinct()))
+    dates = dates.distinct().where("entity_id <> 3 OR dayofmonth(as_of_date) % 4 = 0")
+    pairs = days.join(dates, "entity_id").where("as_of_date > day").withColumn("_age", F.datediff("as_of_date", "day"))
+    want = span_features(pairs, KEYS, "_age", spans)
+    got = span_features_at(days_and_dates(days, dates), spans).where("as_of_date IS NOT NULL AND _before > 0")
+    _same(got.select(*KEYS, "_features.*"), want)
+    assert want.where("one_to_many_send_count > 1 AND many_to_one_pay_count > 1").count() > 20
+
+
 LIMITS = carried.Limits(spans=(("", None), ("8_", 8), ("3_", 3)), chunk_rows=50)
 
 
@@ -171,6 +190,17 @@ def test_many_dates_equal_one_by_one(spark):
     assert legs.count() == legs.select("mtcn", "role").distinct().count()
 
 
+def test_no_row_per_date_and_day(spark):
+    """With a date for each of its days, a customer's day segments and values do not meet its dates one by one."""
+    t = fixture_tables(spark, SF_SMALL)
+    queue = active_customers(t["transfers"], "2024-01-02", "2024-01-30")
+    got = carried.customer_features_at(t["transfers"], t["geo_risk"], t["outcomes"], queue, "2024-01-30", LIMITS, SUBJECT)
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    # amounts of countries only
+    assert len(re.findall(r"Join Inner, .*\(as_of_date#\d+ > (?:day|leg_date)#", plan)) <= 1
+    assert "_span#" not in plan
+
+
 def test_partials_of_many_dates_are_not_broadcast(spark):
     """Partials and dates grow alike: their joins are merge joins, however few the compressed bytes."""
     t = fixture_tables(spark, SF_SMALL)
