@@ -148,6 +148,10 @@ def value_changes(
         ]
     x = uses.selectExpr(key, "f", "day", "send", "pay", "_hrj", *near)
     cuts = sorted({c for _, c in spans if c is not None})
+    # a use close to the one before and the one after, of every role, changes no span
+    least = cuts[0] if cuts else None
+    changed = [f"_since{k} IS NULL" + (f" OR _until{k} IS NULL OR _since{k} >= {least} OR _until{k} >= {least}" if cuts else "") for k in range(len(roles))]
+    x = x.where(" OR ".join(changed))
     sums = []
     for k, (r, hrj) in enumerate(kinds):
         i, cond = roles.index(r), used[r] + (" AND _hrj" if hrj else "")

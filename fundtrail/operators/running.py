@@ -204,18 +204,22 @@ def span_features_at(
     for c in WHOLE:
         over(F.sum(c), so_far, f"all_{c}")
     over(F.last("close_row", ignorenulls=True), so_far, "close")
-    for i, (_, cut) in enumerate(spans):
-        frame = _days_before(key, None if cut is None else max(int(cut) - 1, 1))
+    # the days of the finite spans in classes of age, so that a frame sums no day twice; None: the whole history
+    ages = [1, *sorted({max(int(cut), 2) for _, cut in spans if cut is not None})]
+    classes: list[int | None] = [*range(len(ages) - 1), *([None] if any(cut is None for _, cut in spans) else [])]
+    for k in classes:
+        frame = so_far if k is None else _days_before(key, ages[k + 1] - 1, ages[k])
+        s = "s_" if k is None else f"s{k}_"
         for c in SUMMED:
-            over(F.sum(c), frame, f"s{i}_{c}")
+            over(F.sum(c), frame, f"{s}{c}")
         for r in ROLES:
             for c, of in (("payout_min", F.min), ("payout_max", F.max), ("first_time", F.min)):
-                over(of(f"{r}_{c}"), frame, f"s{i}_{r}_{c}")
-            crossed = cut is None
-            over(F.min(F.least(f"{r}_gap_min", f"c_{r}") if crossed else F.col(f"{r}_gap_min")), frame, f"s{i}_{r}_gap_min")
-            over(F.max(F.greatest(f"{r}_gap_max", f"c_{r}") if crossed else F.col(f"{r}_gap_max")), frame, f"s{i}_{r}_gap_max")
-            if not crossed:
-                over(F.collect_list(f"l_{r}"), frame, f"s{i}_{r}_list")
+                over(of(f"{r}_{c}"), frame, f"{s}{r}_{c}")
+            over(F.min(F.least(f"{r}_gap_min", f"c_{r}") if k is None else F.col(f"{r}_gap_min")), frame, f"{s}{r}_gap_min")
+            over(F.max(F.greatest(f"{r}_gap_max", f"c_{r}") if k is None else F.col(f"{r}_gap_max")), frame, f"{s}{r}_gap_max")
+            if k is not None:
+                over(F.collect_list(f"l_{r}"), frame, f"{s}{r}_list")
+    for i, (_, cut) in enumerate(spans):
         if cut is not None:
             earlier = _days_before(key, None, max(int(cut), 1))
             for c in WHOLE:
@@ -223,10 +227,21 @@ def span_features_at(
             over(F.last("ahead"), earlier, f"ahead{i}")
     x = x.select(*kept, *found)
     # of the rows ahead of a span only those before the as-of date are in it
-    ahead = [f"CASE WHEN ahead{i}.a_{c}._n < _n THEN ahead{i}.a_{c} END AS s{i}_{c}"
+    ahead = [f"CASE WHEN ahead{i}.a_{c}._n < _n THEN ahead{i}.a_{c} END AS t{i}_{c}"
              for i, (_, cut) in enumerate(spans) if cut is not None for c in ("send", "pay", "any", "end1", "end2", "end3")]
-    closes = [f"CASE WHEN _n - close._n < {cut} THEN close END AS s{i}_close" for i, (_, cut) in enumerate(spans) if cut is not None]
-    x = x.selectExpr("*", *ahead, *closes)
+    closes = [f"CASE WHEN _n - close._n < {cut} THEN close END AS t{i}_close" for i, (_, cut) in enumerate(spans) if cut is not None]
+    together = []
+    for i, (_, cut) in enumerate(spans):
+        if cut is None:
+            continue
+        parts = [f"s{k}_" for k in range(ages.index(max(int(cut), 2)))]
+        together += [f"{' + '.join(f'coalesce({p}{c}, 0)' for p in parts)} AS t{i}_{c}" for c in SUMMED]
+        for r in ROLES:
+            for c, of in (("payout_min", "least"), ("payout_max", "greatest"), ("first_time", "least"), ("gap_min", "least"), ("gap_max", "greatest")):
+                each = [f"{p}{r}_{c}" for p in parts]
+                together.append(f"{each[0] if len(each) == 1 else f'{of}({", ".join(each)})'} AS t{i}_{r}_{c}")
+            together.append(f"concat({', '.join(f'{p}{r}_list' for p in reversed(parts))}) AS t{i}_{r}_list")
+    x = x.selectExpr("*", *ahead, *closes, *together)
     out = []
     for i, (prefix, cut) in enumerate(spans):
         for name, sql in _finished(i, cut, burst):
@@ -237,7 +252,7 @@ def span_features_at(
 
 def _finished(i: int, cut: int | None, burst: int) -> list[tuple[str, str]]:
     """(feature, SQL) of the ``i``-th span from its frames; names as in ``segments.finish``."""
-    s = f"s{i}_"
+    s = "s_" if cut is None else f"t{i}_"
 
     def whole(c: str) -> str:
         return f"coalesce(all_{c}, 0)" if cut is None else f"(coalesce(all_{c}, 0) - coalesce(old{i}_{c}, 0))"

@@ -17,8 +17,7 @@ together as they leave the longest span, so a customer's rows are bounded by the
 length of that span, its distinct values and its countries, not by its history.
 
 ``customer_features_at`` uses the same day partials for a queue with many as-of
-dates: each leg is read and shuffled once, into partials of its customer and day,
-and only those partials meet the several dates of a customer.
+dates: a customer's dates stand among its days, and windows over them give each date's spans.
 
 A leg counts as it was when its day was added: transfers that change or arrive
 later (a payout recorded days after) are not seen; start again from a state
@@ -206,7 +205,7 @@ def read_state(spark: SparkSession, path: str, through: dt.date | str) -> Custom
 
 def _features(
     days: DataFrame, values: DataFrame, amounts: DataFrame, queue: DataFrame, outcomes: DataFrame, limits: Limits,
-    subject_type: str, outcome_days: int, between: tuple[dt.date, dt.date] | None, dealt: bool = False,
+    subject_type: str, outcome_days: int, between: tuple[dt.date, dt.date] | None,
 ) -> DataFrame:
     """The feature table from day partials that carry ``as_of_date``; ``values`` has one row per key and value.
 
@@ -215,7 +214,7 @@ def _features(
     keys = list(KEYS)
     age = F.datediff("as_of_date", "day")
     blocks = span_features(
-        days.withColumn("_age", age), keys, "_age", limits.spans, limits.burst_seconds, limits.flip_seconds, dealt
+        days.withColumn("_age", age), keys, "_age", limits.spans, limits.burst_seconds, limits.flip_seconds
     )
     aged = values.withColumns({f"_age_{r}": F.datediff("as_of_date", f"last_{r}") for r in ("send", "pay")})
     parts = [
@@ -259,11 +258,12 @@ def customer_features_at(
 ) -> DataFrame:
     """Features of a queue (entity_id, as_of_date) with any number of as-of dates per customer, up to ``latest``.
 
-    Each leg of a queued customer is shuffled once, into the partials of its
-    day; a partial then joins the later as-of dates of its customer. For
-    distinct counts a value's row joins the dates up to the value's next use only.
+    Legs become the partials of their day. Segments and distinct values do not meet the dates one by one:
+    days and dates of a customer stand in one sequence, and windows over it give the spans of each date
+    (``operators.running``), so the work grows with the days, not with dates x days. Only the amounts of
+    countries join the later dates of their customer.
     These joins are merge joins: Spark reckons the partials by the bytes of compressed files and would
-    broadcast them. Partials are shuffled by customer once, before they meet the dates.
+    broadcast them.
     """
     limits = limits or Limits()
     last = _date(latest) - dt.timedelta(days=1)
